@@ -68,8 +68,82 @@ redirected AS (
 
 REDIRECTED_SECTIONS = "WITH " + CORPUS_CTE + "SELECT key, page, section, n, text FROM redirected"
 
+# Redirect pages to sections, long form. Titles as the primary job keeps them:
+# normalised (underscores to spaces), not lower-cased.
+SECTION_REDIRECTS = "WITH " + CORPUS_CTE + """,
+r AS (
+  SELECT lower('Doc ' || doc_id || '–' || lang || '#S ' || i) AS key,
+         lower('Doc ' || doc_id || '–' || lang) AS page, 's ' || i AS section,
+         'R ' || doc_id || ' ' || i || ' ' || unnest(range(1, c + 1)) AS redirect
+  FROM sec WHERE c > 0
+  UNION ALL
+  SELECT lower('Doc ' || h.hd || '–' || h.hl || '#S 1'), lower('Doc ' || h.hd || '–' || h.hl), 's 1',
+         'Hub ' || d.doc_id
+  FROM d, hub h
+  UNION ALL
+  SELECT lower('Doc ' || doc_id || '–' || lang || '#Lead'), lower('Doc ' || doc_id || '–' || lang), 'lead',
+         'Lead ' || doc_id FROM d
+  UNION ALL
+  SELECT 'css ' || doc_id || '#s 1', 'css ' || doc_id, 's 1', 'Cssr ' || doc_id FROM d
+)
+SELECT key, page, section, redirect FROM r"""
+
+INDEXABLE = "WITH " + CORPUS_CTE + """,
+ix AS (SELECT key, page, section, n, text, CAST(length(text) AS INTEGER) AS len
+       FROM redirected WHERE length(text) > 0)
+"""
+
+SECTION_STATS = INDEXABLE + """
+SELECT count(*) AS sections,
+       avg(len) AS avg_text_length,
+       avg(n) AS avg_redirs,
+       max(len) AS longest_length,
+       (SELECT section FROM ix ORDER BY len DESC, key LIMIT 1) AS longest_section,
+       (SELECT page FROM ix ORDER BY len DESC, key LIMIT 1) AS longest_page,
+       max(n) AS most_redirs,
+       (SELECT section FROM ix ORDER BY n DESC, key LIMIT 1) AS most_redirs_section,
+       (SELECT page FROM ix ORDER BY n DESC, key LIMIT 1) AS most_redirs_page,
+       count(*) FILTER (WHERE len < 85) AS shorter_than_sentence,
+       count(*) FILTER (WHERE len < 10) AS shorter_than_test,
+       count(*) FILTER (WHERE len = 1) AS one_char,
+       count(*) FILTER (WHERE len = 0) AS zero_char
+FROM ix"""
+
+REDIRS_COUNT_HIST = INDEXABLE + """
+SELECT n AS redirs_count, count(*) AS freq FROM ix GROUP BY n"""
+
+
+def weighted_hist(bins: int) -> str:
+    return INDEXABLE + f""",
+h AS (SELECT n AS redirs_count, count(*) AS freq FROM ix GROUP BY n),
+r AS (SELECT CAST(CASE WHEN max(redirs_count) > min(redirs_count) THEN min(redirs_count)
+                       ELSE min(redirs_count) - 0.5 END AS DOUBLE) AS lo,
+             CAST(CASE WHEN max(redirs_count) > min(redirs_count) THEN max(redirs_count)
+                       ELSE max(redirs_count) + 0.5 END AS DOUBLE) AS hi
+      FROM h),
+b AS (SELECT CAST(least({bins}, floor((CAST(redirs_count AS DOUBLE) - lo) * {bins}.0 / (hi - lo)) + 1) AS INTEGER) AS bin,
+             log10(CAST(freq AS DOUBLE)) AS w
+      FROM h, r)
+SELECT bin, lo + (bin - 1) * (hi - lo) / {bins}.0 AS bin_lo, lo + bin * (hi - lo) / {bins}.0 AS bin_hi,
+       count(*) AS n_values, round(sum(w), 9) AS weight
+FROM b, r GROUP BY bin, lo, hi"""
+
+
+WORD_COUNT = r"""
+SELECT word, count(*) AS freq
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word
+      FROM documents WHERE text IS NOT NULL)
+WHERE word <> ''
+GROUP BY word"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
+        "section_redirects": SECTION_REDIRECTS,
+        "section_stats": SECTION_STATS,
+        "redirs_count_hist": REDIRS_COUNT_HIST,
+        "redirs_hist_30": weighted_hist(30),
+        "redirs_hist_100": weighted_hist(100),
+        "word_count": WORD_COUNT,
     }

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import stats
 from . import corpus
 from .primary import PrimaryResult, run_primary_records
 
@@ -22,6 +23,42 @@ def redirected_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return primary(spark, sf_dir).redirected
 
 
+def section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index's sanity statistics in one row."""
+    return stats.section_stats(redirected_sections(spark, sf_dir))
+
+
+def redirs_count_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequency of each redirect count."""
+    return stats.redirs_count_histogram(redirected_sections(spark, sf_dir))
+
+
+def redirs_hist_30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-weighted histogram of redirect counts, 30 bins."""
+    return stats.weighted_histogram(redirs_count_hist(spark, sf_dir), 30)
+
+
+def redirs_hist_100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-weighted histogram of redirect counts, 100 bins."""
+    return stats.weighted_histogram(redirs_count_hist(spark, sf_dir), 100)
+
+
+def section_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long form of the redirect side: one row per redirect to a section."""
+    return primary(spark, sf_dir).redirects
+
+
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word frequencies over all document texts."""
+    return stats.word_count(corpus.read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "redirected_sections": redirected_sections,
+    "section_redirects": section_redirects,
+    "section_stats": section_stats,
+    "redirs_count_hist": redirs_count_hist,
+    "redirs_hist_30": redirs_hist_30,
+    "redirs_hist_100": redirs_hist_100,
+    "word_count": word_count,
 }
