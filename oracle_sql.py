@@ -137,6 +137,96 @@ WHERE word <> ''
 GROUP BY word"""
 
 
+STOP_LIST = ("['a','an','and','are','as','at','be','but','by','for','if','in','into','is','it','no','not',"
+             "'of','on','or','such','that','the','their','then','there','these','they','this','to','was',"
+             "'will','with']")
+
+
+def _analyzed(col: str) -> str:
+    """Letter tokens, lower-cased, stop words removed (positions dropped)."""
+    return (f"list_filter(list_transform(regexp_extract_all({col}, '\\p{{L}}+'), lambda x: lower(x)), "
+            f"lambda x: NOT list_contains({STOP_LIST}, x))")
+
+
+def _analyzed_pos(col: str) -> str:
+    """Same with positions counted before stop-word removal."""
+    return (f"list_filter(list_transform(regexp_extract_all({col}, '\\p{{L}}+'), "
+            f"lambda x, i: struct_pack(pos := i - 1, term := lower(x))), "
+            f"lambda s: NOT list_contains({STOP_LIST}, s.term))")
+
+
+# sectionText postings, doc frequencies, N, and the benchmark's query terms.
+SEARCH_CTE = INDEXABLE + f""",
+dt AS (SELECT key AS doc_id, {_analyzed('text')} AS toks FROM ix),
+tok AS (SELECT doc_id, len(toks) AS len, unnest(toks) AS term FROM dt),
+post AS (SELECT term, doc_id, len, count(*) AS tf FROM tok GROUP BY term, doc_id, len),
+dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM ix),
+avgl AS (SELECT CAST(sum(len(toks)) AS DOUBLE) / (SELECT n FROM nd) AS avg FROM dt),
+qraw AS (SELECT item_id AS query_id, unnest({_analyzed('text')}) AS term FROM benchmark),
+qt AS (SELECT query_id, term, count(*) AS qtf FROM qraw GROUP BY query_id, term)
+"""
+
+SEARCH_TFIDF_SCORES = SEARCH_CTE + """,
+qi AS (SELECT qt.query_id, qt.term, qt.qtf, 1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
+       FROM qt LEFT JOIN dfs USING (term), nd),
+qn AS (SELECT query_id, sum(qtf * idf * idf) AS sumsq, sum(qtf) AS clauses FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id, sum(qi.qtf * sqrt(p.tf) * qi.idf * qi.idf / sqrt(p.len)) AS raw,
+             sum(qi.qtf) AS hits
+      FROM post p JOIN qi USING (term) GROUP BY qi.query_id, p.doc_id),
+sc AS (SELECT m.query_id, m.doc_id, round(m.raw / sqrt(qn.sumsq) * m.hits / qn.clauses, 6) AS score
+      FROM m JOIN qn USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM sc)
+"""
+
+SEARCH_TFIDF = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"
+SEARCH_TFIDF_PAGE2 = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank BETWEEN 11 AND 20"
+
+SEARCH_BM25 = SEARCH_CTE + """,
+qi AS (SELECT qt.query_id, qt.term, qt.qtf, ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) + 1.0 AS idf
+       FROM qt LEFT JOIN dfs USING (term), nd),
+need AS (SELECT query_id, count(*) AS n_terms FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id,
+             sum(qi.qtf * qi.idf * CAST(p.tf AS DOUBLE) * 2.2
+                 / (CAST(p.tf AS DOUBLE) + 1.2 * (0.25 + 0.75 * p.len / avgl.avg))) AS score,
+             count(*) AS matched
+      FROM post p JOIN qi USING (term), avgl GROUP BY qi.query_id, p.doc_id),
+sc AS (SELECT m.query_id, m.doc_id, round(m.score, 6) AS score FROM m JOIN need USING (query_id)
+      WHERE m.matched = need.n_terms),
+rk AS (SELECT query_id, doc_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+SEARCH_PHRASE = INDEXABLE + f""",
+dp AS (SELECT key AS doc_id, unnest({_analyzed_pos('text')}) AS t FROM ix),
+pos AS (SELECT doc_id, t.term AS term, t.pos AS pos FROM dp),
+qp AS (SELECT item_id AS query_id, {_analyzed_pos('text')} AS toks FROM benchmark),
+qi AS (SELECT query_id, toks, unnest(range(1, len(toks))) AS i FROM qp),
+ph AS (SELECT query_id, i AS phrase_id, toks[i].term AS term, 0 AS o FROM qi
+       UNION ALL
+       SELECT query_id, i, toks[i + 1].term, toks[i + 1].pos - toks[i].pos FROM qi),
+st AS (SELECT ph.query_id, ph.phrase_id, pos.doc_id, pos.pos - ph.o AS start, count(*) AS k
+       FROM pos JOIN ph USING (term) GROUP BY ALL)
+SELECT query_id, phrase_id, doc_id, count(*) AS freq FROM st WHERE k = 2 GROUP BY ALL"""
+
+SEARCH_PREFIX = SEARCH_CTE + """,
+vocab AS (SELECT DISTINCT term FROM post),
+cl AS (SELECT query_id, term AS clause_id FROM qt),
+ncl AS (SELECT query_id, count(*) AS clauses FROM cl GROUP BY query_id),
+ex AS (SELECT cl.query_id, cl.clause_id, v.term FROM cl JOIN vocab v ON starts_with(v.term, cl.clause_id)),
+hit AS (SELECT DISTINCT ex.query_id, ex.clause_id, p.doc_id FROM ex JOIN post p USING (term)),
+m AS (SELECT query_id, doc_id, count(*) AS matched FROM hit GROUP BY ALL),
+sc AS (SELECT m.query_id, m.doc_id, round(m.matched * m.matched / pow(ncl.clauses, 1.5), 6) AS score
+      FROM m JOIN ncl USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -146,4 +236,9 @@ def oracle_sql() -> dict[str, str]:
         "redirs_hist_30": weighted_hist(30),
         "redirs_hist_100": weighted_hist(100),
         "word_count": WORD_COUNT,
+        "search_tfidf": SEARCH_TFIDF,
+        "search_tfidf_page2": SEARCH_TFIDF_PAGE2,
+        "search_bm25": SEARCH_BM25,
+        "search_phrase": SEARCH_PHRASE,
+        "search_prefix": SEARCH_PREFIX,
     }

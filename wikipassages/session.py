@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,24 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialize(spark: SparkSession, name: str, build) -> DataFrame:
+    """Write ``build()`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of re-running the
+    upstream job) and lets several queries of one application share an
+    expensive stage such as the primary job or the index. Keyed by
+    application id and ``name``.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        safe = "".join(ch if ch.isalnum() else "_" for ch in name)
+        path = os.path.join(ensure_checkpoint_dir(spark), f"{safe}-{uuid.uuid4().hex[:8]}")
+        build().write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
