@@ -227,6 +227,68 @@ rk AS (SELECT query_id, doc_id, score,
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
 
+# Staged chain: level-2 sections keep raw titles; the next level-2 match eats
+# the space before it; merging appends one space.
+STAGED_CTE = "WITH " + CORPUS_CTE + """,
+lvl2 AS (
+  SELECT doc_id, lang, i, c,
+         'Doc_' || doc_id || '-' || lang || '#S_' || i AS key,
+         ' ' || l[i + 1]
+         || CASE WHEN i + 1 <= m THEN ' === S_' || (i + 1) || ' === ' || l[i + 2] ELSE '' END
+         || CASE WHEN i + 2 <= m THEN ' ==== S_' || (i + 2) || ' ==== ' || l[i + 3] ELSE '' END
+         || ' ' AS text
+  FROM sec WHERE 2 + (i - 1) % 3 = 2
+),
+rk AS (SELECT doc_id, lang, i, unnest(range(1, c + 1)) AS k FROM sec WHERE c > 0),
+staged AS (
+  SELECT key, text FROM lvl2
+  UNION ALL
+  SELECT 'Doc_' || doc_id || '-' || lang,
+         coalesce(l[1], '') || ' {{Main|Doc_' || (doc_id + 1) || '-' || lang || '}}' || ' '
+  FROM d WHERE len(l) <= 1
+  UNION ALL
+  SELECT 'Css_' || doc_id || '#S_1', ' ' || coalesce(l[1], '') || ' ' FROM d
+  UNION ALL
+  SELECT 'R_' || doc_id || '_' || i || '_' || k,
+         CASE WHEN k % 2 = 1 THEN '#REDIRECT' ELSE '#presmeruj' END
+         || ' [[Doc_' || doc_id || '-' || lang || '#S_' || i || ']] '
+  FROM rk
+  UNION ALL
+  SELECT 'Hub_' || d.doc_id, '#REDIRECT [[Doc_' || h.hd || '-' || h.hl || '#S_1]] ' FROM d, hub h
+  UNION ALL
+  SELECT 'Lead_' || doc_id, '#REDIRECT [[Doc_' || doc_id || '-' || lang || '#Lead]] ' FROM d
+  UNION ALL
+  SELECT 'P_' || doc_id, '#REDIRECT [[Doc_' || doc_id || '-' || lang || ']] ' FROM d
+  UNION ALL
+  SELECT 'Cssr_' || doc_id, '#REDIRECT [[Css_' || doc_id || '#S_1]] ' FROM d
+)
+"""
+
+STAGED_SECTIONS = STAGED_CTE + "SELECT key, text FROM staged"
+
+STAGED_REDIRECTED = STAGED_CTE + """
+SELECT key, text FROM lvl2, hub h WHERE c > 0 OR (doc_id = h.hd AND i = 1)
+UNION ALL
+SELECT 'Css_' || doc_id || '#S_1', ' ' || coalesce(l[1], '') || ' ' FROM d"""
+
+LINK_INVERSION = "WITH " + CORPUS_CTE + """,
+titles AS (
+  SELECT 'Doc_' || doc_id || '-' || lang AS title FROM d
+  UNION ALL SELECT 'Css_' || doc_id FROM d
+),
+edges AS (
+  SELECT 'Doc_' || doc_id || '-' || lang AS target,
+         'R_' || doc_id || '_' || i || '_' || unnest(range(1, c + 1)) AS r_from
+  FROM sec WHERE c > 0
+  UNION ALL SELECT 'Doc_' || h.hd || '-' || h.hl, 'Hub_' || d.doc_id FROM d, hub h
+  UNION ALL SELECT 'Doc_' || doc_id || '-' || lang, 'Lead_' || doc_id FROM d
+  UNION ALL SELECT 'Doc_' || doc_id || '-' || lang, 'P_' || doc_id FROM d
+  UNION ALL SELECT 'Css_' || doc_id, 'Cssr_' || doc_id FROM d
+  UNION ALL SELECT 'Doc_' || (doc_id + 1) || '-' || lang, 'Doc_' || doc_id || '-' || lang FROM d
+)
+SELECT t.title, e.r_from FROM titles t JOIN edges e ON e.target = t.title"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -241,4 +303,7 @@ def oracle_sql() -> dict[str, str]:
         "search_bm25": SEARCH_BM25,
         "search_phrase": SEARCH_PHRASE,
         "search_prefix": SEARCH_PREFIX,
+        "staged_sections": STAGED_SECTIONS,
+        "staged_redirected": STAGED_REDIRECTED,
+        "link_inversion": LINK_INVERSION,
     }

@@ -99,8 +99,8 @@ def write_index(index: SearchIndex, path: str, mode: str = "append") -> None:
 
     ``append`` adds documents like re-running the indexer on more files
     (``term_stats`` must then be rebuilt with :func:`rebuild_term_stats`);
-    ``overwrite`` replaces the index. Postings are bucketed by term through
-    ``partitionBy("field")`` + sorted files, so a lookup reads one field.
+    ``overwrite`` replaces the index. Postings, positions and lengths are
+    partitioned by field, so a search on one field reads one directory.
     """
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     index.postings.write.mode(mode).partitionBy("field").parquet(f"{path}/postings")

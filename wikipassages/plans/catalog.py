@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..operators import index, search, stats
-from . import corpus
+from ..operators import index, links, search, stats
+from ..sources import dump
+from . import corpus, staged
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize
 from .primary import PrimaryResult, run_primary_records
@@ -129,6 +130,28 @@ def search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.tfidf_scores(ix, search.fuzzy_query_terms(ix, q)))
 
 
+def staged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 over the corpus records: one row per revision, no filter."""
+    return dump.parse_page_revisions(corpus.corpus_xml(spark, sf_dir))
+
+
+def staged_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs 1-2 of the staged chain: merged level-2 sections ``key, text``."""
+    return staged.merged_sections(staged.page_records(staged_pages(spark, sf_dir))).select("key", "text")
+
+
+def staged_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs 1-4: ``key, text`` of sections some record redirects to (L5 rows)."""
+    secs = materialize(spark, f"staged-sections:{sf_dir}", lambda: staged.merged_sections(
+        staged.page_records(staged_pages(spark, sf_dir))))
+    return staged.redirected_texts(secs)
+
+
+def link_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``title, r_from`` - pages that redirect to or main-link each page."""
+    return links.inverted_links(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+
+
 QUERIES = {
     "redirected_sections": redirected_sections,
     "section_redirects": section_redirects,
@@ -143,4 +166,7 @@ QUERIES = {
     "search_phrase": search_phrase,
     "search_prefix": search_prefix,
     "search_fuzzy": search_fuzzy,
+    "staged_sections": staged_sections,
+    "staged_redirected": staged_redirected,
+    "link_inversion": link_inversion,
 }
