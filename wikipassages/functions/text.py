@@ -186,7 +186,7 @@ def split_section_key(key: Column | str) -> tuple[Column, Column, Column]:
     k = _c(key)
     cut = drop_trailing(k, "#")
     parts = F.split(cut, "#", -1)
-    return F.instr(cut, "#") > 0, parts.getItem(0), parts.getItem(1)
+    return F.instr(cut, "#") > 0, parts.getItem(0), F.try_element_at(parts, F.lit(2))
 
 
 def tab_terminated(arr: Column | str) -> Column:

@@ -45,7 +45,7 @@ class SearchIndex:
     def avg_len(self, field: str):
         """Mean token count of ``field`` over all documents (scalar-subquery column)."""
         total = self.field_len.where(F.col("field") == field).select(F.sum("len").cast("double")).scalar()
-        return F.coalesce(total, F.lit(0.0)) / self.n_docs()
+        return F.try_divide(F.coalesce(total, F.lit(0.0)), self.n_docs())
 
 
 def _tokens(df: DataFrame, stop_words, stem: bool) -> DataFrame:

@@ -78,7 +78,7 @@ def corpus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, lang, lines = F.col("doc_id"), F.col("lang"), F.col("lines")
     page = content_title(d, lang)
     ds = d.cast("string")
-    lead = F.coalesce(F.element_at(lines, 1), F.lit(""))
+    lead = F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit(""))
     body = F.array_join(F.transform(lines, lambda line, j: F.when(
         j > 0, F.concat(F.lit("\n"), _heading(j), F.lit("\n"), line)).otherwise(F.lit(""))), "")
     main_link = F.concat(F.lit(" {{Main|"), content_title(d + 1, lang), F.lit("}}"))
