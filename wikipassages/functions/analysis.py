@@ -22,6 +22,13 @@ STOP_WORDS = ("a an and are as at be but by for if in into is it no not of on or
 
 LETTERS = r"\p{L}+"
 
+# The prototype's analysis - word tokens (letters, digits,
+# underscore, inner dots), its stop-word list, tokens of 2+ characters.
+WORD_TOKENS = r"(?U)\w+(?:\.?\w+)*"
+PROTOTYPE_STOP_WORDS = ("a an and are as at be by can for from have if in is it may not of on or tbd that "
+                        "the this to us we when will with yet you your").split()
+PROTOTYPE_MIN_LENGTH = 2
+
 
 def analyze(text: Column | str, stop_words: list[str] | tuple[str, ...] = tuple(STOP_WORDS)) -> Column:
     """``array<struct<pos:int, term:string>>`` of a text; positions count stop words too."""
@@ -34,6 +41,16 @@ def analyze(text: Column | str, stop_words: list[str] | tuple[str, ...] = tuple(
     return F.filter(tokens, lambda s: ~F.array_contains(stop, s["term"]))
 
 
+def analyze_words(text: Column | str) -> Column:
+    """Q11 tokens before stemming: word tokens, lower case, stop words and 1-char tokens dropped."""
+    t = F.col(text) if isinstance(text, str) else text
+    tokens = F.transform(F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(WORD_TOKENS), 0),
+                         lambda tok, i: F.struct(i.alias("pos"), F.lower(tok).alias("term")))
+    stop = F.array(*[F.lit(w) for w in PROTOTYPE_STOP_WORDS])
+    return F.filter(tokens, lambda s: (F.length(s["term"]) >= PROTOTYPE_MIN_LENGTH)
+                    & ~F.array_contains(stop, s["term"]))
+
+
 def terms(text: Column | str, stop_words=tuple(STOP_WORDS)) -> Column:
     """Just the terms of :func:`analyze`, in order."""
     return F.transform(analyze(text, stop_words), lambda s: s["term"])

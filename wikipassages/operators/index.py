@@ -1,17 +1,18 @@
 """Inverted index as ordinary tables.
 
 * ``docs``       doc_id, page, section, text, redirs_count  (stored fields)
-* ``postings``   field, term, doc_id, tf, len                (len = tokens of the doc's field)
-* ``positions``  field, term, doc_id, pos                    (for phrase queries)
+* ``postings``   field, term, doc_id, tf, len, positions     (len = tokens of the doc's field;
+                 positions = sorted token positions, for phrase queries)
 * ``term_stats`` field, term, df
 * ``field_len``  doc_id, field, len                          (one row per doc and field)
 
 The field length is computed inside each row (size of its token array) and
-carried as a grouping key, so ``tf`` needs one shuffle with map-side partial
-aggregation. Redirect titles (``redirsFrom``) come from the long
+carried as a grouping key, so ``tf`` and the position list need one shuffle;
+a (field, term, doc) group is bounded by the size of one document. Redirect titles (``redirsFrom``) come from the long
 (key, redirect) table: their tokens are counted per (doc, term) and per doc
-with partial aggregation, so a section that a third of all redirects point
-at is pre-reduced in every task and never gathered into one list.
+with partial aggregation and keep no positions, so a section that a third of
+all redirects point at is pre-reduced in every task and never gathered into
+one list.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ DEFAULT_FIELD = "sectionText"
 class SearchIndex:
     docs: DataFrame
     postings: DataFrame
-    positions: DataFrame
     term_stats: DataFrame
     field_len: DataFrame
 
@@ -48,7 +48,7 @@ class SearchIndex:
         return F.try_divide(F.coalesce(total, F.lit(0.0)), self.n_docs())
 
 
-def _tokens(df: DataFrame, stop_words, stem: bool) -> DataFrame:
+def _tokens(df: DataFrame, stem: bool) -> DataFrame:
     """``doc_id, field, len, pos, term`` from ``doc_id, field, toks``."""
     out = (df.withColumn("len", F.size("toks"))
            .select("doc_id", "field", "len", F.explode("toks").alias("t"))
@@ -56,6 +56,36 @@ def _tokens(df: DataFrame, stop_words, stem: bool) -> DataFrame:
     return stem_terms(out) if stem else out
 
 
+def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, stem: bool = False,
+                      extra: DataFrame | None = None) -> SearchIndex:
+    """Index ``docs`` (must hold ``doc_id``): one text field per entry of ``fields``
+    (field name -> column). ``analyzer`` maps a text column to
+    ``array<struct<pos,term>>`` (default: letters, lower case, stop words).
+    ``extra``: an optional ``doc_id, field, text`` table of further values of a
+    field (many rows per document allowed), counted without gathering them.
+    """
+    analyzer = analyzer or analyze
+    arr = F.array(*[F.struct(F.lit(name).alias("field"), analyzer(F.col(src)).alias("toks"))
+                    for name, src in fields.items()])
+    per_field = docs.select("doc_id", F.inline(arr))
+    tokens = _tokens(per_field, stem)
+    postings = (tokens.groupBy("field", "term", "doc_id", "len")
+                .agg(F.count(F.lit(1)).cast("int").alias("tf"),
+                     F.array_sort(F.collect_list("pos")).alias("positions")))
+    field_len = per_field.select("doc_id", "field", F.size("toks").alias("len"))
+
+    if extra is not None:
+        more = _tokens(extra.select("doc_id", "field", analyzer(F.col("text")).alias("toks")), stem)
+        more_len = more.groupBy("doc_id", "field").agg(F.count(F.lit(1)).cast("int").alias("len"))
+        more_tf = (more.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+                   .withColumn("positions", F.lit(None).cast("array<int>")))
+        postings = postings.unionByName(more_tf.join(more_len, ["doc_id", "field"]))
+        field_len = field_len.unionByName(more_len.select("doc_id", "field", "len"))
+
+    postings = postings.select("field", "term", "doc_id", "tf", "len", "positions")
+    return SearchIndex(docs, postings, term_frequencies(postings), field_len)
+
+
 def build_index(sections: DataFrame, redirects: DataFrame | None = None,
                 stop_words=tuple(STOP_WORDS), stem: bool = False) -> SearchIndex:
     """Index the indexable sections (F8) of the primary job.
@@ -65,28 +95,13 @@ def build_index(sections: DataFrame, redirects: DataFrame | None = None,
     """
     docs = stats.indexable(sections).select(
         F.col("key").alias("doc_id"), "page", "section", "text", F.col("n").alias("redirs_count"))
-    fields = F.array(*[F.struct(F.lit(name).alias("field"), analyze(F.col(src), stop_words).alias("toks"))
-                       for name, src in zip(TEXT_FIELDS, ("page", "section", "text"))])
-    per_field = docs.select("doc_id", F.inline(fields))
-    text_tokens = _tokens(per_field, stop_words, stem)
-    text_postings = (text_tokens.groupBy("field", "term", "doc_id", "len")
-                     .agg(F.count(F.lit(1)).cast("int").alias("tf")))
-    field_len = per_field.select("doc_id", "field", F.size("toks").alias("len"))
-    positions = text_tokens.select("field", "term", "doc_id", "pos")
-
+    extra = None
     if redirects is not None:
-        rf = (redirects.join(docs.select(F.col("doc_id").alias("key")), "key", "left_semi")
-              .select(F.col("key").alias("doc_id"), F.lit(REDIRS_FIELD).alias("field"),
-                      analyze(F.col("redirect"), stop_words).alias("toks")))
-        rf_tokens = _tokens(rf, stop_words, stem)
-        rf_len = rf_tokens.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("len"))
-        rf_tf = rf_tokens.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-        text_postings = text_postings.unionByName(rf_tf.join(rf_len, "doc_id"))
-        field_len = field_len.unionByName(rf_len.select("doc_id", F.lit(REDIRS_FIELD).alias("field"), "len"))
-        positions = positions.unionByName(rf_tokens.select("field", "term", "doc_id", "pos"))
-
-    postings = text_postings.select("field", "term", "doc_id", "tf", "len")
-    return SearchIndex(docs, postings, positions, term_frequencies(postings), field_len)
+        extra = (redirects.join(docs.select(F.col("doc_id").alias("key")), "key", "left_semi")
+                 .select(F.col("key").alias("doc_id"), F.lit(REDIRS_FIELD).alias("field"),
+                         F.col("redirect").alias("text")))
+    return build_field_index(docs, dict(zip(TEXT_FIELDS, ("page", "section", "text"))),
+                             lambda c: analyze(c, stop_words), stem, extra)
 
 
 def term_frequencies(postings: DataFrame) -> DataFrame:
@@ -99,12 +114,11 @@ def write_index(index: SearchIndex, path: str, mode: str = "append") -> None:
 
     ``append`` adds documents like re-running the indexer on more files
     (``term_stats`` must then be rebuilt with :func:`rebuild_term_stats`);
-    ``overwrite`` replaces the index. Postings, positions and lengths are
+    ``overwrite`` replaces the index. Postings and lengths are
     partitioned by field, so a search on one field reads one directory.
     """
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     index.postings.write.mode(mode).partitionBy("field").parquet(f"{path}/postings")
-    index.positions.write.mode(mode).partitionBy("field").parquet(f"{path}/positions")
     index.field_len.write.mode(mode).partitionBy("field").parquet(f"{path}/field_len")
     rebuild_term_stats(index.docs.sparkSession, path)
 
@@ -117,5 +131,4 @@ def rebuild_term_stats(spark, path: str) -> None:
 def read_index(spark, path: str) -> SearchIndex:
     r = spark.read
     return SearchIndex(r.parquet(f"{path}/docs"), r.parquet(f"{path}/postings"),
-                       r.parquet(f"{path}/positions"), r.parquet(f"{path}/term_stats"),
-                       r.parquet(f"{path}/field_len"))
+                       r.parquet(f"{path}/term_stats"), r.parquet(f"{path}/field_len"))

@@ -36,9 +36,10 @@ _DISPLAY_COLUMNS = {"redirsFrom": "redirs_from", "pageTitle": "page", "sectionTi
 # ---------------------------------------------------------------- query tables
 def query_terms(queries: DataFrame, field: str = DEFAULT_FIELD, occur: str = SHOULD,
                 text_col: str = "text", stop_words=tuple(STOP_WORDS), stem: bool = False,
-                boost: float = 1.0) -> DataFrame:
+                boost: float = 1.0, analyzer=None) -> DataFrame:
     """Q3/Q4: analyse query texts into ``query_id, field, term, qtf, boost, occur``."""
-    toks = (queries.select("query_id", F.explode(analyze(F.col(text_col), stop_words)).alias("t"))
+    analyzer = analyzer or (lambda c: analyze(c, stop_words))
+    toks = (queries.select("query_id", F.explode(analyzer(F.col(text_col))).alias("t"))
             .select("query_id", F.col("t.term").alias("term")))
     if stem:
         toks = stem_terms(toks)
@@ -127,37 +128,106 @@ def bm25_scores(index: SearchIndex, qterms: DataFrame, field: str = DEFAULT_FIEL
 def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
     """Q6: ``query_id, phrase_id, doc_id, freq`` - how often each phrase occurs.
 
-    A phrase occurs at ``start`` when every term sits at ``start + offset``:
-    join positions on the term, group by the implied start, keep full groups.
+    Each posting carries its sorted positions. A phrase occurs at ``start``
+    when every term has a position ``start + offset``: the postings of the
+    phrase terms are joined once (doc-level rows), shifted by their offsets,
+    gathered per (phrase, doc) - at most one array per phrase term - and
+    intersected. Documents missing a term drop out by the count.
     """
     plen = phrases.groupBy("query_id", "phrase_id").agg(F.count(F.lit(1)).alias("plen"))
-    m = (index.positions.join(phrases, ["field", "term"])
-         .withColumn("start", F.col("pos") - F.col("offset")))
-    full = (m.groupBy("query_id", "phrase_id", "doc_id", "start").agg(F.count(F.lit(1)).alias("k"))
-            .join(plen, ["query_id", "phrase_id"]).where(F.col("k") == F.col("plen")))
-    return full.groupBy("query_id", "phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("freq"))
+    m = (index.postings.where(F.col("positions").isNotNull())
+         .select("field", "term", "doc_id", "positions")
+         .join(phrases, ["field", "term"])
+         .select("query_id", "phrase_id", "doc_id",
+                 F.transform("positions", lambda p: p - F.col("offset")).alias("starts")))
+    per_doc = (m.groupBy("query_id", "phrase_id", "doc_id")
+               .agg(F.collect_list("starts").alias("arrs"), F.count(F.lit(1)).alias("k"))
+               .join(plen, ["query_id", "phrase_id"])
+               .where(F.col("k") == F.col("plen")))
+    common = F.aggregate(F.col("arrs"), F.col("arrs").getItem(0), lambda acc, a: F.array_intersect(acc, a))
+    return (per_doc.select("query_id", "phrase_id", "doc_id", F.size(common).alias("freq"))
+            .where(F.col("freq") > 0))
 
 
 # ---------------------------------------------------------------- expansion
+def _vocab_prefixes(index: SearchIndex, min_len: int = 1) -> DataFrame:
+    """``field, term, prefix`` for every prefix (of length >= ``min_len``) of every indexed term."""
+    vocab = index.term_stats.select("field", "term")
+    return (vocab.select("field", "term", F.explode(F.sequence(F.lit(min_len), F.length("term"))).alias("n"))
+            .select("field", "term", F.expr("substring(term, 1, n)").alias("prefix")))
+
+
 def expand_prefix(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
-    """Q7 prefix/wildcard ``p*``: ``query_id, clause_id, field, term`` for every indexed term
+    """Q7 prefix ``p*``: ``query_id, clause_id, field, term`` for every indexed term
     starting with ``prefix``. An equi-join on all prefixes of each indexed term
     (the vocabulary grows far slower than the text), no theta join."""
-    vocab = index.term_stats.select("field", "term")
-    all_prefixes = (vocab.select("field", "term", F.explode(F.sequence(F.lit(1), F.length("term"))).alias("n"))
-                    .select("field", "term", F.expr("substring(term, 1, n)").alias("prefix")))
-    return prefixes.join(all_prefixes, ["field", "prefix"]).select("query_id", "clause_id", "field", "term")
+    return (prefixes.join(_vocab_prefixes(index), ["field", "prefix"])
+            .select("query_id", "clause_id", "field", "term"))
 
 
-def prefix_scores(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
-    """Constant-score prefix clauses: score = coord * matched clauses * queryNorm
-    = matched^2 / clauses^1.5 (every clause weighs 1)."""
-    expanded = expand_prefix(index, prefixes)
-    clauses = prefixes.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
+def _like_pattern(pattern: Column) -> Column:
+    """Wildcard (``?`` one char, ``*`` any run) to a LIKE pattern with ``!`` as escape."""
+    escaped = F.regexp_replace(pattern, r"([!%_])", "!$1")
+    return F.translate(escaped, "?*", "_%")
+
+
+def expand_wildcard(index: SearchIndex, patterns: DataFrame) -> DataFrame:
+    """Q7 wildcard: ``query_id, clause_id, field, term`` for terms matching ``pattern``.
+
+    Candidates come from an equi-join on the literal part before the first
+    wildcard (possibly empty, then every term is a candidate), and are
+    verified with ``LIKE``.
+    """
+    lit_prefix = F.regexp_extract(F.col("pattern"), r"^([^?*]*)", 1)
+    q = patterns.withColumn("prefix", lit_prefix).withColumn("_like", _like_pattern(F.col("pattern")))
+    cand = q.join(_vocab_prefixes(index, min_len=0), ["field", "prefix"])
+    return (cand.where(F.expr("term LIKE _like ESCAPE '!'"))
+            .select("query_id", "clause_id", "field", "term"))
+
+
+def expand_range(index: SearchIndex, ranges: DataFrame) -> DataFrame:
+    """Q7 term range ``[lo TO hi]`` (inclusive, by code-point order):
+    ``query_id, clause_id, field, term``.
+
+    A range join without a theta join: indexed terms are bucketed by their
+    first code point, every range is exploded into the buckets it spans (at
+    most the number of code points between its ends) and equi-joined, then
+    filtered by the exact bounds.
+    """
+    vocab = index.term_stats.select("field", "term").withColumn("bucket", F.ascii("term"))
+    buckets = ranges.withColumn("bucket", F.explode(F.sequence(F.ascii("lo"), F.ascii("hi"))))
+    return (buckets.join(vocab, ["field", "bucket"])
+            .where((F.col("term") >= F.col("lo")) & (F.col("term") <= F.col("hi")))
+            .select("query_id", "clause_id", "field", "term"))
+
+
+def constant_clause_scores(index: SearchIndex, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Constant-score multi-term clauses: score = coord * matched * queryNorm
+    = matched^2 / clauses^1.5 (every clause weighs 1). ``clauses``: ``query_id, clause_id``."""
+    n = clauses.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
     hits = (index.postings.join(expanded, ["field", "term"])
             .select("query_id", "clause_id", "doc_id").distinct()
             .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("matched")))
-    return (hits.join(clauses, "query_id")
+    return (hits.join(n, "query_id")
+            .select("query_id", "doc_id",
+                    (F.col("matched") * F.col("matched") / F.pow(F.col("clauses"), 1.5)).alias("score")))
+
+
+def prefix_scores(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
+    """Prefix clauses scored as constant-score clauses.
+
+    Each distinct (field, prefix) is expanded and matched against the postings
+    once - queries share common prefixes - and only then fanned out to the
+    queries and clauses that use it.
+    """
+    distinct = prefixes.select("field", "prefix").distinct()
+    terms = distinct.join(_vocab_prefixes(index), ["field", "prefix"])
+    docs = (index.postings.select("field", "term", "doc_id").join(terms, ["field", "term"])
+            .select("field", "prefix", "doc_id").distinct())
+    hits = (prefixes.join(docs, ["field", "prefix"]).select("query_id", "clause_id", "doc_id").distinct()
+            .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("matched")))
+    n = prefixes.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
+    return (hits.join(n, "query_id")
             .select("query_id", "doc_id",
                     (F.col("matched") * F.col("matched") / F.pow(F.col("clauses"), 1.5)).alias("score")))
 
@@ -190,11 +260,13 @@ def expand_fuzzy(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
     vocab = (index.term_stats.select("field", "term")
              .where(F.length("term") <= longest + max_edits)
              .select("field", "term", F.explode(_deletions(F.col("term"), max_edits)).alias("v")))
-    q = fuzzy.select("query_id", "clause_id", "field", "qterm",
-                     F.explode(_deletions(F.col("qterm"), max_edits)).alias("v"))
-    pairs = q.join(vocab, ["field", "v"]).select("query_id", "clause_id", "field", "qterm", "term").distinct()
-    return (pairs.withColumn("edits", F.levenshtein("qterm", "term", max_edits))
-            .where((F.col("edits") >= 0) & (F.col("edits") <= max_edits)))
+    # each distinct query term is expanded once, then fanned out to its clauses
+    qterms = fuzzy.select("field", "qterm").distinct()
+    q = qterms.select("field", "qterm", F.explode(_deletions(F.col("qterm"), max_edits)).alias("v"))
+    pairs = q.join(vocab, ["field", "v"]).select("field", "qterm", "term").distinct()
+    matched = (pairs.withColumn("edits", F.levenshtein("qterm", "term", max_edits))
+               .where((F.col("edits") >= 0) & (F.col("edits") <= max_edits)))
+    return fuzzy.select("query_id", "clause_id", "field", "qterm").join(matched, ["field", "qterm"])
 
 
 def fuzzy_query_terms(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> DataFrame:

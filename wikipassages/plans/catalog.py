@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import index, links, search, stats
 from ..sources import dump
-from . import corpus, staged
+from . import corpus, prototype, staged
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize
 from .primary import PrimaryResult, run_primary_records
@@ -73,12 +73,11 @@ def section_index(spark: SparkSession, sf_dir: str, stem: bool = False) -> index
         return index.build_index(res.redirected, res.redirects.select("key", "redirect"), stem=stem)
     tag = f"{sf_dir}:{'stem' if stem else 'plain'}"
     parts = {part: materialize(spark, f"index-{part}:{tag}", lambda p=part: getattr(build(), p))
-             for part in ("docs", "postings", "positions", "field_len")}
+             for part in ("docs", "postings", "field_len")}
     # Document frequencies from the written postings, not from the lineage.
     parts["term_stats"] = materialize(spark, f"index-term_stats:{tag}", lambda: index.term_frequencies(
         parts["postings"]))
-    return index.SearchIndex(parts["docs"], parts["postings"], parts["positions"],
-                             parts["term_stats"], parts["field_len"])
+    return index.SearchIndex(parts["docs"], parts["postings"], parts["term_stats"], parts["field_len"])
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +151,17 @@ def link_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.inverted_links(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
 
 
+def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11-Q13: the prototype's stemmed BM25 search (all terms) over link-inverted pages."""
+    def build() -> index.SearchIndex:
+        return prototype.prototype_index(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+    parts = {part: materialize(spark, f"proto-{part}:{sf_dir}", lambda p=part: getattr(build(), p))
+             for part in ("docs", "postings", "field_len")}
+    ix = index.SearchIndex(parts["docs"], parts["postings"], index.term_frequencies(parts["postings"]),
+                           parts["field_len"])
+    return prototype.prototype_search(ix, benchmark_queries(spark, sf_dir))
+
+
 QUERIES = {
     "redirected_sections": redirected_sections,
     "section_redirects": section_redirects,
@@ -169,4 +179,5 @@ QUERIES = {
     "staged_sections": staged_sections,
     "staged_redirected": staged_redirected,
     "link_inversion": link_inversion,
+    "prototype_search": prototype_search,
 }

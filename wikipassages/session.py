@@ -27,6 +27,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Local mode runs every task inside the driver JVM: give it a real heap
+        # (the default is 1 GB). Clusters size executors in their own config.
+        conf["spark.driver.memory"] = os.environ.get("WIKIPASSAGES_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
