@@ -22,6 +22,12 @@ from ..functions import text as T
 from . import sections as S
 
 
+def computed_once(df: DataFrame, **columns) -> DataFrame:
+    """Select ``columns`` through a one-row generator: an optimisation barrier
+    that keeps later filters from re-evaluating expensive expressions."""
+    return df.select(F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def wikitext_pages(pages: DataFrame, compat: bool = False) -> DataFrame:
     """F1 + F2 + C9 + C10: wikitext pages with normalised title and one-line text.
 
@@ -45,10 +51,10 @@ def section_redirects(norm_pages: DataFrame, compat: bool = False) -> DataFrame:
     redirecting page's own (normalised, not lower-cased) title.
     """
     target = T.normalize_title(T.redirect_section_target(F.col("flat_text"), compat), compat)
-    rows = (norm_pages
-            .where(F.col("is_redirect"))
-            .select(F.lower(target).alias("key"), F.col("page_title").alias("redirect"))
-            .where(F.col("key") != ""))
+    # computed once behind a generator, so the filters below cannot be pushed
+    # under it with a copy of the whole normalisation
+    rows = computed_once(norm_pages.where(F.col("is_redirect")), key=F.lower(target),
+                         redirect=F.col("page_title")).where(F.col("key") != "")
     valid, page, section = T.split_section_key("key")
     return rows.where(valid).select("key", page.alias("page"), section.alias("section"), "redirect")
 

@@ -270,13 +270,52 @@ def expand_fuzzy(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
 
 
 def fuzzy_query_terms(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> DataFrame:
-    """Expanded fuzzy clauses as query terms; boost = 1 - edits / min(len(q), len(t))."""
+    """Expanded fuzzy clauses flattened into plain query terms (one OR over all
+    expansions); boost = 1 - edits / min(len(q), len(t)). Prefer
+    :func:`fuzzy_scores`, which keeps each fuzzy clause nested."""
     e = expand_fuzzy(index, fuzzy, max_edits)
     boost = F.lit(1.0) - F.col("edits") / F.least(F.length("qterm"), F.length("term"))
     return (e.groupBy("query_id", "field", "term").agg(F.max(boost).alias("boost"))
             .select("query_id", "field", "term", F.lit(1).alias("qtf"), "boost", F.lit(SHOULD).alias("occur")))
 
 
+def fuzzy_scores(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> DataFrame:
+    """Q7 fuzzy clauses, each a nested OR of its expansions, scored by TF-IDF.
+
+    ``fuzzy``: ``query_id, clause_id, field, qterm[, qtf]``. A clause's score in
+    a document, ``S = sum(boost * sqrt(tf) * idf^2 / sqrt(len))`` over its
+    expansions (boost = 1 - edits / min(len(q), len(t))), and its weight
+    ``W = sum((idf * boost)^2)`` do not depend on the query, so they are
+    computed once per distinct (field, qterm) and then fanned out:
+    ``score = coord * sum(qtf * S) / sqrt(sum(qtf * W))`` with
+    ``coord = matched clauses / clauses``.
+    """
+    if "qtf" not in fuzzy.columns:
+        fuzzy = fuzzy.withColumn("qtf", F.lit(1))
+    n = index.n_docs()
+    qterms = fuzzy.select("field", "qterm").distinct()
+    one = qterms.select("field", "qterm", F.lit(0).alias("query_id"), F.col("qterm").alias("clause_id"))
+    exp = (expand_fuzzy(index, one, max_edits)
+           .withColumn("boost", F.lit(1.0) - F.col("edits") / F.least(F.length("qterm"), F.length("term")))
+           .join(index.term_stats, ["field", "term"])
+           .withColumn("idf", _idf_tfidf(n, F.col("df").cast("double")))
+           .select("field", "qterm", "term", "boost", "idf"))
+    weight = exp.groupBy("field", "qterm").agg(
+        F.sum((F.col("idf") * F.col("boost")) * (F.col("idf") * F.col("boost"))).alias("w"))
+    per_doc = (index.postings.select("field", "term", "doc_id", "tf", "len").join(exp, ["field", "term"])
+               .groupBy("field", "qterm", "doc_id")
+               .agg(F.sum(F.col("boost") * F.sqrt("tf") * F.col("idf") * F.col("idf") / F.sqrt("len")).alias("s")))
+    clauses = fuzzy.join(weight, ["field", "qterm"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+    qinfo = clauses.groupBy("query_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("sumsq"),
+                                            F.sum("qtf").alias("n_clauses"))
+    hits = (clauses.select("query_id", "field", "qterm", "qtf").join(per_doc, ["field", "qterm"])
+            .groupBy("query_id", "doc_id")
+            .agg(F.sum(F.col("qtf") * F.col("s")).alias("raw"), F.sum("qtf").alias("matched")))
+    return (hits.join(qinfo, "query_id")
+            .select("query_id", "doc_id",
+                    (F.col("raw") / F.sqrt("sumsq") * F.col("matched") / F.col("n_clauses")).alias("score")))
+
+
 # ---------------------------------------------------------------- ranking and display
 def rank_hits(scores: DataFrame, first: int = 1, last: int = HITS_PER_PAGE) -> DataFrame:
     """L1-L3: ranks ``first..last`` of each query (rank 1 = best); paging is a rank range."""
