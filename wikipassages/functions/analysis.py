@@ -8,7 +8,10 @@ Arrow ``pandas_udf`` over the *distinct* terms of a table and is joined back.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -56,6 +59,12 @@ def terms(text: Column | str, stop_words=tuple(STOP_WORDS)) -> Column:
     return F.transform(analyze(text, stop_words), lambda s: s["term"])
 
 
+# The stemmer travels with the UDF (pickled by value), so Python workers need
+# no installed copy of this package.
+cloudpickle.register_pickle_by_value(porter)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @pandas_udf(StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     """Q11: Porter stem of each word (Arrow batches; call it on distinct terms)."""

@@ -8,8 +8,6 @@ paper (``bli`` -> ``ble`` and ``logi`` -> ``log`` in step 2).
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 
 def _is_cons(w: str, i: int) -> bool:
     ch = w[i]
@@ -108,7 +106,6 @@ def _step4(w: str) -> str:
     return w
 
 
-@lru_cache(maxsize=65536)
 def stem(word: str) -> str:
     """Porter stem of a lower-case word."""
     if len(word) <= 2:

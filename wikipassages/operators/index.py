@@ -48,12 +48,26 @@ class SearchIndex:
         return F.try_divide(F.coalesce(total, F.lit(0.0)), self.n_docs())
 
 
-def _tokens(df: DataFrame, stem: bool) -> DataFrame:
+def _tokens(df: DataFrame) -> DataFrame:
     """``doc_id, field, len, pos, term`` from ``doc_id, field, toks``."""
-    out = (df.withColumn("len", F.size("toks"))
-           .select("doc_id", "field", "len", F.explode("toks").alias("t"))
-           .select("doc_id", "field", "len", F.col("t.pos").alias("pos"), F.col("t.term").alias("term")))
-    return stem_terms(out) if stem else out
+    return (df.withColumn("len", F.size("toks"))
+            .select("doc_id", "field", "len", F.explode("toks").alias("t"))
+            .select("doc_id", "field", "len", F.col("t.pos").alias("pos"), F.col("t.term").alias("term")))
+
+
+def _stem_postings(postings: DataFrame) -> DataFrame:
+    """Q11 on postings: stem each distinct term once, then merge the postings
+    of terms that share a stem (tf summed, positions united). Works on
+    (term, doc) rows rather than on every token."""
+    stemmed = stem_terms(postings)
+    return (stemmed.groupBy("field", "term", "doc_id", "len")
+            .agg(F.sum("tf").cast("int").alias("tf"),
+                 F.array_sort(F.flatten(F.collect_list(F.coalesce("positions", F.array().cast("array<int>")))))
+                 .alias("positions"),
+                 F.max(F.col("positions").isNull().cast("int")).alias("_nopos"))
+            .withColumn("positions", F.when(F.col("_nopos") == 1, F.lit(None).cast("array<int>"))
+                        .otherwise(F.col("positions")))
+            .drop("_nopos"))
 
 
 def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, stem: bool = False,
@@ -68,14 +82,14 @@ def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, st
     arr = F.array(*[F.struct(F.lit(name).alias("field"), analyzer(F.col(src)).alias("toks"))
                     for name, src in fields.items()])
     per_field = docs.select("doc_id", F.inline(arr))
-    tokens = _tokens(per_field, stem)
+    tokens = _tokens(per_field)
     postings = (tokens.groupBy("field", "term", "doc_id", "len")
                 .agg(F.count(F.lit(1)).cast("int").alias("tf"),
                      F.array_sort(F.collect_list("pos")).alias("positions")))
     field_len = per_field.select("doc_id", "field", F.size("toks").alias("len"))
 
     if extra is not None:
-        more = _tokens(extra.select("doc_id", "field", analyzer(F.col("text")).alias("toks")), stem)
+        more = _tokens(extra.select("doc_id", "field", analyzer(F.col("text")).alias("toks")))
         more_len = more.groupBy("doc_id", "field").agg(F.count(F.lit(1)).cast("int").alias("len"))
         more_tf = (more.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
                    .withColumn("positions", F.lit(None).cast("array<int>")))
@@ -83,6 +97,8 @@ def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, st
         field_len = field_len.unionByName(more_len.select("doc_id", "field", "len"))
 
     postings = postings.select("field", "term", "doc_id", "tf", "len", "positions")
+    if stem:
+        postings = _stem_postings(postings)
     return SearchIndex(docs, postings, term_frequencies(postings), field_len)
 
 
@@ -109,6 +125,12 @@ def term_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def field_lengths(postings: DataFrame) -> DataFrame:
+    """``doc_id, field, len`` recovered from postings (fields without tokens are
+    absent; they add nothing to summed lengths)."""
+    return postings.select("doc_id", "field", "len").distinct()
+
+
 def write_index(index: SearchIndex, path: str, mode: str = "append") -> None:
     """K6/K7: store the index tables as Parquet under ``path``.
 

@@ -72,12 +72,12 @@ def section_index(spark: SparkSession, sf_dir: str, stem: bool = False) -> index
     def build() -> index.SearchIndex:
         return index.build_index(res.redirected, res.redirects.select("key", "redirect"), stem=stem)
     tag = f"{sf_dir}:{'stem' if stem else 'plain'}"
-    parts = {part: materialize(spark, f"index-{part}:{tag}", lambda p=part: getattr(build(), p))
-             for part in ("docs", "postings", "field_len")}
-    # Document frequencies from the written postings, not from the lineage.
-    parts["term_stats"] = materialize(spark, f"index-term_stats:{tag}", lambda: index.term_frequencies(
-        parts["postings"]))
-    return index.SearchIndex(parts["docs"], parts["postings"], parts["term_stats"], parts["field_len"])
+    docs = materialize(spark, f"index-docs:{tag}", lambda: build().docs)
+    postings = materialize(spark, f"index-postings:{tag}", lambda: build().postings)
+    # statistics from the written postings instead of a second tokenisation
+    term_stats = materialize(spark, f"index-term_stats:{tag}", lambda: index.term_frequencies(postings))
+    field_len = materialize(spark, f"index-field_len:{tag}", lambda: index.field_lengths(postings))
+    return index.SearchIndex(docs, postings, term_stats, field_len)
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,10 +159,9 @@ def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q11-Q13: the prototype's stemmed BM25 search (all terms) over link-inverted pages."""
     def build() -> index.SearchIndex:
         return prototype.prototype_index(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
-    parts = {part: materialize(spark, f"proto-{part}:{sf_dir}", lambda p=part: getattr(build(), p))
-             for part in ("docs", "postings", "field_len")}
-    ix = index.SearchIndex(parts["docs"], parts["postings"], index.term_frequencies(parts["postings"]),
-                           parts["field_len"])
+    docs = materialize(spark, f"proto-docs:{sf_dir}", lambda: build().docs)
+    postings = materialize(spark, f"proto-postings:{sf_dir}", lambda: build().postings)
+    ix = index.SearchIndex(docs, postings, index.term_frequencies(postings), index.field_lengths(postings))
     return prototype.prototype_search(ix, benchmark_queries(spark, sf_dir))
 
 
