@@ -5,9 +5,11 @@ Plan shape (one shuffle per side, everything else co-partitioned):
 * redirects are aggregated to one row per key with a partial (map-side)
   count, so a key that a third of all redirects point at is pre-reduced in
   every map task before the exchange;
-* section texts are first reduced by a left-semi join to the keys some
-  redirect points at, then aggregated per key on the same hash partitioning;
-* the final left join is one-to-one per key, so it cannot skew.
+* the per-key counts are left-joined to the section texts, which drops the
+  sections nobody points at before their texts are gathered; the text
+  aggregation then runs on the join's key partitioning (or map-side of a
+  broadcast, when AQE finds the key table small), one row per key on the
+  count side, so it cannot skew.
 
 Per-key lists of redirect titles are deliberately not built here: the titles
 stay a long (key, redirect) table, which needs no shuffle at all.
@@ -74,15 +76,17 @@ def join_redirected_sections(redirects: DataFrame, sections: DataFrame) -> DataF
     concatenated in (page title, section position) order.
     Columns: ``key, page, section, n, text``.
     """
-    # Group on the key alone: page and section are functions of it, and one
-    # grouping column keeps both aggregates and the joins on one partitioning.
+    # One row per key with a partial (map-side) count: a key that a third of
+    # all redirects point at is pre-reduced in every task before the shuffle.
     per_key = redirects.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    wanted = sections.join(per_key.select("key"), "key", "left_semi")
-    texts = (wanted.groupBy("key")
-             .agg(F.array_join(F.transform(
-                 F.array_sort(F.collect_list(F.struct("page_title", "sec_ord", "sec_text"))),
-                 lambda s: s["sec_text"]), "").alias("text")))
+    # The left join keeps every target and drops unwanted sections before
+    # their texts are gathered; the aggregation reuses the join's key
+    # partitioning (or, if AQE broadcasts the keys, sections are filtered
+    # map-side). The redirect branch is evaluated once.
+    piece = F.when(F.col("sec_text").isNotNull(), F.struct("page_title", "sec_ord", "sec_text"))
+    texts = (per_key.join(sections, "key", "left")
+             .groupBy("key", "n")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda s: s["sec_text"]), "")
+                  .alias("text")))
     _, page, section = T.split_section_key("key")
-    return (per_key.join(texts, "key", "left")
-            .select("key", page.alias("page"), section.alias("section"), "n",
-                    F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    return texts.select("key", page.alias("page"), section.alias("section"), "n", "text")

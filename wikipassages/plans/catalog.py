@@ -157,10 +157,12 @@ def link_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q11-Q13: the prototype's stemmed BM25 search (all terms) over link-inverted pages."""
-    def build() -> index.SearchIndex:
-        return prototype.prototype_index(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
-    docs = materialize(spark, f"proto-docs:{sf_dir}", lambda: build().docs)
-    postings = materialize(spark, f"proto-postings:{sf_dir}", lambda: build().postings)
+    pages = materialize(spark, f"proto-pages:{sf_dir}",
+                        lambda: dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+    docs = materialize(spark, f"proto-docs:{sf_dir}", lambda: prototype.prototype_docs(pages))
+    inverted = materialize(spark, f"proto-inverted:{sf_dir}", lambda: links.inverted_links(pages))
+    postings = materialize(spark, f"proto-postings:{sf_dir}", lambda: prototype.prototype_index(
+        pages, docs=docs, inverted=inverted).postings)
     ix = index.SearchIndex(docs, postings, index.term_frequencies(postings), index.field_lengths(postings))
     return prototype.prototype_search(ix, benchmark_queries(spark, sf_dir))
 
