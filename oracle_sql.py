@@ -112,6 +112,31 @@ FROM ix"""
 REDIRS_COUNT_HIST = INDEXABLE + """
 SELECT n AS redirs_count, count(*) AS freq FROM ix GROUP BY n"""
 
+# Per source: the page's language (text after the en dash).
+SECTION_STATS_BY_LANG = INDEXABLE + """,
+sx AS (SELECT *, split_part(page, '–', -1) AS source FROM ix),
+lg AS (SELECT source, arg_min(section, (-len, key)) AS ls, arg_min(page, (-len, key)) AS lp,
+              arg_min(section, (-n, key)) AS ms, arg_min(page, (-n, key)) AS mp
+       FROM sx GROUP BY source)
+SELECT sx.source,
+       count(*) AS sections,
+       avg(len) AS avg_text_length,
+       avg(n) AS avg_redirs,
+       max(len) AS longest_length,
+       any_value(lg.ls) AS longest_section,
+       any_value(lg.lp) AS longest_page,
+       max(n) AS most_redirs,
+       any_value(lg.ms) AS most_redirs_section,
+       any_value(lg.mp) AS most_redirs_page,
+       count(*) FILTER (WHERE len < 85) AS shorter_than_sentence,
+       count(*) FILTER (WHERE len < 10) AS shorter_than_test,
+       count(*) FILTER (WHERE len = 1) AS one_char,
+       count(*) FILTER (WHERE len = 0) AS zero_char
+FROM sx JOIN lg USING (source) GROUP BY sx.source"""
+
+REDIRS_COUNT_HIST_BY_LANG = INDEXABLE + """
+SELECT split_part(page, '–', -1) AS source, n AS redirs_count, count(*) AS freq FROM ix GROUP BY ALL"""
+
 
 def weighted_hist(bins: int) -> str:
     return INDEXABLE + f""",
@@ -297,6 +322,8 @@ def oracle_sql() -> dict[str, str]:
         "redirs_count_hist": REDIRS_COUNT_HIST,
         "redirs_hist_30": weighted_hist(30),
         "redirs_hist_100": weighted_hist(100),
+        "section_stats_by_lang": SECTION_STATS_BY_LANG,
+        "redirs_count_hist_by_lang": REDIRS_COUNT_HIST_BY_LANG,
         "word_count": WORD_COUNT,
         "search_tfidf": SEARCH_TFIDF,
         "search_tfidf_page2": SEARCH_TFIDF_PAGE2,

@@ -143,3 +143,29 @@ def test_stemmed_index(spark, secs):
     ix = I.build_index(secs, stem=True)
     terms = {r["term"] for r in ix.term_stats.where(F.col("field") == "sectionText").collect()}
     assert "cat" in terms and "cats" not in terms and "dog" in terms and "nap" in terms
+
+
+def test_wildcard_and_range_expansion(spark, ix):
+    pats = spark.createDataFrame([(1, "w1", "sectionText", "c?t*"), (1, "w2", "sectionText", "*og"),
+                                  (1, "w3", "sectionText", "m_t")],
+                                 "query_id int, clause_id string, field string, pattern string")
+    got = sorted((r["clause_id"], r["term"]) for r in Q.expand_wildcard(ix, pats).collect())
+    assert got == [("w1", "cat"), ("w1", "cats"), ("w2", "dog")]   # "_" is literal, not a wildcard
+    rng = spark.createDataFrame([(1, "r1", "sectionText", "cat", "dogs"), (1, "r2", "sectionText", "s", "sz")],
+                                "query_id int, clause_id string, field string, lo string, hi string")
+    got = sorted((r["clause_id"], r["term"]) for r in Q.expand_range(ix, rng).collect())
+    assert got == [("r1", "cat"), ("r1", "cats"), ("r1", "dog"), ("r1", "dogs"),
+                   ("r2", "sat"), ("r2", "sleep"), ("r2", "straw")]
+
+
+def test_index_write_append_and_overwrite(spark, secs, tmp_path):
+    path = str(tmp_path / "ix")
+    built = I.build_index(secs)
+    I.write_index(built, path, mode="overwrite")
+    once = I.read_index(spark, path)
+    assert once.docs.count() == 4
+    cat_once = once.term_stats.where("field = 'sectionText' AND term = 'cat'").first()["df"]
+    I.write_index(built, path, mode="append")      # re-indexing the same input doubles it
+    twice = I.read_index(spark, path)
+    assert twice.docs.count() == 8
+    assert twice.term_stats.where("field = 'sectionText' AND term = 'cat'").first()["df"] == 2 * cat_once

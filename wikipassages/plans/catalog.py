@@ -55,6 +55,22 @@ def redirs_hist_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.weighted_histogram(redirs_count_hist(spark, sf_dir), 100)
 
 
+def _with_source(sections: DataFrame) -> DataFrame:
+    # one dump per language, as the reference indexes an "en" and an "sk"
+    # output and reports each apart: the source is the page's language
+    return sections.withColumn("source", F.substring_index("page", "–", -1))
+
+
+def section_stats_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: the statistics of A5-A7 reported apart per source (language)."""
+    return stats.section_stats(_with_source(redirected_sections(spark, sf_dir)), by=["source"])
+
+
+def redirs_count_hist_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + K5: redirect-count frequencies per source (one count file per input)."""
+    return stats.redirs_count_histogram(_with_source(redirected_sections(spark, sf_dir)), by=["source"])
+
+
 def section_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form of the redirect side: one row per redirect to a section."""
     return primary(spark, sf_dir).redirects
@@ -176,6 +192,8 @@ QUERIES = {
     "redirs_count_hist": redirs_count_hist,
     "redirs_hist_30": redirs_hist_30,
     "redirs_hist_100": redirs_hist_100,
+    "section_stats_by_lang": section_stats_by_lang,
+    "redirs_count_hist_by_lang": redirs_count_hist_by_lang,
     "word_count": word_count,
     "search_tfidf": search_tfidf,
     "search_tfidf_page2": search_tfidf_page2,
