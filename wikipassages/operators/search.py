@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.analysis import STOP_WORDS, analyze, stem_terms
+from ..sources.lines import gather_titles
 from .index import DEFAULT_FIELD, SearchIndex
 
 SHOULD, MUST, MUST_NOT = "should", "must", "must_not"
@@ -349,16 +350,17 @@ def hits_with_fields(index: SearchIndex, ranked: DataFrame, redirects: DataFrame
     """Q9 + Q10: join ranked hits to stored fields; ``hit`` = ``rank. f1█f2█...``.
 
     ``redirsFrom`` needs the redirect titles of each hit: they are gathered for
-    the shown hits only (at most a page per query), tab-terminated as stored.
+    the shown hits only, in two phases (``sources.lines.gather_titles``), and
+    tab-terminated as stored.
     """
     shown = resolve_display(fields)
     out = ranked.join(index.docs, "doc_id")
     if "redirsFrom" in shown:
         if redirects is None:
             raise ValueError("redirsFrom needs the redirects table")
-        titles = (redirects.join(ranked.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
-                  .groupBy("key").agg(T.tab_terminated(F.array_sort(F.collect_list("redirect"))).alias("redirs_from"))
-                  .withColumnRenamed("key", "doc_id"))
+        shown_keys = ranked.select(F.col("doc_id").alias("key")).distinct()
+        titles = (gather_titles(redirects.join(shown_keys, "key", "left_semi"))
+                  .select(F.col("key").alias("doc_id"), T.tab_terminated("redirs").alias("redirs_from")))
         out = out.join(titles, "doc_id", "left")
     cols = [F.coalesce(F.col(_DISPLAY_COLUMNS[f]).cast("string"), F.lit("")) for f in shown]
     line = F.concat(F.col("rank").cast("string"), F.lit(". "),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import sections as S
+from ..sources.lines import gather_titles
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -60,10 +61,10 @@ def redirected_texts(sections: DataFrame) -> DataFrame:
 def redirect_groups(sections: DataFrame) -> DataFrame:
     """A4 for the L2 line sink: ``key, n, pages array<struct<title,text>>``.
 
-    A whole group becomes one record here, as the line format demands; the
-    filter above does not need it.
+    A whole group becomes one record here, as the line format demands (the
+    filter above does not need it); it is gathered in two phases, per
+    (key, salt) and then per key, so a hot key is pre-grouped in parallel.
     """
-    moved = S.explode_redirect_targets(sections)
-    return (moved.groupBy("key")
-            .agg(F.array_sort(F.collect_list(F.struct("title", "text"))).alias("pages"))
-            .select("key", F.size("pages").alias("n"), "pages"))
+    moved = S.explode_redirect_targets(sections).withColumn("page", F.struct("title", "text"))
+    groups = gather_titles(moved, key="key", title="page")
+    return groups.select("key", F.size("redirs").alias("n"), F.col("redirs").alias("pages"))

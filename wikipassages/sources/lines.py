@@ -118,18 +118,25 @@ def count_line(count: str = "redirs_count", freq: str = "freq") -> Column:
     return F.concat(F.col(count).cast("string"), F.lit("\t"), F.col(freq).cast("string"))
 
 
-def sections_with_redirs(redirected: DataFrame, redirects: DataFrame) -> DataFrame:
-    """Attach each section's sorted redirect titles for the L3 sink.
+SALT_BUCKETS = 64
+
+
+def gather_titles(redirects: DataFrame, key: str = "key", title: str = "redirect") -> DataFrame:
+    """``key, redirs`` (sorted titles) for formats that put a whole group on one line.
 
-    The L3 format puts all titles of a section on its line, so this is the
-    one place where a per-key list is built: it is gathered in two phases
-    (per key and salt, then per key) so a hot key's titles are pre-grouped in
-    parallel before they meet. Keep the long table for anything else.
+    Gathered in two phases - per (key, salt) in parallel, then the partial
+    lists per key - so a key holding a third of all rows is pre-grouped by
+    many tasks before its lists meet. Only the line sinks and hit display
+    use it; everything else works on the long table.
     """
-    salted = redirects.withColumn("_salt", F.abs(F.xxhash64("redirect")) % 64)
-    partial = salted.groupBy("key", "_salt").agg(F.collect_list("redirect").alias("_part"))
-    lists = partial.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("redirs"))
-    return redirected.join(lists, "key", "left").withColumn(
+    salted = redirects.withColumn("_salt", F.pmod(F.xxhash64(title), F.lit(SALT_BUCKETS)))
+    partial = salted.groupBy(key, "_salt").agg(F.collect_list(title).alias("_part"))
+    return partial.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("redirs"))
+
+
+def sections_with_redirs(redirected: DataFrame, redirects: DataFrame) -> DataFrame:
+    """Attach each section's sorted redirect titles for the L3 sink (see :func:`gather_titles`)."""
+    return redirected.join(gather_titles(redirects), "key", "left").withColumn(
         "redirs", F.coalesce("redirs", F.array().cast("array<string>")))
 
 
