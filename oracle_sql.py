@@ -209,6 +209,22 @@ rk AS (SELECT query_id, doc_id, score,
 SEARCH_TFIDF = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"
 SEARCH_TFIDF_PAGE2 = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank BETWEEN 11 AND 20"
 
+SEARCH_BOOLEAN = SEARCH_CTE + """,
+qi AS (SELECT qt.query_id, qt.term, qt.qtf, qt.qtf >= 2 AS must,
+              1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
+       FROM qt LEFT JOIN dfs USING (term), nd),
+qn AS (SELECT query_id, sum(qtf * idf * idf) AS sumsq, sum(qtf) AS clauses, count(*) FILTER (WHERE must) AS musts
+       FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id, sum(qi.qtf * sqrt(p.tf) * qi.idf * qi.idf / sqrt(p.len)) AS raw,
+             sum(qi.qtf) AS hits, count(*) FILTER (WHERE qi.must) AS must_hits
+      FROM post p JOIN qi USING (term) GROUP BY qi.query_id, p.doc_id),
+sc AS (SELECT m.query_id, m.doc_id, round(m.raw / sqrt(qn.sumsq) * m.hits / qn.clauses, 6) AS score
+       FROM m JOIN qn USING (query_id) WHERE m.must_hits = qn.musts),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+       FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
 SEARCH_BM25 = SEARCH_CTE + """,
 qi AS (SELECT qt.query_id, qt.term, qt.qtf, ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) + 1.0 AS idf
        FROM qt LEFT JOIN dfs USING (term), nd),
@@ -327,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "word_count": WORD_COUNT,
         "search_tfidf": SEARCH_TFIDF,
         "search_tfidf_page2": SEARCH_TFIDF_PAGE2,
+        "search_boolean": SEARCH_BOOLEAN,
         "search_bm25": SEARCH_BM25,
         "search_phrase": SEARCH_PHRASE,
         "search_prefix": SEARCH_PREFIX,

@@ -117,6 +117,14 @@ def search_tfidf_page2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.tfidf_scores(ix, search.query_terms(benchmark_queries(spark, sf_dir))), 11, 20)
 
 
+def search_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: terms repeated in a benchmark text are required (must), the others optional; top 10."""
+    ix = section_index(spark, sf_dir)
+    q = search.query_terms(benchmark_queries(spark, sf_dir))
+    q = q.withColumn("occur", F.when(F.col("qtf") >= 2, F.lit(search.MUST)).otherwise(F.lit(search.SHOULD)))
+    return _top(search.tfidf_scores(ix, q))
+
+
 def search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12: top 10 per benchmark text, BM25, all terms required."""
     ix = section_index(spark, sf_dir)
@@ -197,6 +205,7 @@ QUERIES = {
     "word_count": word_count,
     "search_tfidf": search_tfidf,
     "search_tfidf_page2": search_tfidf_page2,
+    "search_boolean": search_boolean,
     "search_bm25": search_bm25,
     "search_phrase": search_phrase,
     "search_prefix": search_prefix,
