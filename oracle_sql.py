@@ -225,6 +225,41 @@ rk AS (SELECT query_id, doc_id, score,
        FROM sc)
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
+# Fuzzy (one edit), nested clauses. DuckDB's levenshtein counts bytes; terms
+# are lower-case letters, so each non-ASCII letter is first mapped to a free
+# ASCII character (upper case, digits, punctuation) to count characters.
+SEARCH_FUZZY = SEARCH_CTE + """,
+vocab AS (SELECT DISTINCT term FROM post),
+qterms AS (SELECT DISTINCT term AS qterm FROM qt),
+chars AS (SELECT DISTINCT ch FROM (SELECT unnest(string_split(w, '')) AS ch
+                                   FROM (SELECT term AS w FROM vocab UNION ALL SELECT qterm FROM qterms))
+          WHERE unicode(ch) > 127),
+slots AS (SELECT list_filter(range(33, 127), lambda c: c < 97 OR c > 122) AS sl),
+cmap AS (SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS src,
+                coalesce(string_agg(chr(CAST(sl[CAST(rn AS INTEGER)] AS INTEGER)), '' ORDER BY ch), '') AS dst
+         FROM (SELECT ch, row_number() OVER (ORDER BY ch) AS rn FROM chars), slots),
+ex AS (SELECT q.qterm, v.term,
+              levenshtein(translate(q.qterm, cmap.src, cmap.dst), translate(v.term, cmap.src, cmap.dst)) AS ed
+       FROM qterms q, vocab v, cmap
+       WHERE abs(length(q.qterm) - length(v.term)) <= 1),
+exf AS (SELECT ex.qterm, ex.term, 1.0 - ed / least(length(ex.qterm), length(ex.term)) AS boost,
+               1.0 + ln(nd.n / (CAST(dfs.df AS DOUBLE) + 1.0)) AS idf
+        FROM ex JOIN dfs USING (term), nd WHERE ed <= 1),
+wt AS (SELECT qterm, sum((idf * boost) * (idf * boost)) AS w FROM exf GROUP BY qterm),
+fs AS (SELECT exf.qterm, p.doc_id, sum(exf.boost * sqrt(p.tf) * exf.idf * exf.idf / sqrt(p.len)) AS s
+       FROM post p JOIN exf USING (term) GROUP BY exf.qterm, p.doc_id),
+cl AS (SELECT qt.query_id, qt.term AS qterm, qt.qtf, coalesce(wt.w, 0.0) AS w
+       FROM qt LEFT JOIN wt ON wt.qterm = qt.term),
+qi AS (SELECT query_id, sum(qtf * w) AS sumsq, sum(qtf) AS n_clauses FROM cl GROUP BY query_id),
+hits AS (SELECT cl.query_id, fs.doc_id, sum(cl.qtf * fs.s) AS raw, sum(cl.qtf) AS matched
+         FROM cl JOIN fs USING (qterm) GROUP BY cl.query_id, fs.doc_id),
+sc AS (SELECT hits.query_id, hits.doc_id, round(raw / sqrt(sumsq) * matched / n_clauses, 6) AS score
+       FROM hits JOIN qi USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+       FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
 SEARCH_BM25 = SEARCH_CTE + """,
 qi AS (SELECT qt.query_id, qt.term, qt.qtf, ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) + 1.0 AS idf
        FROM qt LEFT JOIN dfs USING (term), nd),
@@ -347,6 +382,7 @@ def oracle_sql() -> dict[str, str]:
         "search_bm25": SEARCH_BM25,
         "search_phrase": SEARCH_PHRASE,
         "search_prefix": SEARCH_PREFIX,
+        "search_fuzzy": SEARCH_FUZZY,
         "staged_sections": STAGED_SECTIONS,
         "staged_redirected": STAGED_REDIRECTED,
         "link_inversion": LINK_INVERSION,
