@@ -281,9 +281,9 @@ dp AS (SELECT key AS doc_id, unnest({_analyzed_pos('text')}) AS t FROM ix),
 pos AS (SELECT doc_id, t.term AS term, t.pos AS pos FROM dp),
 qp AS (SELECT item_id AS query_id, {_analyzed_pos('text')} AS toks FROM benchmark),
 qi AS (SELECT query_id, toks, unnest(range(1, len(toks))) AS i FROM qp),
-ph AS (SELECT query_id, i AS phrase_id, toks[i].term AS term, 0 AS o FROM qi
+ph AS (SELECT query_id, CAST(i AS INTEGER) AS phrase_id, toks[i].term AS term, 0 AS o FROM qi
        UNION ALL
-       SELECT query_id, i, toks[i + 1].term, toks[i + 1].pos - toks[i].pos FROM qi),
+       SELECT query_id, CAST(i AS INTEGER), toks[i + 1].term, toks[i + 1].pos - toks[i].pos FROM qi),
 st AS (SELECT ph.query_id, ph.phrase_id, pos.doc_id, pos.pos - ph.o AS start, count(*) AS k
        FROM pos JOIN ph USING (term) GROUP BY ALL)
 SELECT query_id, phrase_id, doc_id, count(*) AS freq FROM st WHERE k = 2 GROUP BY ALL"""

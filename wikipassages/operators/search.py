@@ -146,7 +146,7 @@ def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
                .join(plen, ["query_id", "phrase_id"])
                .where(F.col("k") == F.col("plen")))
     common = F.aggregate(F.col("arrs"), F.col("arrs").getItem(0), lambda acc, a: F.array_intersect(acc, a))
-    return (per_doc.select("query_id", "phrase_id", "doc_id", F.size(common).alias("freq"))
+    return (per_doc.select("query_id", "phrase_id", "doc_id", F.size(common).cast("long").alias("freq"))
             .where(F.col("freq") > 0))
 
 
