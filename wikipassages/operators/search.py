@@ -129,25 +129,17 @@ def bm25_scores(index: SearchIndex, qterms: DataFrame, field: str = DEFAULT_FIEL
 def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
     """Q6: ``query_id, phrase_id, doc_id, freq`` - how often each phrase occurs.
 
-    Each posting carries its sorted positions. A phrase occurs at ``start``
-    when every term has a position ``start + offset``: the postings of the
-    phrase terms are joined once (doc-level rows), shifted by their offsets,
-    gathered per (phrase, doc) - at most one array per phrase term - and
-    intersected. Documents missing a term drop out by the count.
+    A phrase occurs at ``start`` when every term sits at ``start + offset``:
+    token positions are joined on the term, grouped by the implied start
+    (partial counts in generated code) and kept when every phrase term is
+    there; occurrences are then counted per document.
     """
     plen = phrases.groupBy("query_id", "phrase_id").agg(F.count(F.lit(1)).alias("plen"))
-    m = (index.postings.where(F.col("positions").isNotNull())
-         .select("field", "term", "doc_id", "positions")
-         .join(phrases, ["field", "term"])
-         .select("query_id", "phrase_id", "doc_id",
-                 F.transform("positions", lambda p: p - F.col("offset")).alias("starts")))
-    per_doc = (m.groupBy("query_id", "phrase_id", "doc_id")
-               .agg(F.collect_list("starts").alias("arrs"), F.count(F.lit(1)).alias("k"))
-               .join(plen, ["query_id", "phrase_id"])
-               .where(F.col("k") == F.col("plen")))
-    common = F.aggregate(F.col("arrs"), F.col("arrs").getItem(0), lambda acc, a: F.array_intersect(acc, a))
-    return (per_doc.select("query_id", "phrase_id", "doc_id", F.size(common).cast("long").alias("freq"))
-            .where(F.col("freq") > 0))
+    m = (index.token_positions().join(phrases, ["field", "term"])
+         .select("query_id", "phrase_id", "doc_id", (F.col("pos") - F.col("offset")).alias("start")))
+    full = (m.groupBy("query_id", "phrase_id", "doc_id", "start").agg(F.count(F.lit(1)).alias("k"))
+            .join(plen, ["query_id", "phrase_id"]).where(F.col("k") == F.col("plen")))
+    return full.groupBy("query_id", "phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("freq"))
 
 
 # ---------------------------------------------------------------- expansion

@@ -92,7 +92,8 @@ def section_index(spark: SparkSession, sf_dir: str, stem: bool = False) -> index
     # statistics from the written postings instead of a second tokenisation
     term_stats = materialize(spark, f"index-term_stats:{tag}", lambda: index.term_frequencies(postings))
     field_len = materialize(spark, f"index-field_len:{tag}", lambda: index.field_lengths(postings))
-    return index.SearchIndex(docs, postings, term_stats, field_len)
+    positions = materialize(spark, f"index-positions:{tag}", lambda: index.token_positions(postings))
+    return index.SearchIndex(docs, postings, term_stats, field_len, positions)
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
