@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Defaults that matter for every job here. AQE re-plans joins from runtime
 # sizes (a broadcast only happens behind its size check), coalesces small
 # shuffle partitions and splits skewed ones.
+_LOCAL_CHECKPOINT_BASE: str | None = None
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -44,21 +46,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local tests) is a scratch folder made and set.
+    when it is unset (local tests) is a scratch folder made and registered
+    with ``setCheckpointDir`` (the setting itself is fixed at start-up).
     """
+    global _LOCAL_CHECKPOINT_BASE
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="wikipassages-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if _LOCAL_CHECKPOINT_BASE is None:
+            _LOCAL_CHECKPOINT_BASE = tempfile.mkdtemp(prefix="wikipassages-ckpt-")
+        base = _LOCAL_CHECKPOINT_BASE
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
-
-
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for tables that cut lineage."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+        sc.setCheckpointDir(base)
+    return base
 
 
 def spread(df: DataFrame) -> DataFrame:
