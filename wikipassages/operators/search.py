@@ -213,13 +213,16 @@ def prefix_scores(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
     once - queries share common prefixes - and only then fanned out to the
     queries and clauses that use it.
     """
-    distinct = prefixes.select("field", "prefix").distinct()
+    clauses = prefixes.select("query_id", "clause_id", "field", "prefix").distinct()   # small side
+    distinct = clauses.select("field", "prefix").distinct()
     terms = distinct.join(_vocab_prefixes(index), ["field", "prefix"])
     docs = (index.postings.select("field", "term", "doc_id").join(terms, ["field", "term"])
             .select("field", "prefix", "doc_id").distinct())
-    hits = (prefixes.join(docs, ["field", "prefix"]).select("query_id", "clause_id", "doc_id").distinct()
+    # one prefix per clause and distinct (prefix, doc) rows: the fan-out is
+    # already distinct per (query, clause, doc), no second de-duplication
+    hits = (clauses.join(docs, ["field", "prefix"])
             .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("matched")))
-    n = prefixes.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
+    n = clauses.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
     return (hits.join(n, "query_id")
             .select("query_id", "doc_id",
                     (F.col("matched") * F.col("matched") / F.pow(F.col("clauses"), 1.5)).alias("score")))
