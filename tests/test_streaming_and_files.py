@@ -25,3 +25,13 @@ def test_dump_files_batch_and_stream(spark, tmp_path):
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
     ingest.start_ingestion(spark, src, out, ckpt).await_termination()
     assert _rows(ingest.redirected_from_ingested(spark, out)) == expected
+
+
+def test_bz2_dump_file_gives_the_flagship(spark, tmp_path):
+    src = str(tmp_path / "bz2dump")
+    recs = corpus.corpus_xml(spark, SMALL)
+    recs.coalesce(1).write.option("compression", "bzip2").text(src)
+    import glob
+    assert glob.glob(src + "/*.bz2")
+    expected = _rows(run_primary_records(recs).redirected)
+    assert _rows(run_primary_records(dump.read_dump_records(spark, src)).redirected) == expected
