@@ -35,3 +35,20 @@ def test_bz2_dump_file_gives_the_flagship(spark, tmp_path):
     assert glob.glob(src + "/*.bz2")
     expected = _rows(run_primary_records(recs).redirected)
     assert _rows(run_primary_records(dump.read_dump_records(spark, src)).redirected) == expected
+
+
+def test_dump_scan_splits_without_losing_pages(spark, tmp_path):
+    recs = corpus.corpus_xml(spark, SMALL)
+    n_pages = recs.count()
+    for codec in ("none", "bzip2"):
+        src = str(tmp_path / f"split-{codec}")
+        recs.coalesce(1).write.option("compression", codec).text(src)
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+        try:
+            got = dump.read_dump_records(spark, src)
+            assert got.rdd.getNumPartitions() > 1
+            assert got.count() == n_pages
+            assert got.distinct().count() == n_pages
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
