@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe
+from wikipassages.llm import bpe, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,23 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids"), *vocabulary), 256).alias("decoded_sha256"))
 
 
+#: Fixed by the contract: (verdict, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled by the row of ``labels`` with their id: unwanted if toxic or of low quality."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = table(spark, sf_dir, "labels").groupBy("doc_id") \
+        .agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    labelled = pages.join(bad, pages.page_id == bad.doc_id)
+    rules = url_rules.mine(labelled, "url", "bad", min_support=0.002, min_confidence=0.6)
+    return url_rules.judged(pages, "url", URL_RULES, rules) \
+        .select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_url_rules": op2_url_rules,
 }
