@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, url_rules
+from wikipassages.llm import bpe, quality, url_rules
+from wikipassages.llm.common import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +39,17 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", quality.counts(F.col("text")).alias("c"))
+    docs = written(docs.select("doc_id", "lang", "c.*"), "quality-counts")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
+    cutoffs = quality.learn_cutoffs(docs.join(labels, "doc_id"), "lang", "good")
+    return quality.judged(docs, "lang", cutoffs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
+    "op4_quality_rules": op4_quality_rules,
 }
