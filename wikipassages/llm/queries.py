@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, quality, url_rules
+from wikipassages.llm import bpe, quality, rlz, url_rules
 from wikipassages.llm.common import written
 
 
@@ -48,8 +48,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rlz.parsed(docs).select("doc_id", "parsed.n_words", "parsed.n_removed",
+                                   F.sha2(F.col("parsed.kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
     "op4_quality_rules": op4_quality_rules,
+    "op6_passages": op6_passages,
 }
