@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, quality, rlz, url_rules
+from wikipassages.llm import bpe, chosen_path, quality, rlz, url_rules
 from wikipassages.llm.common import written
 
 
@@ -54,9 +54,14 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.sha2(F.col("parsed.kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op6_passages": op6_passages,
+    "op7_near_copies": op7_near_copies,
 }
