@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, chosen_path, quality, rlz, url_rules
-from wikipassages.llm.common import written
+from wikipassages.llm import bpe, chosen_path, packing, quality, rlz, simple8b, url_rules
+from wikipassages.llm.common import shared_path, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,10 +58,29 @@ def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+CAPACITY = 2048
+
+
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                public_tokenizers.path("word_bpe_49k.json"), 0, CAPACITY)
+    pieces = pieces.select(F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32")
+    return packing.packed(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "token-files")
+    manifest = simple8b.write_files(table(spark, sf_dir, "documents").select("doc_id", "text"), folder,
+                                    public_tokenizers.path("word_bpe_49k.json"), 2)
+    return simple8b.read_files(spark, folder, manifest)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op6_passages": op6_passages,
     "op7_near_copies": op7_near_copies,
+    "op8_best_fit": op8_best_fit,
+    "op9_token_files": op9_token_files,
 }
