@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, chosen_path, packing, quality, rlz, simple8b, url_rules
-from wikipassages.llm.common import shared_path, written
+from wikipassages.llm import bpe, chosen_path, packing, quality, rlz, simple8b, toxicity, url_rules
+from wikipassages.llm.common import crc_remainder, shared_path, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(crc_remainder(F.col("doc_id"), 4) != 2))
+    return model.scored(docs).select("doc_id", (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                                     (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rlz.parsed(docs).select("doc_id", "parsed.n_words", "parsed.n_removed",
@@ -79,6 +87,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_passages": op6_passages,
     "op7_near_copies": op7_near_copies,
     "op8_best_fit": op8_best_fit,

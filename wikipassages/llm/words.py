@@ -91,10 +91,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(column: pa.Array) -> Words:
-    data, docs = text_bytes(column)
-    white = np.zeros(256, bool)
-    white[list(WHITE)] = True
-    inside = ~white[data]
+    return words_from(*text_bytes(column))
+
+
+def words_from(data: np.ndarray, docs: np.ndarray, white: bytes = WHITE) -> Words:
+    """Words of texts given as bytes and offsets, separated by the bytes in ``white``."""
+    separates = np.zeros(256, bool)
+    separates[list(white)] = True
+    inside = ~separates[data]
     before = np.zeros(len(data), bool)
     before[1:] = inside[:-1]
     edge = docs[:-1][docs[:-1] < docs[1:]]
