@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, chosen_path, packing, quality, rlz, simple8b, toxicity, url_rules
+from wikipassages.llm import bpe, brown, chosen_path, packing, quality, rlz, simple8b, toxicity, url_rules
 from wikipassages.llm.common import crc_remainder, shared_path, written
 
 
@@ -83,6 +83,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_files(spark, folder, manifest)
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_remainder(F.col("doc_id"), 7) == 2).alias("held_out"))
+    return brown.scored(docs.withColumn("train", ~F.col("held_out")), "train") \
+        .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
@@ -92,4 +98,5 @@ QUERIES = {
     "op7_near_copies": op7_near_copies,
     "op8_best_fit": op8_best_fit,
     "op9_token_files": op9_token_files,
+    "op10_class_lm": op10_class_lm,
 }
