@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, brown, chosen_path, packing, quality, rlz, simple8b, toxicity, url_rules
+from wikipassages.llm import bpe, brown, chosen_path, multi_index, packing, quality, rlz, simple8b, toxicity, url_rules
 from wikipassages.llm.common import crc_remainder, shared_path, written
 
 
@@ -39,6 +39,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
+def op3_embedding_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_copies(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", quality.counts(F.col("text")).alias("c"))
     docs = written(docs.select("doc_id", "lang", "c.*"), "quality-counts")
@@ -92,6 +96,7 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
+    "op3_embedding_copies": op3_embedding_copies,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_passages": op6_passages,
