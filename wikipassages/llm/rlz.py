@@ -219,10 +219,10 @@ def parsed(df: DataFrame, doc: str = "doc_id", text: str = "text", window: int =
     with a null id keep all words and are nobody's reference; of rows with
     one id neither is earlier. Every input row is one output row.
     """
-    marked = df.withColumn("__mark", F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int"))
-    found = phrases(marked.select(F.col(doc).cast("bigint").alias("doc"), F.col("__mark").alias("mark"), F.col(text).alias("text")), window)
-    spans = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "n", "ref")).alias("__spans")) \
-        .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark2"), "__spans")
-    both = marked.join(spans, (F.col(doc) == F.col("__doc")) & (F.col("__mark") == F.col("__mark2")), "left")
-    return both.withColumn(out, _removed(window)(F.col(text), F.col("__spans"))) \
-        .drop("__mark", "__doc", "__mark2", "__spans")
+    marked = df.withColumn("__rlz_mark", F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int"))
+    found = phrases(marked.select(F.col(doc).cast("bigint").alias("doc"), F.col("__rlz_mark").alias("mark"), F.col(text).alias("text")), window)
+    spans = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "n", "ref")).alias("__rlz_spans")) \
+        .select(F.col("doc").alias("__rlz_doc"), F.col("mark").alias("__rlz_same"), "__rlz_spans")
+    both = marked.join(spans, (F.col(doc) == F.col("__rlz_doc")) & (F.col("__rlz_mark") == F.col("__rlz_same")), "left")
+    return both.withColumn(out, _removed(window)(F.col(text), F.col("__rlz_spans"))) \
+        .drop("__rlz_mark", "__rlz_doc", "__rlz_same", "__rlz_spans")
