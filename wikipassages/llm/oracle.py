@@ -1,5 +1,102 @@
-"""DuckDB twins of the operators' queries, where SQL can express them."""
+"""DuckDB twins of the operators' queries, where SQL can express them.
+
+The others (byte-pair encoding, mined url rules, learned scores, packing and
+file formats) are tested against brute force, round trips or held-out labels.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from wikipassages.llm.quality import RULES
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: Smallest id reachable over the table links(a, b) from every row of nodes(id).
+_COMPONENTS = """
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, origin) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.origin FROM reach r JOIN both_ways l ON l.a = r.id),
+components AS (SELECT id, min(origin) AS component_id FROM reach GROUP BY id)"""
+
+OP3 = f"""
+WITH RECURSIVE v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings),
+nodes AS (SELECT DISTINCT id FROM v),
+links AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id < y.id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+{_COMPONENTS},
+degrees AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+FROM v JOIN components USING (id) LEFT JOIN degrees USING (id)"""
+
+OP6 = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS i FROM windows JOIN firsts USING (k) WHERE f < doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w) ANTI JOIN gone USING (doc_id, i)
+         GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+OP7 = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS k
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, CASE WHEN len(words) > 0 THEN 2 ELSE 1 END))) AS i FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * c >= 80 * (s.n + t.n - c)),
+nodes AS (SELECT DISTINCT doc_id AS id FROM documents),
+{_COMPONENTS}
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN components ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+_GRID = ", ".join(f"('{rule}', {j}, {cutoff!r})" for rule, (_, cutoffs) in RULES.items() for j, cutoff in enumerate(cutoffs, 1))
+_VALUES = ", ".join(f"('{rule}', coalesce({' / '.join(f'nullif({x}, 0)::DOUBLE' if k else f'{x}::DOUBLE' for k, x in enumerate(expr.split(' / ')))}, 0))"
+                    for rule, (expr, _) in RULES.items())
+
+OP4 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+trigrams AS (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS k
+             FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+twice AS (SELECT DISTINCT doc_id, i + unnest(range(0, 3)) AS i
+          FROM trigrams JOIN (SELECT doc_id, k FROM trigrams GROUP BY doc_id, k HAVING count(*) > 1) USING (doc_id, k)),
+repeats AS (SELECT doc_id, count(*) AS n FROM twice GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+          FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, stratum, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_bangs, length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
+             coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(l.n, 0)::BIGINT AS n_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
+f AS (SELECT *, coalesce(chars, 0) AS word_chars FROM c),
+grid(rule, j, cutoff) AS (VALUES {_GRID}),
+vals AS (SELECT doc_id, stratum, v.rule, v.value FROM f, LATERAL (VALUES {_VALUES}) v(rule, value)),
+good AS (SELECT doc_id FROM labels WHERE quality = 1),
+n_good AS (SELECT stratum, count(*) AS n FROM f JOIN good USING (doc_id) GROUP BY stratum),
+rejected AS (SELECT n_good.stratum, grid.rule, j, cutoff, n,
+                    (SELECT count(*) FROM vals JOIN good USING (doc_id)
+                     WHERE vals.stratum = n_good.stratum AND vals.rule = grid.rule AND value > cutoff) AS k
+             FROM n_good, grid),
+tails AS (SELECT stratum, rule, j, cutoff,
+                 (SELECT sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln(0.01 / {len(RULES)}) + (n - i) * ln(1 - 0.01 / {len(RULES)})))
+                  FROM (SELECT unnest(range(0, k + 1)) AS i)) AS tail,
+                 0.05 / ({len(RULES)} * (SELECT count(*) FROM n_good)) AS level
+          FROM rejected WHERE k < n
+          UNION ALL SELECT stratum, rule, j, cutoff, 1.0, 0.0 FROM rejected WHERE k >= n),
+failing AS (SELECT stratum, rule, coalesce(min(j) FILTER (tail > level), 1000) AS stop FROM tails GROUP BY ALL),
+cutoffs AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tails JOIN failing USING (stratum, rule) WHERE j < stop GROUP BY ALL),
+broken AS (SELECT DISTINCT doc_id FROM vals JOIN cutoffs USING (stratum, rule) WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM f"""
+
+ORACLE: dict[str, str] = {
+    "op3_embedding_copies": OP3,
+    "op4_quality_rules": OP4,
+    "op6_passages": OP6,
+    "op7_near_copies": OP7,
+}

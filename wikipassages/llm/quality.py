@@ -162,7 +162,8 @@ def learn_cutoffs(labelled: DataFrame, stratum: str, good: str, allowed: float =
         rule, n = part["rule"].iloc[0], int(part["n"].sum())
         best = None
         for j, cutoff in enumerate(RULES[rule][1], 1):
-            rejected = int(part.loc[part["beyond"] >= j, "n"].sum())
+            # beyond counts from the strictest cutoff on, j from the mildest
+            rejected = int(part.loc[part["beyond"] > len(RULES[rule][1]) - j, "n"].sum())
             if binomial_tail(rejected, n, share) > level:
                 break
             best = cutoff

@@ -49,7 +49,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
     cutoffs = quality.learn_cutoffs(docs.join(labels, "doc_id"), "lang", "good")
     return quality.judged(docs, "lang", cutoffs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

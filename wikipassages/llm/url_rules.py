@@ -110,11 +110,11 @@ def judged(pages: DataFrame, url: str, given: list[tuple[str, str, str]], rules:
     rule's tokens all stand in it, else allowed. Null urls: empty host and
     path, allowed. Every row is kept, repeated ones included.
     """
-    mined = matched(pages, url, rules).select(F.col("url").alias("__url"), "mined")
+    mined = matched(pages, url, rules).select(F.col("url").alias("__url"), F.col("mined").alias("__mined"))
     both = pages.withColumn("host", host(F.col(url))).withColumn("path", path(F.col(url)))
     both = both.join(mined, F.col(url) == F.col("__url"), "left")
     rule = given_rule(F.col("host"), F.col("path"), given)
-    by_method = F.when(F.col("mined").isNotNull(), "block").otherwise("allow")
+    by_method = F.when(F.col("__mined").isNotNull(), "block").otherwise("allow")
     return both.withColumn("__given", rule).withColumns({
         "rule": F.col("__given.rule"), "verdict": F.coalesce(F.col("__given.verdict"), by_method),
-        "mined_rule": F.array_join("mined.antecedent", " ")}).drop("__given", "__url", "mined")
+        "mined_rule": F.array_join("__mined.antecedent", " ")}).drop("__given", "__url", "__mined")
