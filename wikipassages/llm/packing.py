@@ -135,7 +135,8 @@ def packed(pieces: DataFrame, capacity: int, order: list[str], length: str = "le
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(size), part, np.int32)), pa.array(rank)],
                                              [*batch.schema.names, "__part", "__local"])
 
-    kept = pieces.drop("sequence_id", "offset", "__length", "__part", "__local")
+    # written first: the range sort reads its input twice, and pieces are dear to make
+    kept = written(pieces.drop("sequence_id", "offset", "__length", "__part", "__local"), "pieces")
     rows = kept.withColumn("__length", F.when(F.col(length).isNull(), F.raise_error("a piece without a length")).otherwise(F.col(length)).cast("bigint"))
     rows = rows.repartitionByRange(F.desc("__length"), tie).sortWithinPartitions(F.desc("__length"), *order)
     schema = T.StructType([*rows.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__local", T.LongType())])
@@ -158,6 +159,6 @@ def packed(pieces: DataFrame, capacity: int, order: list[str], length: str = "le
         return pa.StructArray.from_arrays([pa.array(plan[line, 3] + into // plan[line, 2]),
                                            pa.array(plan[line, 4] + into % plan[line, 2] * size)], ["sequence_id", "offset"])
 
-    out = rows.join(blocks.select("__length", "__part", "before"), ["__length", "__part"])
-    out = out.withColumn("__place", placed(F.col("__length"), F.col("__local") + F.col("before")))
+    out = rows.join(blocks.select("__length", "__part", F.col("before").alias("__before")), ["__length", "__part"])
+    out = out.withColumn("__place", placed(F.col("__length"), F.col("__local") + F.col("__before")))
     return out.select(*[F.col(c) for c in kept.columns], "__place.sequence_id", "__place.offset")
