@@ -174,15 +174,19 @@ def staged_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.redirected_texts(secs)
 
 
+def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus's pages, parsed once and written."""
+    return materialize(spark, f"pages:{sf_dir}", lambda: dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+
+
 def link_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``title, r_from`` - pages that redirect to or main-link each page."""
-    return links.inverted_links(dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+    return links.inverted_links(parsed_pages(spark, sf_dir))
 
 
 def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q11-Q13: the prototype's stemmed BM25 search (all terms) over link-inverted pages."""
-    pages = materialize(spark, f"proto-pages:{sf_dir}",
-                        lambda: dump.parse_pages(corpus.corpus_xml(spark, sf_dir)))
+    pages = parsed_pages(spark, sf_dir)
     docs = materialize(spark, f"proto-docs:{sf_dir}", lambda: prototype.prototype_docs(pages))
     inverted = materialize(spark, f"proto-inverted:{sf_dir}", lambda: links.inverted_links(pages))
     postings = materialize(spark, f"proto-postings:{sf_dir}", lambda: prototype.prototype_index(

@@ -71,7 +71,7 @@ def _redirect_text(keyword: Column | str, target: Column) -> Column:
 def corpus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All wiki pages of the derived corpus: ``title, text, model, redirect``."""
     docs = read_table(spark, sf_dir, "documents")
-    lined = document_lines(spread(docs))
+    lined = document_lines(spread(docs, spark.sparkContext.defaultParallelism))
     # The hub target: a one-row scalar subquery, evaluated once.
     hub_page = docs.select(F.min_by(content_title(F.col("doc_id"), F.col("lang")), F.col("doc_id"))).scalar()
 

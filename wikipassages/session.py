@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,36 +44,38 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The folder for written stages, shared by the driver and all executors.
 
-    On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local tests) is a scratch folder made and registered
-    with ``setCheckpointDir`` (the setting itself is fixed at start-up).
+    The context's checkpoint folder if one is set, else ``spark.checkpoint.dir``.
+    With neither, a local master gets a scratch folder (one process, one
+    disk); any other master raises, since each executor would write to its
+    own disk and later reads would miss those files.
     """
     global _LOCAL_CHECKPOINT_BASE
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        # the context adds a folder of its own below the setting: the setting
+        # itself is shared just as well
+        return base if base and current.startswith(base.rstrip("/") + "/") else current
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_CHECKPOINT_BASE is None:
             _LOCAL_CHECKPOINT_BASE = tempfile.mkdtemp(prefix="wikipassages-ckpt-")
         base = _LOCAL_CHECKPOINT_BASE
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
+    sc.setCheckpointDir(base)
     return base
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan is coarser.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt out evenly over ``partitions``; as it is without a number.
 
-    A large input already comes in many splits and is left alone (no
-    shuffle); an input packed into fewer partitions than there are cores
-    (one row group, one file) is spread so the row-expanding work that
-    follows runs on every core.
+    For inputs packed into fewer splits than the work that follows can use
+    (a few large row groups); the caller says so, nothing is guessed from sizes.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 _MATERIALIZED: dict[tuple[str, str], str] = {}
@@ -94,3 +97,13 @@ def materialize(spark: SparkSession, name: str, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the stages this application has written; returns how many. Queries rebuild what they need."""
+    app = spark.sparkContext.applicationId
+    mine = [key for key in _MATERIALIZED if key[0] == app]
+    for key in mine:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop(key))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(mine)

@@ -12,14 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Only the elements the jobs look at; Catalyst prunes the rest.
+# Only the elements the jobs look at. A page may hold several revisions.
 PAGE_SCHEMA = (
-    "title string, ns int, redirect struct<_title:string>, "
-    "revision struct<model:string, text:string>, _corrupt_record string"
-)
-# Every revision of a page is its own record.
-PAGE_REVISIONS_SCHEMA = (
-    "title string, ns int, redirect struct<_title:string>, "
+    "title string, redirect struct<_title:string>, "
     "revision array<struct<model:string, text:string>>, _corrupt_record string"
 )
 XML_OPTIONS = {
@@ -37,21 +32,35 @@ def page_records(raw: DataFrame, value_col: str = "value") -> DataFrame:
             .select(F.concat(F.regexp_replace(v, r"(?s)^.*?<page>", "<page>"), F.lit("</page>")).alias("xml")))
 
 
+def parsed_once(records: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """Column ``p``: the parsed record, behind a one-row generator.
+
+    Without that barrier every filter on a parsed column is pushed below the
+    projection with a copy of ``from_xml``, and the record is parsed again.
+    """
+    return records.select(F.explode(F.array(F.from_xml(F.col(xml_col), PAGE_SCHEMA, XML_OPTIONS))).alias("p"))
+
+
 def parse_pages(records: DataFrame, xml_col: str = "xml", keep_corrupt: bool = False) -> DataFrame:
-    """``title, redirect, model, text`` of each page record.
+    """``title, redirect, model, text`` of each page record, from its first revision.
 
-    ``redirect`` is the redirect element's title attribute, null when the page
-    is no redirect. An empty ``<text/>`` reads as ``""``. Records that are not
+    ``redirect`` is the redirect element's title attribute (``""`` when the
+    element has none), null when the page is no redirect. A page without text
+    (no element, or an empty one) has a null text. Records that are not
     well-formed XML are dropped (F11) unless ``keep_corrupt`` is set, in which
     case they come back with ``_corrupt_record`` set - route those to a
     dead-letter table with :func:`corrupt_pages`.
     """
-    parsed = records.select(F.from_xml(F.col(xml_col), PAGE_SCHEMA, XML_OPTIONS).alias("p"))
+    first = F.get(F.col("p.revision"), F.lit(0))
+    text = first["text"]
+    redirect = F.coalesce(F.col("p.redirect._title"), F.when(is_redirect_record(xml_col), F.lit("")))
+    parsed = records.select(F.col(xml_col), F.explode(F.array(
+        F.from_xml(F.col(xml_col), PAGE_SCHEMA, XML_OPTIONS))).alias("p"))
     out = parsed.select(
         F.col("p.title").alias("title"),
-        F.col("p.redirect._title").alias("redirect"),
-        F.col("p.revision.model").alias("model"),
-        F.coalesce(F.col("p.revision.text"), F.lit("")).alias("text"),
+        redirect.alias("redirect"),
+        first["model"].alias("model"),
+        F.when(text != "", text).alias("text"),
         F.col("p._corrupt_record").alias("_corrupt_record"))
     if keep_corrupt:
         return out
@@ -75,14 +84,19 @@ def corrupt_pages(parsed_with_corrupt: DataFrame) -> DataFrame:
 
 def parse_page_revisions(records: DataFrame, xml_col: str = "xml") -> DataFrame:
     """One row per ``<revision>`` of each page (the staged chain's reading)."""
-    parsed = records.select(F.from_xml(F.col(xml_col), PAGE_REVISIONS_SCHEMA, XML_OPTIONS).alias("p"))
-    return (parsed.where(F.col("p._corrupt_record").isNull())
+    return (parsed_once(records, xml_col).where(F.col("p._corrupt_record").isNull())
             .select(F.col("p.title").alias("title"), F.col("p.redirect._title").alias("redirect"),
                     F.explode("p.revision").alias("rev"))
             .select("title", "redirect", F.col("rev.model").alias("model"),
                     F.coalesce(F.col("rev.text"), F.lit("")).alias("text")))
 
 
+def dead_letters(records: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """the records that are not well-formed XML, as they stand in the dump."""
+    return parsed_once(records, xml_col).where(F.col("p._corrupt_record").isNotNull()) \
+        .select(F.col("p._corrupt_record").alias("record"))
+
+
 def read_dump_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Splittable scan of one or more dump files (``.xml`` or ``.xml.bz2``, S4)."""
     raw = spark.read.option("lineSep", "</page>").text(paths)
@@ -102,7 +116,7 @@ def read_dump_revisions(spark: SparkSession, paths: str | list[str]) -> DataFram
 def read_dump_xml_reader(spark: SparkSession, path: str) -> DataFrame:
     """S3: built-in XML reader with ``rowTag=page`` (single task per file)."""
     df = (spark.read.format("xml").option("rowTag", "page").options(**XML_OPTIONS)
-          .schema(PAGE_SCHEMA).load(path))
-    return df.select("title", F.col("redirect._title").alias("redirect"),
-                     F.col("revision.model").alias("model"),
-                     F.coalesce(F.col("revision.text"), F.lit("")).alias("text"))
+          .schema(PAGE_SCHEMA).load(path).where(F.col("_corrupt_record").isNull()))
+    first = F.get(F.col("revision"), F.lit(0))
+    return df.select("title", F.col("redirect._title").alias("redirect"), first["model"].alias("model"),
+                     F.when(first["text"] != "", first["text"]).alias("text"))
