@@ -225,7 +225,7 @@ rk AS (SELECT query_id, doc_id, score,
        FROM sc)
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
-# Fuzzy (one edit), nested clauses. DuckDB's levenshtein counts bytes; terms
+# Fuzzy (two edits), nested clauses. DuckDB's levenshtein counts bytes; terms
 # are lower-case letters, so each non-ASCII letter is first mapped to a free
 # ASCII character (upper case, digits, punctuation) to count characters.
 SEARCH_FUZZY = SEARCH_CTE + """,
@@ -241,10 +241,10 @@ cmap AS (SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS src,
 ex AS (SELECT q.qterm, v.term,
               levenshtein(translate(q.qterm, cmap.src, cmap.dst), translate(v.term, cmap.src, cmap.dst)) AS ed
        FROM qterms q, vocab v, cmap
-       WHERE abs(length(q.qterm) - length(v.term)) <= 1),
+       WHERE abs(length(q.qterm) - length(v.term)) <= 2),
 exf AS (SELECT ex.qterm, ex.term, 1.0 - ed / least(length(ex.qterm), length(ex.term)) AS boost,
                1.0 + ln(nd.n / (CAST(dfs.df AS DOUBLE) + 1.0)) AS idf
-        FROM ex JOIN dfs USING (term), nd WHERE ed <= 1),
+        FROM ex JOIN dfs USING (term), nd WHERE ed <= 2),
 wt AS (SELECT qterm, sum((idf * boost) * (idf * boost)) AS w FROM exf GROUP BY qterm),
 fs AS (SELECT exf.qterm, p.doc_id, sum(exf.boost * sqrt(p.tf) * exf.idf * exf.idf / sqrt(p.len)) AS s
        FROM post p JOIN exf USING (term) GROUP BY exf.qterm, p.doc_id),

@@ -129,8 +129,8 @@ def test_ranking_pages_and_display(spark, ix):
     red = spark.createDataFrame([("p#a", "Cat Page"), ("p#a", "Mat")], "key string, redirect string")
     hits = Q.hits_with_fields(ix, Q.rank_hits(scores), red, "default").orderBy("rank").collect()
     assert hits[0]["hit"].startswith("1. ") and hits[0]["hit"].endswith("█")
-    with pytest.raises(ValueError):
-        Q.resolve_display(["nope"])
+    with pytest.warns(UserWarning, match="nope"):
+        assert Q.resolve_display(["pageTitle", "nope", "pageTitle"]) == ["pageTitle"]
 
 
 def test_redirs_from_field_is_indexed(spark, ix):

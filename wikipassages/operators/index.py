@@ -1,6 +1,6 @@
 """Inverted index as ordinary tables.
 
-* ``docs``       doc_id, page, section, text, redirs_count  (stored fields)
+* ``docs``       doc_id, key, page, section, text, redirs_count, char_count  (stored fields)
 * ``postings``   field, term, doc_id, tf, len, positions     (len = tokens of the doc's field;
                  positions = sorted token positions, for phrase queries)
 * ``term_stats`` field, term, df
@@ -62,26 +62,28 @@ def _tokens(df: DataFrame) -> DataFrame:
             .select("doc_id", "field", "len", F.col("t.pos").alias("pos"), F.col("t.term").alias("term")))
 
 
-def _stem_postings(postings: DataFrame) -> DataFrame:
-    """Q11 on postings: stem each distinct term once, then merge the postings
-    of terms that share a stem (tf summed, positions united). Works on
-    (term, doc) rows rather than on every token."""
-    stemmed = stem_terms(postings)
-    return (stemmed.groupBy("field", "term", "doc_id", "len")
+def _stem_postings(postings: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Q11 on the postings of ``fields``: stem each distinct term once, then merge
+    the postings of terms that share a stem (tf summed, positions united).
+    Works on (term, doc) rows rather than on every token."""
+    plain = postings.where(~F.col("field").isin(*fields))
+    stemmed = stem_terms(postings.where(F.col("field").isin(*fields)))
+    return plain.unionByName(stemmed.groupBy("field", "term", "doc_id", "len")
             .agg(F.sum("tf").cast("int").alias("tf"),
                  F.array_sort(F.flatten(F.collect_list(F.coalesce("positions", F.array().cast("array<int>")))))
                  .alias("positions"),
                  F.max(F.col("positions").isNull().cast("int")).alias("_nopos"))
             .withColumn("positions", F.when(F.col("_nopos") == 1, F.lit(None).cast("array<int>"))
                         .otherwise(F.col("positions")))
-            .drop("_nopos"))
+            .drop("_nopos").select(*postings.columns))
 
 
-def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, stem: bool = False,
+def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, stem: bool | tuple[str, ...] = False,
                       extra: DataFrame | None = None) -> SearchIndex:
     """Index ``docs`` (must hold ``doc_id``): one text field per entry of ``fields``
     (field name -> column). ``analyzer`` maps a text column to
     ``array<struct<pos,term>>`` (default: letters, lower case, stop words).
+    ``stem``: names of the fields to stem (true: all of ``fields``).
     ``extra``: an optional ``doc_id, field, text`` table of further values of a
     field (many rows per document allowed), counted without gathering them.
     """
@@ -97,32 +99,46 @@ def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, st
 
     if extra is not None:
         more = _tokens(extra.select("doc_id", "field", analyzer(F.col("text")).alias("toks")))
-        more_len = more.groupBy("doc_id", "field").agg(F.count(F.lit(1)).cast("int").alias("len"))
         more_tf = (more.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
                    .withColumn("positions", F.lit(None).cast("array<int>")))
+        # lengths from the counts: the titles are tokenised once
+        more_len = more_tf.groupBy("doc_id", "field").agg(F.sum("tf").cast("int").alias("len"))
         postings = postings.unionByName(more_tf.join(more_len, ["doc_id", "field"]))
         field_len = field_len.unionByName(more_len.select("doc_id", "field", "len"))
 
     postings = postings.select("field", "term", "doc_id", "tf", "len", "positions")
     if stem:
-        postings = _stem_postings(postings)
+        postings = _stem_postings(postings, tuple(fields) if stem is True else tuple(stem))
     return SearchIndex(docs, postings, term_frequencies(postings), field_len)
 
 
+#: Between a document's key and what tells equal keys of several sources or loads apart.
+ID_SEP = "\u241f"
+
+
 def build_index(sections: DataFrame, redirects: DataFrame | None = None,
-                stop_words=tuple(STOP_WORDS), stem: bool = False) -> SearchIndex:
+                stop_words=tuple(STOP_WORDS), stem: bool | tuple[str, ...] = False, source: str | None = None,
+                load: str | None = None) -> SearchIndex:
     """Index the indexable sections (F8) of the primary job.
 
     ``sections``: ``key, page, section, n, text``; ``redirects``: the long
     ``key, redirect`` table (optional; without it ``redirsFrom`` is empty).
+    ``source``: column of both that names the input (U1); sections of equal
+    key from two sources are separate documents. ``load``: name of this run of
+    the indexer, for an index that is appended to: documents of two loads are
+    separate, too. Without both, ``doc_id`` is the key.
     """
+    def doc_id(key):
+        parts = [key] + ([F.col(source).cast("string")] if source else []) + ([F.lit(load)] if load else [])
+        return F.concat_ws(ID_SEP, *parts) if len(parts) > 1 else key
+
     docs = stats.indexable(sections).select(
-        F.col("key").alias("doc_id"), "page", "section", "text", F.col("n").alias("redirs_count"))
+        doc_id(F.col("key")).alias("doc_id"), "key", "page", "section", "text", F.col("n").alias("redirs_count"),
+        F.length("text").alias("char_count"))
     extra = None
     if redirects is not None:
-        extra = (redirects.join(docs.select(F.col("doc_id").alias("key")), "key", "left_semi")
-                 .select(F.col("key").alias("doc_id"), F.lit(REDIRS_FIELD).alias("field"),
-                         F.col("redirect").alias("text")))
+        extra = (redirects.select(doc_id(F.col("key")).alias("doc_id"), F.lit(REDIRS_FIELD).alias("field"), F.col("redirect").alias("text"))
+                 .join(docs.select("doc_id"), "doc_id", "left_semi"))
     return build_field_index(docs, dict(zip(TEXT_FIELDS, ("page", "section", "text"))),
                              lambda c: analyze(c, stop_words), stem, extra)
 
@@ -148,7 +164,9 @@ def field_lengths(postings: DataFrame) -> DataFrame:
 def write_index(index: SearchIndex, path: str, mode: str = "append") -> None:
     """K6/K7: store the index tables as Parquet under ``path``.
 
-    ``append`` adds documents like re-running the indexer on more files
+    ``append`` adds documents like re-running the indexer on more files; give
+    each appended index a ``load`` name, so that its documents are not taken
+    for those already there
     (``term_stats`` must then be rebuilt with :func:`rebuild_term_stats`);
     ``overwrite`` replaces the index. Postings and lengths are
     partitioned by field, so a search on one field reads one directory.

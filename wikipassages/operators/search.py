@@ -14,11 +14,14 @@ Scores are rounded to 6 places before ranking; ties go to the smaller doc id.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.analysis import STOP_WORDS, analyze, stem_terms
+from ..session import ensure_checkpoint_dir
 from ..sources.lines import gather_titles
 from .index import DEFAULT_FIELD, SearchIndex
 
@@ -27,7 +30,7 @@ SHOULD, MUST, MUST_NOT = "should", "must", "must_not"
 HITS_PER_PAGE = 10
 BM25_K1 = 1.2
 BM25_B = 0.75
-# Fields a hit can show, in the reference's order, and the presets.
+# The fields a hit can show, in their order, and the presets.
 DISPLAY_FIELDS = ("redirsFrom", "pageTitle", "sectionTitle", "sectionText", "redirsCount")
 DEFAULT_DISPLAY = ("redirsFrom", "pageTitle", "sectionTitle")
 _DISPLAY_COLUMNS = {"redirsFrom": "redirs_from", "pageTitle": "page", "sectionTitle": "section",
@@ -279,34 +282,51 @@ def fuzzy_scores(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
     """Q7 fuzzy clauses, each a nested OR of its expansions, scored by TF-IDF.
 
     ``fuzzy``: ``query_id, clause_id, field, qterm[, qtf]``. A clause's score in
-    a document, ``S = sum(boost * sqrt(tf) * idf^2 / sqrt(len))`` over its
-    expansions (boost = 1 - edits / min(len(q), len(t))), and its weight
-    ``W = sum((idf * boost)^2)`` do not depend on the query, so they are
-    computed once per distinct (field, qterm) and then fanned out:
+    a document is ``S = sum(boost * sqrt(tf) * idf^2 / sqrt(len))`` over its
+    expansions (boost = 1 - edits / min(len(q), len(t))), its weight
+    ``W = sum((idf * boost)^2)``, and
     ``score = coord * sum(qtf * S) / sqrt(sum(qtf * W))`` with
     ``coord = matched clauses / clauses``.
+
+    Every distinct (field, qterm) is expanded once. The score is linear in the
+    expansions, so a query's clauses are folded to one weight per indexed term
+    and a posting meets each query once, however many of its clauses reach
+    the term. Only ``coord`` tells clauses apart: a query's clauses are bits of
+    63-bit words, united per (query, document, word). There is no cap on
+    expansions.
     """
     if "qtf" not in fuzzy.columns:
         fuzzy = fuzzy.withColumn("qtf", F.lit(1))
+    ensure_checkpoint_dir(fuzzy.sparkSession)
     n = index.n_docs()
-    qterms = fuzzy.select("field", "qterm").distinct()
+    clauses = fuzzy.groupBy("query_id", "field", "qterm").agg(F.sum("qtf").cast("int").alias("qtf"))
+    qterms = clauses.select("field", "qterm").distinct()
     one = qterms.select("field", "qterm", F.lit(0).alias("query_id"), F.col("qterm").alias("clause_id"))
     exp = (expand_fuzzy(index, one, max_edits)
            .withColumn("boost", F.lit(1.0) - F.col("edits") / F.least(F.length("qterm"), F.length("term")))
            .join(index.term_stats, ["field", "term"])
            .withColumn("idf", _idf_tfidf(n, F.col("df").cast("double")))
-           .select("field", "qterm", "term", "boost", "idf"))
+           .select("field", "qterm", "term", "boost", "idf")).checkpoint()
     weight = exp.groupBy("field", "qterm").agg(
         F.sum((F.col("idf") * F.col("boost")) * (F.col("idf") * F.col("boost"))).alias("w"))
-    per_doc = (index.postings.select("field", "term", "doc_id", "tf", "len").join(exp, ["field", "term"])
-               .groupBy("field", "qterm", "doc_id")
-               .agg(F.sum(F.col("boost") * F.sqrt("tf") * F.col("idf") * F.col("idf") / F.sqrt("len")).alias("s")))
-    clauses = fuzzy.join(weight, ["field", "qterm"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
-    qinfo = clauses.groupBy("query_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("sumsq"),
-                                            F.sum("qtf").alias("n_clauses"))
-    hits = (clauses.select("query_id", "field", "qterm", "qtf").join(per_doc, ["field", "qterm"])
-            .groupBy("query_id", "doc_id")
-            .agg(F.sum(F.col("qtf") * F.col("s")).alias("raw"), F.sum("qtf").alias("matched")))
+    qinfo = (clauses.join(weight, ["field", "qterm"], "left").groupBy("query_id")
+             .agg(F.sum(F.col("qtf") * F.coalesce("w", F.lit(0.0))).alias("sumsq"), F.sum("qtf").alias("n_clauses")))
+
+    # one bit for each occurrence of a clause, numbered within its query
+    before = Window.partitionBy("query_id").orderBy("field", "qterm").rowsBetween(Window.unboundedPreceding, -1)
+    bits = (clauses.withColumn("first", F.coalesce(F.sum("qtf").over(before), F.lit(0)))
+            .select("query_id", "field", "qterm", "qtf", "first",
+                    F.explode(F.sequence("first", F.col("first") + F.col("qtf") - 1)).alias("bit"))
+            .groupBy("query_id", "field", "qterm", "qtf", "first", F.floor(F.col("bit") / 63).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 as int))")).alias("mask")))
+    share = F.when(F.col("word") == F.floor(F.col("first") / 63), F.col("qtf") * F.col("boost") * F.col("idf") * F.col("idf")).otherwise(0.0)
+    folded = (bits.join(exp, ["field", "qterm"])
+              .groupBy("query_id", "field", "term", "word").agg(F.sum(share).alias("weight"), F.bit_or("mask").alias("mask")))
+    # postings dealt by document: what a document gives to a query stays in one task
+    postings = index.postings.select("field", "term", "doc_id", (F.sqrt("tf") / F.sqrt("len")).alias("norm")).repartition("doc_id")
+    hits = (postings.join(folded, ["field", "term"])
+            .groupBy("doc_id", "query_id", "word").agg(F.sum(F.col("weight") * F.col("norm")).alias("raw"), F.bit_or("mask").alias("mask"))
+            .groupBy("doc_id", "query_id").agg(F.sum("raw").alias("raw"), F.sum(F.bit_count("mask")).alias("matched")))
     return (hits.join(qinfo, "query_id")
             .select("query_id", "doc_id",
                     (F.col("raw") / F.sqrt("sumsq") * F.col("matched") / F.col("n_clauses")).alias("score")))
@@ -327,17 +347,20 @@ def page_of_hits(scores: DataFrame, page: int) -> DataFrame:
 
 
 def resolve_display(fields="all") -> list[str]:
-    """Q9: ``"all"`` / ``"default"`` / ``"none"`` or an explicit list of field names."""
+    """Q9: ``"all"`` / ``"default"`` / ``"none"`` or an explicit list of field names.
+
+    A name that is no field is reported as a warning and left out.
+    """
     if fields == "all":
         return list(DISPLAY_FIELDS)
     if fields == "default":
         return list(DEFAULT_DISPLAY)
     if fields == "none":
         return []
-    unknown = [f for f in fields if f not in DISPLAY_FIELDS]
-    if unknown:
-        raise ValueError(f"not valid field names: {unknown}; valid: {list(DISPLAY_FIELDS)}")
-    return list(dict.fromkeys(fields))
+    for name in fields:
+        if name not in DISPLAY_FIELDS:
+            warnings.warn(f"{name!r} is not a field; fields: {', '.join(DISPLAY_FIELDS)}", stacklevel=2)
+    return [f for f in dict.fromkeys(fields) if f in DISPLAY_FIELDS]
 
 
 def hits_with_fields(index: SearchIndex, ranked: DataFrame, redirects: DataFrame | None = None,
@@ -353,10 +376,9 @@ def hits_with_fields(index: SearchIndex, ranked: DataFrame, redirects: DataFrame
     if "redirsFrom" in shown:
         if redirects is None:
             raise ValueError("redirsFrom needs the redirects table")
-        shown_keys = ranked.select(F.col("doc_id").alias("key")).distinct()
-        titles = (gather_titles(redirects.join(shown_keys, "key", "left_semi"))
-                  .select(F.col("key").alias("doc_id"), T.tab_terminated("redirs").alias("redirs_from")))
-        out = out.join(titles, "doc_id", "left")
+        titles = (gather_titles(redirects.join(out.select("key").distinct(), "key", "left_semi"))
+                  .select("key", T.tab_terminated("redirs").alias("redirs_from")))
+        out = out.join(titles, "key", "left")
     cols = [F.coalesce(F.col(_DISPLAY_COLUMNS[f]).cast("string"), F.lit("")) for f in shown]
     line = F.concat(F.col("rank").cast("string"), F.lit(". "),
                     *[F.concat(c, F.lit(T.HIT_SEP)) for c in cols]) if cols else F.lit(None).cast("string")

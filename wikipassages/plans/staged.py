@@ -51,13 +51,24 @@ def redirect_edges(sections: DataFrame) -> DataFrame:
 
 
 def redirected_texts(sections: DataFrame) -> DataFrame:
-    """Jobs 3-4: ``key, text`` of every section that some record redirects to (L5 rows)."""
+    """Jobs 3-4: ``key, text`` of every section that some record redirects to (L5 rows).
+
+    A record goes under its own key if it redirects nowhere, or to itself; a
+    group needs a second member, so a self-redirect does not make one.
+    """
     targets = T.staged_redirect_targets(T.java_trim(F.col("text")))
-    own = sections.where(F.size(targets) == 0).select("key", "text")
-    edges = redirect_edges(sections)
+    own = sections.where((F.size(targets) == 0) | F.array_contains(targets, F.col("title"))).select("key", "text")
+    edges = redirect_edges(sections).where(F.col("target") != F.col("title"))
     return own.join(edges.select(F.col("target").alias("key")), "key", "left_semi")
 
 
+def redirected_groups(groups: DataFrame) -> DataFrame:
+    """Job 4 on L2 rows (``key, n, pages``): ``key, text`` of the groups with more than one
+    member that hold a member titled as the key."""
+    own = F.filter("pages", lambda p: p["title"] == F.col("key"))
+    return groups.where((F.size("pages") > 1) & (F.size(own) > 0)).select("key", F.get(own, F.lit(0))["text"].alias("text"))
+
+
 def redirect_groups(sections: DataFrame) -> DataFrame:
     """A4 for the L2 line sink: ``key, n, pages array<struct<title,text>>``.
 

@@ -56,19 +56,23 @@ def parse_redirect_group_lines(lines: DataFrame) -> DataFrame:
 
 
 def parse_section_lines(lines: DataFrame) -> DataFrame:
-    """S7 (L3) + F8: ``page, section, n, redirs, text, is_malformed``.
+    """S7 (L3) + F8: ``key, page, section, n, redirs, text, is_malformed``.
 
     A line is indexable when it has more than 4 parts and exactly ``4 + n``
     (so an empty text, which Java's split drops, is not). A line with more
     than 4 parts that is not indexable, or whose count is not a number, is
-    marked ``is_malformed`` (the dead-letter rows); shorter lines are skipped.
+    marked ``is_malformed`` (the dead-letter rows), and so is one without a tab
+    before its page; shorter lines are skipped.
     """
     parts = _parts(F.col("value"))
     size = F.size(parts)
     n = F.try_element_at(parts, F.lit(3)).try_cast("int")
-    valid = (size > 4) & n.isNotNull() & (size == n + 4)
+    head = _key_fields(parts.getItem(0))
+    page = F.try_element_at(head, F.lit(2))
+    valid = n.isNotNull() & (size == n + 4) & page.isNotNull()
     df = lines.where(size > 4).select(
-        F.try_element_at(_key_fields(parts.getItem(0)), F.lit(2)).alias("page"),
+        F.try_element_at(head, F.lit(1)).alias("key"),
+        page.alias("page"),
         F.try_element_at(parts, F.lit(2)).alias("section"),
         n.alias("n"),
         F.when(valid, F.slice(parts, 4, F.greatest(n, F.lit(0)))).alias("redirs"),
