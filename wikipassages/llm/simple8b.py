@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import shared_path, text_slices, written
+from wikipassages.llm.common import STEP_BYTES, text_slices, written
 from wikipassages.llm.word_ids import word_ids
 
 #: Fixed values of the code: bits of an id and ids of a word, by selector.
@@ -34,6 +34,8 @@ WIDTHS = [(1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7),
 ESCAPE = 14
 MAGIC = b"S8BTOKEN"
 BLOCK_IDS = 1024
+#: Blocks coded at a time.
+STEP_BLOCKS = 512
 #: Ids of a file.
 FILE_IDS = 4 << 20
 
@@ -47,13 +49,17 @@ def _bits(ids: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarray]:
-    """Words of all blocks, and each block's first word's number (with the end).
+    """Words of all blocks, and each block's first word's number (with the end)."""
+    parts = [_pack(ids[i:i + STEP_BLOCKS * block], block) for i in range(0, len(ids), STEP_BLOCKS * block)]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    before = np.cumsum([0, *(len(w) for w, _ in parts)])
+    return np.concatenate([w for w, _ in parts]), np.append(np.concatenate([o[:-1] + b for (_, o), b in zip(parts, before)]), before[-1])
 
-    All blocks are packed in step, one word each at a time.
-    """
+
+def _pack(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Some blocks side by side, one word each at a time."""
     blocks = -(-len(ids) // block)
-    if not blocks:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     side = block + 64                     # zeros follow each block, they need no bits
     grid = np.zeros((blocks, side), np.uint64)
     full, rest = divmod(len(ids), block)
@@ -108,7 +114,17 @@ def pack(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarra
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, total: int, block: int) -> np.ndarray:
-    """All ids again; blocks are decoded side by side, one pass for each selector."""
+    """All ids again."""
+    out = np.zeros(total, np.uint64 if total and int((words >> np.uint64(60)).max(initial=0)) >= ESCAPE - 1 else np.uint32)
+    for i in range(0, len(offsets) - 1, STEP_BLOCKS):
+        edge = offsets[i:i + STEP_BLOCKS + 1]
+        n = min(total - i * block, (len(edge) - 1) * block)
+        out[i * block:i * block + n] = _unpack(words[edge[0]:edge[-1]], edge - edge[0], n, block)
+    return out
+
+
+def _unpack(words: np.ndarray, offsets: np.ndarray, total: int, block: int) -> np.ndarray:
+    """Some blocks side by side, one pass for each selector."""
     blocks = len(offsets) - 1
     steps = np.array([n for _, n in WIDTHS] + [1])
     selector = (words >> np.uint64(60)).astype(np.uint8)
@@ -198,7 +214,7 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, end_id: int, doc: st
                                               schema=pa.schema([("part", pa.int32()), ("file", pa.int32()), ("name", pa.string()),
                                                                 ("docs", pa.int64()), ("ids", pa.int64())]))
 
-        for rows in text_slices(batches, "text"):
+        for rows in text_slices(batches, "text", min(STEP_BYTES, 4 * file_ids)):
             ids, offsets = codec.encode(rows.column("text"))
             ids = np.insert(ids, offsets[1:], end_id).astype(np.uint32)
             if held and size + len(ids) > file_ids:
@@ -226,7 +242,7 @@ def read_files(spark: SparkSession, folder: str, manifest: DataFrame, doc: str =
         for batch in batches:
             for name, content in zip(batch.column("name"), batch.column("content")):
                 docs, nulls, counts, ids = from_file(content.as_buffer())
-                ids = ids.astype("<u4")
+                ids = ids.astype("<u4", copy=False)
                 ends = np.cumsum(counts)
                 crc = [zlib.crc32(ids[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(docs)), pa.array(docs, mask=nulls), pa.array(ends - counts),
