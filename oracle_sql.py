@@ -365,6 +365,82 @@ edges AS (
 SELECT t.title, e.r_from FROM titles t JOIN edges e ON e.target = t.title"""
 
 
+SEARCH_MUST_NOT = SEARCH_CTE + """,
+bad AS (SELECT query_id, min(term) AS term FROM qt GROUP BY query_id),
+good AS (SELECT qt.* FROM qt ANTI JOIN bad USING (query_id, term)),
+qi AS (SELECT good.query_id, good.term, good.qtf, 1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
+       FROM good LEFT JOIN dfs USING (term), nd),
+qn AS (SELECT query_id, sum(qtf * idf * idf) AS sumsq, sum(qtf) AS clauses FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id, sum(qi.qtf * sqrt(p.tf) * qi.idf * qi.idf / sqrt(p.len)) AS raw, sum(qi.qtf) AS hits
+      FROM post p JOIN qi USING (term) GROUP BY qi.query_id, p.doc_id),
+no AS (SELECT bad.query_id, post.doc_id FROM bad JOIN post USING (term)),
+sc AS (SELECT m.query_id, m.doc_id, round(m.raw / sqrt(qn.sumsq) * m.hits / qn.clauses, 6) AS score
+       FROM m ANTI JOIN no USING (query_id, doc_id) JOIN qn USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+       FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
+def _constant_clauses(clauses: str, matches: str) -> str:
+    """Top 10 of constant-score clauses: ``matches`` joins vocab v to clause cl."""
+    return SEARCH_CTE + f""",
+vocab AS (SELECT DISTINCT term FROM post),
+cl AS (SELECT query_id, term AS clause_id FROM qt {clauses}),
+ncl AS (SELECT query_id, count(*) AS clauses FROM cl GROUP BY query_id),
+ex AS (SELECT cl.query_id, cl.clause_id, v.term FROM cl JOIN vocab v ON {matches}),
+hit AS (SELECT DISTINCT ex.query_id, ex.clause_id, p.doc_id FROM ex JOIN post p USING (term)),
+m AS (SELECT query_id, doc_id, count(*) AS matched FROM hit GROUP BY ALL),
+sc AS (SELECT m.query_id, m.doc_id, round(m.matched * m.matched / pow(ncl.clauses, 1.5), 6) AS score
+       FROM m JOIN ncl USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+       FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
+SEARCH_WILDCARD = _constant_clauses(
+    "WHERE length(term) >= 3",
+    "starts_with(v.term, left(cl.clause_id, 2)) AND right(v.term, 1) = right(cl.clause_id, 1) AND length(v.term) >= 4")
+SEARCH_RANGE = _constant_clauses("", "v.term >= cl.clause_id AND v.term <= cl.clause_id || 'm'")
+
+# The same sections twice: every posting and document a second time under its own id.
+SEARCH_AFTER_APPEND = SEARCH_CTE + """,
+post2 AS (SELECT term, doc_id, len, tf FROM post UNION ALL SELECT term, doc_id || chr(9247) || '2', len, tf FROM post),
+qi AS (SELECT qt.query_id, qt.term, qt.qtf, ln(2 * nd.n / (CAST(2 * coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) + 1.0 AS idf
+       FROM qt LEFT JOIN dfs USING (term), nd),
+need AS (SELECT query_id, count(*) AS n_terms FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id,
+             sum(qi.qtf * qi.idf * CAST(p.tf AS DOUBLE) * 2.2
+                 / (CAST(p.tf AS DOUBLE) + 1.2 * (0.25 + 0.75 * p.len / avgl.avg))) AS score,
+             count(*) AS matched
+      FROM post2 p JOIN qi USING (term), avgl GROUP BY qi.query_id, p.doc_id),
+sc AS (SELECT m.query_id, m.doc_id, round(m.score, 6) AS score FROM m JOIN need USING (query_id)
+       WHERE m.matched = need.n_terms),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+       FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+SEARCH_HITS = SEARCH_TFIDF_SCORES + """,
+r AS (
+  SELECT lower('Doc ' || doc_id || '–' || lang || '#S ' || i) AS key,
+         'R ' || doc_id || ' ' || i || ' ' || unnest(range(1, c + 1)) AS redirect
+  FROM sec WHERE c > 0
+  UNION ALL
+  SELECT lower('Doc ' || h.hd || '–' || h.hl || '#S 1'), 'Hub ' || d.doc_id FROM d, hub h
+),
+titles AS (SELECT key, string_agg(redirect || chr(9), '' ORDER BY redirect) AS t FROM r GROUP BY key)
+SELECT query_id, rank, rank || '. ' || t || chr(9608) || ix.page || chr(9608) || ix.section || chr(9608) AS hit
+FROM rk JOIN ix ON ix.key = rk.doc_id JOIN titles USING (key) WHERE rank <= 10"""
+
+DEAD_LETTERS = "WITH " + CORPUS_CTE + """
+SELECT '<page><title>Broken_' || doc_id || '</title><revision><text>'
+       || replace(replace(replace(replace(coalesce(l[1], ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')
+       || '</revision></page>' AS record
+FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -386,4 +462,14 @@ def oracle_sql() -> dict[str, str]:
         "staged_sections": STAGED_SECTIONS,
         "staged_redirected": STAGED_REDIRECTED,
         "link_inversion": LINK_INVERSION,
+        "search_must_not": SEARCH_MUST_NOT,
+        "search_wildcard": SEARCH_WILDCARD,
+        "search_range": SEARCH_RANGE,
+        "search_hits": SEARCH_HITS,
+        "search_after_append": SEARCH_AFTER_APPEND,
+        "dead_letters": DEAD_LETTERS,
+        "lines_section_stats": SECTION_STATS_BY_LANG,
+        "lines_count_hist": REDIRS_COUNT_HIST,
+        "lines_staged_sections": STAGED_SECTIONS,
+        "lines_staged_redirected": STAGED_REDIRECTED,
     }

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..operators import index, links, search, stats
 from ..operators.redirects import join_redirected_sections
-from ..session import materialize
-from ..sources import dump
+from ..session import materialize, stage_path
+from ..sources import dump, lines
 from . import corpus, prototype, staged
 from .primary import PrimaryResult, run_primary_records
 
@@ -191,6 +191,108 @@ def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.prototype_search(ix, benchmark_queries(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- more clause kinds
+def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: the alphabetically first term of each benchmark text is forbidden, the others optional; top 10."""
+    q = search.query_terms(benchmark_queries(spark, sf_dir))
+    first = q.groupBy("query_id").agg(F.min("term").alias("first"))
+    q = q.join(first, "query_id").withColumn(
+        "occur", F.when(F.col("term") == F.col("first"), F.lit(search.MUST_NOT)).otherwise(F.lit(search.SHOULD))).drop("first")
+    return _top(search.tfidf_scores(section_index(spark, sf_dir), q))
+
+
+def _constant(spark: SparkSession, sf_dir: str, clauses: DataFrame, expand) -> DataFrame:
+    ix = section_index(spark, sf_dir)
+    return _top(search.constant_clause_scores(ix, expand(ix, clauses), clauses.select("query_id", "clause_id")))
+
+
+def _term_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (search.query_terms(benchmark_queries(spark, sf_dir))
+            .select("query_id", F.col("term").alias("clause_id"), "field", "term"))
+
+
+def search_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: first two letters, any run, any letter, the last letter - for every term of three letters or more."""
+    q = _term_clauses(spark, sf_dir).where(F.length("term") >= 3)
+    pattern = F.concat(F.substring("term", 1, 2), F.lit("*?"), F.expr("right(term, 1)"))
+    return _constant(spark, sf_dir, q.withColumn("pattern", pattern).drop("term"), search.expand_wildcard)
+
+
+def search_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: all terms from a query's term up to the term followed by ``m``."""
+    q = _term_clauses(spark, sf_dir).select("query_id", "clause_id", "field", F.col("term").alias("lo"),
+                                            F.concat("term", F.lit("m")).alias("hi"))
+    return _constant(spark, sf_dir, q, search.expand_range)
+
+
+def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 + Q10 + C16: the shown lines of the TF-IDF hits, default fields."""
+    ix = section_index(spark, sf_dir)
+    ranked = search.rank_hits(search.tfidf_scores(ix, search.query_terms(benchmark_queries(spark, sf_dir))))
+    return search.hits_with_fields(ix, ranked, primary(spark, sf_dir).redirects, "default").select("query_id", "rank", "hit")
+
+
+def search_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + U1: all terms required, BM25, over an index to which the same sections were added again as a second load."""
+    def built() -> DataFrame:
+        res = primary(spark, sf_dir)
+        path = stage_path(spark, "appended-index")
+        for mode, load in (("overwrite", None), ("append", "2")):
+            index.write_index(index.build_index(res.redirected, load=load), path, mode)
+        ix = index.read_index(spark, path)
+        return _top(search.bm25_scores(ix, search.query_terms(benchmark_queries(spark, sf_dir))))
+    return materialize(spark, f"search-after-append:{sf_dir}", built)
+
+
+# ---------------------------------------------------------------- through the line formats
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the corpus with one damaged record for each document; the damaged ones come back as they are."""
+    return dump.dead_letters(corpus.corpus_xml(spark, sf_dir).union(corpus.damaged_xml(spark, sf_dir)))
+
+
+def lines_section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 -> S7, S9 -> A5-A7, A10: section lines written apart for each language, read back, statistics for each."""
+    def written() -> DataFrame:
+        res = primary(spark, sf_dir)
+        path = stage_path(spark, "section-lines")
+        rows = lines.sections_with_redirs(_with_source(res.redirected), res.redirects)
+        lines.write_lines(rows, lines.section_line(), path, partition_by="source")
+        read = lines.parse_section_lines(lines.read_lines(spark, f"{path}/*", with_file=True))
+        source = F.regexp_extract("source_file", r"/source=([^/]*)/", 1)
+        return read.where(~F.col("is_malformed")).select("key", "page", "section", "n", "text", source.alias("source"))
+    sections = materialize(spark, f"section-lines:{sf_dir}", written)
+    return stats.section_stats(sections, by=["source"])
+
+
+def lines_count_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5, K8, L5 -> S8: redirect-count lines in sorted parts, read back."""
+    def written() -> DataFrame:
+        path = stage_path(spark, "count-lines")
+        lines.write_lines(redirs_count_hist(spark, sf_dir), lines.count_line(), path, num_parts=3, sort_key="redirs_count")
+        return lines.read_count_lines(spark, path)
+    return materialize(spark, f"count-lines:{sf_dir}", written)
+
+
+def lines_staged_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> S5: the staged chain with job 1's page lines written and read back before job 2."""
+    def written() -> DataFrame:
+        path = stage_path(spark, "page-lines")
+        lines.write_lines(staged.page_records(staged_pages(spark, sf_dir)), lines.page_line(), path)
+        return staged.merged_sections(lines.parse_page_lines(lines.read_lines(spark, path)))
+    return materialize(spark, f"page-lines:{sf_dir}", written).select("key", "text")
+
+
+def lines_staged_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4, A4, K2 -> S6 -> F7: redirect groups written as lines and read back before job 4's filter."""
+    def written() -> DataFrame:
+        path = stage_path(spark, "group-lines")
+        sections = materialize(spark, f"staged-sections:{sf_dir}", lambda: staged.merged_sections(
+            staged.page_records(staged_pages(spark, sf_dir))))
+        lines.write_lines(staged.redirect_groups(sections), lines.redirect_group_line(), path)
+        return staged.redirected_groups(lines.parse_redirect_group_lines(lines.read_lines(spark, path)))
+    return materialize(spark, f"group-lines:{sf_dir}", written)
+
+
 QUERIES = {
     "redirected_sections": redirected_sections,
     "section_redirects": section_redirects,
@@ -212,4 +314,14 @@ QUERIES = {
     "staged_redirected": staged_redirected,
     "link_inversion": link_inversion,
     "prototype_search": prototype_search,
+    "search_must_not": search_must_not,
+    "search_wildcard": search_wildcard,
+    "search_range": search_range,
+    "search_hits": search_hits,
+    "search_after_append": search_after_append,
+    "dead_letters": dead_letters,
+    "lines_section_stats": lines_section_stats,
+    "lines_count_hist": lines_count_hist,
+    "lines_staged_sections": lines_staged_sections,
+    "lines_staged_redirected": lines_staged_redirected,
 }

@@ -123,3 +123,11 @@ def pages_to_xml(pages: DataFrame) -> DataFrame:
 def corpus_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as dump records, ready for :func:`wikipassages.sources.dump.parse_pages`."""
     return pages_to_xml(corpus_pages(spark, sf_dir))
+
+
+def damaged_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record for each document that is no well-formed XML: its text element is not closed."""
+    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    lead = F.coalesce(F.try_element_at("lines", F.lit(1)), F.lit(""))
+    return lined.select(F.concat(F.lit("<page><title>Broken_"), F.col("doc_id").cast("string"), F.lit("</title><revision><text>"),
+                                 xml_escape(lead), F.lit("</revision></page>")).alias("xml"))

@@ -78,6 +78,11 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path for files of this run in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 
