@@ -9,6 +9,9 @@ Spark queries exactly.
 
 from __future__ import annotations
 
+from wikipassages.functions import porter
+from wikipassages.functions.analysis import PROTOTYPE_STOP_WORDS
+
 # Lines of each document, the sections built from them, and the hub.
 CORPUS_CTE = """
 d AS (
@@ -441,6 +444,102 @@ SELECT '<page><title>Broken_' || doc_id || '</title><revision><text>'
 FROM d"""
 
 
+# Porter stems of a table terms(term): one CTE for each step. Consonantal y is
+# written Y meanwhile.
+_M0, _M1 = "^[^aeiouy]*[aeiouy]+[^aeiouy]", "^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]"
+_ONE, _CVC = "^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]*$", "[^aeiouy][aeiouy][^aeiouywxY]$"
+
+
+def _cut(n: int) -> str:
+    return f"left(w, length(w) - {n})"
+
+
+def _doubled(w: str) -> str:
+    return f"length({w}) >= 2 AND lower({w}[-1]) = lower({w}[-2]) AND regexp_matches({w}, '[^aeiouy]$')"
+
+
+def _rules(rules, condition: str) -> str:
+    return "CASE " + " ".join(
+        f"WHEN ends_with(w, '{suffix}') THEN CASE WHEN regexp_matches({_cut(len(suffix))}, '{condition}') THEN {_cut(len(suffix))} || '{new}' ELSE w END"
+        for suffix, new in rules) + " ELSE w END"
+
+
+_STEP4 = "CASE " + " ".join(
+    f"WHEN ends_with(w, '{suffix}')" + (f" AND regexp_matches({_cut(3)}, '[st]$')" if suffix == "ion" else "")
+    + f" THEN CASE WHEN regexp_matches({_cut(len(suffix))}, '{_M1}') THEN {_cut(len(suffix))} ELSE w END"
+    for suffix in porter.STEP4) + " ELSE w END"
+
+STEM_CTE = f"""
+p0 AS (SELECT term, replace(regexp_replace(regexp_replace(term, '^y', 'Y'), '([aeiou])y', '\\1Y', 'g'), 'yy', 'yY') AS w FROM terms),
+p1 AS (SELECT term, CASE WHEN ends_with(w, 'sses') OR ends_with(w, 'ies') THEN {_cut(2)}
+                         WHEN ends_with(w, 'ss') OR NOT ends_with(w, 's') THEN w ELSE {_cut(1)} END AS w FROM p0),
+p2 AS (SELECT term, w, CASE WHEN ends_with(w, 'eed') THEN NULL
+                            WHEN ends_with(w, 'ed') AND regexp_matches({_cut(2)}, '[aeiouy]') THEN {_cut(2)}
+                            WHEN ends_with(w, 'ing') AND regexp_matches({_cut(3)}, '[aeiouy]') THEN {_cut(3)} END AS s FROM p1),
+p3 AS (SELECT term, CASE
+         WHEN ends_with(w, 'eed') THEN CASE WHEN regexp_matches({_cut(3)}, '{_M0}') THEN {_cut(1)} ELSE w END
+         WHEN s IS NULL THEN w
+         WHEN ends_with(s, 'at') OR ends_with(s, 'bl') OR ends_with(s, 'iz') THEN s || 'e'
+         WHEN {_doubled('s')} AND NOT regexp_matches(s, '[lsz]$') THEN left(s, length(s) - 1)
+         WHEN regexp_matches(s, '{_ONE}') AND regexp_matches(s, '{_CVC}') THEN s || 'e' ELSE s END AS w FROM p2),
+p4 AS (SELECT term, CASE WHEN regexp_matches(w, '[yY]$') AND regexp_matches({_cut(1)}, '[aeiouy]') THEN {_cut(1)} || 'i' ELSE w END AS w FROM p3),
+p5 AS (SELECT term, {_rules(porter.STEP2, _M0)} AS w FROM p4),
+p6 AS (SELECT term, {_rules(porter.STEP3, _M0)} AS w FROM p5),
+p7 AS (SELECT term, {_STEP4} AS w FROM p6),
+p8 AS (SELECT term, CASE WHEN ends_with(w, 'e') AND (regexp_matches({_cut(1)}, '{_M1}')
+                              OR (regexp_matches({_cut(1)}, '{_ONE}') AND NOT regexp_matches({_cut(1)}, '{_CVC}'))) THEN {_cut(1)} ELSE w END AS w FROM p7),
+stems AS (SELECT term, CASE WHEN length(term) <= 2 THEN term
+                            WHEN ends_with(w, 'll') AND regexp_matches(w, '{_M1}') THEN replace({_cut(1)}, 'Y', 'y') ELSE replace(w, 'Y', 'y') END AS stem FROM p8)
+"""
+
+_WORD = "[\\p{L}\\p{Nl}\\p{Nd}\\p{M}\\p{Pc}]"
+PROTOTYPE_STOP_LIST = str(PROTOTYPE_STOP_WORDS)
+
+
+def _words(col: str) -> str:
+    """Word tokens of two letters or more, lower-cased, stop words removed."""
+    return (f"list_filter(list_transform(regexp_extract_all({col}, '{_WORD}+(?:\\.?{_WORD}+)*'), lambda x: lower(x)), "
+            f"lambda x: length(x) >= 2 AND NOT list_contains({PROTOTYPE_STOP_LIST}, x))")
+
+
+STEM_VOCABULARY = f"""
+WITH terms AS (SELECT DISTINCT unnest({_words("text")}) AS term FROM documents WHERE text IS NOT NULL),
+{STEM_CTE}
+SELECT term, stem FROM stems"""
+
+# Pages that something points at: all content pages (their Lead and P pages) and the css pages.
+PROTOTYPE_SEARCH = "WITH " + CORPUS_CTE + f""",
+bodies AS (SELECT doc_id, string_agg(chr(10) || repeat('=', CAST(2 + (i - 1) % 3 AS INTEGER)) || ' S_' || i || ' '
+                                     || repeat('=', CAST(2 + (i - 1) % 3 AS INTEGER)) || chr(10) || l[i + 1], '' ORDER BY i) AS body FROM s GROUP BY doc_id),
+pages AS (
+  SELECT 'Doc_' || doc_id || '-' || lang AS doc_id,
+         coalesce(l[1], '') || ' {{{{Main|Doc_' || (doc_id + 1) || '-' || lang || '}}}}' || coalesce(body, '') AS text
+  FROM d LEFT JOIN bodies USING (doc_id)
+  UNION ALL SELECT 'Css_' || doc_id, 'x' || chr(10) || '== S_1 ==' || chr(10) || coalesce(l[1], '') FROM d
+),
+dw AS (SELECT doc_id, {_words("text")} AS toks FROM pages),
+qw AS (SELECT item_id AS query_id, unnest({_words("text")}) AS term FROM benchmark),
+tw AS (SELECT doc_id, len(toks) AS len, unnest(toks) AS term FROM dw),
+terms AS (SELECT DISTINCT term FROM (SELECT term FROM tw UNION ALL SELECT term FROM qw)),
+{STEM_CTE},
+post AS (SELECT stem, doc_id, len, count(*) AS tf FROM tw JOIN stems USING (term) GROUP BY ALL),
+dfs AS (SELECT stem, count(*) AS df FROM post GROUP BY stem),
+qt AS (SELECT query_id, stem, count(*) AS qtf FROM qw JOIN stems USING (term) GROUP BY ALL),
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM pages),
+avgl AS (SELECT CAST(sum(len(toks)) AS DOUBLE) / (SELECT n FROM nd) AS avg FROM dw),
+qi AS (SELECT qt.query_id, qt.stem, qt.qtf, ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) + 1.0 AS idf
+       FROM qt LEFT JOIN dfs USING (stem), nd),
+need AS (SELECT query_id, count(*) AS n_terms FROM qi GROUP BY query_id),
+m AS (SELECT qi.query_id, p.doc_id,
+             sum(qi.qtf * qi.idf * CAST(p.tf AS DOUBLE) * 2.2
+                 / (CAST(p.tf AS DOUBLE) + 1.2 * (0.25 + 0.75 * p.len / avgl.avg))) AS score, count(*) AS matched
+      FROM post p JOIN qi USING (stem), avgl GROUP BY ALL),
+sc AS (SELECT m.query_id, m.doc_id, round(m.score, 6) AS score FROM m JOIN need USING (query_id) WHERE m.matched = need.n_terms),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -462,6 +561,8 @@ def oracle_sql() -> dict[str, str]:
         "staged_sections": STAGED_SECTIONS,
         "staged_redirected": STAGED_REDIRECTED,
         "link_inversion": LINK_INVERSION,
+        "prototype_search": PROTOTYPE_SEARCH,
+        "stem_vocabulary": STEM_VOCABULARY,
         "search_must_not": SEARCH_MUST_NOT,
         "search_wildcard": SEARCH_WILDCARD,
         "search_range": SEARCH_RANGE,

@@ -2,20 +2,14 @@
 
 Tokens are maximal runs of letters, lower-cased; stop words are dropped but
 positions keep their gaps, so phrase queries see where a stop word stood.
-All of it is JVM-side array work; the optional Porter stemming runs as an
-Arrow ``pandas_udf`` over the *distinct* terms of a table and is joined back.
+All of it is JVM-side work; the optional Porter stemming runs over the
+*distinct* terms of a table and is joined back.
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 from . import porter
 
@@ -59,25 +53,13 @@ def terms(text: Column | str, stop_words=tuple(STOP_WORDS)) -> Column:
     return F.transform(analyze(text, stop_words), lambda s: s["term"])
 
 
-# The stemmer travels with the UDF (pickled by value), so Python workers need
-# no installed copy of this package.
-cloudpickle.register_pickle_by_value(porter)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@pandas_udf(StringType())
-def porter_stem(words: pd.Series) -> pd.Series:
-    """Q11: Porter stem of each word (Arrow batches; call it on distinct terms)."""
-    return words.map(porter.stem)
-
-
 def stem_terms(df: DataFrame, term_col: str = "term") -> DataFrame:
     """Replace ``term_col`` by its stem, stemming each distinct term once.
 
     The distinct terms are a small table (vocabulary grows far slower than
-    text); they are stemmed in Python once and joined back on the term.
+    text); they are stemmed once and joined back on the term.
     """
     vocab = df.select(term_col).distinct()
-    stems = vocab.select(term_col, porter_stem(F.col(term_col)).alias("_stem"))
+    stems = vocab.select(term_col, porter.stem(F.col(term_col)).alias("_stem"))
     return (df.join(stems, term_col, "left")
             .withColumn(term_col, F.coalesce(F.col("_stem"), F.col(term_col))).drop("_stem"))

@@ -1,53 +1,20 @@
-"""Porter stemmer (M. F. Porter, "An algorithm for suffix stripping", 1980).
+"""Porter stemmer (M. F. Porter, "An algorithm for suffix stripping", 1980) as column expressions.
 
-A small per-word helper; Spark applies it through an Arrow ``pandas_udf`` on
-the distinct terms only (see :mod:`wikipassages.functions.analysis`). Follows
-the author's reference implementation, including its two departures from the
-paper (``bli`` -> ``ble`` and ``logi`` -> ``log`` in step 2).
+A ``y`` that is a consonant is written ``Y`` for the whole run, so that vowels
+are ``[aeiouy]`` and consonants everything else, and every condition of the
+algorithm is a regular expression on the stem. Follows the author's reference
+implementation, including its two departures from the paper (``bli`` ->
+``ble`` and ``logi`` -> ``log`` in step 2).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def _is_cons(w: str, i: int) -> bool:
-    ch = w[i]
-    if ch in "aeiou":
-        return False
-    if ch == "y":
-        return i == 0 or not _is_cons(w, i - 1)
-    return True
-
-
-def _measure(stem: str) -> int:
-    """Number of vowel-consonant sequences in ``stem``."""
-    n, i, size = 0, 0, len(stem)
-    while i < size and _is_cons(stem, i):
-        i += 1
-    while i < size:
-        while i < size and not _is_cons(stem, i):
-            i += 1
-        if i >= size:
-            break
-        while i < size and _is_cons(stem, i):
-            i += 1
-        n += 1
-    return n
-
-
-def _has_vowel(stem: str) -> bool:
-    return any(not _is_cons(stem, i) for i in range(len(stem)))
-
-
-def _double_cons(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _is_cons(w, len(w) - 1)
-
-
-def _cvc(w: str) -> bool:
-    k = len(w) - 1
-    if k < 2 or not _is_cons(w, k) or _is_cons(w, k - 1) or not _is_cons(w, k - 2):
-        return False
-    return w[k] not in "wxy"
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+from .text import let
 
 # Suffix rules of the algorithm, in the order they are tried.
 STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
@@ -60,66 +27,83 @@ STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ica
 STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
          "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
+# Conditions on a stem.
+HAS_VOWEL = "[aeiouy]"
+MEASURE_OVER_0 = "^[^aeiouy]*[aeiouy]+[^aeiouy]"
+MEASURE_OVER_1 = "^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]"
+MEASURE_1 = "^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]*$"
+ENDS_CVC = "[^aeiouy][aeiouy][^aeiouywxY]$"
+# Consonantal y, in the order the rewrites apply.
+CONSONANT_Y = [("^y", "Y"), ("([aeiou])y", "$1Y"), ("yy", "yY")]
+
+
+def _cut(w: Column, n: int) -> Column:
+    return F.substr(w, F.lit(1), F.length(w) - n)
+
+
+def _doubled(w: Column) -> Column:
+    """Ends in the same consonant twice."""
+    return (F.length(w) >= 2) & (F.lower(F.right(w, F.lit(1))) == F.lower(F.substring(w, -2, 1))) & w.rlike("[^aeiouy]$")
+
+
+def _first_rule(w: Column, rules: list[tuple[str, str]], condition: Callable[[Column], Column]) -> Column:
+    """The first rule whose suffix is there, if its stem meets the condition."""
+    out = w
+    for suffix, new in reversed(rules):
+        stem = _cut(w, len(suffix))
+        out = F.when(w.endswith(suffix), F.when(condition(stem), F.concat(stem, F.lit(new))).otherwise(w)).otherwise(out)
+    return out
+
+
+def _plural(w: Column) -> Column:
+    return F.when(w.endswith("sses") | w.endswith("ies"), _cut(w, 2)) \
+        .when(w.endswith("ss") | ~w.endswith("s"), w).otherwise(_cut(w, 1))
+
+
+def _after_ed_ing(w: Column) -> Column:
+    return F.when(w.endswith("at") | w.endswith("bl") | w.endswith("iz"), F.concat(w, F.lit("e"))) \
+        .when(_doubled(w) & ~w.rlike("[lsz]$"), _cut(w, 1)) \
+        .when(w.rlike(MEASURE_1) & w.rlike(ENDS_CVC), F.concat(w, F.lit("e"))).otherwise(w)
+
+
+def _ed_ing(w: Column) -> Column:
+    out = w
+    for suffix in ("ing", "ed"):
+        stem = _cut(w, len(suffix))
+        out = F.when(w.endswith(suffix) & stem.rlike(HAS_VOWEL), let(stem, _after_ed_ing)).otherwise(out)
+    return F.when(w.endswith("eed"), F.when(_cut(w, 3).rlike(MEASURE_OVER_0), _cut(w, 1)).otherwise(w)).otherwise(out)
+
+
+def _final_y(w: Column) -> Column:
+    return F.when(w.rlike("[yY]$") & _cut(w, 1).rlike(HAS_VOWEL), F.concat(_cut(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _step4(w: Column) -> Column:
+    out = w
+    for suffix in reversed(STEP4):
+        stem = _cut(w, len(suffix))
+        fits = w.endswith(suffix) & (stem.rlike("[st]$") if suffix == "ion" else F.lit(True))
+        out = F.when(fits, F.when(stem.rlike(MEASURE_OVER_1), stem).otherwise(w)).otherwise(out)
+    return out
+
+
+def _final_e(w: Column) -> Column:
+    stem = _cut(w, 1)
+    drops = stem.rlike(MEASURE_OVER_1) | (stem.rlike(MEASURE_1) & ~stem.rlike(ENDS_CVC))
+    return F.when(w.endswith("e") & drops, stem).otherwise(w)
+
+
+def _final_l(w: Column) -> Column:
+    return F.when(w.endswith("ll") & w.rlike(MEASURE_OVER_1), _cut(w, 1)).otherwise(w)
+
 
-def _replace_first(w: str, rules, min_m: int) -> str:
-    """Apply the first rule whose suffix matches, if the stem's measure allows."""
-    for suffix, repl in rules:
-        if w.endswith(suffix):
-            stem = w[: len(w) - len(suffix)]
-            return stem + repl if _measure(stem) > min_m else w
-    return w
-
-
-def _step1ab(w: str) -> str:
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-        return w
-    for suffix in ("ed", "ing"):
-        if w.endswith(suffix) and _has_vowel(w[: -len(suffix)]):
-            w = w[: -len(suffix)]
-            if w.endswith(("at", "bl", "iz")):
-                return w + "e"
-            if _double_cons(w) and w[-1] not in "lsz":
-                return w[:-1]
-            if _measure(w) == 1 and _cvc(w):
-                return w + "e"
-            return w
-    return w
-
-
-def _step4(w: str) -> str:
-    for suffix in STEP4:
-        if w.endswith(suffix):
-            stem = w[: len(w) - len(suffix)]
-            if suffix == "ion" and not (stem and stem[-1] in "st"):
-                continue
-            return stem if _measure(stem) > 1 else w
-    return w
-
-
-def stem(word: str) -> str:
-    """Porter stem of a lower-case word."""
-    if len(word) <= 2:
-        return word
-    w = _step1ab(word)
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        w = w[:-1] + "i"
-    w = _replace_first(w, STEP2, 0)
-    w = _replace_first(w, STEP3, 0)
-    w = _step4(w)
-    if w.endswith("e"):
-        m = _measure(w[:-1])
-        if m > 1 or (m == 1 and not _cvc(w[:-1])):
-            w = w[:-1]
-    if w.endswith("l") and _double_cons(w) and _measure(w) > 1:
-        w = w[:-1]
-    return w
+def stem(word: Column) -> Column:
+    """Porter stem of a lower-case word; null stays null, words of one or two letters stay as they are."""
+    marked = word
+    for pattern, new in CONSONANT_Y:
+        marked = F.regexp_replace(marked, pattern, new)
+    out = marked
+    for step in (_plural, _ed_ing, _final_y, lambda w: _first_rule(w, STEP2, lambda s: s.rlike(MEASURE_OVER_0)),
+                 lambda w: _first_rule(w, STEP3, lambda s: s.rlike(MEASURE_OVER_0)), _step4, _final_e, _final_l):
+        out = let(out, step)
+    return F.when(F.length(word) <= 2, word).otherwise(F.translate(out, "Y", "y"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import porter
+from ..functions.analysis import analyze_words
 from ..operators import index, links, search, stats
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize, stage_path
@@ -191,6 +193,13 @@ def prototype_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.prototype_search(ix, benchmark_queries(spark, sf_dir))
 
 
+def stem_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11: the stem of every term of all document texts."""
+    docs = corpus.read_table(spark, sf_dir, "documents")
+    terms = docs.select(F.explode(analyze_words(F.col("text"))).alias("t")).select(F.col("t.term").alias("term")).distinct()
+    return terms.select("term", porter.stem(F.col("term")).alias("stem"))
+
+
 # ---------------------------------------------------------------- more clause kinds
 def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: the alphabetically first term of each benchmark text is forbidden, the others optional; top 10."""
@@ -314,6 +323,7 @@ QUERIES = {
     "staged_redirected": staged_redirected,
     "link_inversion": link_inversion,
     "prototype_search": prototype_search,
+    "stem_vocabulary": stem_vocabulary,
     "search_must_not": search_must_not,
     "search_wildcard": search_wildcard,
     "search_range": search_range,
