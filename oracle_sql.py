@@ -540,6 +540,27 @@ rk AS (SELECT query_id, doc_id, score,
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
 
+NORMALIZED_TITLES = "WITH " + CORPUS_CTE + """,
+t AS (SELECT doc_id, CAST(unnest(range(0, len(l))) AS INTEGER) AS i, unnest(l) AS line FROM d),
+b AS (SELECT doc_id, i, 'Doc ' || doc_id || ' L' || i AS base, 'w' || regexp_extract(line, '[a-z]+') AS word FROM t)
+SELECT doc_id, i, CASE i % 11 WHEN 5 THEN word WHEN 6 THEN 'Café ' || base WHEN 7 THEN 'Café ' || base
+                              WHEN 8 THEN base || '–' || word WHEN 9 THEN base || word ELSE base END AS title
+FROM b"""
+
+MARKUP_SECTIONS = "WITH " + CORPUS_CTE + """,
+x AS (SELECT doc_id, coalesce(l[2], '') AS a, coalesce(l[3], '') AS t, coalesce(l[4], '') AS u, coalesce(l[5], '') AS v,
+             coalesce(l[6], '') AS w, coalesce(l[7], '') AS s, coalesce(array_to_string(l[8:], ' '), '') AS rest FROM d),
+w AS (SELECT *, ' ' || w || ' ' AS tw FROM x),
+v AS (SELECT *, ' ' || v || ' ====== W ======' || tw AS tv FROM w),
+u AS (SELECT *, ' ' || u || ' ===== V =====' || tv AS tu FROM v),
+t AS (SELECT *, ' ' || t || ' ==== U ====' || tu AS tt FROM u),
+a AS (SELECT *, ' ' || a || ' === T ===' || tt AS ta FROM t),
+r AS (SELECT doc_id, 'a' AS section, ta AS text FROM a UNION ALL SELECT doc_id, 'b', ta FROM a UNION ALL SELECT doc_id, 't', tt FROM a
+      UNION ALL SELECT doc_id, 'u', tu FROM a UNION ALL SELECT doc_id, 'v', tv FROM a UNION ALL SELECT doc_id, 'w', tw FROM a
+      UNION ALL SELECT doc_id, 'same', ' ' || s || ' ' || ' ' || rest FROM a)
+SELECT 'm ' || doc_id || '#' || section AS key, 'm ' || doc_id AS page, section, CAST(1 AS INTEGER) AS n, text FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -563,6 +584,8 @@ def oracle_sql() -> dict[str, str]:
         "link_inversion": LINK_INVERSION,
         "prototype_search": PROTOTYPE_SEARCH,
         "stem_vocabulary": STEM_VOCABULARY,
+        "normalized_titles": NORMALIZED_TITLES,
+        "markup_sections": MARKUP_SECTIONS,
         "search_must_not": SEARCH_MUST_NOT,
         "search_wildcard": SEARCH_WILDCARD,
         "search_range": SEARCH_RANGE,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import porter
 from ..functions.analysis import analyze_words
+from ..functions.text import normalize_title
 from ..operators import index, links, search, stats
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize, stage_path
@@ -200,6 +201,16 @@ def stem_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.select("term", porter.stem(F.col("term")).alias("stem"))
 
 
+def normalized_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalised title of every marked-up one."""
+    return corpus.raw_titles(spark, sf_dir).select("doc_id", "i", normalize_title(F.col("raw")).alias("title"))
+
+
+def markup_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 (all levels), T3, C4, A1, F6, S1 (first revision): the primary job over the markup corpus."""
+    return run_primary_records(corpus.markup_xml(spark, sf_dir)).redirected
+
+
 # ---------------------------------------------------------------- more clause kinds
 def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: the alphabetically first term of each benchmark text is forbidden, the others optional; top 10."""
@@ -324,6 +335,8 @@ QUERIES = {
     "link_inversion": link_inversion,
     "prototype_search": prototype_search,
     "stem_vocabulary": stem_vocabulary,
+    "normalized_titles": normalized_titles,
+    "markup_sections": markup_sections,
     "search_must_not": search_must_not,
     "search_wildcard": search_wildcard,
     "search_range": search_range,

@@ -131,3 +131,55 @@ def damaged_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     lead = F.coalesce(F.try_element_at("lines", F.lit(1)), F.lit(""))
     return lined.select(F.concat(F.lit("<page><title>Broken_"), F.col("doc_id").cast("string"), F.lit("</title><revision><text>"),
                                  xml_escape(lead), F.lit("</revision></page>")).alias("xml"))
+
+
+# ---------------------------------------------------------------- markup
+def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, i, raw``: a title for every line of every document, written with one kind of markup each.
+
+    The kinds follow each other with ``i``: bold, italic, reference, missing
+    citation, comment, link with a label, encoded bytes (two spellings),
+    underscores and hyphen, struck and underlined, no markup.
+    """
+    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    rows = lined.select("doc_id", F.posexplode("lines").alias("i", "line"))
+    base = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"), F.lit(" L"), F.col("i").cast("string"))
+    word = F.concat(F.lit("w"), F.regexp_extract("line", "[a-z]+", 0))
+    kinds = [F.concat(F.lit("'''"), base, F.lit("'''")), F.concat(F.lit("''"), base, F.lit("''")),
+             F.concat(base, F.lit("<ref>"), word, F.lit("</ref>")), F.concat(base, F.lit("{{cn}}")),
+             F.concat(F.lit("<!-- "), word, F.lit(" -->"), base), F.concat(F.lit("[["), base, F.lit("|"), word, F.lit("]]")),
+             F.concat(F.lit("Caf%C3%A9 "), base), F.concat(F.lit("Caf.C3.A9 "), base),
+             F.concat(F.replace(base, F.lit(" "), F.lit("_")), F.lit("-"), word),
+             F.concat(F.lit("<s>"), base, F.lit("</s><u>"), word, F.lit("</u>")), base]
+    raw = F.element_at(F.array(*kinds), (F.col("i") % len(kinds) + 1).cast("int"))
+    return rows.select("doc_id", "i", raw.alias("raw"))
+
+
+# Names that redirects of the markup corpus point at, the last without a section.
+MARKUP_TARGETS = ["A", "B", "T", "U", "V", "W", "Same", ""]
+
+
+def markup_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page for each document with all heading levels, a heading of two anchor names and a repeated
+    heading, a second revision that must not count, an empty page, and a redirect to every name."""
+    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    d, lines = F.col("doc_id").cast("string"), F.col("lines")
+
+    def line(k: int) -> Column:
+        return F.coalesce(F.try_element_at(lines, F.lit(k + 1)), F.lit(""))
+
+    rest = F.array_join(F.slice(lines, 8, F.greatest(F.size(lines), F.lit(1))), " ")
+    heads = ["== {{anchor|A|B}} ==", "=== T ===", "==== U ====", "===== V =====", "====== W ======", "== Same =="]
+    body = F.concat(line(0), *[F.concat(F.lit(f"\n{h}\n"), line(k)) for k, h in enumerate(heads, 1)], F.lit("\n== Same ==\n"), rest)
+
+    def record(title: Column, text: Column, redirect: Column | None = None) -> Column:
+        element = F.concat(F.lit('<redirect title="'), redirect, F.lit('" />')) if redirect is not None else F.lit("")
+        return F.concat(F.lit("<page><title>"), title, F.lit("</title>"), element,
+                        F.lit("<revision><model>wikitext</model><text>"), xml_escape(text), F.lit("</text></revision>"),
+                        F.lit("<revision><model>wikitext</model><text>== Later ==\nlater</text></revision></page>"))
+
+    page = F.concat(F.lit("M_"), d)
+    records = [record(page, body), record(F.concat(F.lit("Empty_"), d), F.lit(""))]
+    records += [record(F.concat(F.lit(f"MR_{name}_"), d), _redirect_text("#REDIRECT", F.concat(page, F.lit(f"#{name}"))), page)
+                for name in MARKUP_TARGETS]
+    return lined.select(F.explode(F.array(*records)).alias("xml"))
