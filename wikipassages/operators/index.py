@@ -5,8 +5,6 @@
                  positions = sorted token positions, for phrase queries)
 * ``term_stats`` field, term, df
 * ``field_len``  doc_id, field, len                          (one row per doc and field)
-* ``positions``  field, term, doc_id, pos                    (one row per token; derived from
-                 postings by ``explode``, for phrase queries)
 
 The field length is computed inside each row (size of its token array) and
 carried as a grouping key, so ``tf`` and the position list need one shuffle;
@@ -39,11 +37,6 @@ class SearchIndex:
     postings: DataFrame
     term_stats: DataFrame
     field_len: DataFrame
-    positions: DataFrame | None = None
-
-    def token_positions(self) -> DataFrame:
-        """``field, term, doc_id, pos``: the written table, or derived from postings."""
-        return self.positions if self.positions is not None else token_positions(self.postings)
 
     def n_docs(self):
         """Number of documents, as a scalar-subquery column."""
@@ -148,13 +141,6 @@ def term_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def token_positions(postings: DataFrame) -> DataFrame:
-    """One row per token position (fields that keep positions only): a narrow
-    table whose phrase joins aggregate with plain counts in generated code."""
-    return (postings.where(F.col("positions").isNotNull())
-            .select("field", "term", "doc_id", F.explode("positions").alias("pos")))
-
-
 def field_lengths(postings: DataFrame) -> DataFrame:
     """``doc_id, field, len`` recovered from postings (fields without tokens are
     absent; they add nothing to summed lengths)."""

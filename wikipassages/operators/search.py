@@ -132,24 +132,44 @@ def bm25_scores(index: SearchIndex, qterms: DataFrame, field: str = DEFAULT_FIEL
 def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
     """Q6: ``query_id, phrase_id, doc_id, freq`` - how often each phrase occurs.
 
-    A phrase occurs at ``start`` when every term sits at ``start + offset``:
-    token positions are joined on the term, grouped by the implied start
-    (partial counts in generated code) and kept when every phrase term is
-    there; occurrences are then counted per document.
+    A phrase occurs at ``start`` when every term sits at ``start + offset``.
+    Equal phrases of several queries are looked up once. Candidate documents
+    come from the postings of a phrase's rarest term; only these ask for the
+    other terms' postings (an equi-join on term and document), and the
+    positions are intersected inside one row for each phrase and document. So
+    a common term costs a phrase no more than its rarest one does.
     """
-    plen = phrases.groupBy("query_id", "phrase_id").agg(F.count(F.lit(1)).alias("plen"))
-    m = (index.token_positions().join(phrases, ["field", "term"])
-         .select("query_id", "phrase_id", "doc_id", (F.col("pos") - F.col("offset")).alias("start")))
-    full = (m.groupBy("query_id", "phrase_id", "doc_id", "start").agg(F.count(F.lit(1)).alias("k"))
-            .join(plen, ["query_id", "phrase_id"]).where(F.col("k") == F.col("plen")))
-    return full.groupBy("query_id", "phrase_id", "doc_id").agg(F.count(F.lit(1)).alias("freq"))
+    own = phrases.groupBy("query_id", "phrase_id", "field").agg(F.array_sort(F.collect_list(F.struct("offset", "term"))).alias("parts"))
+    phrase = F.concat_ws(" ", F.col("field"), F.transform("parts", lambda p: F.concat_ws(":", p["offset"].cast("string"), p["term"])))
+    own = own.withColumn("phrase", phrase)
+    parts = own.select("phrase", "field", "parts").distinct().select("phrase", "field", F.size("parts").alias("n"), F.inline("parts"))
+    parts = parts.join(index.term_stats, ["field", "term"], "left")
+    rarest = parts.groupBy("phrase", "n").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "field", "term")).alias("r")) \
+        .where("r.df > 0").select("phrase", "n", "r.field", "r.term", "r.offset")
+    found = index.postings.where(F.col("positions").isNotNull()).select("field", "term", "doc_id", "positions")
+
+    def starts(positions: str, offset: str) -> Column:
+        return F.transform(positions, lambda x: x - F.col(offset))
+
+    first = found.join(rarest, ["field", "term"]).select("phrase", "n", "doc_id", F.col("offset").alias("first"),
+                                                         starts("positions", "offset").alias("starts"))
+    others = parts.select("phrase", "field", "term", "offset")
+    asked = first.where("n > 1").join(others, "phrase").where(F.col("offset") != F.col("first"))
+    met = asked.join(found, ["field", "term", "doc_id"]) \
+        .groupBy("phrase", "n", "doc_id").agg(F.first("starts").alias("starts"), F.collect_list(starts("positions", "offset")).alias("rest")) \
+        .where(F.size("rest") == F.col("n") - 1)
+    both = F.size(F.aggregate("rest", F.col("starts"), lambda acc, x: F.array_intersect(acc, x)))
+    freqs = met.select("phrase", "doc_id", both.cast("bigint").alias("freq")) \
+        .union(first.where("n = 1").select("phrase", "doc_id", F.size("starts").cast("bigint"))).where("freq > 0")
+    return own.select("query_id", "phrase_id", "phrase").join(freqs, "phrase").select("query_id", "phrase_id", "doc_id", "freq")
 
 
 # ---------------------------------------------------------------- expansion
-def _vocab_prefixes(index: SearchIndex, min_len: int = 1) -> DataFrame:
-    """``field, term, prefix`` for every prefix (of length >= ``min_len``) of every indexed term."""
+def _vocab_prefixes(index: SearchIndex, asked: DataFrame) -> DataFrame:
+    """``field, term, prefix`` for every indexed term, prefixes of the lengths that occur in ``asked.prefix`` only."""
+    lengths = asked.select(F.collect_set(F.length("prefix"))).scalar()
     vocab = index.term_stats.select("field", "term")
-    return (vocab.select("field", "term", F.explode(F.sequence(F.lit(min_len), F.length("term"))).alias("n"))
+    return (vocab.select("field", "term", F.explode(lengths).alias("n")).where(F.col("n") <= F.length("term"))
             .select("field", "term", F.expr("substring(term, 1, n)").alias("prefix")))
 
 
@@ -157,7 +177,7 @@ def expand_prefix(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
     """Q7 prefix ``p*``: ``query_id, clause_id, field, term`` for every indexed term
     starting with ``prefix``. An equi-join on all prefixes of each indexed term
     (the vocabulary grows far slower than the text), no theta join."""
-    return (prefixes.join(_vocab_prefixes(index), ["field", "prefix"])
+    return (prefixes.join(_vocab_prefixes(index, prefixes), ["field", "prefix"])
             .select("query_id", "clause_id", "field", "term"))
 
 
@@ -176,7 +196,7 @@ def expand_wildcard(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     """
     lit_prefix = F.regexp_extract(F.col("pattern"), r"^([^?*]*)", 1)
     q = patterns.withColumn("prefix", lit_prefix).withColumn("_like", _like_pattern(F.col("pattern")))
-    cand = q.join(_vocab_prefixes(index, min_len=0), ["field", "prefix"])
+    cand = q.join(_vocab_prefixes(index, q), ["field", "prefix"])
     return (cand.where(F.expr("term LIKE _like ESCAPE '!'"))
             .select("query_id", "clause_id", "field", "term"))
 
@@ -197,38 +217,56 @@ def expand_range(index: SearchIndex, ranges: DataFrame) -> DataFrame:
             .select("query_id", "clause_id", "field", "term"))
 
 
-def constant_clause_scores(index: SearchIndex, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Constant-score multi-term clauses: score = coord * matched * queryNorm
-    = matched^2 / clauses^1.5 (every clause weighs 1). ``clauses``: ``query_id, clause_id``."""
+def _clause_bits(clauses: DataFrame, *name: str) -> DataFrame:
+    """``clauses`` with ``word`` and ``mask``: each clause is one bit of its query's 63-bit words."""
+    number = F.row_number().over(Window.partitionBy("query_id").orderBy(*name)) - 1
+    return clauses.withColumn("_bit", number).withColumn("word", F.floor(F.col("_bit") / 63)) \
+        .withColumn("mask", F.expr("shiftleft(1L, cast(_bit % 63 as int))")).drop("_bit")
+
+
+def _matched_clauses(index: SearchIndex, folded: DataFrame) -> DataFrame:
+    """``query_id, doc_id, matched``: how many of a query's clauses a document meets.
+
+    ``folded``: ``query_id, field, term, word, mask``, one row for each query,
+    term and word; postings are dealt by document, so all that a document
+    gives to a query is united in one task.
+    """
+    postings = index.postings.select("field", "term", "doc_id").repartition("doc_id")
+    return (postings.join(folded, ["field", "term"])
+            .groupBy("doc_id", "query_id", "word").agg(F.bit_or("mask").alias("mask"))
+            .groupBy("doc_id", "query_id").agg(F.sum(F.bit_count("mask")).alias("matched")))
+
+
+def _constant_scores(hits: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Constant-score clauses: coord * matched * queryNorm = matched^2 / clauses^1.5 (every clause weighs 1)."""
     n = clauses.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
-    hits = (index.postings.join(expanded, ["field", "term"])
-            .select("query_id", "clause_id", "doc_id").distinct()
-            .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("matched")))
     return (hits.join(n, "query_id")
             .select("query_id", "doc_id",
                     (F.col("matched") * F.col("matched") / F.pow(F.col("clauses"), 1.5)).alias("score")))
 
 
+def constant_clause_scores(index: SearchIndex, expanded: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Constant-score multi-term clauses. ``clauses``: ``query_id, clause_id``;
+    ``expanded``: ``query_id, clause_id, field, term``."""
+    clauses = clauses.distinct()
+    folded = (expanded.join(_clause_bits(clauses, "clause_id"), ["query_id", "clause_id"])
+              .groupBy("query_id", "field", "term", "word").agg(F.bit_or("mask").alias("mask")))
+    return _constant_scores(_matched_clauses(index, folded), clauses)
+
+
 def prefix_scores(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
     """Prefix clauses scored as constant-score clauses.
 
-    Each distinct (field, prefix) is expanded and matched against the postings
-    once - queries share common prefixes - and only then fanned out to the
-    queries and clauses that use it.
+    Each distinct (field, prefix) is expanded once; a query's clauses are then
+    folded to one row for each indexed term, so a posting meets a query once
+    however many of its prefixes the term has.
     """
     clauses = prefixes.select("query_id", "clause_id", "field", "prefix").distinct()   # small side
-    distinct = clauses.select("field", "prefix").distinct()
-    terms = distinct.join(_vocab_prefixes(index), ["field", "prefix"])
-    docs = (index.postings.select("field", "term", "doc_id").join(terms, ["field", "term"])
-            .select("field", "prefix", "doc_id").distinct())
-    # one prefix per clause and distinct (prefix, doc) rows: the fan-out is
-    # already distinct per (query, clause, doc), no second de-duplication
-    hits = (clauses.join(docs, ["field", "prefix"])
-            .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("matched")))
-    n = clauses.groupBy("query_id").agg(F.count(F.lit(1)).alias("clauses"))
-    return (hits.join(n, "query_id")
-            .select("query_id", "doc_id",
-                    (F.col("matched") * F.col("matched") / F.pow(F.col("clauses"), 1.5)).alias("score")))
+    asked = clauses.select("field", "prefix").distinct()
+    terms = asked.join(_vocab_prefixes(index, asked), ["field", "prefix"])
+    folded = (_clause_bits(clauses, "clause_id", "field", "prefix").join(terms, ["field", "prefix"])
+              .groupBy("query_id", "field", "term", "word").agg(F.bit_or("mask").alias("mask")))
+    return _constant_scores(_matched_clauses(index, folded), clauses)
 
 
 def _deletions(word: Column, k: int) -> Column:
