@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wikipassages.llm.common import cached
+from wikipassages.llm.common import cached, release
 
 #: Characters of a leaf of the text tree, and bytes of a leaf inside one piece.
 LEAF_CHARS, LEAF_BYTES = 4096, 512
@@ -197,6 +197,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
         codec = _codec(path, pattern)
         for batch in batches:
             yield _lists([np.array(codec.encode(x.as_py() or ""), np.int32) for x in batch])
+        release()
     return ids(text)
 
 
@@ -216,6 +217,7 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
                     raise ValueError(f"no such token id: {min(values)} or {max(values)}")
                 out.append(codec.decode(values))
             yield pa.array(out, pa.binary())
+        release()
     return raw(ids)
 
 

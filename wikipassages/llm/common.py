@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from wikipassages.session import ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step takes at a time (a longer text is a step of its own).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -39,9 +40,28 @@ def cached(key: tuple, make: Callable):
     return store[key]
 
 
+def release() -> None:
+    """Gives memory that this worker no longer uses back to the machine; idle workers stay small beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frugal(f: Callable) -> Callable:
+    """A function from batches to batches that releases memory when it ends."""
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+    return run
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each holds about ``step_bytes`` of ``column``, whole rows always."""
+    taken = 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +70,9 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str,
         cuts = np.flatnonzero(np.diff(step)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(int(lo), int(hi - lo))
+            taken += 1
+            if taken % 16 == 0:
+                release()
 
 
 def crc_remainder(column, divisor: int):

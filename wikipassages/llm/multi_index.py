@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import written
+from wikipassages.llm.common import frugal, written
 from wikipassages.llm.components import connected_components
 
 #: Most vectors of a block.
@@ -200,14 +200,14 @@ def near_copies(df: DataFrame, vec: str = "vec_id", embedding: str = "embedding"
     index = fit(_matrix(taken.column("vector").combine_chunks()), members.count(), cosine, recall)
 
     schema = "cell bigint, rep bigint"
-    homes = written(members.mapInArrow(lambda b: _routed(b, index, False), schema), "homes")
+    homes = written(members.mapInArrow(frugal(lambda b: _routed(b, index, False)), schema), "homes")
     blocks = homes.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    visits = members.mapInArrow(lambda b: _routed(b, index, True), schema).join(blocks, "cell") \
+    visits = members.mapInArrow(frugal(lambda b: _routed(b, index, True)), schema).join(blocks, "cell") \
         .select("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "rep", F.lit(1).alias("visits"))
     homes = homes.join(blocks, "cell").select("cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), "rep", F.lit(0).alias("visits"))
     meeting = homes.union(visits).join(members, "rep").select("cell", "block", "visits", "rep", "copies", "vector")
     found = meeting.repartition("cell", "block").sortWithinPartitions("cell", "block", "visits") \
-        .mapInArrow(lambda b: _linked(b, cosine), "rep bigint, n_links bigint, other bigint")
+        .mapInArrow(frugal(lambda b: _linked(b, cosine)), "rep bigint, n_links bigint, other bigint")
     found = written(found, "found-links")
     parts = connected_components(found.where("other is not null"), "rep", "other").withColumnRenamed("id", "rep")
     counts = found.groupBy("rep").agg(F.sum("n_links").alias("n"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wikipassages.llm.common import text_slices, written
+from wikipassages.llm.common import frugal, text_slices, written
 from wikipassages.llm.rlz import spread
 from wikipassages.llm.word_ids import word_ids
 
@@ -60,7 +60,7 @@ def cut_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, doc: s
                                              ["doc", "piece", "start", "length", "ids_crc32", "ids"])
 
     return df.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).alias("text")) \
-        .mapInArrow(pieces, "doc bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary")
+        .mapInArrow(frugal(pieces), "doc bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary")
 
 
 def sweep(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -140,7 +140,7 @@ def packed(pieces: DataFrame, capacity: int, order: list[str], length: str = "le
     rows = kept.withColumn("__length", F.when(F.col(length).isNull(), F.raise_error("a piece without a length")).otherwise(F.col(length)).cast("bigint"))
     rows = rows.repartitionByRange(F.desc("__length"), tie).sortWithinPartitions(F.desc("__length"), *order)
     schema = T.StructType([*rows.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__local", T.LongType())])
-    rows = written(rows.mapInArrow(numbered, schema), "ranked-pieces")
+    rows = written(rows.mapInArrow(frugal(numbered), schema), "ranked-pieces")
     blocks = rows.groupBy("__length", "__part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("__length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     blocks = written(blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "piece-blocks")

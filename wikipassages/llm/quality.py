@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import STEP_BYTES, written
+from wikipassages.llm.common import STEP_BYTES, release, written
 from wikipassages.llm.words import Words, covered, inside_windows, mix, window_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
@@ -107,6 +107,7 @@ def counts(text: Column) -> Column:
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield by_steps(batch, _counts)
+        release()
     return of(text)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import text_slices
+from wikipassages.llm.common import frugal, text_slices
 from wikipassages.llm.words import Words, inside_windows, mix, window_hashes, words_of
 
 #: Words of an anchor.
@@ -145,9 +145,9 @@ def phrases(docs: DataFrame, window: int) -> DataFrame:
     ``docs`` has columns doc, mark and text; rows with a null doc are in no relation to others.
     """
     runs = docs.where("doc is not null").select("doc", "mark", "text") \
-        .mapInArrow(lambda b: emitted_runs(b, window), RUN)
+        .mapInArrow(frugal(lambda b: emitted_runs(b, window)), RUN)
     found = runs.repartition("key").sortWithinPartitions("key", "doc") \
-        .mapInArrow(looked_up, "doc bigint, place bigint, n bigint, ref bigint")
+        .mapInArrow(frugal(looked_up), "doc bigint, place bigint, n bigint, ref bigint")
     return found.select("doc", F.shiftright("place", 32).cast("int").alias("mark"),
                         F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"),
                         F.col("n").cast("int").alias("n"), "ref")

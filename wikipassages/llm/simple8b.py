@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import STEP_BYTES, text_slices, written
+from wikipassages.llm.common import STEP_BYTES, frugal, text_slices, written
 from wikipassages.llm.word_ids import word_ids
 
 #: Fixed values of the code: bits of an id and ids of a word, by selector.
@@ -183,7 +183,11 @@ def _put(folder: str, name: str, content: bytes) -> str:
     draft = f"{path}/_{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as f:
         f.write(content)
-    system.move(draft, f"{path}/{name}")
+    try:
+        system.move(draft, f"{path}/{name}")
+    except OSError:                 # stores that do not rename onto the file of an earlier attempt
+        system.delete_file(f"{path}/{name}")
+        system.move(draft, f"{path}/{name}")
     return f"{folder}/{name}"
 
 
@@ -230,7 +234,7 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, end_id: int, doc: st
 
     rows = df.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange(F.col("doc")).sortWithinPartitions("doc", "text")
-    return written(ordered.mapInArrow(encoded, "part int, file int, name string, docs bigint, ids bigint"), "token-manifest")
+    return written(ordered.mapInArrow(frugal(encoded), "part int, file int, name string, docs bigint, ids bigint"), "token-manifest")
 
 
 def read_files(spark: SparkSession, folder: str, manifest: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -256,5 +260,5 @@ def read_files(spark: SparkSession, folder: str, manifest: DataFrame, doc: str =
                             F.col("base").alias("n_tokens"), F.col("base").alias("ids_crc32"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.s8b").load(folder) \
         .select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    rows = files.mapInArrow(decoded, "name string, doc bigint, local bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = files.mapInArrow(frugal(decoded), "name string, doc bigint, local bigint, n_tokens bigint, ids_crc32 bigint")
     return rows.join(bases, "name").select(F.col("doc").alias(doc), (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import text_slices, written
+from wikipassages.llm.common import frugal, release, text_slices, written
 from wikipassages.llm.quality import by_steps, sums_by_text
 from wikipassages.llm.words import Words, mix, text_bytes, words_from
 
@@ -149,6 +149,7 @@ def features(text: Column, lexicon: np.ndarray, weights: np.ndarray) -> Column:
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield by_steps(batch, lambda part: _features(part, lexicon, weights))
+        release()
     return of(text)
 
 
@@ -174,7 +175,7 @@ def learn_lexicon(rows: DataFrame, least_texts: int = 3, least_ratio: float = 20
     once = rows.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = once.agg(F.sum("toxic"), F.count("*")).first()
     n_toxic, n_all = int(sizes[0] or 0), int(sizes[1])
-    terms = once.mapInArrow(counted, "term bigint, toxic bigint, n bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    terms = once.mapInArrow(frugal(counted), "term bigint, toxic bigint, n bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     ratio = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (n_all - n_toxic + 1))
     best = terms.where(F.col("toxic") >= least_texts).withColumn("ratio", ratio).where(F.col("ratio") >= least_ratio) \
         .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "term").limit(most_terms).collect()

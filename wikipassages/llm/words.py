@@ -37,19 +37,17 @@ def _byte_codes(seed: int, lower: bool) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse, modulo 2**64."""
-    size = 1 << max(16, int(n).bit_length())
-
-    def make():
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    """At least the first ``n`` powers of the base and of its inverse, modulo 2**64; one table for the worker, grown as needed."""
+    held = cached(("powers",), dict)
+    if len(held.get("table", ((), ()))[0]) < n:
+        size = ((n >> 18) + 1) << 18
         out = []
-        for base in (_BASE, inverse):
+        for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
             out.append(np.cumprod(p, dtype=np.uint64))
-        return tuple(out)
-
-    return cached(("powers", size), make)
+        held["table"] = tuple(out)
+    return held["table"]
 
 
 @dataclass
