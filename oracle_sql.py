@@ -561,6 +561,28 @@ r AS (SELECT doc_id, 'a' AS section, ta AS text FROM a UNION ALL SELECT doc_id,
 SELECT 'm ' || doc_id || '#' || section AS key, 'm ' || doc_id AS page, section, CAST(1 AS INTEGER) AS n, text FROM r"""
 
 
+SEARCH_PHRASE_RANKED = SEARCH_CTE + f""",
+dp AS (SELECT key AS doc_id, unnest({_analyzed_pos('text')}) AS t FROM ix),
+pos AS (SELECT doc_id, t.term AS term, t.pos AS pos FROM dp),
+qp AS (SELECT item_id AS query_id, {_analyzed_pos('text')} AS toks FROM benchmark),
+pi AS (SELECT query_id, toks, unnest(range(1, len(toks))) AS i FROM qp),
+ph AS (SELECT query_id, CAST(i AS INTEGER) AS phrase_id, toks[i].term AS term, 0 AS o FROM pi
+       UNION ALL
+       SELECT query_id, CAST(i AS INTEGER), toks[i + 1].term, toks[i + 1].pos - toks[i].pos FROM pi),
+st AS (SELECT ph.query_id, ph.phrase_id, pos.doc_id, pos.pos - ph.o AS start, count(*) AS k
+       FROM pos JOIN ph USING (term) GROUP BY ALL),
+fr AS (SELECT query_id, phrase_id, doc_id, count(*) AS freq FROM st WHERE k = 2 GROUP BY ALL),
+pw AS (SELECT query_id, phrase_id, sum(1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0))) AS idf
+       FROM ph LEFT JOIN dfs USING (term), nd GROUP BY query_id, phrase_id),
+qn AS (SELECT query_id, sum(idf * idf) AS sumsq, count(*) AS clauses FROM pw GROUP BY query_id),
+m AS (SELECT fr.query_id, fr.doc_id, sum(sqrt(fr.freq) * pw.idf * pw.idf / sqrt(len(dt.toks))) AS raw, count(*) AS matched
+      FROM fr JOIN pw USING (query_id, phrase_id) JOIN dt USING (doc_id) GROUP BY ALL),
+sc AS (SELECT m.query_id, m.doc_id, round(raw / sqrt(sumsq) * matched / clauses, 6) AS score FROM m JOIN qn USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -586,6 +608,7 @@ def oracle_sql() -> dict[str, str]:
         "stem_vocabulary": STEM_VOCABULARY,
         "normalized_titles": NORMALIZED_TITLES,
         "markup_sections": MARKUP_SECTIONS,
+        "search_phrase_ranked": SEARCH_PHRASE_RANKED,
         "search_must_not": SEARCH_MUST_NOT,
         "search_wildcard": SEARCH_WILDCARD,
         "search_range": SEARCH_RANGE,

@@ -164,6 +164,25 @@ def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
     return own.select("query_id", "phrase_id", "phrase").join(freqs, "phrase").select("query_id", "phrase_id", "doc_id", "freq")
 
 
+def phrase_scores(index: SearchIndex, phrases: DataFrame) -> DataFrame:
+    """Q6 + Q8: phrases as optional clauses, ranked by TF-IDF.
+
+    A phrase weighs the sum of its terms' idf, its frequency stands for tf:
+    ``score = coord * sum(sqrt(freq) * idf^2 / sqrt(len)) / sqrt(sum(idf^2))``.
+    """
+    n = index.n_docs()
+    weights = (phrases.join(index.term_stats, ["field", "term"], "left")
+               .withColumn("idf", _idf_tfidf(n, F.coalesce(F.col("df"), F.lit(0)).cast("double")))
+               .groupBy("query_id", "phrase_id", "field").agg(F.sum("idf").alias("idf")))
+    qinfo = weights.groupBy("query_id").agg(F.sum(F.col("idf") * F.col("idf")).alias("sumsq"), F.count(F.lit(1)).alias("clauses"))
+    hits = (phrase_matches(index, phrases).join(weights, ["query_id", "phrase_id"])
+            .join(index.field_len, ["doc_id", "field"])
+            .groupBy("query_id", "doc_id")
+            .agg(F.sum(F.sqrt("freq") * F.col("idf") * F.col("idf") / F.sqrt("len")).alias("raw"), F.count(F.lit(1)).alias("matched")))
+    return (hits.join(qinfo, "query_id")
+            .select("query_id", "doc_id", (F.col("raw") / F.sqrt("sumsq") * F.col("matched") / F.col("clauses")).alias("score")))
+
+
 # ---------------------------------------------------------------- expansion
 def _vocab_prefixes(index: SearchIndex, asked: DataFrame) -> DataFrame:
     """``field, term, prefix`` for every indexed term, prefixes of the lengths that occur in ``asked.prefix`` only."""

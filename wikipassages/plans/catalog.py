@@ -139,6 +139,12 @@ def search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.phrase_matches(ix, search.phrase_terms(benchmark_queries(spark, sf_dir)))
 
 
+def search_phrase_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: top 10 sections for the neighbouring-term phrases of every benchmark text."""
+    ix = section_index(spark, sf_dir)
+    return _top(search.phrase_scores(ix, search.phrase_terms(benchmark_queries(spark, sf_dir))))
+
+
 def search_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: ``term*`` for every term of every benchmark text, constant-score clauses, top 10."""
     ix = section_index(spark, sf_dir)
@@ -336,6 +342,7 @@ QUERIES = {
     "stem_vocabulary": stem_vocabulary,
     "normalized_titles": normalized_titles,
     "markup_sections": markup_sections,
+    "search_phrase_ranked": search_phrase_ranked,
     "search_must_not": search_must_not,
     "search_wildcard": search_wildcard,
     "search_range": search_range,
