@@ -583,6 +583,51 @@ rk AS (SELECT query_id, doc_id, score,
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
 
+SEARCH_MIXED = SEARCH_CTE + f""",
+idfs AS (SELECT term, df, 1.0 + ln(nd.n / (CAST(df AS DOUBLE) + 1.0)) AS idf FROM dfs, nd),
+none AS (SELECT 1.0 + ln(nd.n) AS idf FROM nd),
+num AS (SELECT query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY term) AS i FROM qt),
+-- expansions of the clauses with several terms
+cst AS (SELECT num.query_id, num.i, idfs.term, CASE i WHEN 3 THEN 0.5 ELSE 1.0 END AS boost FROM num JOIN idfs
+        ON (i = 1 AND starts_with(idfs.term, left(num.term, 2)))
+        OR (i = 3 AND length(idfs.term) >= 2 AND starts_with(idfs.term, left(num.term, 1)) AND ends_with(idfs.term, right(num.term, 1)))
+        OR (i = 4 AND idfs.term >= num.term AND idfs.term <= num.term || 'm')),
+chars AS (SELECT DISTINCT ch FROM (SELECT unnest(string_split(w, '')) AS ch
+                                   FROM (SELECT term AS w FROM idfs UNION ALL SELECT term FROM num)) WHERE unicode(ch) > 127),
+slots AS (SELECT list_filter(range(33, 127), lambda c: c < 97 OR c > 122) AS sl),
+cmap AS (SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS src,
+                coalesce(string_agg(chr(CAST(sl[CAST(rn AS INTEGER)] AS INTEGER)), '' ORDER BY ch), '') AS dst
+         FROM (SELECT ch, row_number() OVER (ORDER BY ch) AS rn FROM chars), slots),
+fz AS (SELECT num.query_id, num.i, idfs.term, idfs.idf, levenshtein(translate(num.term, src, dst), translate(idfs.term, src, dst)) AS ed,
+              least(length(num.term), length(idfs.term)) AS sh FROM num, idfs, cmap WHERE i = 2 AND abs(length(num.term) - length(idfs.term)) <= 2),
+fx AS (SELECT query_id, i, term, (1.0 - ed / sh) * idf AS part, (1.0 - ed / sh) * idf * idf AS gain FROM fz WHERE ed <= 2),
+tm AS (SELECT query_id, i, num.term, coalesce(idfs.idf, none.idf) AS idf, CASE i WHEN 5 THEN 1.0 ELSE 2.0 END AS boost
+       FROM num LEFT JOIN idfs USING (term), none WHERE i >= 5),
+qp AS (SELECT item_id AS query_id, {_analyzed('text')} AS toks FROM benchmark),
+ph AS (SELECT query_id, toks[1] AS a, toks[2] AS b, coalesce(x.idf, none.idf) + coalesce(y.idf, none.idf) AS idf
+       FROM qp LEFT JOIN idfs x ON x.term = toks[1] LEFT JOIN idfs y ON y.term = toks[2], none WHERE len(toks) >= 2),
+-- weights of all clauses that score
+wt AS (SELECT query_id, i, CASE i WHEN 3 THEN 0.5 ELSE 1.0 END AS w FROM num WHERE i IN (1, 3, 4)
+       UNION ALL SELECT num.query_id, num.i, coalesce(sqrt(sum(part * part)), 0.0) FROM num LEFT JOIN fx USING (query_id, i) WHERE num.i = 2 GROUP BY ALL
+       UNION ALL SELECT query_id, i, boost * idf FROM tm WHERE i > 5
+       UNION ALL SELECT query_id, 0, idf FROM ph),
+qn AS (SELECT query_id, sum(w * w) AS sumsq, count(*) AS clauses FROM wt GROUP BY query_id),
+dp AS (SELECT key AS doc_id, unnest({_analyzed_pos('text')}) AS t FROM ix),
+pos AS (SELECT doc_id, t.term AS term, t.pos AS pos FROM dp),
+fr AS (SELECT ph.query_id, p.doc_id, count(*) AS freq FROM ph JOIN pos p ON p.term = ph.a JOIN pos r ON r.term = ph.b AND r.doc_id = p.doc_id AND r.pos = p.pos + 1
+       GROUP BY ALL),
+mt AS (SELECT DISTINCT c.query_id, c.i, p.doc_id, c.boost AS m FROM cst c JOIN post p USING (term)
+       UNION ALL SELECT query_id, i, doc_id, sum(sqrt(tf) / sqrt(len) * gain) FROM fx JOIN post USING (term) GROUP BY ALL
+       UNION ALL SELECT query_id, i, doc_id, boost * idf * idf * sqrt(tf) / sqrt(len) FROM tm JOIN post USING (term)
+       UNION ALL SELECT fr.query_id, 0, fr.doc_id, sqrt(freq) / sqrt(len(dt.toks)) * idf * idf FROM fr JOIN ph USING (query_id) JOIN dt USING (doc_id)),
+sc AS (SELECT query_id, doc_id, round(sum(m) FILTER (i <> 5) / sqrt(any_value(sumsq)) * count(*) FILTER (i <> 5) / any_value(clauses), 6) AS score
+       FROM mt JOIN qn USING (query_id) GROUP BY query_id, doc_id
+       HAVING count(*) FILTER (i = 5) = 0 AND count(*) FILTER (i = 1) = 1),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -609,6 +654,7 @@ def oracle_sql() -> dict[str, str]:
         "normalized_titles": NORMALIZED_TITLES,
         "markup_sections": MARKUP_SECTIONS,
         "search_phrase_ranked": SEARCH_PHRASE_RANKED,
+        "search_mixed": SEARCH_MIXED,
         "search_must_not": SEARCH_MUST_NOT,
         "search_wildcard": SEARCH_WILDCARD,
         "search_range": SEARCH_RANGE,

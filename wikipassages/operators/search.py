@@ -389,6 +389,79 @@ def fuzzy_scores(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
                     (F.col("raw") / F.sqrt("sumsq") * F.col("matched") / F.col("n_clauses")).alias("score")))
 
 
+# ---------------------------------------------------------------- clauses of several kinds
+TERM, PHRASE, PREFIX, WILDCARD, RANGE, FUZZY = "term", "phrase", "prefix", "wildcard", "range", "fuzzy"
+
+
+def mixed_scores(index: SearchIndex, clauses: DataFrame, max_edits: int = 2) -> DataFrame:
+    """One query with clauses of several kinds (Q3-Q8): ``query_id, doc_id, score``.
+
+    ``clauses``: ``query_id, clause_id, kind, field, value, value2, occur, boost``.
+    ``value`` is the term, prefix, pattern, range start or fuzzy term, ``value2``
+    the range end; a phrase is given by its terms one space apart, in ``value``.
+    Each clause yields a weight w and, in a document, a match m:
+
+    * term: w = boost * idf, m = w * idf * sqrt(tf) / sqrt(len)
+    * phrase: the same with the sum of its terms' idf and its frequency as tf
+    * prefix, wildcard, range: w = boost, m = boost (constant score)
+    * fuzzy: w = boost * sqrt(sum((e * idf)^2)), m = boost * sum(e * idf^2 * sqrt(tf) / sqrt(len))
+      over its expansions, e = 1 - edits / min(len(q), len(t))
+
+    ``score = coord * sum(m) / sqrt(sum(w^2))``; a must-not clause neither
+    scores nor counts, and a document needs every must clause and none of the
+    must-not ones.
+    """
+    ensure_checkpoint_dir(clauses.sparkSession)
+    n = index.n_docs()
+    keyed = clauses.select("query_id", "clause_id", "kind", "field", "value", "value2", "occur", F.col("boost").cast("double").alias("boost"))
+    idf = _idf_tfidf(n, F.coalesce(F.col("df"), F.lit(0)).cast("double"))
+
+    def of(*kinds: str) -> DataFrame:
+        return keyed.where(F.col("kind").isin(*kinds))
+
+    ids = ["query_id", "clause_id"]
+    stats = index.term_stats
+    # multi-term kinds to plain terms
+    constant = (expand_prefix(index, of(PREFIX).select(*ids, "field", F.col("value").alias("prefix")))
+                .union(expand_wildcard(index, of(WILDCARD).select(*ids, "field", F.col("value").alias("pattern"))))
+                .union(expand_range(index, of(RANGE).select(*ids, "field", F.col("value").alias("lo"), F.col("value2").alias("hi")))))
+    fuzzy = expand_fuzzy(index, of(FUZZY).select(*ids, "field", F.col("value").alias("qterm")), max_edits) \
+        .withColumn("edit_boost", F.lit(1.0) - F.col("edits") / F.least(F.length("qterm"), F.length("term"))) \
+        .join(stats, ["field", "term"]).select(*ids, "field", "term", (F.col("edit_boost") * idf).alias("part"),
+                                               (F.col("edit_boost") * idf * idf).alias("gain")).checkpoint()
+    phrases = of(PHRASE).select(*ids, "field", F.posexplode(F.split("value", " ")).alias("offset", "term"))
+
+    one = F.lit(1.0)
+    terms = of(TERM).withColumnRenamed("value", "term").join(stats, ["field", "term"], "left").withColumn("idf", idf)
+    phrase_idf = phrases.join(stats, ["field", "term"], "left").withColumn("idf", idf).groupBy(*ids).agg(F.sum("idf").alias("part"))
+    parts = (terms.select(*ids, F.col("idf").alias("part"))
+             .union(phrase_idf)
+             .union(fuzzy.groupBy(*ids).agg(F.sqrt(F.sum(F.col("part") * F.col("part")))))
+             .union(of(PREFIX, WILDCARD, RANGE).select(*ids, one)))
+    heads = keyed.join(parts, ids, "left").withColumn("w", F.col("boost") * F.coalesce("part", F.lit(0.0)))
+    scoring = F.col("occur") != MUST_NOT
+    qinfo = heads.groupBy("query_id").agg(F.sum(F.when(scoring, F.col("w") * F.col("w"))).alias("sumsq"),
+                                          F.count_if(scoring).alias("clauses"), F.count_if(F.col("occur") == MUST).alias("musts"))
+
+    norm = F.sqrt("tf") / F.sqrt("len")
+    found = index.postings.select("field", "term", "doc_id", "tf", "len")
+    by_term = found.join(terms.select(*ids, "field", "term", "idf"), ["field", "term"]) \
+        .select(*ids, "doc_id", (norm * F.col("idf") * F.col("idf")).alias("m"))
+    by_fuzzy = found.join(fuzzy, ["field", "term"]).groupBy(*ids, "doc_id").agg(F.sum(norm * F.col("gain")).alias("m"))
+    by_constant = found.join(constant, ["field", "term"]).select(*ids, "doc_id").distinct().withColumn("m", one)
+    by_phrase = phrase_matches(index, phrases.select("query_id", F.col("clause_id").alias("phrase_id"), "field", "term", "offset")) \
+        .withColumnRenamed("phrase_id", "clause_id").join(of(PHRASE).select(*ids, "field"), ids).join(phrase_idf, ids) \
+        .join(index.field_len, ["doc_id", "field"]) \
+        .select(*ids, "doc_id", (F.sqrt("freq") / F.sqrt("len") * F.col("part") * F.col("part")).alias("m"))
+    matches = by_term.union(by_fuzzy).union(by_constant).union(by_phrase)
+    per_doc = matches.join(keyed.select(*ids, "occur", "boost"), ids).groupBy("query_id", "doc_id").agg(
+        F.sum(F.when(scoring, F.col("boost") * F.col("m"))).alias("raw"), F.count_if(scoring).alias("hits"),
+        F.count_if(F.col("occur") == MUST).alias("must_hits"), F.count_if(F.col("occur") == MUST_NOT).alias("forbidden"))
+    return (per_doc.join(qinfo, "query_id")
+            .where((F.col("forbidden") == 0) & (F.col("must_hits") == F.col("musts")) & (F.col("hits") > 0))
+            .select("query_id", "doc_id", (F.col("raw") / F.sqrt("sumsq") * F.col("hits") / F.col("clauses")).alias("score")))
+
+
 # ---------------------------------------------------------------- ranking and display
 def rank_hits(scores: DataFrame, first: int = 1, last: int = HITS_PER_PAGE) -> DataFrame:
     """L1-L3: ranks ``first..last`` of each query (rank 1 = best); paging is a rank range."""

@@ -7,11 +7,11 @@ in ``oracle_sql.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import porter
-from ..functions.analysis import analyze_words
+from ..functions.analysis import analyze, analyze_words
 from ..functions.text import normalize_title
 from ..operators import index, links, search, stats
 from ..operators.redirects import join_redirected_sections
@@ -250,6 +250,43 @@ def search_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _constant(spark, sf_dir, q, search.expand_range)
 
 
+def mixed_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clause table of all kinds from the alphabetically numbered terms of each benchmark text:
+    1 a required prefix, 2 fuzzy, 3 a wildcard of half weight, 4 a range, 5 forbidden, the others
+    terms of double weight, and the first two terms as they stand as a phrase."""
+    queries = benchmark_queries(spark, sf_dir)
+    terms = search.query_terms(queries)
+    number = F.row_number().over(Window.partitionBy("query_id").orderBy("term"))
+    t = terms.withColumn("i", number)
+
+    def pick(*values):
+        """The value for terms 1, 2, 3, 4, 5 and all others."""
+        out = values[5]
+        for i, v in reversed(list(enumerate(values[:5], 1))):
+            out = F.when(F.col("i") == i, v).otherwise(out)
+        return out
+
+    term, lit = F.col("term"), F.lit
+    clauses = t.select(
+        "query_id", F.col("i").alias("clause_id"),
+        pick(*map(lit, (search.PREFIX, search.FUZZY, search.WILDCARD, search.RANGE, search.TERM, search.TERM))).alias("kind"), "field",
+        pick(F.substring("term", 1, 2), term, F.concat(F.substring("term", 1, 1), lit("*"), F.expr("right(term, 1)")), term, term, term).alias("value"),
+        pick(lit(None), lit(None), lit(None), F.concat(term, lit("m")), lit(None), lit(None)).alias("value2"),
+        pick(lit(search.MUST), lit(search.SHOULD), lit(search.SHOULD), lit(search.SHOULD), lit(search.MUST_NOT), lit(search.SHOULD)).alias("occur"),
+        pick(lit(1.0), lit(1.0), lit(0.5), lit(1.0), lit(1.0), lit(2.0)).alias("boost"))
+    tokens = analyze(F.col("text"))
+    phrase = queries.where(F.size(tokens) >= 2).select(
+        "query_id", lit(0).alias("clause_id"), lit(search.PHRASE).alias("kind"), lit(index.DEFAULT_FIELD).alias("field"),
+        F.concat_ws(" ", tokens[0]["term"], tokens[1]["term"]).alias("value"), lit(None).cast("string").alias("value2"),
+        lit(search.SHOULD).alias("occur"), lit(1.0).alias("boost"))
+    return clauses.unionByName(phrase)
+
+
+def search_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3-Q8 in one query: clauses of all kinds, required, optional and forbidden, with weights; top 10."""
+    return _top(search.mixed_scores(section_index(spark, sf_dir), mixed_clauses(spark, sf_dir)))
+
+
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9 + Q10 + C16: the shown lines of the TF-IDF hits, default fields."""
     ix = section_index(spark, sf_dir)
@@ -343,6 +380,7 @@ QUERIES = {
     "normalized_titles": normalized_titles,
     "markup_sections": markup_sections,
     "search_phrase_ranked": search_phrase_ranked,
+    "search_mixed": search_mixed,
     "search_must_not": search_must_not,
     "search_wildcard": search_wildcard,
     "search_range": search_range,
