@@ -31,10 +31,9 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     edges = written(edges.where("u != v").distinct(), "links")
     state = None
     while True:
-        large = _with_least(_both_ways(edges)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        marked = _with_least(down)
+        # repeated links change no minimum, so only what is written is made distinct
+        large = _with_least(_both_ways(edges)).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        marked = _with_least(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
         small = marked.select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(marked.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         edges = written(small, "links")
