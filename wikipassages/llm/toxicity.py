@@ -212,7 +212,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc: str, label: str, te
     """
     chosen = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc).alias("__doc")) \
         .agg(F.max(F.col(label)).alias("__toxic")).orderBy(F.xxhash64("__doc"), "__doc").limit(most)
-    rows = docs.join(F.broadcast(chosen), docs[doc] == chosen["__doc"])
+    rows = docs.select(doc, text).join(F.broadcast(chosen), F.col(doc) == F.col("__doc"))
     return written(rows.select(F.coalesce(text, F.lit("")).alias("text"), (F.col("__toxic") == 1).cast("int").alias("toxic"),
                                F.pmod(F.xxhash64("__doc", F.lit("part")), F.lit(10)).cast("int").alias("part")), "labelled")
 
