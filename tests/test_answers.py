@@ -54,6 +54,16 @@ def test_stored_char_count(spark):
     assert {r["doc_id"]: r["char_count"] for r in docs.collect()} == {s[0]: len(s[4]) for s in SECTIONS}
 
 
+def test_phrases_inside_one_redirect_title(spark, tmp_path):
+    red = spark.createDataFrame([("p#a", "Big Cat Page"), ("p#a", "Cat Page"), ("p#a", "Cat"), ("p#b", "Page Cat")], "key string, redirect string")
+    built = I.build_index(spark.createDataFrame(SECTIONS, SCHEMA), red)
+    I.write_index(built, str(tmp_path / "ix"), mode="overwrite")
+    q = spark.createDataFrame([(1, "cat page")], "query_id int, text string")
+    for ix in (built, I.read_index(spark, str(tmp_path / "ix"))):
+        found = Q.phrase_matches(ix, Q.phrase_terms(q, field=I.REDIRS_FIELD)).collect()
+        assert [(r["doc_id"], r["freq"]) for r in found] == [("p#a", 2)]
+
+
 def test_linking_titles_are_not_stemmed(spark):
     pages = spark.createDataFrame([("Target", "some running text", "wikitext", None), ("Running Cats", "#REDIRECT [[Target]]", "wikitext", "Target")],
                                   "title string, text string, model string, redirect string")

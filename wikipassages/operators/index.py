@@ -5,14 +5,16 @@
                  positions = sorted token positions, for phrase queries)
 * ``term_stats`` field, term, df
 * ``field_len``  doc_id, field, len                          (one row per doc and field)
+* ``values``     field, term, doc_id, value, positions       (fields of many values: one row per
+                 term and value, positions inside the value)
 
 The field length is computed inside each row (size of its token array) and
 carried as a grouping key, so ``tf`` and the position list need one shuffle;
 a (field, term, doc) group is bounded by the size of one document. Redirect titles (``redirsFrom``) come from the long
 (key, redirect) table: their tokens are counted per (doc, term) and per doc
-with partial aggregation and keep no positions, so a section that a third of
-all redirects point at is pre-reduced in every task and never gathered into
-one list.
+with partial aggregation, so a section that a third of all redirects point at
+is pre-reduced in every task and never gathered into one list. Their positions
+stay with each title (``values``), so a phrase is found inside one title.
 """
 
 from __future__ import annotations
@@ -37,6 +39,13 @@ class SearchIndex:
     postings: DataFrame
     term_stats: DataFrame
     field_len: DataFrame
+    values: DataFrame | None = None
+
+    def found_positions(self) -> DataFrame:
+        """``field, term, doc_id, value, positions`` of all fields; ``value`` is 0 where a field has one value."""
+        whole = self.postings.where(F.col("positions").isNotNull()).select(
+            "field", "term", "doc_id", F.lit(0).cast("bigint").alias("value"), "positions")
+        return whole if self.values is None else whole.unionByName(self.values)
 
     def n_docs(self):
         """Number of documents, as a scalar-subquery column."""
@@ -90,7 +99,12 @@ def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, st
                      F.array_sort(F.collect_list("pos")).alias("positions")))
     field_len = per_field.select("doc_id", "field", F.size("toks").alias("len"))
 
+    values = None
     if extra is not None:
+        titles = extra.select("doc_id", "field", F.xxhash64("text").alias("value"), analyzer(F.col("text")).alias("toks")).distinct()
+        values = (titles.select("doc_id", "field", "value", F.explode("toks").alias("t"))
+                  .groupBy("field", F.col("t.term").alias("term"), "doc_id", "value")
+                  .agg(F.array_sort(F.collect_list("t.pos")).alias("positions")))
         more = _tokens(extra.select("doc_id", "field", analyzer(F.col("text")).alias("toks")))
         more_tf = (more.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
                    .withColumn("positions", F.lit(None).cast("array<int>")))
@@ -102,7 +116,7 @@ def build_field_index(docs: DataFrame, fields: dict[str, str], analyzer=None, st
     postings = postings.select("field", "term", "doc_id", "tf", "len", "positions")
     if stem:
         postings = _stem_postings(postings, tuple(fields) if stem is True else tuple(stem))
-    return SearchIndex(docs, postings, term_frequencies(postings), field_len)
+    return SearchIndex(docs, postings, term_frequencies(postings), field_len, values)
 
 
 #: Between a document's key and what tells equal keys of several sources or loads apart.
@@ -160,6 +174,8 @@ def write_index(index: SearchIndex, path: str, mode: str = "append") -> None:
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     index.postings.write.mode(mode).partitionBy("field").parquet(f"{path}/postings")
     index.field_len.write.mode(mode).partitionBy("field").parquet(f"{path}/field_len")
+    values = index.values if index.values is not None else index.found_positions().limit(0)
+    values.write.mode(mode).partitionBy("field").parquet(f"{path}/values")
     rebuild_term_stats(index.docs.sparkSession, path)
 
 
@@ -170,5 +186,6 @@ def rebuild_term_stats(spark, path: str) -> None:
 
 def read_index(spark, path: str) -> SearchIndex:
     r = spark.read
-    return SearchIndex(r.parquet(f"{path}/docs"), r.parquet(f"{path}/postings"),
-                       r.parquet(f"{path}/term_stats"), r.parquet(f"{path}/field_len"))
+    values = spark.read.schema("term string, doc_id string, value bigint, positions array<int>, field string").parquet(f"{path}/values")
+    return SearchIndex(r.parquet(f"{path}/docs"), r.parquet(f"{path}/postings"), r.parquet(f"{path}/term_stats"),
+                       r.parquet(f"{path}/field_len"), values)

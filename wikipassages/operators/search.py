@@ -146,21 +146,22 @@ def phrase_matches(index: SearchIndex, phrases: DataFrame) -> DataFrame:
     parts = parts.join(index.term_stats, ["field", "term"], "left")
     rarest = parts.groupBy("phrase", "n").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "field", "term")).alias("r")) \
         .where("r.df > 0").select("phrase", "n", "r.field", "r.term", "r.offset")
-    found = index.postings.where(F.col("positions").isNotNull()).select("field", "term", "doc_id", "positions")
+    found = index.found_positions()
 
     def starts(positions: str, offset: str) -> Column:
         return F.transform(positions, lambda x: x - F.col(offset))
 
-    first = found.join(rarest, ["field", "term"]).select("phrase", "n", "doc_id", F.col("offset").alias("first"),
+    first = found.join(rarest, ["field", "term"]).select("phrase", "n", "doc_id", "value", F.col("offset").alias("first"),
                                                          starts("positions", "offset").alias("starts"))
     others = parts.select("phrase", "field", "term", "offset")
     asked = first.where("n > 1").join(others, "phrase").where(F.col("offset") != F.col("first"))
-    met = asked.join(found, ["field", "term", "doc_id"]) \
-        .groupBy("phrase", "n", "doc_id").agg(F.first("starts").alias("starts"), F.collect_list(starts("positions", "offset")).alias("rest")) \
+    met = asked.join(found, ["field", "term", "doc_id", "value"]) \
+        .groupBy("phrase", "n", "doc_id", "value").agg(F.first("starts").alias("starts"), F.collect_list(starts("positions", "offset")).alias("rest")) \
         .where(F.size("rest") == F.col("n") - 1)
     both = F.size(F.aggregate("rest", F.col("starts"), lambda acc, x: F.array_intersect(acc, x)))
     freqs = met.select("phrase", "doc_id", both.cast("bigint").alias("freq")) \
-        .union(first.where("n = 1").select("phrase", "doc_id", F.size("starts").cast("bigint"))).where("freq > 0")
+        .union(first.where("n = 1").select("phrase", "doc_id", F.size("starts").cast("bigint"))).where("freq > 0") \
+        .groupBy("phrase", "doc_id").agg(F.sum("freq").alias("freq"))
     return own.select("query_id", "phrase_id", "phrase").join(freqs, "phrase").select("query_id", "phrase_id", "doc_id", "freq")
 
 
