@@ -45,6 +45,19 @@ def test_binomial_tail(k, n, p):
     assert quality.binomial_tail(k, n, p) == pytest.approx(_exact_tail(k, n, p), rel=1e-9)
 
 
+@pytest.mark.parametrize("k,n,p", [(7_000, 1_000_000, 0.01 / 6), (5_000, 100_000, 0.01 / 6), (9_000, 10_000, 0.01 / 6), (6_000, 3_000_000, 0.01 / 6)])
+def test_binomial_tail_far_above_the_mean(k, n, p):
+    """More than 4000 terms above the mean: the sum of all of them is 1, so no such cutoff is proven."""
+    assert quality.binomial_tail(k, n, p) == pytest.approx(1.0, rel=1e-9)
+
+
+def test_binomial_tail_of_many_terms():
+    """Against the whole sum where it is neither 0 nor 1."""
+    for k, n, p in [(4_900, 3_000_000, 0.01 / 6), (5_000, 3_000_000, 0.01 / 6), (5_300, 3_000_000, 0.01 / 6), (20_000, 40_000, 0.5)]:
+        logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
+        assert quality.binomial_tail(k, n, p) == pytest.approx(math.fsum(map(math.exp, logs)), rel=1e-6)
+
+
 def _labelled(spark, n_good, n_loud):
     """Good rows with few symbols, a few of them with many."""
     rows = [(i, "en", 100, 500, 250 if i < n_loud else 0, True) for i in range(n_good)]

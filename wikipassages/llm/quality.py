@@ -130,13 +130,28 @@ def features() -> dict[str, Column]:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X binomial (n, p), exact up to rounding."""
-    if k >= n:
+    """P(X <= k) for X binomial (n, p), exact up to rounding.
+
+    Summed from the edge outwards, on the side away from the mean, where terms
+    fall at least as fast as a geometric series: what is left after the last
+    term is below a rounding error of the sum.
+    """
+    if k >= n or p <= 0:
         return 1.0
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-            for i in range(max(0, k - 4000), k + 1)] if p < 1 else []
-    top = max(logs, default=0.0)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
+    if k < 0 or p >= 1:
+        return 0.0
+    lower = k <= n * p
+    i = k if lower else k + 1
+    edge = math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+    term = total = 1.0
+    while i > 0 if lower else i < n:
+        ratio = i * (1 - p) / ((n - i + 1) * p) if lower else (n - i) * p / ((i + 1) * (1 - p))
+        term *= ratio
+        total += term
+        if ratio < 1 and term * ratio < 1e-17 * total * (1 - ratio):
+            break
+        i += -1 if lower else 1
+    return min(1.0, edge * total) if lower else max(0.0, 1.0 - edge * total)
 
 
 def learn_cutoffs(labelled: DataFrame, stratum: str, good: str, allowed: float = 0.01, delta: float = 0.05) -> DataFrame:
