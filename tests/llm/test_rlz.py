@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,26 @@ def test_passages_over_slices_and_partitions(spark, monkeypatch):
     assert sorted(one, key=str) == sorted(many, key=str)
 
 
+def _words_with_windows(monkeypatch, value):
+    """What the blocks find for two texts with one anchor, whose windows' hashes are ``value`` of the document."""
+    texts = pa.array(["a b c d e f", "g h i j k l"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([7, 8], pa.int32()), texts], ["doc", "mark", "text"])
+    starts = np.array([0, 6])
+    monkeypatch.setattr(rlz, "runs_of", lambda w, window: (np.full(2, 5, np.uint64), starts, np.ones(2, np.int64), np.repeat(
+        np.array([value(1), value(2)], np.uint64), 6)))
+    runs = pa.Table.from_batches(rlz.emitted_runs(iter([batch]), 6)).sort_by([("key", "ascending"), ("doc", "ascending")]).combine_chunks()
+    whole, split = runs.to_batches(), runs.to_batches(max_chunksize=1)
+    return [[r for b in rlz.looked_up(iter(x)) for r in b.to_pylist()] for x in (whole, split)]
+
+
+def test_windows_are_told_apart_by_all_bits(monkeypatch):
+    """Windows under one anchor that agree in 32 bits only are different, in one Arrow batch or in two."""
+    assert _words_with_windows(monkeypatch, lambda d: 77 + (d << 32)) == [[], []]
+    assert _words_with_windows(monkeypatch, lambda d: 77 + (d << 5)) == [[], []]
+    whole, split = _words_with_windows(monkeypatch, lambda d: 77)
+    assert whole == split and [(r["doc"], r["n"], r["ref"]) for r in whole] == [(2, 1, 1)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert rlz.parsed(df).count() == 0

@@ -26,7 +26,7 @@ from wikipassages.llm.words import Words, inside_windows, mix, window_hashes, wo
 
 #: Words of an anchor.
 SEED = 5
-#: A window is known by its anchor's 64 bits and by 32 more of its own.
+#: A window is known by 64 bits of its own; ``key`` only brings equal ones together. A follower's windows are all zero.
 RUN = "key bigint, doc bigint, place bigint, windows binary, ref bigint"
 
 
@@ -86,8 +86,9 @@ def emitted_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         leader[order] = doc[order][np.flatnonzero(head)][np.cumsum(head) - 1]
         follows = leader < doc
         key = np.where(follows, mix(whole + place.astype(np.uint64) + doc.astype(np.uint64)), anchor)
-        raw = (own & np.uint64(0xFFFFFFFF)).astype("<u4")
-        offsets = np.append(bounds, int(length.sum())) * 4
+        # followers are found already: of their windows only the number counts
+        raw = np.where(np.repeat(follows, length), np.uint64(0), own).astype("<u8")
+        offsets = np.append(bounds, int(length.sum())) * 8
         yield pa.RecordBatch.from_arrays([
             pa.array(key.view(np.int64)), pa.array(doc), pa.array(place),
             pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)]),
@@ -105,24 +106,25 @@ def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         key, doc, place = (part.column(c).to_numpy() for c in ("key", "doc", "place"))
         windows = part.column("windows")
-        offsets = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset:windows.offset + len(windows) + 1] // 4
-        own = np.frombuffer(windows.buffers()[2], "<u4")[offsets[0]:offsets[-1]].astype(np.uint64)
+        offsets = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset:windows.offset + len(windows) + 1] // 8
+        own = np.frombuffer(windows.buffers()[2], "<u8")[offsets[0]:offsets[-1]]
         length = np.diff(offsets).astype(np.int64)
         ready = part.column("ref").is_valid().to_numpy(zero_copy_only=False)
-        group = np.cumsum(np.append(False, key[1:] != key[:-1])).astype(np.uint64)
+        group = np.cumsum(np.append(False, key[1:] != key[:-1]))
         row = np.repeat(np.arange(len(key)), length)
-        tags, docs = (group[row] << np.uint64(32)) | own, doc[row]
+        tags, docs, groups = own, doc[row], group[row]
         carried = len(last_hash) if last_key == key[0] else 0
         if carried:
             tags, docs = np.concatenate([last_hash, tags]), np.concatenate([last_doc, docs])
-        order = np.argsort(tags, kind="stable")
+            groups = np.concatenate([np.zeros(carried, groups.dtype), groups])
+        order = np.lexsort((tags, groups))
         head = np.ones(len(order), bool)
-        head[1:] = tags[order[1:]] != tags[order[:-1]]
+        head[1:] = (tags[order[1:]] != tags[order[:-1]]) | (groups[order[1:]] != groups[order[:-1]])
         firsts = order[head]
         ref = np.empty(len(order), np.int64)
         ref[order] = docs[firsts][np.cumsum(head) - 1]
-        ends_group = tags[firsts] >> np.uint64(32) == group[-1]
-        last_key, last_hash, last_doc = key[-1], tags[firsts[ends_group]] & np.uint64(0xFFFFFFFF), docs[firsts[ends_group]]
+        ends_group = groups[firsts] == group[-1]
+        last_key, last_hash, last_doc = key[-1], tags[firsts[ends_group]], docs[firsts[ends_group]]
         ref, docs = ref[carried:], docs[carried:]
         if ready.any():
             given = part.column("ref").fill_null(0).to_numpy()
