@@ -25,6 +25,10 @@ COLUMNS = {
     "op8_best_fit": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op9_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op10_class_lm": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op11_personal_data": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint",
+    "op12_filter_audit": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, "
+                         "good_lost bigint, toxic_lost bigint, shapley bigint",
+    "op13_importance_resampling": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
 }
 
 
@@ -90,11 +94,24 @@ def test_op8_and_op9_equal_library(results, texts):
     assert len(sequences) <= 1.02 * (sum(len(t) + 1 for t in ids.values()) / 2048) + 1
 
 
+def test_op11_holds_the_plain_patterns(results, texts):
+    from wikipassages.llm import pii
+    from test_pii import plain_base
+    rows = {r["doc_id"]: r for r in results("op11_personal_data")}
+    assert rows.keys() == texts.keys()
+    for doc, text in texts.items():
+        base = [f"{pii.KINDS[kind]}:{start}:{end}" for start, kind, end in plain_base(text)]
+        assert rows[doc]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        every = rows[doc]["spans"].split(",") if rows[doc]["spans"] else []
+        assert set(base) <= set(every) and len(every) == len(base) + rows[doc]["n_added"]
+        assert [rows[doc][f"n_{k}"] for k in pii.KINDS] == [sum(b.startswith(k) for b in base) for k in pii.KINDS]
+
+
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_sql_twins(results, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cursor = con.execute(oracle.ORACLE[name])
     columns = [c[0] for c in cursor.description]

@@ -94,9 +94,72 @@ SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
 FROM f"""
 
+OP12 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS words FROM documents),
+firsts AS (SELECT t, min(doc_id) AS f FROM d GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+    SELECT part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+                 + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+                 + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(d.doc_id > f, false)::INT AS m,
+           coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+    FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT [a, b, c, d, e] AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT array_to_string(list_transform(o, lambda x: x.l), '') AS filter_order, step, o[step].bit AS bit,
+                 coalesce(list_sum(list_transform(o[1:step - 1], lambda x: x.bit)), 0)::INT AS before
+          FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+counts AS (
+    SELECT part, filter_order, step, bit, sum(n) FILTER (m & (before | bit) = 0) AS kept,
+           sum(n) FILTER (m & bit > 0 AND m & before = 0) AS removed, sum(n) FILTER (m & bit > 0 AND m & before > 0) AS redundant,
+           sum(n) FILTER (m = bit) AS unique_fails, sum(n) FILTER (m & bit > 0 AND m & before = 0 AND good) AS good_lost,
+           sum(n) FILTER (m & bit > 0 AND m & before = 0 AND toxic) AS toxic_lost
+    FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM counts"""
+
+#: CRC-32 of each distinct feature, byte by byte with the table of the reflected polynomial.
+OP13 = r"""
+WITH crc_table AS (
+    SELECT list(c ORDER BY i) AS tbl
+    FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c
+          FROM (SELECT unnest(range(256)) AS i))),
+texts AS (SELECT 'raw' AS side, doc_id AS id, row_number() OVER () AS r, text FROM documents
+          UNION ALL SELECT 'target', item_id, row_number() OVER (), text FROM benchmark),
+w AS (SELECT side, id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+features AS (SELECT side, r, unnest(words) AS f FROM w
+             UNION ALL SELECT side, r, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) FROM w),
+counted AS (SELECT side, r, f, count(*) AS n FROM features GROUP BY ALL),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)),
+crcs AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h), 2), lambda i: ('0x' || h[i + 1:i + 2])::BIGINT)),
+                                   lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+         FROM hexed, crc_table),
+placed AS (SELECT side, r, bucket, sum(n) AS n FROM counted JOIN crcs USING (f) GROUP BY ALL),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'raw'), 0) AS s, coalesce(sum(n) FILTER (side = 'target'), 0) AS t FROM placed GROUP BY bucket),
+sums AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM b),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM b, sums),
+totals AS (SELECT r, sum(n * gain) AS total, sum(n) AS n FROM placed JOIN gains USING (bucket) WHERE side = 'raw' GROUP BY r),
+scored AS (
+    SELECT id AS doc_id, len(words) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight,
+           ('0x' || sha256('7:' || coalesce(id::VARCHAR, ''))[1:8])::BIGINT AS h
+    FROM w LEFT JOIN totals USING (r) WHERE side = 'raw'),
+final AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM final)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= (SELECT 25 * count(*) // 100 FROM final WHERE n_words >= 20) THEN place END AS rank
+FROM ranked"""
+
 ORACLE: dict[str, str] = {
     "op3_embedding_copies": OP3,
     "op4_quality_rules": OP4,
     "op6_passages": OP6,
     "op7_near_copies": OP7,
+    "op12_filter_audit": OP12,
+    "op13_importance_resampling": OP13,
 }

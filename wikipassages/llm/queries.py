@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikipassages.llm import bpe, brown, chosen_path, multi_index, packing, quality, rlz, simple8b, toxicity, url_rules
+from wikipassages.llm import (
+    bpe, brown, chosen_path, filter_audit, multi_index, packing, pii, quality, resampling, rlz, simple8b, toxicity, url_rules)
 from wikipassages.llm.common import crc_remainder, shared_path, written
 
 
@@ -93,6 +94,23 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts are those of the base rules; ``n_added`` counts the spans of the field."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.found(docs, pii.fit(docs)).select(
+        "doc_id", "pii.n_email", "pii.n_ip", "pii.n_card", "pii.n_phone",
+        F.sha2(pii.joined(F.col("pii.base")).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("pii.spans")).alias("spans"), "pii.n_added")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_rules": op2_url_rules,
@@ -104,4 +122,7 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_token_files": op9_token_files,
     "op10_class_lm": op10_class_lm,
+    "op11_personal_data": op11_personal_data,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_importance_resampling": op13_importance_resampling,
 }
