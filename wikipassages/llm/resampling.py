@@ -148,8 +148,28 @@ def _pair_keys(number: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- the head, counted over all texts
+def most_frequent(counts: DataFrame, most: int) -> list:
+    """At most ``most`` keys of highest count above 1 (columns: key, ``n``), by falling count.
+
+    Counts are graded in eighths of a power of two; all keys of the highest grades that fit are taken, so only
+    the sizes of the grades and the result come to the driver, not the best of every task.
+    """
+    key = counts.columns[0]
+    graded = written(counts.where("n > 1").withColumn("grade", F.floor(8 * F.log2("n")).cast("int")), "counts")
+    lowest, taken = None, 0
+    for r in sorted(graded.groupBy("grade").count().collect(), key=lambda r: -r["grade"]):
+        taken += r["count"]
+        if taken > most:
+            break
+        lowest = r["grade"]
+    if lowest is None:
+        return []
+    rows = graded.where(F.col("grade") >= lowest).select(key, "n").collect()
+    return [r[key] for r in sorted(rows, key=lambda r: (-r["n"], r[key]))]
+
+
 def frequent_words(docs: DataFrame, text: str = "text", most: int = HEAD_WORDS) -> list[bytes]:
-    """The ``most`` words of highest count over all texts, of at most ``WORD_BYTES`` bytes."""
+    """Words of highest count over all texts, ``most`` at most, of at most ``WORD_BYTES`` bytes."""
     def folded(parts: list[pa.Table]) -> pa.Table:
         return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
@@ -167,12 +187,11 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = HEAD_WORDS)
             yield from folded(held).to_batches(1 << 14)
 
     rows = docs.select(text).mapInArrow(frugal(counted), "word binary, n long")
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(r["word"]) for r in top.collect()]
+    return [bytes(w) for w in most_frequent(rows.groupBy("word").agg(F.sum("n").alias("n")), most)]
 
 
 def frequent_pairs(docs: DataFrame, words: list[bytes], text: str = "text", most: int = HEAD_PAIRS) -> list[int]:
-    """The ``most`` pairs of highest count over all texts among the first ``PAIR_WORDS`` of ``words``, as keys."""
+    """Pairs of highest count over all texts among the first ``PAIR_WORDS`` of ``words``, ``most`` at most, as keys."""
     head = Head.of(words[:PAIR_WORDS])
 
     def counted(batches):
@@ -185,8 +204,7 @@ def frequent_pairs(docs: DataFrame, words: list[bytes], text: str = "text", most
         yield from pa.table({"pair": seen, "n": total[seen]}).to_batches(1 << 14)
 
     rows = docs.select(text).mapInArrow(frugal(counted), "pair long, n long")
-    top = rows.groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(most)
-    return [r["pair"] for r in top.collect()]
+    return most_frequent(rows.groupBy("pair").agg(F.sum("n").alias("n")), most)
 
 
 def head_of(docs: DataFrame, text: str = "text") -> Head:
