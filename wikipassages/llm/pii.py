@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import frugal, text_slices
+from wikipassages.llm.common import frugal, text_slices, written
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -440,9 +440,15 @@ def window_sample(docs: DataFrame, text: str = "text", most: int = MOST_WINDOWS)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                                           pa.array([r[2] for r in rows], pa.bool_())], ["hash", "sample", "spans"])
 
-    found = docs.select(text).mapInArrow(frugal(picked), "hash long, sample string, spans boolean")
-    return [r["sample"] for side in (True, False)
-            for r in found.where(F.col("spans") == side).distinct().orderBy("hash", "sample").limit(half).collect()]
+    found = written(docs.select(text).mapInArrow(frugal(picked), "hash long, sample string, spans boolean").distinct(), "pii-windows")
+    out = []
+    for side in (True, False):
+        mine = found.where(F.col("spans") == side)
+        # the smallest hashes by a quantile first: tasks then send few rows that do not make it
+        share = min(1.0, half / max(mine.count(), 1))
+        low = mine.select(F.percentile_approx("hash", share, 10_000)).scalar()
+        out += [r["sample"] for r in mine.where(F.col("hash") <= low).orderBy("hash", "sample").limit(half).collect()]
+    return out
 
 
 def fit(docs: DataFrame, text: str = "text", most: int = MOST_WINDOWS, made: int = 1200) -> Field:
