@@ -405,6 +405,22 @@ SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 SEARCH_WILDCARD = _constant_clauses(
     "WHERE length(term) >= 3",
     "starts_with(v.term, left(cl.clause_id, 2)) AND right(v.term, 1) = right(cl.clause_id, 1) AND length(v.term) >= 4")
+SEARCH_INFIX = SEARCH_CTE + """,
+vocab AS (SELECT DISTINCT term FROM post),
+cl AS (SELECT DISTINCT query_id, unnest(['*' || substr(term, 2, 3) || '*', '?' || substr(term, 2, 2) || '*']) AS clause_id FROM qt WHERE length(term) >= 4),
+ncl AS (SELECT query_id, count(*) AS clauses FROM cl GROUP BY query_id),
+pats AS (SELECT DISTINCT clause_id, replace(replace(clause_id, '*', ''), '?', '') AS inner_part FROM cl),
+ex AS (SELECT pats.clause_id, v.term FROM pats JOIN vocab v
+       ON CASE WHEN starts_with(clause_id, '*') THEN contains(v.term, inner_part) ELSE substr(v.term, 2, 2) = inner_part END),
+hit AS (SELECT DISTINCT cl.query_id, cl.clause_id, p.doc_id FROM cl JOIN ex USING (clause_id) JOIN post p USING (term)),
+m AS (SELECT query_id, doc_id, count(*) AS matched FROM hit GROUP BY ALL),
+sc AS (SELECT m.query_id, m.doc_id, round(m.matched * m.matched / pow(ncl.clauses, 1.5), 6) AS score
+      FROM m JOIN ncl USING (query_id)),
+rk AS (SELECT query_id, doc_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
 SEARCH_RANGE = _constant_clauses("", "v.term >= cl.clause_id AND v.term <= cl.clause_id || 'm'")
 
 # The same sections twice: every posting and document a second time under its own id.
@@ -657,6 +673,7 @@ def oracle_sql() -> dict[str, str]:
         "search_mixed": SEARCH_MIXED,
         "search_must_not": SEARCH_MUST_NOT,
         "search_wildcard": SEARCH_WILDCARD,
+        "search_infix": SEARCH_INFIX,
         "search_range": SEARCH_RANGE,
         "search_hits": SEARCH_HITS,
         "search_after_append": SEARCH_AFTER_APPEND,

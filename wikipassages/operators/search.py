@@ -23,6 +23,7 @@ from ..functions import text as T
 from ..functions.analysis import STOP_WORDS, analyze, stem_terms
 from ..session import ensure_checkpoint_dir
 from ..sources.lines import gather_titles
+from . import dictionary
 from .index import DEFAULT_FIELD, SearchIndex
 
 SHOULD, MUST, MUST_NOT = "should", "must", "must_not"
@@ -201,24 +202,15 @@ def expand_prefix(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
             .select("query_id", "clause_id", "field", "term"))
 
 
-def _like_pattern(pattern: Column) -> Column:
-    """Wildcard (``?`` one char, ``*`` any run) to a LIKE pattern with ``!`` as escape."""
-    escaped = F.regexp_replace(pattern, r"([!%_])", "!$1")
-    return F.translate(escaped, "?*", "_%")
-
-
 def expand_wildcard(index: SearchIndex, patterns: DataFrame) -> DataFrame:
-    """Q7 wildcard: ``query_id, clause_id, field, term`` for terms matching ``pattern``.
+    """Q7 wildcard: ``query_id, clause_id, field, term`` for terms matching ``pattern``
+    (``?`` one character, ``*`` any run, anywhere in it).
 
-    Candidates come from an equi-join on the literal part before the first
-    wildcard (possibly empty, then every term is a candidate), and are
-    verified with ``LIKE``.
+    Each distinct pattern is looked up once in the gram postings
+    (:func:`.dictionary.matching_terms`), then fanned out to its clauses.
     """
-    lit_prefix = F.regexp_extract(F.col("pattern"), r"^([^?*]*)", 1)
-    q = patterns.withColumn("prefix", lit_prefix).withColumn("_like", _like_pattern(F.col("pattern")))
-    cand = q.join(_vocab_prefixes(index, q), ["field", "prefix"])
-    return (cand.where(F.expr("term LIKE _like ESCAPE '!'"))
-            .select("query_id", "clause_id", "field", "term"))
+    found = dictionary.matching_terms(index.term_stats, patterns, index.grams)
+    return patterns.join(found, ["field", "pattern"]).select("query_id", "clause_id", "field", "term")
 
 
 def expand_range(index: SearchIndex, ranges: DataFrame) -> DataFrame:
@@ -244,6 +236,11 @@ def _clause_bits(clauses: DataFrame, *name: str) -> DataFrame:
         .withColumn("mask", F.expr("shiftleft(1L, cast(_bit % 63 as int))")).drop("_bit")
 
 
+def _asked_postings(index: SearchIndex, folded: DataFrame) -> DataFrame:
+    """The postings of the terms that some query asks for; only these are dealt out by document."""
+    return index.postings.join(folded.select("field", "term").distinct(), ["field", "term"], "left_semi")
+
+
 def _matched_clauses(index: SearchIndex, folded: DataFrame) -> DataFrame:
     """``query_id, doc_id, matched``: how many of a query's clauses a document meets.
 
@@ -251,7 +248,7 @@ def _matched_clauses(index: SearchIndex, folded: DataFrame) -> DataFrame:
     term and word; postings are dealt by document, so all that a document
     gives to a query is united in one task.
     """
-    postings = index.postings.select("field", "term", "doc_id").repartition("doc_id")
+    postings = _asked_postings(index, folded).select("field", "term", "doc_id").repartition("doc_id")
     return (postings.join(folded, ["field", "term"])
             .groupBy("doc_id", "query_id", "word").agg(F.bit_or("mask").alias("mask"))
             .groupBy("doc_id", "query_id").agg(F.sum(F.bit_count("mask")).alias("matched")))
@@ -289,40 +286,14 @@ def prefix_scores(index: SearchIndex, prefixes: DataFrame) -> DataFrame:
     return _constant_scores(_matched_clauses(index, folded), clauses)
 
 
-def _deletions(word: Column, k: int) -> Column:
-    """All strings made from ``word`` by deleting at most ``k`` characters (k <= 2)."""
-    def drop_one(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(w)),
-                           lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
-    level = F.array(word)
-    out = level
-    for _ in range(k):
-        level = F.array_distinct(F.flatten(F.transform(level, lambda w: F.when(
-            F.length(w) > 0, drop_one(w)).otherwise(F.array().cast("array<string>")))))
-        out = F.concat(out, level)
-    return F.array_distinct(out)
-
-
 def expand_fuzzy(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> DataFrame:
     """Q7 fuzzy: every indexed term within ``max_edits`` Levenshtein edits of the query term.
 
-    Exact candidate generation without a theta join: two strings within k
-    edits share a string reachable by at most k deletions from each, so both
-    sides are exploded into their deletion neighbourhoods and equi-joined,
-    then each candidate pair is verified with ``levenshtein``. Indexed terms
-    longer than the longest query term + k cannot match and are skipped.
+    Each distinct query term is looked up once by the dictionary's segments
+    (:func:`.dictionary.near_terms`), then fanned out to its clauses.
     Output ``query_id, clause_id, field, qterm, term, edits``.
     """
-    longest = fuzzy.select(F.max(F.length("qterm"))).scalar()
-    vocab = (index.term_stats.select("field", "term")
-             .where(F.length("term") <= longest + max_edits)
-             .select("field", "term", F.explode(_deletions(F.col("term"), max_edits)).alias("v")))
-    # each distinct query term is expanded once, then fanned out to its clauses
-    qterms = fuzzy.select("field", "qterm").distinct()
-    q = qterms.select("field", "qterm", F.explode(_deletions(F.col("qterm"), max_edits)).alias("v"))
-    pairs = q.join(vocab, ["field", "v"]).select("field", "qterm", "term").distinct()
-    matched = (pairs.withColumn("edits", F.levenshtein("qterm", "term", max_edits))
-               .where((F.col("edits") >= 0) & (F.col("edits") <= max_edits)))
+    matched = dictionary.near_terms(index.term_stats, fuzzy, max_edits)
     return fuzzy.select("query_id", "clause_id", "field", "qterm").join(matched, ["field", "qterm"])
 
 
@@ -381,7 +352,7 @@ def fuzzy_scores(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
     folded = (bits.join(exp, ["field", "qterm"])
               .groupBy("query_id", "field", "term", "word").agg(F.sum(share).alias("weight"), F.bit_or("mask").alias("mask")))
     # postings dealt by document: what a document gives to a query stays in one task
-    postings = index.postings.select("field", "term", "doc_id", (F.sqrt("tf") / F.sqrt("len")).alias("norm")).repartition("doc_id")
+    postings = _asked_postings(index, folded).select("field", "term", "doc_id", (F.sqrt("tf") / F.sqrt("len")).alias("norm")).repartition("doc_id")
     hits = (postings.join(folded, ["field", "term"])
             .groupBy("doc_id", "query_id", "word").agg(F.sum(F.col("weight") * F.col("norm")).alias("raw"), F.bit_or("mask").alias("mask"))
             .groupBy("doc_id", "query_id").agg(F.sum("raw").alias("raw"), F.sum(F.bit_count("mask")).alias("matched")))

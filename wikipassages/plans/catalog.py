@@ -7,13 +7,15 @@ in ``oracle_sql.py``.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import porter
 from ..functions.analysis import analyze, analyze_words
 from ..functions.text import normalize_title
-from ..operators import index, links, search, stats
+from ..operators import dictionary, index, links, search, stats
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize, stage_path
 from ..sources import dump, lines
@@ -98,6 +100,14 @@ def section_index(spark: SparkSession, sf_dir: str, stem: bool = False) -> index
     return index.SearchIndex(docs, postings, term_stats, field_len)
 
 
+def gram_index(spark: SparkSession, sf_dir: str) -> index.SearchIndex:
+    """Q7: the same index with its gram postings written, too, sorted by gram."""
+    ix = section_index(spark, sf_dir)
+    grams = materialize(spark, f"index-grams:{sf_dir}", lambda: dictionary.term_grams(ix.term_stats)
+                        .repartitionByRange("field", "gram").sortWithinPartitions("field", "gram"))
+    return dataclasses.replace(ix, grams=grams)
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query texts: every ``benchmark`` item is one query."""
     return corpus.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
@@ -227,7 +237,7 @@ def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _constant(spark: SparkSession, sf_dir: str, clauses: DataFrame, expand) -> DataFrame:
-    ix = section_index(spark, sf_dir)
+    ix = gram_index(spark, sf_dir) if expand is search.expand_wildcard else section_index(spark, sf_dir)
     return _top(search.constant_clause_scores(ix, expand(ix, clauses), clauses.select("query_id", "clause_id")))
 
 
@@ -243,6 +253,16 @@ def search_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _constant(spark, sf_dir, q.withColumn("pattern", pattern).drop("term"), search.expand_wildcard)
 
 
+def search_infix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: for every term of four letters or more two patterns that do not start with a letter:
+    its 2nd to 4th letter anywhere (``*bcd*``), and its 2nd and 3rd after any one (``?bc*``)."""
+    q = _term_clauses(spark, sf_dir).where(F.length("term") >= 4)
+    inside = F.array(F.concat(F.lit("*"), F.substring("term", 2, 3), F.lit("*")), F.concat(F.lit("?"), F.substring("term", 2, 2), F.lit("*")))
+    clauses = q.select("query_id", "field", F.explode(inside).alias("pattern")).distinct() \
+        .select("query_id", F.col("pattern").alias("clause_id"), "field", "pattern")
+    return _constant(spark, sf_dir, clauses, search.expand_wildcard)
+
+
 def search_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: all terms from a query's term up to the term followed by ``m``."""
     q = _term_clauses(spark, sf_dir).select("query_id", "clause_id", "field", F.col("term").alias("lo"),
@@ -383,6 +403,7 @@ QUERIES = {
     "search_mixed": search_mixed,
     "search_must_not": search_must_not,
     "search_wildcard": search_wildcard,
+    "search_infix": search_infix,
     "search_range": search_range,
     "search_hits": search_hits,
     "search_after_append": search_after_append,
