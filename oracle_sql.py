@@ -672,6 +672,8 @@ def oracle_sql() -> dict[str, str]:
         "search_phrase_ranked": SEARCH_PHRASE_RANKED,
         "search_mixed": SEARCH_MIXED,
         "search_must_not": SEARCH_MUST_NOT,
+        "search_tfidf_bounded": SEARCH_TFIDF,
+        "search_segments": SEARCH_BM25,
         "search_wildcard": SEARCH_WILDCARD,
         "search_infix": SEARCH_INFIX,
         "search_range": SEARCH_RANGE,

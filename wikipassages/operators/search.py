@@ -75,6 +75,13 @@ def _idf_tfidf(n_docs: Column, df: Column) -> Column:
     return F.lit(1.0) + F.log(n_docs / (df + F.lit(1.0)))
 
 
+def weighted_terms(index: SearchIndex, qterms: DataFrame) -> DataFrame:
+    """``qterms`` with ``df`` and ``idf`` of each term (``df`` is null for a term that is not indexed)."""
+    n = index.n_docs()
+    return (qterms.join(index.term_stats, ["field", "term"], "left")
+            .withColumn("idf", _idf_tfidf(n, F.coalesce(F.col("df"), F.lit(0)).cast("double"))))
+
+
 def tfidf_scores(index: SearchIndex, qterms: DataFrame) -> DataFrame:
     """Q5 + Q8: classic TF-IDF with coord and query norm.
 
@@ -84,9 +91,7 @@ def tfidf_scores(index: SearchIndex, qterms: DataFrame) -> DataFrame:
     count, a document needs every must clause and none of the must-not ones.
     Output: ``query_id, doc_id, score``.
     """
-    n = index.n_docs()
-    qt = (qterms.join(index.term_stats, ["field", "term"], "left")
-          .withColumn("idf", _idf_tfidf(n, F.coalesce(F.col("df"), F.lit(0)).cast("double"))))
+    qt = weighted_terms(index, qterms)
     scoring = F.col("occur") != MUST_NOT
     qinfo = (qt.groupBy("query_id").agg(
         F.sum(F.when(scoring, F.col("qtf") * (F.col("idf") * F.col("boost")) * (F.col("idf") * F.col("boost")))).alias("sumsq"),

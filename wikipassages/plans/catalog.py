@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import porter
 from ..functions.analysis import analyze, analyze_words
 from ..functions.text import normalize_title
-from ..operators import dictionary, index, links, search, stats
+from ..operators import bounded, dictionary, index, links, search, segments, stats
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize, stage_path
 from ..sources import dump, lines
@@ -129,6 +129,18 @@ def search_tfidf_page2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.tfidf_scores(ix, search.query_terms(benchmark_queries(spark, sf_dir))), 11, 20)
 
 
+def bounded_search(spark: SparkSession, sf_dir: str) -> bounded.BoundedSearch:
+    """The bounded search of all terms of every benchmark text, over the index's posting blocks."""
+    ix = section_index(spark, sf_dir)
+    blocks = materialize(spark, f"index-blocks:{sf_dir}", lambda: bounded.posting_blocks(ix.postings, ix.term_stats))
+    return bounded.BoundedSearch(ix, blocks, search.query_terms(benchmark_queries(spark, sf_dir)))
+
+
+def search_tfidf_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 + Q8: the searches of ``search_tfidf`` in two passes, the second over the blocks that can still matter."""
+    return bounded_search(spark, sf_dir).hits().select("query_id", "rank", "doc_id", "score")
+
+
 def search_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: terms repeated in a benchmark text are required (must), the others optional; top 10."""
     ix = section_index(spark, sf_dir)
@@ -326,6 +338,24 @@ def search_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(spark, f"search-after-append:{sf_dir}", built)
 
 
+def segmented_index(spark: SparkSession, sf_dir: str) -> segments.SegmentedIndex:
+    """K6 + U1: the sections and redirects of each language as a load of their own, one after the other."""
+    def built() -> DataFrame:
+        res = primary(spark, sf_dir)
+        path = stage_path(spark, "segmented-index")
+        sections = _with_source(res.redirected)
+        for lang in [r["source"] for r in sections.select("source").distinct().orderBy("source").collect()]:
+            part = sections.where(F.col("source") == lang).drop("source")
+            segments.add_load(index.build_index(part, res.redirects.select("key", "redirect")), path, lang)
+        return spark.createDataFrame([(path,)], "path string")
+    return segments.read_segments(spark, materialize(spark, f"segmented-index:{sf_dir}", built).first()["path"])
+
+
+def search_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + Q12: all terms required, BM25, over an index of one load for each language; the statistics are merged when it is read."""
+    return _top(search.bm25_scores(segmented_index(spark, sf_dir), search.query_terms(benchmark_queries(spark, sf_dir))))
+
+
 # ---------------------------------------------------------------- through the line formats
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the corpus with one damaged record for each document; the damaged ones come back as they are."""
@@ -387,6 +417,7 @@ QUERIES = {
     "word_count": word_count,
     "search_tfidf": search_tfidf,
     "search_tfidf_page2": search_tfidf_page2,
+    "search_tfidf_bounded": search_tfidf_bounded,
     "search_boolean": search_boolean,
     "search_bm25": search_bm25,
     "search_phrase": search_phrase,
@@ -407,6 +438,7 @@ QUERIES = {
     "search_range": search_range,
     "search_hits": search_hits,
     "search_after_append": search_after_append,
+    "search_segments": search_segments,
     "dead_letters": dead_letters,
     "lines_section_stats": lines_section_stats,
     "lines_count_hist": lines_count_hist,
