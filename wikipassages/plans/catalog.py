@@ -339,14 +339,14 @@ def search_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segmented_index(spark: SparkSession, sf_dir: str) -> segments.SegmentedIndex:
-    """K6 + U1: the sections and redirects of each language as a load of their own, one after the other."""
+    """K6 + U1: the sections and redirects of each language, and those of pages without one, as a load of their own."""
     def built() -> DataFrame:
         res = primary(spark, sf_dir)
         path = stage_path(spark, "segmented-index")
-        sections = _with_source(res.redirected)
+        sections = res.redirected.withColumn("source", F.regexp_extract("page", "–([^–]*)$", 1))
         for lang in [r["source"] for r in sections.select("source").distinct().orderBy("source").collect()]:
             part = sections.where(F.col("source") == lang).drop("source")
-            segments.add_load(index.build_index(part, res.redirects.select("key", "redirect")), path, lang)
+            segments.add_load(index.build_index(part, res.redirects.select("key", "redirect")), path, lang or "none")
         return spark.createDataFrame([(path,)], "path string")
     return segments.read_segments(spark, materialize(spark, f"segmented-index:{sf_dir}", built).first()["path"])
 
