@@ -92,3 +92,12 @@ def test_empty_documents(spark, corpus, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{corpus[0]}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_keep_different_texts_of_one_id(spark):
+    r = random.Random(2)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    a, b, c = text(), text(), text()
+    docs = spark.createDataFrame([(1, a), (1, b), (1, a), (2, c), (3, c + " end")], "doc_id long, text string")
+    kept = sorted((x["doc_id"], x["text"]) for x in stages.drop_near_copies(spark, docs, "").collect())
+    assert kept == sorted([(1, a), (1, b), (2, c)])

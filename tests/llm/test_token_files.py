@@ -78,6 +78,22 @@ def test_files_in_ascending_order(spark, tmp_path, library):
     assert manifest.count() > 1 and manifest.agg({"ids": "sum"}).first()[0] == at
 
 
+def test_lost_and_foreign_files_raise(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    folder = f"{tmp_path}/plain"                                   # without a scheme: the session's default store
+    manifest = simple8b.write_files(df, folder, PATH, 2, file_ids=50)
+    assert simple8b.read_files(spark, folder, manifest).count() == len(ROWS)
+    names = [r["name"] for r in manifest.orderBy("part", "file").collect()]
+    (tmp_path / "plain" / names[0]).rename(tmp_path / "aside")
+    with pytest.raises(FileNotFoundError, match=names[0]):
+        simple8b.read_files(spark, folder, manifest)
+    other = spark.createDataFrame([(1, "short"), (2, "texts"), (3, "here"), (4, "and there")], "doc_id long, text string").coalesce(1)
+    strange = simple8b.write_files(other, f"{tmp_path}/other", PATH, 2, file_ids=10_000).first()["name"]
+    (tmp_path / "other" / strange).rename(tmp_path / "plain" / names[0])
+    with pytest.raises(Exception, match="not the texts of the manifest"):
+        simple8b.read_files(spark, folder, manifest).collect()
+
+
 def test_no_texts_no_files(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     manifest = simple8b.write_files(df, f"{tmp_path}/none", PATH, 2)

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the store it is in: the session's default one if it names none."""
+    full = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = full.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(full).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts lineage and keeps its result."""
     path = shared_path(df.sparkSession, name)
@@ -32,9 +40,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _held() -> dict:
+    """What this worker process holds for the stage of the running task; what it held for another stage goes."""
+    module = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if getattr(module, "stage", None) != stage or not hasattr(module, "held"):
+        module.stage, module.held = stage, {}
+        release()
+    return module.held
+
+
 def cached(key: tuple, make: Callable):
-    """``make()`` once for each Python worker process; later tasks of the worker find it."""
-    store = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
+    """``make()`` once for each Python worker process and stage; later tasks of the stage find it.
+
+    Workers outlive their stages, so without this end every stage's tables would stay in memory beside the JVM's heap.
+    """
+    store = _held()
     if key not in store:
         store[key] = make()
     return store[key]
@@ -51,6 +73,7 @@ def release() -> None:
 def frugal(f: Callable) -> Callable:
     """A function from batches to batches that releases memory when it ends."""
     def run(batches):
+        _held()
         try:
             yield from f(batches)
         finally:

@@ -33,11 +33,13 @@ from wikipassages.llm.word_ids import word_ids
 PLAN = ["length", "rank", "each", "sequence", "offset"]
 
 
-def cut_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def cut_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, doc: str = "doc_id", text: str = "text",
+               with_ids: bool = True) -> DataFrame:
     """(doc, piece, start, length, ids_crc32, ids): each text's ids and ``end_id``, cut where longer than ``capacity``.
 
     Null and empty texts are one piece with the end id only. ``ids`` holds the
-    piece's ids as little-endian unsigned 32-bit numbers.
+    piece's ids as little-endian unsigned 32-bit numbers; without ``with_ids`` there is no such column, and
+    nothing of the texts' size leaves the tasks.
     """
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_ids(tokenizer)
@@ -53,14 +55,15 @@ def cut_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, doc: s
             length = np.minimum(capacity, size[row] - start)
             first = offsets[:-1][row] + start
             crc = [zlib.crc32(ids[a:a + k]) for a, k in zip(first.tolist(), length.tolist())]
-            edges = np.append(first, offsets[-1]).astype(np.int32) * 4
-            raw = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays([rows.column("doc").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
-                                              pa.array(length), pa.array(crc, pa.int64()), raw],
-                                             ["doc", "piece", "start", "length", "ids_crc32", "ids"])
-
-    return df.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).alias("text")) \
-        .mapInArrow(frugal(pieces), "doc bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary")
+            columns = [rows.column("doc").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                       pa.array(crc, pa.int64())]
+            if with_ids:
+                edges = np.append(first, offsets[-1]).astype(np.int32) * 4
+                columns.append(pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)]))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "piece", "start", "length", "ids_crc32", "ids"][:len(columns)])
+
+    schema = "doc bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if with_ids else "")
+    return df.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).alias("text")).mapInArrow(frugal(pieces), schema)
 
 
 def sweep(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

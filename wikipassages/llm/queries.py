@@ -76,7 +76,7 @@ CAPACITY = 2048
 
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                public_tokenizers.path("word_bpe_49k.json"), 0, CAPACITY)
+                                public_tokenizers.path("word_bpe_49k.json"), 0, CAPACITY, with_ids=False)
     pieces = pieces.select(F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32")
     return packing.packed(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
 

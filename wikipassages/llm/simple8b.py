@@ -17,7 +17,6 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import STEP_BYTES, frugal, text_slices, written
+from wikipassages.llm.common import STEP_BYTES, frugal, qualified, text_slices, written
 from wikipassages.llm.word_ids import word_ids
 
 #: Fixed values of the code: bits of an id and ids of a word, by selector.
@@ -178,7 +177,7 @@ def from_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 def _put(folder: str, name: str, content: bytes) -> str:
     """Writes a file under another name first, so that a lost task leaves no half file under its own."""
-    system, path = pafs.FileSystem.from_uri(folder) if urlsplit(folder).scheme else (pafs.LocalFileSystem(), folder)
+    system, path = pafs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
     draft = f"{path}/_{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as f:
@@ -198,9 +197,11 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, end_id: int, doc: st
     Null ids come first; rows of one id are ordered by their text. Null and
     empty texts have the end id only. Texts are range-partitioned before they
     are encoded, each partition writes files of about ``file_ids`` ids (a
-    longer text has a file of its own). Returns the written manifest: part,
-    file (number in the part), name, docs, ids.
+    longer text has a file of its own). A folder without a scheme is in the session's
+    default store. Returns the written manifest: part, file (number in the part), name, docs, ids.
     """
+    folder = qualified(df.sparkSession, folder)
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         codec = word_ids(tokenizer)
@@ -240,7 +241,8 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, end_id: int, doc: st
 def read_files(spark: SparkSession, folder: str, manifest: DataFrame, doc: str = "doc_id") -> DataFrame:
     """(doc, start, n_tokens, ids_crc32) of every text, from the files named in the manifest.
 
-    A missing, cut or foreign file raises. ``start``: ids of all texts before.
+    A missing, cut or foreign file raises, and one that does not hold the manifest's number of texts and ids.
+    ``start``: ids of all texts before.
     """
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,16 +251,22 @@ def read_files(spark: SparkSession, folder: str, manifest: DataFrame, doc: str =
                 ids = ids.astype("<u4", copy=False)
                 ends = np.cumsum(counts)
                 crc = [zlib.crc32(ids[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(docs)), pa.array(docs, mask=nulls), pa.array(ends - counts),
+                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(docs)), pa.array([len(docs)] * len(docs), pa.int64()),
+                                                  pa.array([len(ids)] * len(docs), pa.int64()), pa.array(docs, mask=nulls), pa.array(ends - counts),
                                                   pa.array(counts), pa.array(crc, pa.int64())],
-                                                 ["name", "doc", "local", "n_tokens", "ids_crc32"])
+                                                 ["name", "docs", "ids", "doc", "local", "n_tokens", "ids_crc32"])
 
     ordered = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)   # one row a file
-    bases = manifest.select("name", "docs", F.coalesce(F.sum("ids").over(ordered), F.lit(0)).alias("base"))
+    bases = manifest.select("name", F.col("docs").alias("all_docs"), F.col("ids").alias("all_ids"), F.coalesce(F.sum("ids").over(ordered), F.lit(0)).alias("base"))
     if manifest.isEmpty():
         return bases.select(F.lit(None).cast("bigint").alias(doc), F.col("base").alias("start"),
                             F.col("base").alias("n_tokens"), F.col("base").alias("ids_crc32"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.s8b").load(folder) \
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.s8b").load(qualified(spark, folder)) \
         .select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    rows = files.mapInArrow(frugal(decoded), "name string, doc bigint, local bigint, n_tokens bigint, ids_crc32 bigint")
-    return rows.join(bases, "name").select(F.col("doc").alias(doc), (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
+    lost = bases.join(files.select("name"), "name", "left_anti").first()          # names only, no content is read
+    if lost is not None:
+        raise FileNotFoundError(f"{folder}/{lost['name']} is in the manifest but not there")
+    rows = files.mapInArrow(frugal(decoded), "name string, docs bigint, ids bigint, doc bigint, local bigint, n_tokens bigint, ids_crc32 bigint")
+    whole = (F.col("docs") == F.col("all_docs")) & (F.col("ids") == F.col("all_ids"))
+    start = F.when(whole, F.col("base") + F.col("local")).otherwise(F.raise_error(F.concat(F.lit("not the texts of the manifest: "), F.col("name"))).cast("bigint"))
+    return rows.join(bases, "name").select(F.col("doc").alias(doc), start.alias("start"), "n_tokens", "ids_crc32")

@@ -41,9 +41,11 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id (once, if its row is repeated)."""
+    """One document of each group of near copies stays, that with the smallest id (once, if its row is repeated).
+
+    Rows of one id with different texts are different documents: all stay if their id does."""
     kept = chosen_path.near_copies(docs.select("doc_id", "text"), size=5).where("kept and doc_id is not null").select("doc_id").distinct()
-    once = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
@@ -59,7 +61,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) with their sequence and place in it."""
-    pieces = packing.cut_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), 0, CAPACITY)
+    pieces = packing.cut_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), 0, CAPACITY, with_ids=False)
     pieces = pieces.select(F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32")
     return packing.packed(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
 
