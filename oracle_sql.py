@@ -212,6 +212,16 @@ rk AS (SELECT query_id, doc_id, score,
 SEARCH_TFIDF = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"
 SEARCH_TFIDF_PAGE2 = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank BETWEEN 11 AND 20"
 
+SEARCH_NEXT_PAGE = SEARCH_TFIDF_SCORES + """
+SELECT query_id, rank, doc_id, score, CAST(count(*) OVER (PARTITION BY query_id) AS INTEGER) AS hits_on_page,
+       EXISTS (SELECT 1 FROM rk AS later WHERE later.query_id = rk.query_id AND later.rank = 21) AS more
+FROM rk WHERE rank BETWEEN 11 AND 20"""
+
+LINES_COUNT_FILES = INDEXABLE + """
+SELECT CASE WHEN contains(page, '–') THEN split_part(page, '–', -1) ELSE 'none' END || 'wiki.txtredirsCount.txt' AS file,
+       n AS redirs_count, count(*) AS freq
+FROM ix GROUP BY ALL"""
+
 SEARCH_BOOLEAN = SEARCH_CTE + """,
 qi AS (SELECT qt.query_id, qt.term, qt.qtf, qt.qtf >= 2 AS must,
               1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
@@ -673,6 +683,8 @@ def oracle_sql() -> dict[str, str]:
         "search_mixed": SEARCH_MIXED,
         "search_must_not": SEARCH_MUST_NOT,
         "search_tfidf_bounded": SEARCH_TFIDF,
+        "search_next_page": SEARCH_NEXT_PAGE,
+        "lines_count_files": LINES_COUNT_FILES,
         "search_segments": SEARCH_BM25,
         "search_wildcard": SEARCH_WILDCARD,
         "search_infix": SEARCH_INFIX,

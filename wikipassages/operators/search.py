@@ -453,6 +453,31 @@ def page_of_hits(scores: DataFrame, page: int) -> DataFrame:
     return rank_hits(scores, (page - 1) * HITS_PER_PAGE + 1, page * HITS_PER_PAGE)
 
 
+def cursor_after(page: DataFrame) -> DataFrame:
+    """L2: ``query_id, last_rank, last_score, last_doc`` - where the shown page of each query ends."""
+    end = F.max(F.struct("rank", "score", "doc_id")).alias("end")
+    return page.groupBy("query_id").agg(end).select("query_id", F.col("end.rank").alias("last_rank"), F.col("end.score").alias("last_score"),
+                                                    F.col("end.doc_id").alias("last_doc"))
+
+
+def page_after(scores: DataFrame, cursor: DataFrame, hits: int = HITS_PER_PAGE) -> DataFrame:
+    """L2: the ``hits`` hits behind each query's cursor: ``query_id, rank, doc_id, score, hits_on_page, more``.
+
+    What ranks up to the cursor is dropped before anything is ranked, so a late page costs what the first one does;
+    one hit beyond the page tells whether there is ``more``. A query without a cursor starts at its first hit; one
+    that has no further hits has no row.
+    """
+    score = F.round("score", 6)
+    behind = F.col("last_rank").isNull() | (F.col("score") < F.col("last_score")) | ((F.col("score") == F.col("last_score")) & (F.col("doc_id") > F.col("last_doc")))
+    rest = scores.withColumn("score", score).join(cursor, "query_id", "left").where(behind)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id")))
+    seen = rest.withColumn("place", place).where(F.col("place") <= hits + 1) \
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))          # at most hits + 1 rows a query
+    return seen.where(F.col("place") <= hits).select(
+        "query_id", (F.coalesce("last_rank", F.lit(0)) + F.col("place")).cast("int").alias("rank"), "doc_id", "score",
+        F.least("n", F.lit(hits)).cast("int").alias("hits_on_page"), (F.col("n") > hits).alias("more"))
+
+
 def resolve_display(fields="all") -> list[str]:
     """Q9: ``"all"`` / ``"default"`` / ``"none"`` or an explicit list of field names.
 

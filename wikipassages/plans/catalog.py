@@ -129,6 +129,12 @@ def search_tfidf_page2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.tfidf_scores(ix, search.query_terms(benchmark_queries(spark, sf_dir))), 11, 20)
 
 
+def search_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: what follows the first page of ``search_tfidf``, from where that page ends, with the hits on it and whether there are more."""
+    scores = search.tfidf_scores(section_index(spark, sf_dir), search.query_terms(benchmark_queries(spark, sf_dir)))
+    return search.page_after(scores, search.cursor_after(search.rank_hits(scores)))
+
+
 def bounded_search(spark: SparkSession, sf_dir: str) -> bounded.BoundedSearch:
     """The bounded search of all terms of every benchmark text, over the index's posting blocks."""
     ix = section_index(spark, sf_dir)
@@ -385,6 +391,17 @@ def lines_count_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(spark, f"count-lines:{sf_dir}", written)
 
 
+def lines_count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 -> S8, S9: a count file under the name of each language's dump (and of the pages without one), read back by name."""
+    def written() -> DataFrame:
+        folder = stage_path(spark, "count-files")
+        lang = F.regexp_extract("page", "–([^–]*)$", 1)
+        named = redirected_sections(spark, sf_dir).withColumn("source", F.concat(F.when(lang == "", F.lit("none")).otherwise(lang), F.lit("wiki.txt")))
+        lines.write_count_files(stats.redirs_count_histogram(named, by=["source"]), folder, "source")
+        return lines.read_count_files(spark, folder)
+    return materialize(spark, f"count-files:{sf_dir}", written)
+
+
 def lines_staged_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 -> S5: the staged chain with job 1's page lines written and read back before job 2."""
     def written() -> DataFrame:
@@ -417,6 +434,7 @@ QUERIES = {
     "word_count": word_count,
     "search_tfidf": search_tfidf,
     "search_tfidf_page2": search_tfidf_page2,
+    "search_next_page": search_next_page,
     "search_tfidf_bounded": search_tfidf_bounded,
     "search_boolean": search_boolean,
     "search_bm25": search_bm25,
@@ -442,6 +460,7 @@ QUERIES = {
     "dead_letters": dead_letters,
     "lines_section_stats": lines_section_stats,
     "lines_count_hist": lines_count_hist,
+    "lines_count_files": lines_count_files,
     "lines_staged_sections": lines_staged_sections,
     "lines_staged_redirected": lines_staged_redirected,
 }

@@ -9,6 +9,9 @@ splitting. All readers are ``spark.read.text`` plus column expressions
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,3 +169,45 @@ def write_lines(df: DataFrame, line: Column, path: str, mode: str = "errorifexis
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.text(path)
+
+
+#: Fixed value: what an input's name is followed by in the name of its count file.
+COUNT_FILE = "redirsCount.txt"
+
+
+def write_count_files(counts: DataFrame, folder: str, source: str = "source_file") -> list[str]:
+    """K5: one count file for each input, ``<input>redirsCount.txt`` under ``folder``; returns the names, sorted.
+
+    ``counts``: ``source, redirs_count, freq``. A source's lines (as many as it has different counts) are written by
+    one task, sorted; when the job has committed, each file gets its name by a rename in the folder's own store, so
+    a file under its name is whole. A file that is there already raises (K9) before anything is written.
+    """
+    spark = counts.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def child(parent, name: str):
+        return spark._jvm.org.apache.hadoop.fs.Path(parent, name)
+    names = sorted(f"{r[0]}{COUNT_FILE}" for r in counts.select(source).distinct().collect())          # one row an input
+    taken = [n for n in names if fs.exists(child(root, n))]
+    if taken:
+        raise FileExistsError(f"{folder}: {', '.join(taken)}")
+    draft = child(root, f"_counts-{uuid.uuid4().hex}")
+    lines = counts.select(F.concat(F.col(source), F.lit(COUNT_FILE)).alias("file"), "redirs_count", count_line().alias("value"))
+    lines.repartition("file").sortWithinPartitions("file", "redirs_count").select("value", "file").write.partitionBy("file").text(draft.toString())
+    for entry in fs.listStatus(draft):
+        if entry.isDirectory():
+            name = unquote(entry.getPath().getName().removeprefix("file="))
+            parts = [p.getPath() for p in fs.listStatus(entry.getPath()) if p.getPath().getName().startswith("part-")]
+            if len(parts) != 1 or not fs.rename(parts[0], child(root, name)):
+                raise OSError(f"{folder}/{name} could not be committed")
+    fs.delete(draft, True)
+    return names
+
+
+def read_count_files(spark: SparkSession, folder: str) -> DataFrame:
+    """S8 + S9: ``file, redirs_count, freq`` of all count files in ``folder``, by file name."""
+    rows = spark.read.text(f"{folder}/*{COUNT_FILE}").select("value", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"))
+    parts = F.split(F.trim(F.col("value")), r"\s+", -1)
+    return rows.where(F.trim("value") != "").select(F.try_url_decode("file").alias("file"), parts.getItem(0).try_cast("int").alias("redirs_count"),
+                                                    F.try_element_at(parts, F.lit(2)).try_cast("bigint").alias("freq"))
