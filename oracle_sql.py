@@ -212,6 +212,43 @@ rk AS (SELECT query_id, doc_id, score,
 SEARCH_TFIDF = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"
 SEARCH_TFIDF_PAGE2 = SEARCH_TFIDF_SCORES + "SELECT query_id, rank, doc_id, score FROM rk WHERE rank BETWEEN 11 AND 20"
 
+# One query for each language over page title, section title and redirect titles.
+SEARCH_FIELDS = INDEXABLE + f""",
+titles AS (
+  SELECT lower('Doc ' || doc_id || '–' || lang || '#S ' || i) AS key, 'R ' || doc_id || ' ' || i || ' ' || unnest(range(1, c + 1)) AS redirect
+  FROM sec WHERE c > 0
+  UNION ALL SELECT lower('Doc ' || h.hd || '–' || h.hl || '#S 1'), 'Hub ' || d.doc_id FROM d, hub h
+  UNION ALL SELECT lower('Doc ' || doc_id || '–' || lang || '#Lead'), 'Lead ' || doc_id FROM d
+  UNION ALL SELECT 'css ' || doc_id || '#s 1', 'Cssr ' || doc_id FROM d
+),
+toks AS (
+  SELECT 'pageTitle' AS field, key, unnest({_analyzed('page')}) AS term FROM ix
+  UNION ALL SELECT 'sectionTitle', key, unnest({_analyzed('section')}) FROM ix
+  UNION ALL SELECT 'redirsFrom', key, unnest({_analyzed('redirect')}) FROM titles SEMI JOIN ix USING (key)
+),
+lens AS (SELECT field, key, count(*) AS len FROM toks GROUP BY ALL),
+post AS (SELECT field, key, term, len, count(*) AS tf FROM toks JOIN lens USING (field, key) GROUP BY ALL),
+dfs AS (SELECT field, term, count(*) AS df FROM post GROUP BY ALL),
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM ix),
+langs AS (SELECT DISTINCT lang AS query_id FROM documents WHERE lang IS NOT NULL),
+q AS (SELECT query_id, 'sectionTitle' AS field, 's' AS term, 1.0 AS boost, 'must' AS occur FROM langs
+      UNION ALL SELECT query_id, 'pageTitle', 'doc', 1.0, 'should' FROM langs
+      UNION ALL SELECT query_id, 'pageTitle', lower(query_id), 1.0, 'should' FROM langs
+      UNION ALL SELECT query_id, 'redirsFrom', 'hub', 2.0, 'should' FROM langs
+      UNION ALL SELECT query_id, 'redirsFrom', 'lead', 1.0, 'should' FROM langs
+      UNION ALL SELECT query_id, 'redirsFrom', 'cssr', 1.0, 'not' FROM langs),
+qi AS (SELECT q.*, CAST(q.boost AS DOUBLE) AS b, 1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
+       FROM q LEFT JOIN dfs USING (field, term), nd),
+qn AS (SELECT query_id, sum(idf * b * idf * b) AS sumsq, count(*) AS clauses FROM qi WHERE occur <> 'not' GROUP BY query_id),
+m AS (SELECT qi.query_id, p.key, sum(sqrt(p.tf) * qi.idf * qi.idf * qi.b / sqrt(p.len)) FILTER (occur <> 'not') AS raw,
+             count(*) FILTER (occur <> 'not') AS hits, count(*) FILTER (occur = 'must') AS musts, count(*) FILTER (occur = 'not') AS bad
+      FROM post p JOIN qi USING (field, term) GROUP BY ALL),
+sc AS (SELECT query_id, key AS doc_id, round(raw / sqrt(sumsq) * hits / clauses, 6) AS score
+       FROM m JOIN qn USING (query_id) WHERE bad = 0 AND musts = 1 AND hits > 0),
+rk AS (SELECT query_id, doc_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
 SEARCH_NEXT_PAGE = SEARCH_TFIDF_SCORES + """
 SELECT query_id, rank, doc_id, score, CAST(count(*) OVER (PARTITION BY query_id) AS INTEGER) AS hits_on_page,
        EXISTS (SELECT 1 FROM rk AS later WHERE later.query_id = rk.query_id AND later.rank = 21) AS more
@@ -686,6 +723,7 @@ def oracle_sql() -> dict[str, str]:
         "search_next_page": SEARCH_NEXT_PAGE,
         "lines_count_files": LINES_COUNT_FILES,
         "search_segments": SEARCH_BM25,
+        "search_fields": SEARCH_FIELDS,
         "search_wildcard": SEARCH_WILDCARD,
         "search_infix": SEARCH_INFIX,
         "search_range": SEARCH_RANGE,

@@ -362,6 +362,21 @@ def search_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.bm25_scores(segmented_index(spark, sf_dir), search.query_terms(benchmark_queries(spark, sf_dir))))
 
 
+def search_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 + Q4: one query for each language of ``documents`` over three fields; top 10.
+
+    ``+sectionTitle:s pageTitle:doc pageTitle:<language> redirsFrom:hub^2 redirsFrom:lead -redirsFrom:cssr``
+    """
+    langs = corpus.read_table(spark, sf_dir, "documents").where("lang is not null").select(F.col("lang").alias("query_id")).distinct()
+    lit = F.lit
+    clauses = [("sectionTitle", lit("s"), 1.0, search.MUST), ("pageTitle", lit("doc"), 1.0, search.SHOULD),
+               ("pageTitle", F.lower("query_id"), 1.0, search.SHOULD), (index.REDIRS_FIELD, lit("hub"), 2.0, search.SHOULD),
+               (index.REDIRS_FIELD, lit("lead"), 1.0, search.SHOULD), (index.REDIRS_FIELD, lit("cssr"), 1.0, search.MUST_NOT)]
+    rows = F.array(*[F.struct(lit(field).alias("field"), term.alias("term"), lit(1).alias("qtf"), lit(boost).alias("boost"), lit(occur).alias("occur"))
+                     for field, term, boost, occur in clauses])
+    return _top(search.tfidf_scores(segmented_index(spark, sf_dir), langs.select("query_id", F.inline(rows))))
+
+
 # ---------------------------------------------------------------- through the line formats
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the corpus with one damaged record for each document; the damaged ones come back as they are."""
@@ -457,6 +472,7 @@ QUERIES = {
     "search_hits": search_hits,
     "search_after_append": search_after_append,
     "search_segments": search_segments,
+    "search_fields": search_fields,
     "dead_letters": dead_letters,
     "lines_section_stats": lines_section_stats,
     "lines_count_hist": lines_count_hist,
