@@ -691,6 +691,47 @@ rk AS (SELECT query_id, doc_id, score,
 SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
 
 
+# Groups inside groups: +(3 6 9 ... (+pre7* -8)^0.5) (+1 +2)^2 -(+4 +5), by the terms' alphabetical places.
+SEARCH_GROUPED = SEARCH_CTE + """,
+cl AS (SELECT qt.query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY term) AS i FROM qt),
+ci AS (SELECT cl.query_id, cl.term, cl.i, 1.0 + ln(nd.n / (CAST(coalesce(dfs.df, 0) AS DOUBLE) + 1.0)) AS idf
+       FROM cl LEFT JOIN dfs USING (term), nd),
+inf AS (SELECT query_id, count(*) FILTER (i % 3 = 0) AS n3, count(*) FILTER (i <= 2) AS n12, count(*) FILTER (i IN (4, 5)) AS n45,
+               coalesce(sum(idf * idf) FILTER (i % 3 = 0), 0) + 4 * sum(idf * idf) FILTER (i <= 2)
+                 + CASE WHEN count(*) FILTER (i = 7) > 0 THEN 0.25 ELSE 0 END AS sumsq
+        FROM ci GROUP BY query_id),
+lt AS (SELECT ci.query_id, p.doc_id, ci.i, sqrt(p.tf) / sqrt(p.len) * idf * idf AS m FROM post p JOIN ci USING (term) WHERE i <> 7),
+l7 AS (SELECT DISTINCT c.query_id, p.doc_id FROM cl c JOIN post p ON starts_with(p.term, substr(c.term, 1, 3)) WHERE c.i = 7),
+g4 AS (SELECT query_id, doc_id, 0.5 AS m FROM l7 WHERE NOT EXISTS (
+         SELECT 1 FROM lt WHERE lt.i = 8 AND lt.query_id = l7.query_id AND lt.doc_id = l7.doc_id)),
+g1 AS (SELECT query_id, doc_id, sum(m) * count(*) / (any_value(n3) + 1) AS m
+       FROM (SELECT query_id, doc_id, m FROM lt WHERE i % 3 = 0 UNION ALL SELECT * FROM g4) JOIN inf USING (query_id) GROUP BY query_id, doc_id),
+g2 AS (SELECT query_id, doc_id, 2 * sum(m) AS m FROM lt JOIN inf USING (query_id) WHERE i <= 2 GROUP BY query_id, doc_id HAVING count(*) = any_value(n12)),
+g3 AS (SELECT query_id, doc_id FROM lt JOIN inf USING (query_id) WHERE i IN (4, 5) GROUP BY query_id, doc_id HAVING count(*) = any_value(n45)),
+sc AS (SELECT g1.query_id, g1.doc_id, round((g1.m + coalesce(g2.m, 0)) * (CASE WHEN g2.m IS NULL THEN 0.5 ELSE 1.0 END) / sqrt(inf.sumsq), 6) AS score
+       FROM g1 JOIN inf ON inf.query_id = g1.query_id LEFT JOIN g2 ON g2.query_id = g1.query_id AND g2.doc_id = g1.doc_id
+       WHERE NOT EXISTS (SELECT 1 FROM g3 WHERE g3.query_id = g1.query_id AND g3.doc_id = g1.doc_id)),
+rk AS (SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)
+SELECT query_id, rank, doc_id, score FROM rk WHERE rank <= 10"""
+
+# Three neighbouring terms in any order, at most 6 positions from the first to the last: the smallest windows.
+SEARCH_NEAR = INDEXABLE + f""",
+dp AS (SELECT key AS doc_id, unnest({_analyzed_pos('text')}) AS t FROM ix),
+pos AS (SELECT doc_id, t.term AS term, t.pos AS pos FROM dp),
+qp AS (SELECT item_id AS query_id, {_analyzed_pos('text')} AS toks FROM benchmark),
+qi AS (SELECT query_id, toks, unnest(range(1, len(toks) - 1)) AS i FROM qp),
+gr AS (SELECT query_id, CAST(i AS INTEGER) AS phrase_id, toks[i].term AS a, toks[i + 1].term AS b, toks[i + 2].term AS c FROM qi),
+gd AS (SELECT * FROM gr WHERE a <> b AND b <> c AND a <> c),
+gt AS (SELECT query_id, phrase_id, unnest([a, b, c]) AS term, unnest([1, 2, 3]) AS j FROM gd),
+ev AS (SELECT query_id, phrase_id, doc_id, pos, max(CASE WHEN j = 1 THEN pos END) OVER w AS a,
+              max(CASE WHEN j = 2 THEN pos END) OVER w AS b, max(CASE WHEN j = 3 THEN pos END) OVER w AS c
+       FROM pos JOIN gt USING (term) WINDOW w AS (PARTITION BY query_id, phrase_id, doc_id ORDER BY pos)),
+st AS (SELECT query_id, phrase_id, doc_id, pos, CASE WHEN a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL THEN least(a, b, c) END AS s FROM ev),
+mv AS (SELECT *, lag(s) OVER (PARTITION BY query_id, phrase_id, doc_id ORDER BY pos) AS before FROM st)
+SELECT query_id, phrase_id, doc_id, count(*) AS freq, CAST(min(pos - s) AS INTEGER) AS span
+FROM mv WHERE s IS NOT NULL AND (before IS NULL OR s > before) AND pos - s <= 6 GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -727,6 +768,8 @@ def oracle_sql() -> dict[str, str]:
         "search_wildcard": SEARCH_WILDCARD,
         "search_infix": SEARCH_INFIX,
         "search_range": SEARCH_RANGE,
+        "search_grouped": SEARCH_GROUPED,
+        "search_near": SEARCH_NEAR,
         "search_hits": SEARCH_HITS,
         "search_after_append": SEARCH_AFTER_APPEND,
         "dead_letters": DEAD_LETTERS,

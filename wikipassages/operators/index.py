@@ -41,6 +41,7 @@ class SearchIndex:
     field_len: DataFrame
     values: DataFrame | None = None
     grams: DataFrame | None = None          # field, gram, term (``dictionary.term_grams``); made on the fly if absent
+    blocks: DataFrame | None = None         # field, term, part, block (``dictionary.term_blocks``); made on the fly if absent
 
     def found_positions(self) -> DataFrame:
         """``field, term, doc_id, value, positions`` of all fields; ``value`` is 0 where a field has one value."""

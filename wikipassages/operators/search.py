@@ -222,16 +222,11 @@ def expand_range(index: SearchIndex, ranges: DataFrame) -> DataFrame:
     """Q7 term range ``[lo TO hi]`` (inclusive, by code-point order):
     ``query_id, clause_id, field, term``.
 
-    A range join without a theta join: indexed terms are bucketed by their
-    first code point, every range is exploded into the buckets it spans (at
-    most the number of code points between its ends) and equi-joined, then
-    filtered by the exact bounds.
+    Each distinct range is looked up once in the sorted dictionary's blocks
+    (:func:`.dictionary.terms_between`), then fanned out to its clauses.
     """
-    vocab = index.term_stats.select("field", "term").withColumn("bucket", F.ascii("term"))
-    buckets = ranges.withColumn("bucket", F.explode(F.sequence(F.ascii("lo"), F.ascii("hi"))))
-    return (buckets.join(vocab, ["field", "bucket"])
-            .where((F.col("term") >= F.col("lo")) & (F.col("term") <= F.col("hi")))
-            .select("query_id", "clause_id", "field", "term"))
+    found = dictionary.terms_between(index.term_stats, ranges, index.blocks)
+    return ranges.join(found, ["field", "lo", "hi"]).select("query_id", "clause_id", "field", "term")
 
 
 def _clause_bits(clauses: DataFrame, *name: str) -> DataFrame:
@@ -370,27 +365,13 @@ def fuzzy_scores(index: SearchIndex, fuzzy: DataFrame, max_edits: int = 2) -> Da
 TERM, PHRASE, PREFIX, WILDCARD, RANGE, FUZZY = "term", "phrase", "prefix", "wildcard", "range", "fuzzy"
 
 
-def mixed_scores(index: SearchIndex, clauses: DataFrame, max_edits: int = 2) -> DataFrame:
-    """One query with clauses of several kinds (Q3-Q8): ``query_id, doc_id, score``.
-
-    ``clauses``: ``query_id, clause_id, kind, field, value, value2, occur, boost``.
-    ``value`` is the term, prefix, pattern, range start or fuzzy term, ``value2``
-    the range end; a phrase is given by its terms one space apart, in ``value``.
-    Each clause yields a weight w and, in a document, a match m:
-
-    * term: w = boost * idf, m = w * idf * sqrt(tf) / sqrt(len)
-    * phrase: the same with the sum of its terms' idf and its frequency as tf
-    * prefix, wildcard, range: w = boost, m = boost (constant score)
-    * fuzzy: w = boost * sqrt(sum((e * idf)^2)), m = boost * sum(e * idf^2 * sqrt(tf) / sqrt(len))
-      over its expansions, e = 1 - edits / min(len(q), len(t))
+def clause_matches(index: SearchIndex, keyed: DataFrame, max_edits: int = 2) -> tuple[DataFrame, DataFrame]:
+    """What clauses of several kinds weigh and where they match, both without their boost.
 
-    ``score = coord * sum(m) / sqrt(sum(w^2))``; a must-not clause neither
-    scores nor counts, and a document needs every must clause and none of the
-    must-not ones.
+    ``keyed``: ``query_id, clause_id, kind, field, value, value2``. Returns
+    ``query_id, clause_id, part`` and ``query_id, clause_id, doc_id, m`` (see :func:`mixed_scores`).
     """
-    ensure_checkpoint_dir(clauses.sparkSession)
     n = index.n_docs()
-    keyed = clauses.select("query_id", "clause_id", "kind", "field", "value", "value2", "occur", F.col("boost").cast("double").alias("boost"))
     idf = _idf_tfidf(n, F.coalesce(F.col("df"), F.lit(0)).cast("double"))
 
     def of(*kinds: str) -> DataFrame:
@@ -415,10 +396,6 @@ def mixed_scores(index: SearchIndex, clauses: DataFrame, max_edits: int = 2) ->
              .union(phrase_idf)
              .union(fuzzy.groupBy(*ids).agg(F.sqrt(F.sum(F.col("part") * F.col("part")))))
              .union(of(PREFIX, WILDCARD, RANGE).select(*ids, one)))
-    heads = keyed.join(parts, ids, "left").withColumn("w", F.col("boost") * F.coalesce("part", F.lit(0.0)))
-    scoring = F.col("occur") != MUST_NOT
-    qinfo = heads.groupBy("query_id").agg(F.sum(F.when(scoring, F.col("w") * F.col("w"))).alias("sumsq"),
-                                          F.count_if(scoring).alias("clauses"), F.count_if(F.col("occur") == MUST).alias("musts"))
 
     norm = F.sqrt("tf") / F.sqrt("len")
     found = index.postings.select("field", "term", "doc_id", "tf", "len")
@@ -430,7 +407,35 @@ def mixed_scores(index: SearchIndex, clauses: DataFrame, max_edits: int = 2) ->
         .withColumnRenamed("phrase_id", "clause_id").join(of(PHRASE).select(*ids, "field"), ids).join(phrase_idf, ids) \
         .join(index.field_len, ["doc_id", "field"]) \
         .select(*ids, "doc_id", (F.sqrt("freq") / F.sqrt("len") * F.col("part") * F.col("part")).alias("m"))
-    matches = by_term.union(by_fuzzy).union(by_constant).union(by_phrase)
+    return parts, by_term.union(by_fuzzy).union(by_constant).union(by_phrase)
+
+
+def mixed_scores(index: SearchIndex, clauses: DataFrame, max_edits: int = 2) -> DataFrame:
+    """One query with clauses of several kinds (Q3-Q8): ``query_id, doc_id, score``.
+
+    ``clauses``: ``query_id, clause_id, kind, field, value, value2, occur, boost``.
+    ``value`` is the term, prefix, pattern, range start or fuzzy term, ``value2``
+    the range end; a phrase is given by its terms one space apart, in ``value``.
+    Each clause yields a weight w and, in a document, a match m:
+
+    * term: w = boost * idf, m = w * idf * sqrt(tf) / sqrt(len)
+    * phrase: the same with the sum of its terms' idf and its frequency as tf
+    * prefix, wildcard, range: w = boost, m = boost (constant score)
+    * fuzzy: w = boost * sqrt(sum((e * idf)^2)), m = boost * sum(e * idf^2 * sqrt(tf) / sqrt(len))
+      over its expansions, e = 1 - edits / min(len(q), len(t))
+
+    ``score = coord * sum(m) / sqrt(sum(w^2))``; a must-not clause neither
+    scores nor counts, and a document needs every must clause and none of the
+    must-not ones.
+    """
+    ensure_checkpoint_dir(clauses.sparkSession)
+    ids = ["query_id", "clause_id"]
+    keyed = clauses.select(*ids, "kind", "field", "value", "value2", "occur", F.col("boost").cast("double").alias("boost"))
+    parts, matches = clause_matches(index, keyed, max_edits)
+    heads = keyed.join(parts, ids, "left").withColumn("w", F.col("boost") * F.coalesce("part", F.lit(0.0)))
+    scoring = F.col("occur") != MUST_NOT
+    qinfo = heads.groupBy("query_id").agg(F.sum(F.when(scoring, F.col("w") * F.col("w"))).alias("sumsq"),
+                                          F.count_if(scoring).alias("clauses"), F.count_if(F.col("occur") == MUST).alias("musts"))
     per_doc = matches.join(keyed.select(*ids, "occur", "boost"), ids).groupBy("query_id", "doc_id").agg(
         F.sum(F.when(scoring, F.col("boost") * F.col("m"))).alias("raw"), F.count_if(scoring).alias("hits"),
         F.count_if(F.col("occur") == MUST).alias("must_hits"), F.count_if(F.col("occur") == MUST_NOT).alias("forbidden"))

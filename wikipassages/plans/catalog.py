@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import porter
 from ..functions.analysis import analyze, analyze_words
 from ..functions.text import normalize_title
-from ..operators import bounded, dictionary, index, links, search, segments, stats
+from ..operators import bounded, clauses as trees, dictionary, index, links, search, segments, stats
 from ..operators.redirects import join_redirected_sections
 from ..session import materialize, stage_path
 from ..sources import dump, lines
@@ -108,6 +108,12 @@ def gram_index(spark: SparkSession, sf_dir: str) -> index.SearchIndex:
     return dataclasses.replace(ix, grams=grams)
 
 
+def block_index(spark: SparkSession, sf_dir: str) -> index.SearchIndex:
+    """Q7: the same index with its sorted dictionary written in blocks, too."""
+    ix = section_index(spark, sf_dir)
+    return dataclasses.replace(ix, blocks=materialize(spark, f"index-blocks-of-terms:{sf_dir}", lambda: dictionary.term_blocks(ix.term_stats)))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query texts: every ``benchmark`` item is one query."""
     return corpus.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
@@ -255,7 +261,7 @@ def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _constant(spark: SparkSession, sf_dir: str, clauses: DataFrame, expand) -> DataFrame:
-    ix = gram_index(spark, sf_dir) if expand is search.expand_wildcard else section_index(spark, sf_dir)
+    ix = {search.expand_wildcard: gram_index, search.expand_range: block_index}[expand](spark, sf_dir)
     return _top(search.constant_clause_scores(ix, expand(ix, clauses), clauses.select("query_id", "clause_id")))
 
 
@@ -325,6 +331,50 @@ def search_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(search.mixed_scores(section_index(spark, sf_dir), mixed_clauses(spark, sf_dir)))
 
 
+def grouped_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of clauses from the alphabetically numbered terms of each benchmark text:
+    ``+(3 OR 6 OR 9 ... OR (+first three letters of 7* -8)^0.5) (+1 +2)^2 -(+4 +5)``."""
+    terms = search.query_terms(benchmark_queries(spark, sf_dir))
+    t = terms.withColumn("i", F.row_number().over(Window.partitionBy("query_id").orderBy("term")))
+    lit, none, i = F.lit, F.lit(None), F.col("i")
+
+    def by_place(seventh, eighth, third, low, other):
+        return F.when(i == 7, seventh).when(i == 8, eighth).when(i % 3 == 0, third).when(i <= 2, low).otherwise(other)
+
+    leaves = t.where("i <= 8 or i % 3 = 0").select(
+        "query_id", (i + 10).alias("node_id"), by_place(lit(4), lit(4), lit(1), lit(2), lit(3)).alias("parent_id"),
+        F.when(i == 7, search.PREFIX).otherwise(search.TERM).alias("kind"), "field",
+        F.when(i == 7, F.substring("term", 1, 3)).otherwise(F.col("term")).alias("value"), none.cast("string").alias("value2"),
+        by_place(lit(search.MUST), lit(search.MUST_NOT), lit(search.SHOULD), lit(search.MUST), lit(search.MUST)).alias("occur"), lit(1.0).alias("boost"))
+    groups = F.array(*[F.struct(lit(node).alias("node_id"), lit(parent).cast("int").alias("parent_id"), lit(occur).alias("occur"), lit(boost).alias("boost"))
+                       for node, parent, occur, boost in ((0, None, search.SHOULD, 1.0), (1, 0, search.MUST, 1.0), (2, 0, search.SHOULD, 2.0),
+                                                          (3, 0, search.MUST_NOT, 1.0), (4, 1, search.SHOULD, 0.5))])
+    inner = terms.select("query_id").distinct().select("query_id", F.inline(groups)).select(
+        "query_id", "node_id", "parent_id", lit(trees.GROUP).alias("kind"), none.cast("string").alias("field"), none.cast("string").alias("value"),
+        none.cast("string").alias("value2"), "occur", "boost")
+    return leaves.union(inner)
+
+
+def search_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: queries with groups of clauses inside groups, required, optional and forbidden; top 10."""
+    return _top(trees.grouped_scores(section_index(spark, sf_dir), grouped_nodes(spark, sf_dir)))
+
+
+#: Positions between the first and the last of the terms that ``search_near`` asks for.
+NEAR_WIDTH = 6
+
+
+def search_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: every three neighbouring terms of every benchmark text that differ, in any order within a distance."""
+    tokens = analyze(F.col("text"))
+    threes = F.filter(F.transform(tokens, lambda s, i: F.when(i >= 2, F.struct(
+        (i - 1).alias("phrase_id"), F.array_distinct(F.array(F.element_at(tokens, i - 1)["term"], F.element_at(tokens, i)["term"], s["term"])).alias("terms")))),
+        lambda x: F.size(x["terms"]) == 3)
+    groups = benchmark_queries(spark, sf_dir).select("query_id", F.inline(threes)) \
+        .select("query_id", "phrase_id", F.lit(index.DEFAULT_FIELD).alias("field"), F.explode("terms").alias("term"))
+    return trees.near_matches(section_index(spark, sf_dir), groups, NEAR_WIDTH)
+
+
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9 + Q10 + C16: the shown lines of the TF-IDF hits, default fields."""
     ix = section_index(spark, sf_dir)
@@ -469,6 +519,8 @@ QUERIES = {
     "search_wildcard": search_wildcard,
     "search_infix": search_infix,
     "search_range": search_range,
+    "search_grouped": search_grouped,
+    "search_near": search_near,
     "search_hits": search_hits,
     "search_after_append": search_after_append,
     "search_segments": search_segments,
