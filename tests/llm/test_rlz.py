@@ -44,14 +44,19 @@ def test_equals_brute_force(spark, size):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"ref": F.lit(1), "doc": F.lit("x"), "mark": F.lit(2)}).repartition(3)
     out = rlz.parsed(df, window=size).collect()
     assert sorted([(r.doc_id, r.parsed.n_words, r.parsed.n_removed, r.parsed.kept) for r in out], key=str) == brute(rows, size)
-    texts = dict((d, t) for d, t in rows)
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append((t or "").split())
+    by_text = {(d, t): t.split() for d, t in rows if t}
     for r in out:
         covered = set()
         for f in r.parsed.factors:
             assert f.length >= size and f.ref < r.doc_id
             covered |= set(range(f.start, f.start + f.length))
+            # a factor is a stretch of its reference, word by word (of one of the texts, where several have its id)
+            own = [t[f.start:f.start + f.length] for (d, _), t in by_text.items() if d == r.doc_id]
+            assert any(t[f.at:f.at + f.length] in own for t in texts[f.ref])
         assert len(covered) == r.parsed.n_removed
-    assert texts
 
 
 def test_passages_over_slices_and_partitions(spark, monkeypatch):
@@ -80,7 +85,30 @@ def test_windows_are_told_apart_by_all_bits(monkeypatch):
     assert _words_with_windows(monkeypatch, lambda d: 77 + (d << 32)) == [[], []]
     assert _words_with_windows(monkeypatch, lambda d: 77 + (d << 5)) == [[], []]
     whole, split = _words_with_windows(monkeypatch, lambda d: 77)
-    assert whole == split and [(r["doc"], r["n"], r["ref"]) for r in whole] == [(2, 1, 1)]
+    assert whole == split and [(r["doc"], r["n"], r["ref"], r["at"]) for r in whole] == [(2, 1, 1, 0)]
+
+
+def test_packed_runs_are_the_same_runs():
+    rows = [(d, t) for d, t in _rows() if d is not None]
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows]), pa.array(range(len(rows)), pa.int32()), pa.array([t for _, t in rows])],
+                                       ["doc", "mark", "text"])
+    runs = list(rlz.emitted_runs(iter([batch.slice(0, 150), batch.slice(150)]), 6))
+    sent = list(rlz.packed(iter(runs), 5))
+    assert [b.num_rows for b in sent] == [5, 5]
+    got = list(rlz.unpacked(iter([b.slice(i) if i else b.slice(0, 1) for b in sent for i in (0, 1)])))
+    both = [sorted((tuple(r.values()) for b in x for r in b.to_pylist()), key=str) for x in (runs, got)]
+    assert both[0] == both[1] and len(both[0]) > 100
+    assert list(rlz.unpacked(rlz.packed(iter([]), 5))) == []
+
+
+def test_factors_go_on_over_boundaries_and_references(spark):
+    """A stretch of two references is two factors, also where windows cross from one to the other; a gap in the reference ends a factor."""
+    a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    rows = [(1, " ".join(a)), (2, " ".join(a[-15:] + b)), (3, " ".join(["x"] + a[5:] + b[:30] + ["y"])), (4, " ".join(a[:20] + a[21:]))]
+    got = {r.doc_id: [tuple(f) for f in r.parsed.factors] for r in rlz.parsed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == [] and got[2] == [(0, 15, 1, 25)]
+    assert got[3] == [(1, 35, 1, 5), (24, 42, 2, 3)]
+    assert got[4] == [(0, 20, 1, 0), (20, 19, 1, 21)]
 
 
 def test_empty_table(spark):

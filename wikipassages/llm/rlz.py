@@ -6,10 +6,13 @@ inside a window of ``window`` words the one with the smallest hash is the
 window's anchor, so equal windows have equal anchors and meet in one block
 wherever they stand. A document is looked up in every block that holds one
 of its anchors; what it finds there are phrases: runs of consecutive windows
-that begin in the same earlier document. Parsing joins phrases greedily into
-factors, longest first from the left; a factor has at least ``window``
-words, and windows that cross the end of a factor are looked up like all
-others, so a passage that goes on in another reference is found, too.
+that stand one after the other in the same earlier document, with the place
+there. Parsing joins phrases that go on at their reference's next place, and
+takes factors greedily, farthest first from the left; a factor is a stretch of
+one reference, word by word, of at least ``window`` words. A window that
+crosses the end of a factor is looked up like all others and may begin the
+next factor, in another reference. The factors are the duplicate spans: a
+word goes if a factor covers it.
 """
 
 from __future__ import annotations
@@ -26,8 +29,12 @@ from wikipassages.llm.words import Words, inside_windows, mix, window_hashes, wo
 
 #: Words of an anchor.
 SEED = 5
-#: A window is known by 64 bits of its own; ``key`` only brings equal ones together. A follower's windows are all zero.
-RUN = "key bigint, doc bigint, place bigint, windows binary, ref bigint"
+#: A window is known by 64 bits of its own; ``key`` only brings equal ones together. A follower's windows are all zero
+#: and ``ref``, ``at`` (its leader's document and place there) are set; others have place -1 there.
+RUN = "key bigint, doc bigint, place bigint, windows binary, ref bigint, at int"
+#: The runs of one slice for one bucket of keys in one row, each column as packed little-endian values.
+PACKED = "bucket int, keys binary, docs binary, places binary, lengths binary, windows binary, refs binary, ats binary"
+FOUND = "doc bigint, place bigint, n bigint, ref bigint, at int"
 
 
 def runs_of(w: Words, window: int):
@@ -79,97 +86,142 @@ def emitted_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         bounds = np.cumsum(length) - length
         whole = mix(np.add.reduceat(mix(own + spread(np.zeros(len(length), np.int64), length).astype(np.uint64)), bounds)
                     + anchor + length.astype(np.uint64))
-        order = np.lexsort((doc, whole))
+        order = np.lexsort((place & 0xFFFFFFFF, doc, whole))
         head = np.ones(len(order), bool)
         head[1:] = whole[order[1:]] != whole[order[:-1]]
         leader = np.empty(len(order), np.int64)
-        leader[order] = doc[order][np.flatnonzero(head)][np.cumsum(head) - 1]
-        follows = leader < doc
+        leader[order] = order[head][np.cumsum(head) - 1]
+        follows = doc[leader] < doc
         key = np.where(follows, mix(whole + place.astype(np.uint64) + doc.astype(np.uint64)), anchor)
         # followers are found already: of their windows only the number counts
         raw = np.where(np.repeat(follows, length), np.uint64(0), own).astype("<u8")
         offsets = np.append(bounds, int(length.sum())) * 8
         yield pa.RecordBatch.from_arrays([
-            pa.array(key.view(np.int64)), pa.array(doc), pa.array(place),
-            pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)]),
-            pa.array(leader, mask=~follows)], ["key", "doc", "place", "windows", "ref"])
+            pa.array(key.view(np.int64)), pa.array(doc), pa.array(place), _binary(raw, offsets),
+            pa.array(np.where(follows, doc[leader], 0)),
+            pa.array(np.where(follows, place[leader] & 0xFFFFFFFF, -1).astype(np.int32))], ["key", "doc", "place", "windows", "ref", "at"])
+
+
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values from packed ``values``, cut at the byte ``offsets``."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """The packed values of a binary column and where each row's begin (in values)."""
+    size = np.dtype(dtype).itemsize
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // size
+    if not len(column) or column.buffers()[2] is None:
+        return np.zeros(0, dtype), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(column.buffers()[2], dtype)[offsets[0]:offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Runs to rows of ``PACKED``: one for each bucket of keys and batch."""
+    for part in batches:
+        key = part.column("key").to_numpy()
+        bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)), len(order))
+        own, first = _values(part.column("windows"), "<u8")
+        length = np.diff(first)[order]
+        windows = own[spread(first[:-1][order], length)]
+        window_cuts = np.append(0, np.cumsum(length))[cuts]
+        columns = [_binary(part.column(c).to_numpy()[order], cuts * 8) for c in ("key", "doc", "place")]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(bucket[order][cuts[:-1]]), *columns, _binary(length.astype("<i4"), cuts * 4), _binary(windows, window_cuts * 8),
+            _binary(part.column("ref").to_numpy()[order], cuts * 8), _binary(part.column("at").to_numpy()[order], cuts * 4)],
+            ["bucket", "keys", "docs", "places", "lengths", "windows", "refs", "ats"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PACKED`` to runs again, some 1 MB at a time."""
+    for part in text_slices(batches, "windows"):
+        length, _ = _values(part.column("lengths"), "<i4")
+        own, _ = _values(part.column("windows"), "<u8")
+        offsets = np.append(0, np.cumsum(length.astype(np.int64))) * 8
+        columns = [pa.array(_values(part.column(c), "<i8")[0]) for c in ("keys", "docs", "places")]
+        yield pa.RecordBatch.from_arrays([*columns, _binary(own, offsets), pa.array(_values(part.column("refs"), "<i8")[0]),
+                                          pa.array(_values(part.column("ats"), "<i4")[0])], ["key", "doc", "place", "windows", "ref", "at"])
 
 
 def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phrases (doc, place, n, ref) of a block's rows sorted by key and document.
+    """Phrases (doc, place, n, ref, at) of a block's rows sorted by key, document and place.
 
-    Of the rows seen so far only the last key's distinct windows are kept.
+    Of the rows seen so far only the last key's distinct windows are kept,
+    each with the first document that holds it and its first place there.
     """
-    last_key, last_hash, last_doc = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    last_key, last_hash, last_doc, last_at = None, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     for part in batches:
         if not part.num_rows:
             continue
-        key, doc, place = (part.column(c).to_numpy() for c in ("key", "doc", "place"))
-        windows = part.column("windows")
-        offsets = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset:windows.offset + len(windows) + 1] // 8
-        own = np.frombuffer(windows.buffers()[2], "<u8")[offsets[0]:offsets[-1]]
-        length = np.diff(offsets).astype(np.int64)
-        ready = part.column("ref").is_valid().to_numpy(zero_copy_only=False)
+        key, doc, place, at_leader = (part.column(c).to_numpy() for c in ("key", "doc", "place", "at"))
+        own, first = _values(part.column("windows"), "<u8")
+        length = np.diff(first)
+        ready = at_leader >= 0
         group = np.cumsum(np.append(False, key[1:] != key[:-1]))
         row = np.repeat(np.arange(len(key)), length)
-        tags, docs, groups = own, doc[row], group[row]
+        offset = spread(np.zeros(len(length), np.int64), length)
+        tags, docs, groups, places = own, doc[row], group[row], (place[row] & 0xFFFFFFFF) + offset
         carried = len(last_hash) if last_key == key[0] else 0
         if carried:
-            tags, docs = np.concatenate([last_hash, tags]), np.concatenate([last_doc, docs])
+            tags, docs, places = np.concatenate([last_hash, tags]), np.concatenate([last_doc, docs]), np.concatenate([last_at, places])
             groups = np.concatenate([np.zeros(carried, groups.dtype), groups])
         order = np.lexsort((tags, groups))
         head = np.ones(len(order), bool)
         head[1:] = (tags[order[1:]] != tags[order[:-1]]) | (groups[order[1:]] != groups[order[:-1]])
         firsts = order[head]
-        ref = np.empty(len(order), np.int64)
-        ref[order] = docs[firsts][np.cumsum(head) - 1]
-        ends_group = groups[firsts] == group[-1]
-        last_key, last_hash, last_doc = key[-1], tags[firsts[ends_group]], docs[firsts[ends_group]]
-        ref, docs = ref[carried:], docs[carried:]
+        source = np.empty(len(order), np.int64)
+        source[order] = firsts[np.cumsum(head) - 1]
+        ends_group = firsts[groups[firsts] == group[-1]]
+        last_key, last_hash, last_doc, last_at = key[-1], tags[ends_group], docs[ends_group], places[ends_group]
+        ref, at, docs = docs[source[carried:]], places[source[carried:]], docs[carried:]
         if ready.any():
-            given = part.column("ref").fill_null(0).to_numpy()
-            ref = np.where(ready[row], given[row], ref)
+            ref = np.where(ready[row], part.column("ref").to_numpy()[row], ref)
+            at = np.where(ready[row], at_leader[row] + offset, at)
         found = ref < docs
         if not found.any():
             continue
-        offset = spread(np.zeros(len(length), np.int64), length)
         start = found.copy()
-        start[1:] &= ~(found[:-1] & (row[1:] == row[:-1]) & (ref[1:] == ref[:-1]))
-        at = np.flatnonzero(start)
-        n = np.add.reduceat(found.astype(np.int64), at)
-        yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(place[row[at]] + offset[at]), pa.array(n), pa.array(ref[at])],
-                                         ["doc", "place", "n", "ref"])
+        start[1:] &= ~(found[:-1] & (row[1:] == row[:-1]) & (ref[1:] == ref[:-1]) & (at[1:] == at[:-1] + 1))
+        begin = np.flatnonzero(start)
+        n = np.add.reduceat(found.astype(np.int64), begin)
+        yield pa.RecordBatch.from_arrays([pa.array(docs[begin]), pa.array(place[row[begin]] + offset[begin]), pa.array(n), pa.array(ref[begin]),
+                                          pa.array(at[begin].astype(np.int32))], ["doc", "place", "n", "ref", "at"])
 
 
 def phrases(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, mark, start, n, ref): windows start .. start + n - 1 of doc's text begin in the earlier document ref.
+    """(doc, mark, start, n, ref, at): windows start .. start + n - 1 of doc's text are at .. at + n - 1 of the earlier document ref.
 
     ``docs`` has columns doc, mark and text; rows with a null doc are in no relation to others.
+    Runs travel packed, many to a row, and are sorted by Spark where they arrive.
     """
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = docs.where("doc is not null").select("doc", "mark", "text") \
-        .mapInArrow(frugal(lambda b: emitted_runs(b, window)), RUN)
-    found = runs.repartition("key").sortWithinPartitions("key", "doc") \
-        .mapInArrow(frugal(looked_up), "doc bigint, place bigint, n bigint, ref bigint")
+        .mapInArrow(frugal(lambda b: packed(emitted_runs(b, window), buckets)), PACKED)
+    found = runs.repartitionById(buckets, F.col("bucket")).mapInArrow(frugal(unpacked), RUN).sortWithinPartitions("key", "doc", "place") \
+        .mapInArrow(frugal(looked_up), FOUND)
     return found.select("doc", F.shiftright("place", 32).cast("int").alias("mark"),
                         F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"),
-                        F.col("n").cast("int").alias("n"), "ref")
+                        F.col("n").cast("int").alias("n"), "ref", "at")
 
 
-def factors(start: np.ndarray, n: np.ndarray, ref: np.ndarray, window: int) -> list[dict]:
+def factors(start: np.ndarray, n: np.ndarray, ref: np.ndarray, at: np.ndarray, window: int) -> list[dict]:
     """The greedy parse: from the left, always the factor that reaches farthest beyond what is covered.
 
-    Adjoining phrases of one reference are one phrase; a factor's words are
-    those of its windows.
+    Phrases of one reference whose places go on without a gap are one; a
+    factor's words are those of its windows, and equal the ``length`` words
+    of ``ref`` from place ``at`` on.
     """
-    order = np.lexsort((ref, start))
+    order = np.lexsort((at, ref, start))
     joined: list[list[int]] = []
-    reach: dict[int, list[int]] = {}
-    for a, k, r in zip(start[order].tolist(), n[order].tolist(), ref[order].tolist()):
-        open_one = reach.get(r)
+    reach: dict[tuple[int, int], list[int]] = {}
+    for a, k, r, p in zip(start[order].tolist(), n[order].tolist(), ref[order].tolist(), at[order].tolist()):
+        open_one = reach.get((r, p - a))
         if open_one is not None and open_one[1] >= a:
             open_one[1] = max(open_one[1], a + k)
         else:
-            reach[r] = open_one = [a, a + k, r]
+            reach[r, p - a] = open_one = [a, a + k, r, p]
             joined.append(open_one)
     out: list[dict] = []
     end, i, best = -1, 0, None
@@ -180,7 +232,7 @@ def factors(start: np.ndarray, n: np.ndarray, ref: np.ndarray, window: int) -> l
                 best = joined[i]
             i += 1
         if best is not None and best[1] + window - 1 > end:
-            out.append({"start": best[0], "length": best[1] - best[0] + window - 1, "ref": best[2]})
+            out.append({"start": best[0], "length": best[1] - best[0] + window - 1, "ref": best[2], "at": best[3]})
             end, best = best[1] + window - 1, None
             continue
         best = None
@@ -189,7 +241,7 @@ def factors(start: np.ndarray, n: np.ndarray, ref: np.ndarray, window: int) -> l
     return out
 
 
-RESULT = "struct<n_words:bigint,n_removed:bigint,kept:string,factors:array<struct<start:int,length:int,ref:bigint>>>"
+RESULT = "struct<n_words:bigint,n_removed:bigint,kept:string,factors:array<struct<start:int,length:int,ref:bigint,at:int>>>"
 
 
 def _removed(window: int):
@@ -202,14 +254,14 @@ def _removed(window: int):
                 if not spans.is_valid or not len(spans.values):
                     out.append({"n_words": len(words), "n_removed": 0, "kept": b" ".join(words).decode(), "factors": []})
                     continue
-                start, n, ref = (spans.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "ref"))
-                gone = np.cumsum(np.bincount(start, minlength=len(words) + 1)
-                                 - np.bincount(start + n + window - 1, minlength=len(words) + 1))[:len(words)] > 0
+                parse = factors(*(spans.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "ref", "at")), window)
+                gone = np.zeros(len(words), bool)
+                for f in parse:
+                    gone[f["start"]:f["start"] + f["length"]] = True
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)]).decode()
-                out.append({"n_words": len(words), "n_removed": int(gone.sum()), "kept": kept,
-                            "factors": factors(start, n, ref, window)})
+                out.append({"n_words": len(words), "n_removed": int(gone.sum()), "kept": kept, "factors": parse})
             yield pa.array(out, pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()),
-                                           ("factors", pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref", pa.int64())])))]))
+                                           ("factors", pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref", pa.int64()), ("at", pa.int32())])))]))
     return removed
 
 
@@ -223,7 +275,7 @@ def parsed(df: DataFrame, doc: str = "doc_id", text: str = "text", window: int =
     """
     marked = df.withColumn("__rlz_mark", F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int"))
     found = phrases(marked.select(F.col(doc).cast("bigint").alias("doc"), F.col("__rlz_mark").alias("mark"), F.col(text).alias("text")), window)
-    spans = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "n", "ref")).alias("__rlz_spans")) \
+    spans = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "n", "ref", "at")).alias("__rlz_spans")) \
         .select(F.col("doc").alias("__rlz_doc"), F.col("mark").alias("__rlz_same"), "__rlz_spans")
     both = marked.join(spans, (F.col(doc) == F.col("__rlz_doc")) & (F.col("__rlz_mark") == F.col("__rlz_same")), "left")
     return both.withColumn(out, _removed(window)(F.col(text), F.col("__rlz_spans"))) \
