@@ -89,7 +89,7 @@ def test_windows_are_told_apart_by_all_bits(monkeypatch):
 
 
 def test_packed_runs_are_the_same_runs():
-    rows = [(d, t) for d, t in _rows() if d is not None]
+    rows = [(d, t) for d, t in _rows() if d is not None] + [(9000, "one " * 2000)]        # a run of many windows
     batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows]), pa.array(range(len(rows)), pa.int32()), pa.array([t for _, t in rows])],
                                        ["doc", "mark", "text"])
     runs = list(rlz.emitted_runs(iter([batch.slice(0, 150), batch.slice(150)]), 6))

@@ -31,9 +31,13 @@ from wikipassages.llm.words import Words, inside_windows, mix, window_hashes, wo
 SEED = 5
 #: A window is known by 64 bits of its own; ``key`` only brings equal ones together. A follower's windows are all zero
 #: and ``ref``, ``at`` (its leader's document and place there) are set; others have place -1 there.
-RUN = "key bigint, doc bigint, place bigint, windows binary, ref bigint, at int"
-#: The runs of one slice for one bucket of keys in one row, each column as packed little-endian values.
-PACKED = "bucket int, keys binary, docs binary, places binary, lengths binary, windows binary, refs binary, ats binary"
+#: The key is 32 bits of the anchor: two anchors that agree in them share a block, nothing else.
+RUN = "key int, doc bigint, place bigint, windows binary, ref bigint, at int"
+#: The runs of one slice for one bucket of keys in one row, each column as packed little-endian values of the type given
+#: here: each text once, with the number of its runs, and of lengths and places the low bits apart, so that they pack well.
+COLUMNS = {"docs": "<i8", "marks": "<i4", "counts": "<i4", "keys": "<i4", "near": "<u2", "far": "<i4", "short": "u1", "long": "<i4",
+            "windows": "<u8", "refs": "<i8", "ats": "<i4"}
+PACKED = "bucket int, " + ", ".join(f"{c} binary" for c in COLUMNS)
 FOUND = "doc bigint, place bigint, n bigint, ref bigint, at int"
 
 
@@ -96,8 +100,9 @@ def emitted_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         # followers are found already: of their windows only the number counts
         raw = np.where(np.repeat(follows, length), np.uint64(0), own).astype("<u8")
         offsets = np.append(bounds, int(length.sum())) * 8
+        key = (mix(key) >> np.uint64(32)).astype(np.uint32)
         yield pa.RecordBatch.from_arrays([
-            pa.array(key.view(np.int64)), pa.array(doc), pa.array(place), _binary(raw, offsets),
+            pa.array(key.view(np.int32)), pa.array(doc), pa.array(place), _binary(raw, offsets),
             pa.array(np.where(follows, doc[leader], 0)),
             pa.array(np.where(follows, place[leader] & 0xFFFFFFFF, -1).astype(np.int32))], ["key", "doc", "place", "windows", "ref", "at"])
 
@@ -120,29 +125,36 @@ def packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     """Runs to rows of ``PACKED``: one for each bucket of keys and batch."""
     for part in batches:
         key = part.column("key").to_numpy()
-        bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        bucket = (key.view(np.uint32) % np.uint32(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)), len(order))
+        bucket, place = bucket[order], part.column("place").to_numpy()[order]
+        doc, mark = part.column("doc").to_numpy()[order], (place >> 32).astype("<i4")
         own, first = _values(part.column("windows"), "<u8")
         length = np.diff(first)[order]
-        windows = own[spread(first[:-1][order], length)]
-        window_cuts = np.append(0, np.cumsum(length))[cuts]
-        columns = [_binary(part.column(c).to_numpy()[order], cuts * 8) for c in ("key", "doc", "place")]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(bucket[order][cuts[:-1]]), *columns, _binary(length.astype("<i4"), cuts * 4), _binary(windows, window_cuts * 8),
-            _binary(part.column("ref").to_numpy()[order], cuts * 8), _binary(part.column("at").to_numpy()[order], cuts * 4)],
-            ["bucket", "keys", "docs", "places", "lengths", "windows", "refs", "ats"])
+        new = np.append(True, np.diff(bucket) != 0)
+        text = np.flatnonzero(new | np.append(True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])))
+        rows = np.append(np.flatnonzero(new), len(order))
+        texts = np.append(np.searchsorted(text, rows[:-1]), len(text))
+        values = {"docs": (doc[text], texts), "marks": (mark[text], texts), "counts": (np.diff(np.append(text, len(order))), texts),
+                  "keys": (key[order], rows), "near": (place & 0xFFFF, rows), "far": ((place & 0xFFFFFFFF) >> 16, rows), "short": (length & 0xFF, rows),
+                  "long": (length >> 8, rows), "windows": (own[spread(first[:-1][order], length)], np.append(0, np.cumsum(length))[rows]),
+                  "refs": (part.column("ref").to_numpy()[order], rows), "ats": (part.column("at").to_numpy()[order], rows)}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[rows[:-1]]), *(_binary(values[c][0].astype(t), values[c][1] * np.dtype(t).itemsize) for c, t in COLUMNS.items())],
+            ["bucket", *COLUMNS])
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``PACKED`` to runs again, some 1 MB at a time."""
     for part in text_slices(batches, "windows"):
-        length, _ = _values(part.column("lengths"), "<i4")
-        own, _ = _values(part.column("windows"), "<u8")
-        offsets = np.append(0, np.cumsum(length.astype(np.int64))) * 8
-        columns = [pa.array(_values(part.column(c), "<i8")[0]) for c in ("keys", "docs", "places")]
-        yield pa.RecordBatch.from_arrays([*columns, _binary(own, offsets), pa.array(_values(part.column("refs"), "<i8")[0]),
-                                          pa.array(_values(part.column("ats"), "<i4")[0])], ["key", "doc", "place", "windows", "ref", "at"])
+        v = {c: _values(part.column(c), t)[0] for c, t in COLUMNS.items()}
+        length = v["short"] + (v["long"].astype(np.int64) << 8)
+        mark = np.repeat(v["marks"], v["counts"]).astype(np.int64)
+        place = (mark << 32) | (v["far"].astype(np.int64) << 16) | v["near"]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(v["keys"]), pa.array(np.repeat(v["docs"], v["counts"])), pa.array(place),
+            _binary(v["windows"], np.append(0, np.cumsum(length)) * 8), pa.array(v["refs"]), pa.array(v["ats"])],
+            ["key", "doc", "place", "windows", "ref", "at"])
 
 
 def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
