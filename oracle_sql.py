@@ -506,6 +506,11 @@ SELECT '<page><title>Broken_' || doc_id || '</title><revision><text>'
        || '</revision></page>' AS record
 FROM d"""
 
+# A page, a css page and a damaged record for each document; four fixed redirects and one for each dot.
+DUMP_FILE_COUNTS = "WITH " + CORPUS_CTE + """
+SELECT 'content' AS branch, 3 * count(*) AS records, count(*) AS broken FROM d
+UNION ALL SELECT 'redirects', 4 * (SELECT count(*) FROM d) + CAST((SELECT coalesce(sum(c), 0) FROM sec) AS BIGINT), 0"""
+
 
 # Porter stems of a table terms(term): one CTE for each step. Consonantal y is
 # written Y meanwhile.
@@ -773,6 +778,8 @@ def oracle_sql() -> dict[str, str]:
         "search_hits": SEARCH_HITS,
         "search_after_append": SEARCH_AFTER_APPEND,
         "dead_letters": DEAD_LETTERS,
+        "dump_file_sections": REDIRECTED_SECTIONS,
+        "dump_file_counts": DUMP_FILE_COUNTS,
         "lines_section_stats": SECTION_STATS_BY_LANG,
         "lines_count_hist": REDIRS_COUNT_HIST,
         "lines_staged_sections": STAGED_SECTIONS,

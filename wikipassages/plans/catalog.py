@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import porter
@@ -433,6 +433,33 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.dead_letters(corpus.corpus_xml(spark, sf_dir).union(corpus.damaged_xml(spark, sf_dir)))
 
 
+def dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S4 + F11: content records written as one plain dump, redirects and damaged records as a ``.bz2`` one; the primary
+    job over both by the split scan. ``branch, records, broken`` from the job itself, and the folder of its sections."""
+    def written() -> DataFrame:
+        folder = stage_path(spark, "dump-files")
+        records = corpus.corpus_xml(spark, sf_dir)
+        routed = dump.is_redirect_record()
+        records.where(~routed).write.text(f"{folder}/content.xml")
+        records.where(routed).union(corpus.damaged_xml(spark, sf_dir)).write.option("compression", "bzip2").text(f"{folder}/rest.xml")
+        seen = {"content": Observation(), "redirects": Observation()}
+        job = run_primary_records(dump.read_dump_records(spark, [f"{folder}/content.xml", f"{folder}/rest.xml"]), seen=tuple(seen.values()))
+        job.redirected.write.parquet(f"{folder}/sections")
+        return spark.createDataFrame([(branch, o.get["records"], o.get["broken"], f"{folder}/sections") for branch, o in seen.items()],
+                                     "branch string, records bigint, broken bigint, sections string")
+    return materialize(spark, f"dump-files:{sf_dir}", written)
+
+
+def dump_file_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S4: the redirected sections of dump files on disk, one of them packed, with damaged records among them."""
+    return spark.read.parquet(dump_files(spark, sf_dir).first()["sections"])
+
+
+def dump_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """how many records each branch of that job read and how many of them were broken, counted while it ran."""
+    return dump_files(spark, sf_dir).select("branch", "records", "broken")
+
+
 def lines_section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 -> S7, S9 -> A5-A7, A10: section lines written apart for each language, read back, statistics for each."""
     def written() -> DataFrame:
@@ -526,6 +553,8 @@ QUERIES = {
     "search_segments": search_segments,
     "search_fields": search_fields,
     "dead_letters": dead_letters,
+    "dump_file_sections": dump_file_sections,
+    "dump_file_counts": dump_file_counts,
     "lines_section_stats": lines_section_stats,
     "lines_count_hist": lines_count_hist,
     "lines_count_files": lines_count_files,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import redirects as R
@@ -39,9 +39,15 @@ def run_primary(pages: DataFrame, compat: bool = False) -> PrimaryResult:
                    pages.where(F.col("redirect").isNull()), compat)
 
 
-def run_primary_records(records: DataFrame, compat: bool = False, xml_col: str = "xml") -> PrimaryResult:
-    """From raw ``<page>`` records (``sources.dump.read_dump_records`` or the corpus)."""
+def run_primary_records(records: DataFrame, compat: bool = False, xml_col: str = "xml",
+                        seen: tuple[Observation, Observation] | None = None) -> PrimaryResult:
+    """From raw ``<page>`` records (``sources.dump.read_dump_records`` or the corpus).
+
+    ``seen``: observations of the content and of the redirect records. Whichever job runs a
+    branch first fills its one with ``records`` and ``broken`` (F11), without a scan of its own.
+    """
+    content, redirect = seen or (None, None)
     routed = dump.is_redirect_record(xml_col)
-    redirect_pages = dump.parse_pages(records.where(routed), xml_col).withColumn("is_redirect", F.lit(True))
-    content_pages = dump.parse_pages(records.where(~routed), xml_col).withColumn("is_redirect", F.lit(False))
+    redirect_pages = dump.parse_pages(records.where(routed), xml_col, seen=redirect).withColumn("is_redirect", F.lit(True))
+    content_pages = dump.parse_pages(records.where(~routed), xml_col, seen=content).withColumn("is_redirect", F.lit(False))
     return _finish(redirect_pages, content_pages, compat)

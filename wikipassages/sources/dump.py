@@ -9,7 +9,7 @@ single task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Only the elements the jobs look at. A page may hold several revisions.
@@ -41,7 +41,7 @@ def parsed_once(records: DataFrame, xml_col: str = "xml") -> DataFrame:
     return records.select(F.explode(F.array(F.from_xml(F.col(xml_col), PAGE_SCHEMA, XML_OPTIONS))).alias("p"))
 
 
-def parse_pages(records: DataFrame, xml_col: str = "xml", keep_corrupt: bool = False) -> DataFrame:
+def parse_pages(records: DataFrame, xml_col: str = "xml", keep_corrupt: bool = False, seen: Observation | None = None) -> DataFrame:
     """``title, redirect, model, text`` of each page record, from its first revision.
 
     ``redirect`` is the redirect element's title attribute (``""`` when the
@@ -49,7 +49,8 @@ def parse_pages(records: DataFrame, xml_col: str = "xml", keep_corrupt: bool = F
     (no element, or an empty one) has a null text. Records that are not
     well-formed XML are dropped (F11) unless ``keep_corrupt`` is set, in which
     case they come back with ``_corrupt_record`` set - route those to a
-    dead-letter table with :func:`corrupt_pages`.
+    dead-letter table with :func:`corrupt_pages`. ``seen`` gets ``records`` and
+    ``broken``, counted by the job that reads the pages.
     """
     first = F.get(F.col("p.revision"), F.lit(0))
     text = first["text"]
@@ -62,6 +63,8 @@ def parse_pages(records: DataFrame, xml_col: str = "xml", keep_corrupt: bool = F
         first["model"].alias("model"),
         F.when(text != "", text).alias("text"),
         F.col("p._corrupt_record").alias("_corrupt_record"))
+    if seen is not None:
+        out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.count("_corrupt_record").alias("broken"))
     if keep_corrupt:
         return out
     return out.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import FIELD_SEP, drop_trailing
@@ -58,14 +58,15 @@ def parse_redirect_group_lines(lines: DataFrame) -> DataFrame:
     return lines.select(kf.getItem(0).alias("key"), n.alias("n"), pages.alias("pages"))
 
 
-def parse_section_lines(lines: DataFrame) -> DataFrame:
+def parse_section_lines(lines: DataFrame, seen: Observation | None = None) -> DataFrame:
     """S7 (L3) + F8: ``key, page, section, n, redirs, text, is_malformed``.
 
     A line is indexable when it has more than 4 parts and exactly ``4 + n``
     (so an empty text, which Java's split drops, is not). A line with more
     than 4 parts that is not indexable, or whose count is not a number, is
     marked ``is_malformed`` (the dead-letter rows), and so is one without a tab
-    before its page; shorter lines are skipped.
+    before its page; shorter lines are skipped. ``seen`` gets ``lines`` and
+    ``malformed``, counted by the job that reads the rows.
     """
     parts = _parts(F.col("value"))
     size = F.size(parts)
@@ -83,6 +84,8 @@ def parse_section_lines(lines: DataFrame) -> DataFrame:
         (~valid).alias("is_malformed"),
         *[c for c in lines.columns if c != "value"],
         F.col("value").alias("raw"))
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if("is_malformed").alias("malformed"))
     return df
 
 
