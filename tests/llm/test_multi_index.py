@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,23 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out.values())
 
 
+def test_both_ends_count_a_link_that_one_side_finds(spark, monkeypatch):
+    """Pairs at the threshold (one end in two copies) with a bound so tight that many are found from one side only."""
+    monkeypatch.setattr(multi_index, "PER_CELL", 16)
+    rng = np.random.default_rng(8)
+    x, noise = rng.normal(size=(2, 1200, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    y = 0.905 * x + math.sqrt(1 - 0.905 ** 2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    rows = [(3 * i + k, v.tolist()) for i, (a, b) in enumerate(zip(x, y)) for k, v in enumerate((a, b, b))]
+    exact = brute(np.array([i for i, _ in rows]), np.array([v for _, v in rows]), 0.9)
+    n = {r["vec_id"]: r["n_links"] for r in multi_index.near_copies(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), recall=0.5).collect()}
+    apart = [i for i in range(1200) if all(exact[3 * i + k][0] == 2 for k in range(3))]
+    pairs = [tuple(n[3 * i + k] for k in range(3)) for i in apart]
+    assert len(apart) > 500 and set(pairs) == {(2, 2, 2), (0, 1, 1)}
+
+
 def test_unusable_vectors_link_with_nothing(spark):
     good = [float(i % 3 + 1) for i in range(8)]
     rows = [(1, good), (2, good), (2, good), (3, None), (4, [0.0] * 8), (5, [float("nan")] + good[1:]), (6, [float("inf")] + good[1:]),

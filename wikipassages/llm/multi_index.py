@@ -71,6 +71,12 @@ class Index:
         return np.concatenate(rows), np.concatenate(cells)
 
 
+    def excess(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each half's centres lie farther off than the nearest one."""
+        a, b = self.distances(x)
+        return a - a.min(1, keepdims=True), b - b.min(1, keepdims=True)
+
+
 def _codebook(x: np.ndarray, size: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     centres = x[rng.permutation(len(x))[:size]].copy()
     for _ in range(rounds):
@@ -80,7 +86,7 @@ def _codebook(x: np.ndarray, size: int, rng: np.random.Generator, rounds: int =
         np.add.at(sums, nearest, x)
         filled = counts > 0
         centres[filled] = sums[filled] / counts[filled, None]
-    return centres
+    return np.unique(centres, axis=0)      # equal centres would leave a vector's own cell open
 
 
 def fit(sample: np.ndarray, total: int, cosine: float, recall: float, seed: int = 11) -> Index:
@@ -117,12 +123,14 @@ def _routed(batches: Iterator[pa.RecordBatch], index: Index, visits: bool) -> It
             yield pa.RecordBatch.from_arrays([pa.array(cells), part.column("rep").take(pa.array(rows))], ["cell", "rep"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], cosine: float, index: Index) -> Iterator[pa.RecordBatch]:
     """For rows sorted by (cell, block, visits): each visitor's links in the block, and a forest of them.
 
     Output rows: (rep, n_links, other): n_links counts vectors (0 on rows that only add a forest link).
+    A visitor counts its links; where the vector that it finds does not visit the visitor's own cell in
+    turn, the link is counted for that vector here, too, so both ends count each link that is found once.
     """
-    key, ids, weights, homes, roots = None, [], [], [], None
+    key, ids, weights, homes, roots, off = None, [], [], [], None, None
     for batch in batches:
         cells, blocks, visits, reps, copies = (batch.column(c).to_numpy() for c in ("cell", "block", "visits", "rep", "copies"))
         cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(blocks) != 0) | (np.diff(visits) != 0)) + 1
@@ -143,12 +151,20 @@ def _linked(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Rec
             if len(homes) > 1 or roots is None:
                 ids, weights, homes = [np.concatenate(ids)], [np.concatenate(weights)], [np.concatenate(homes)]
                 roots = np.arange(len(ids[0]))
+                off = index.excess(homes[0])
+            own = index.home(x)
             step = max(1, _STEP // len(ids[0]))
             for a in range(0, hi - lo, step):
                 near = x[a:a + step] @ homes[0].T >= cosine
                 mine = reps[lo + a:lo + a + len(near)]
                 n = near @ weights[0]
                 found = np.flatnonzero(n > 0)
+                row, col = np.nonzero(near)
+                cell = own[a + row]
+                one_way = off[1][col, cell % len(index.right)] > index.bound - off[0][col, cell // len(index.right)]
+                back = np.bincount(col[one_way], copies[lo + a + row[one_way]], len(ids[0])).astype(np.int64)
+                found_back = np.flatnonzero(back)
+                out.append((ids[0][found_back], back[found_back], np.full(len(found_back), -1)))
                 left, right = [], []
                 others = near & (ids[0][None, :] != mine[:, None])
                 for i in np.flatnonzero(others.any(1)).tolist():
@@ -177,7 +193,7 @@ def near_copies(df: DataFrame, vec: str = "vec_id", embedding: str = "embedding"
     """(vec, n_links, component_id, kept) for every row of ``df``.
 
     Two vectors are linked if their cosine, in double precision, is at least
-    ``cosine``; every link given is verified. ``recall``: share of neighbours
+    ``cosine``; every link given is verified, and counted at both of its ends. ``recall``: share of neighbours
     at exactly the threshold whose cell is visited, by the calibration on at
     most ``sample`` vectors (chosen by the hash of their id), which also give
     the codebooks; all vectors are indexed and all are queries. Null, zero and
@@ -207,7 +223,7 @@ def near_copies(df: DataFrame, vec: str = "vec_id", embedding: str = "embedding"
     homes = homes.join(blocks, "cell").select("cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), "rep", F.lit(0).alias("visits"))
     meeting = homes.union(visits).join(members, "rep").select("cell", "block", "visits", "rep", "copies", "vector")
     found = meeting.repartition("cell", "block").sortWithinPartitions("cell", "block", "visits") \
-        .mapInArrow(frugal(lambda b: _linked(b, cosine)), "rep bigint, n_links bigint, other bigint")
+        .mapInArrow(frugal(lambda b: _linked(b, cosine, index)), "rep bigint, n_links bigint, other bigint")
     found = written(found, "found-links")
     parts = connected_components(found.where("other is not null"), "rep", "other").withColumnRenamed("id", "rep")
     counts = found.groupBy("rep").agg(F.sum("n_links").alias("n"))
