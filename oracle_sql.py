@@ -737,6 +737,11 @@ SELECT query_id, phrase_id, doc_id, count(*) AS freq, CAST(min(pos - s) AS INTEG
 FROM mv WHERE s IS NOT NULL AND (before IS NULL OR s > before) AND pos - s <= 6 GROUP BY ALL"""
 
 
+# A line without a text is no section line (its last field goes with the trailing separator).
+LINES_SECTION_REDIRECTS = f"""SELECT r.key, r.page, r.section, r.redirect FROM ({SECTION_REDIRECTS}) r
+JOIN ({REDIRECTED_SECTIONS}) s ON s.key = r.key WHERE s.text <> ''"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "redirected_sections": REDIRECTED_SECTIONS,
@@ -784,4 +789,5 @@ def oracle_sql() -> dict[str, str]:
         "lines_count_hist": REDIRS_COUNT_HIST,
         "lines_staged_sections": STAGED_SECTIONS,
         "lines_staged_redirected": STAGED_REDIRECTED,
+        "lines_section_redirects": LINES_SECTION_REDIRECTS,
     }

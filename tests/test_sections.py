@@ -45,6 +45,35 @@ def test_deeper_level_directly_under_level_two_is_not_found(spark):
     assert [(r["heading"], r["sec_text"]) for r in rows] == [("== A ==", " x ==== D ==== y")]
 
 
+def staged_sections(pages):
+    """The split level by level, each inside the bodies of the level above: one regex pass for each level."""
+    def split(piece, pattern):
+        hits = F.regexp_extract_all(piece, F.lit(pattern), 0)
+        return F.zip_with(hits, F.slice(F.split(piece, pattern, -1), 2, F.size(hits)), lambda h, b: F.struct(h.alias("h"), b.alias("b")))
+    patterns = {n: r"(?<!=)={%d}\s*([^=]+)\s*={%d}(?!=)" % (n, n) for n in range(2, 7)}
+    df = pages.withColumn("l2", split(F.col("text"), patterns[2]))
+    for n in range(3, 7):
+        df = df.withColumn(f"l{n}", F.flatten(F.transform(f"l{n - 1}", lambda s: split(s["b"], patterns[n]))))
+    return df.select("id", F.posexplode(F.concat(*[f"l{n}" for n in range(2, 7)])).alias("i", "s")).select("id", "i", "s.h", "s.b")
+
+
+def test_one_scan_equals_the_staged_split(spark):
+    rng = random.Random(11)
+    marks = ["=" * n for n in (1, 2, 2, 3, 3, 4, 5, 6, 7)]
+    texts = ["".join(rng.choice(["x", " ", "\n", "žš", "𝒳"]) + (m := rng.choice(marks)) + rng.choice(["t", " ", "u\n"]) + rng.choice([m, m, m, "=="])
+                     for _ in range(rng.randint(0, 25))) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None), (-2, "")], "id int, text string")
+    got = {tuple(r) for r in S.nested_sections(df).select("id", "sec_ord", "heading", "sec_text").collect()}
+    assert got == {tuple(r) for r in staged_sections(df).collect()}
+    assert len({h.count("=") for _, _, h, _ in got}) == 5
+
+
+def test_many_headings_on_one_page(spark):
+    text = "".join("=" * (2 + i % 3) + f" h{i} " + "=" * (2 + i % 3) + "body\n" for i in range(6000))
+    rows = S.nested_sections(spark.createDataFrame([(1, text)], "id int, text string")).collect()
+    assert sorted((r["heading"], r["sec_text"]) for r in rows) == sorted(recursive_sections(text)) and len(rows) == 6000
+
+
 def test_no_headings_no_sections(spark):
     df = spark.createDataFrame([(1, "just text = not a heading")], "id int, text string")
     assert S.nested_sections(df).count() == 0

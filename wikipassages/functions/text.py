@@ -48,12 +48,9 @@ STAGED_REDIRECT = (
 )
 # Main-article templates, case-sensitive, greedy to the last "}}" of the line.
 MAIN_ARTICLE = r"\{\{(?:Main\||Hlavný článok\|)([^\n]*)\}\}"
-# Heading of level n: n "=" not touching another "=", title without "=".
-def heading_pattern(level: int) -> str:
-    return r"(?<!=)={%d}\s*([^=]+)\s*={%d}(?!=)" % (level, level)
-
-
 HEADING_LEVELS = (2, 3, 4, 5, 6)
+# Heading of any of these levels: as many "=" before as after a title without "=".
+ANY_HEADING = r"(?<!=)(={%d,%d})[^=]++\1(?!=)" % (HEADING_LEVELS[0], HEADING_LEVELS[-1])
 # Level-2 heading of the staged chain: eats the character before it; ";" is
 # not allowed around the title.
 STAGED_HEADING = r"[^=;]==\ ?([^=;]+)\ ?==(?![=;])|^==\ ?([^=;]+)\ ?==(?![=;])"

@@ -12,39 +12,43 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-_SECTION = "struct<heading:string,body:string>"
-
-
-def _split_on_headings(piece: Column, pattern: str) -> Column:
-    """[(heading, body)] of one level inside ``piece``; text before the first heading is dropped."""
-    hits = F.regexp_extract_all(piece, F.lit(pattern), 0)
-    parts = F.split(piece, pattern, -1)
-    return F.zip_with(hits, F.slice(parts, 2, F.size(hits)),
-                      lambda h, b: F.struct(h.alias("heading"), b.alias("body")))
-
-
-def _children(parent_col: str, pattern: str) -> Column:
-    return F.flatten(F.transform(F.col(parent_col), lambda s: _split_on_headings(s["body"], pattern)))
-
-
 def nested_sections(pages: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per section of levels 2-6, with its subsections inside its text.
 
-    A level is looked for only inside the pieces of the level above, so a
-    ``====`` directly under a ``==`` is not found. Each level is staged in its
-    own column: level k reads level k-1's array instead of re-running the
-    regexes of all levels above it.
+    A level is looked for only inside the sections of the level above, so a
+    ``====`` directly under a ``==`` is not found. The text is cut at the
+    headings of all levels at once. A fold over their levels says which are
+    found: those at most one level below the section that is open there. A
+    section ends before the next heading that is no deeper, found or not (one
+    that is not found is deeper than every open section).
 
     Adds ``sec_ord`` (position among the page's sections, level by level),
     ``heading`` (the whole heading match) and ``sec_text``.
     """
-    levels = [f"_lvl{n}" for n in T.HEADING_LEVELS]
-    df = pages.withColumn(levels[0], _split_on_headings(F.col(text_col), T.heading_pattern(T.HEADING_LEVELS[0])))
-    for prev, cur, level in zip(levels, levels[1:], T.HEADING_LEVELS[1:]):
-        df = df.withColumn(cur, _children(prev, T.heading_pattern(level)))
-    everything = F.concat(*[F.col(c) for c in levels])
-    df = df.select(*[c for c in pages.columns if c != text_col],
-                   F.posexplode(everything).alias("sec_ord", "sec"))
+    text = F.col(text_col)
+    df = (pages
+          .withColumn("_heads", F.regexp_extract_all(text, F.lit(T.ANY_HEADING), 0))
+          .withColumn("_bodies", F.split(text, T.ANY_HEADING, -1))
+          .withColumn("_levels", F.transform("_heads", lambda h: F.length(h) - F.length(F.ltrim(h, F.lit("="))))))
+    start = F.struct(F.lit(T.HEADING_LEVELS[0] - 1).alias("open"), F.lit("").alias("found"))
+    found = F.aggregate("_levels", start, lambda acc, level: F.when(
+        level <= acc["open"] + 1, F.struct(level.alias("open"), F.concat(acc["found"], F.lit("y")).alias("found"))).otherwise(
+        F.struct(acc["open"].alias("open"), F.concat(acc["found"], F.lit("n")).alias("found"))), lambda acc: acc["found"])
+    # one character for each heading, so that what a section spans is a prefix of the rest of a string
+    df = df.withColumn("_found", found).withColumn("_marks", F.array_join(F.col("_levels").cast("array<string>"), ""))
+    pieces = F.zip_with("_heads", F.slice("_bodies", 2, F.size("_heads")), lambda h, b: F.concat(h, b))
+    df = df.withColumn("_pieces", pieces)
+
+    def section(level: Column, i: Column) -> Column:
+        after = F.substring(F.col("_marks"), i + 2, F.size("_heads"))
+        deeper = F.substring(F.lit("".join(map(str, T.HEADING_LEVELS))), level, F.lit(len(T.HEADING_LEVELS)))
+        inside = F.length(after) - F.length(F.ltrim(after, deeper))
+        body = F.concat(F.get("_bodies", i + 1), F.array_join(F.slice("_pieces", i + 2, inside), ""))
+        is_found = F.substring(F.col("_found"), i + 1, F.lit(1)) == "y"
+        return F.when(is_found, F.struct(level.alias("level"), i.alias("i"), F.get("_heads", i).alias("heading"), body.alias("body")))
+
+    found_sections = F.array_sort(F.array_compact(F.transform("_levels", section)))
+    df = df.select(*[c for c in pages.columns if c != text_col], F.posexplode(found_sections).alias("sec_ord", "sec"))
     return df.select(*[c for c in df.columns if c != "sec"],
                      F.col("sec.heading").alias("heading"), F.col("sec.body").alias("sec_text"))
 

@@ -17,8 +17,9 @@ from ..functions.analysis import analyze, analyze_words
 from ..functions.text import normalize_title
 from ..operators import bounded, clauses as trees, dictionary, index, links, search, segments, stats
 from ..operators.redirects import join_redirected_sections
+from ..operators.sections import explode_redirect_targets
 from ..session import materialize, stage_path
-from ..sources import dump, lines
+from ..sources import dump, groups, lines
 from . import corpus, prototype, staged
 from .primary import PrimaryResult, run_primary_records
 
@@ -509,11 +510,22 @@ def lines_staged_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = stage_path(spark, "group-lines")
         sections = materialize(spark, f"staged-sections:{sf_dir}", lambda: staged.merged_sections(
             staged.page_records(staged_pages(spark, sf_dir))))
-        lines.write_lines(staged.redirect_groups(sections), lines.redirect_group_line(), path)
+        groups.write_redirect_groups(explode_redirect_targets(sections), path)
         return staged.redirected_groups(lines.parse_redirect_group_lines(lines.read_lines(spark, path)))
     return materialize(spark, f"group-lines:{sf_dir}", written)
 
 
+def lines_section_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, K8, L5 -> S7: section lines streamed out member by member, read back as one row for each redirect."""
+    def written() -> DataFrame:
+        res = primary(spark, sf_dir)
+        path = stage_path(spark, "streamed-section-lines")
+        groups.write_sections(res.redirected, res.redirects, path, num_parts=8)
+        read = lines.parse_section_lines(lines.read_lines(spark, path)).where(~F.col("is_malformed"))
+        return read.select("key", "page", "section", F.explode("redirs").alias("redirect"))
+    return materialize(spark, f"streamed-section-lines:{sf_dir}", written)
+
+
 QUERIES = {
     "redirected_sections": redirected_sections,
     "section_redirects": section_redirects,
@@ -560,4 +572,5 @@ QUERIES = {
     "lines_count_files": lines_count_files,
     "lines_staged_sections": lines_staged_sections,
     "lines_staged_redirected": lines_staged_redirected,
+    "lines_section_redirects": lines_section_redirects,
 }
