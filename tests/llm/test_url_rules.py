@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from itertools import combinations
 
@@ -86,3 +88,52 @@ def test_no_python_in_the_plans(spark):
     rules = url_rules.mine(df, "url", "bad", 0.1, 0.9)
     plan = url_rules.judged(df, "url", URL_RULES, rules)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow|ArrowEval", plan)
+
+
+def _proven_by_force(rules, rows, level):
+    """Antecedents borne out by the rows, each distinct url with the mean of its labels."""
+    labels = {}
+    for _, url, bad in rows:
+        if url is not None and bad is not None and _tokens(url):
+            labels.setdefault(url, []).append(bad)
+    share = {u: sum(b) / len(b) for u, b in labels.items()}
+    usual = sum(share.values()) / len(share)
+    out = set()
+    for rule in rules:
+        of = [s for u, s in share.items() if set(rule) <= _tokens(u)]
+        if of and sum(of) / len(of) - math.sqrt(math.log(len(rules) / level) / (2 * len(of))) > usual:
+            out.add(rule)
+    return out
+
+
+def test_only_rules_that_other_labels_bear_out_stay(spark):
+    rng = random.Random(5)
+
+    def rows(first, n):
+        out = []
+        for i in range(first, first + n):
+            spam = rng.random() < 0.3
+            words = "/".join(rng.choice("abcdefghij") + str(rng.randint(0, 9)) for _ in range(3))
+            out.append((i, f"http://host{i % 7}.org/{'buy/' if spam else ''}{words}", rng.random() < (0.95 if spam else 0.3)))
+        return out
+    mined_from, others = rows(0, 400), rows(1000, 400) + [(5000, None, True), (5001, "", True), (5002, "http://x.org/a0", None)]
+    others += others[:30]                                                   # repeated urls count once
+    schema = "page_id long, url string, bad boolean"
+    rules = url_rules.mine(spark.createDataFrame(mined_from, schema), "url", "bad", 0.005, 0.6)
+    before = {tuple(r["antecedent"]) for r in rules.collect()}
+    after = url_rules.proven(rules, spark.createDataFrame(others, schema), "url", "bad", 0.05)
+    kept = {tuple(r["antecedent"]) for r in after.collect()}
+    assert kept == _proven_by_force(before, others, 0.05)
+    assert after.columns == rules.columns and ("p=buy",) in kept and len(kept) < len(before) / 2
+    nothing = spark.createDataFrame([(1, None, True), (2, "http://x.org/", None)], schema)
+    assert url_rules.proven(rules, nothing, "url", "bad", 0.05).count() == 0
+    assert url_rules.proven(rules.limit(0), spark.createDataFrame(others, schema), "url", "bad", 0.05).count() == 0
+
+
+def test_rules_by_chance_go(spark):
+    rng = random.Random(6)
+    rows = [(i, f"http://h{rng.randint(0, 40)}.org/p{rng.randint(0, 40)}?q{rng.randint(0, 9)}=1", rng.random() < 0.4) for i in range(900)]
+    schema = "page_id long, url string, bad boolean"
+    rules = url_rules.mine(spark.createDataFrame(rows[:600], schema), "url", "bad", 0.002, 0.6)
+    assert rules.count() > 50
+    assert url_rules.proven(rules, spark.createDataFrame(rows[600:], schema), "url", "bad", 0.05).count() == 0

@@ -4,11 +4,13 @@ FP-growth over the tokens of labelled urls finds token combinations that go
 with unwanted pages; rules below the support or confidence asked for are
 pruned. Each rule is posted under its rarest token, urls meet only the rules
 posted under one of their tokens, and containment is verified on the whole
-token sets. DataFrame functions only.
+token sets. Rules may be held against labels they were not mined from.
+DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.fpm import FPGrowth
@@ -95,12 +97,35 @@ def mine(labelled: DataFrame, url: str, unwanted: str, min_support: float, min_c
     return written(rarest.select("antecedent", F.col("least.token").alias("posted"), "confidence", "support"), "url-rules")
 
 
+def _held_by(of_url: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows with ``items`` beside each rule whose tokens all stand in them, found by the token the rule is posted under."""
+    return of_url.select("*", F.explode("items").alias("posted")).join(rules, "posted") \
+        .where(F.size(F.array_except("antecedent", "items")) == 0)
+
+
+def proven(rules: DataFrame, labelled: DataFrame, url: str, unwanted: str, level: float) -> DataFrame:
+    """The rules whose urls in ``labelled``, rows that none of them was mined from, are surely worse than the rest.
+
+    Each distinct url with tokens counts once, with the share of its labels that are unwanted (null
+    labels are left out). A rule stays if the lower bound of its urls' mean share (Hoeffding's, valid at any
+    count) is above the mean of all urls; the error ``level`` is split over all rules. A rule that no url
+    holds goes, and with no labelled url all do.
+    """
+    held = labelled.select(F.col(url).alias("url"), F.col(unwanted).cast("double").alias("bad")).where("bad is not null and url is not null") \
+        .groupBy("url").agg(F.avg("bad").alias("share"))
+    held = held.select("share", tokens(F.col("url")).alias("items")).where(F.size("items") > 0)
+    tests, usual = rules.count(), held.agg(F.avg("share")).first()[0]
+    if not tests or usual is None:
+        return rules.limit(0)
+    seen = _held_by(held, rules).groupBy("antecedent").agg(F.count("*").alias("urls"), F.avg("share").alias("mean"))
+    slack = F.sqrt(F.lit(math.log(tests / level)) / (2 * F.col("urls")))
+    return written(rules.join(seen.where(F.col("mean") - slack > usual).select("antecedent"), "antecedent", "left_semi"), "url-rules-proven")
+
+
 def matched(urls: DataFrame, url: str, rules: DataFrame) -> DataFrame:
     """Distinct urls (column ``url``) that hold a whole rule, with the most confident one (``mined``)."""
     of_url = urls.select(F.col(url).alias("url")).distinct().select("url", tokens(F.col("url")).alias("items"))
-    return of_url.select("url", "items", F.explode("items").alias("posted")).join(rules, "posted") \
-        .where(F.size(F.array_except("antecedent", "items")) == 0) \
-        .groupBy("url").agg(F.max(F.struct("confidence", "support", "antecedent")).alias("mined"))
+    return _held_by(of_url, rules).groupBy("url").agg(F.max(F.struct("confidence", "support", "antecedent")).alias("mined"))
 
 
 def judged(pages: DataFrame, url: str, given: list[tuple[str, str, str]], rules: DataFrame) -> DataFrame:
