@@ -737,6 +737,20 @@ SELECT query_id, phrase_id, doc_id, count(*) AS freq, CAST(min(pos - s) AS INTEG
 FROM mv WHERE s IS NOT NULL AND (before IS NULL OR s > before) AND pos - s <= 6 GROUP BY ALL"""
 
 
+# The markup corpus's level-2 sections, one space after each; every record has a second revision.
+LINES_KEYED_TEXTS = "WITH " + CORPUS_CTE + """,
+x AS (SELECT doc_id, coalesce(l[2], '') AS a, coalesce(l[3], '') AS t, coalesce(l[4], '') AS u, coalesce(l[5], '') AS v,
+             coalesce(l[6], '') AS w, coalesce(l[7], '') AS s, coalesce(array_to_string(l[8:], ' '), '') AS rest FROM d),
+redirs AS (SELECT doc_id, unnest(['A', 'B', 'T', 'U', 'V', 'W', 'Same', '']) AS name FROM d),
+titles AS (SELECT 'M_' || doc_id AS title FROM d UNION ALL SELECT 'Empty_' || doc_id FROM d
+           UNION ALL SELECT 'MR_' || name || '_' || doc_id FROM redirs)
+SELECT 'M_' || doc_id || '#{{anchor|A|B}}' AS key,
+       ' ' || a || ' === T === ' || t || ' ==== U ==== ' || u || ' ===== V ===== ' || v || ' ====== W ====== ' || w || ' ' AS text FROM x
+UNION ALL SELECT 'M_' || doc_id || '#Same', ' ' || s || ' ' || ' ' || rest || ' ' FROM x
+UNION ALL SELECT 'Empty_' || doc_id, '  ' FROM d
+UNION ALL SELECT 'MR_' || name || '_' || doc_id, '#REDIRECT [[M_' || doc_id || '#' || name || ']] ' FROM redirs
+UNION ALL SELECT title || '#Later', ' later ' FROM titles"""
+
 # A line without a text is no section line (its last field goes with the trailing separator).
 LINES_SECTION_REDIRECTS = f"""SELECT r.key, r.page, r.section, r.redirect FROM ({SECTION_REDIRECTS}) r
 JOIN ({REDIRECTED_SECTIONS}) s ON s.key = r.key WHERE s.text <> ''"""
@@ -790,4 +804,5 @@ def oracle_sql() -> dict[str, str]:
         "lines_staged_sections": STAGED_SECTIONS,
         "lines_staged_redirected": STAGED_REDIRECTED,
         "lines_section_redirects": LINES_SECTION_REDIRECTS,
+        "lines_keyed_texts": LINES_KEYED_TEXTS,
     }

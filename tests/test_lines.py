@@ -78,3 +78,12 @@ def test_section_lines_with_redirs_two_phase(spark):
     rd = spark.createDataFrame([("k", "b"), ("k", "a"), ("k", "c")], "key string, redirect string")
     row = L.sections_with_redirs(red, rd).first()
     assert row["redirs"] == ["a", "b", "c"]
+
+
+def test_keyed_lines_round_trip(spark, tmp_out):
+    rows = [("P#S", " a\tb "), ("Q", ""), ("R#ž", " x ")]
+    L.write_lines(spark.createDataFrame(rows, "key string, text string"), L.keyed_line(), tmp_out + "/l5")
+    back = L.parse_keyed_lines(L.read_lines(spark, tmp_out + "/l5", with_file=True))
+    assert back.columns == ["key", "text", "source_file"]
+    assert sorted((r["key"], r["text"]) for r in back.collect()) == rows
+    assert L.parse_keyed_lines(spark.createDataFrame([("alone",)], "value string")).first()["text"] == ""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -515,6 +516,24 @@ def lines_staged_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(spark, f"group-lines:{sf_dir}", written)
 
 
+def lines_keyed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs 1-2 over the markup corpus (repeated headings, empty pages, two revisions) as
+    keyed lines, read back; a second write to the same place is refused and changes nothing."""
+    def written() -> DataFrame:
+        path = stage_path(spark, "keyed-lines")
+        sections = staged.merged_sections(staged.page_records(dump.parse_page_revisions(corpus.markup_xml(spark, sf_dir))))
+        lines.write_lines(sections, lines.keyed_line(), path)
+        try:
+            lines.write_lines(sections.limit(0), lines.keyed_line(), path)
+        except AnalysisException as refused:
+            if refused.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        else:
+            raise RuntimeError(f"{path} was written twice")
+        return lines.parse_keyed_lines(lines.read_lines(spark, path))
+    return materialize(spark, f"keyed-lines:{sf_dir}", written)
+
+
 def lines_section_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3, K8, L5 -> S7: section lines streamed out member by member, read back as one row for each redirect."""
     def written() -> DataFrame:
@@ -573,4 +592,5 @@ QUERIES = {
     "lines_staged_sections": lines_staged_sections,
     "lines_staged_redirected": lines_staged_redirected,
     "lines_section_redirects": lines_section_redirects,
+    "lines_keyed_texts": lines_keyed_texts,
 }

@@ -89,6 +89,13 @@ def parse_section_lines(lines: DataFrame, seen: Observation | None = None) -> Da
     return df
 
 
+def parse_keyed_lines(lines: DataFrame) -> DataFrame:
+    """The L5 lines read back: ``key, text``, cut at the first tab; a line without one is a key with an empty text."""
+    key = F.substring_index("value", "\t", 1)
+    return lines.select(key.alias("key"), F.expr("substring(value, length(substring_index(value, '\t', 1)) + 2)").alias("text"),
+                        *[c for c in lines.columns if c != "value"])
+
+
 def read_count_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """S8 (L4): ``redirs_count int, freq bigint`` (fields split on any whitespace)."""
     parts = F.split(F.trim(F.col("value")), r"\s+", -1)
