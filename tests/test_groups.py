@@ -24,7 +24,7 @@ def test_section_lines_equal_the_list_form(spark, tmp_out):
                                       "key string, redirect string")
     groups.write_sections(heads, redirects, tmp_out + "/l3", num_parts=3)
     assert _lines(spark, tmp_out + "/l3") == sorted([
-        f"p#s\tp{SEP}s{SEP}4{SEP}A{SEP}A{SEP}B{SEP}body", f"p#e\tp{SEP}e{SEP}1{SEP}R{SEP}",
+        f"p#s\tp{SEP}s{SEP}4{SEP}{SEP}A{SEP}A{SEP}B{SEP}body", f"p#e\tp{SEP}e{SEP}1{SEP}R{SEP}",
         f"q#x\tq{SEP}x{SEP}0{SEP}", f"r#y\tr{SEP}y{SEP}1{SEP}č{SEP}žluť 𝒳"])
 
 

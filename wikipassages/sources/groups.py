@@ -50,8 +50,11 @@ class PieceWriter(DataSourceArrowWriter):
         draft, size = f"part-{uuid.uuid4().hex}", 0
         with system.open_output_stream(f"{drafts}/{draft}") as out:
             for batch in iterator:
-                for piece in batch.column(0).cast(pa.large_binary()):
-                    size += out.write(piece.as_buffer())
+                pieces = batch.column(0).cast(pa.large_binary())
+                if len(pieces):          # the column's bytes stand one after another in its buffer
+                    _, offsets, data = pieces.buffers()
+                    ends = pa.Array.from_buffers(pa.int64(), len(pieces) + 1, [None, offsets], offset=pieces.offset)
+                    size += out.write(data.slice(ends[0].as_py(), ends[-1].as_py() - ends[0].as_py()))
         return PartWritten(TaskContext.get().partitionId(), draft, size)
 
     def commit(self, messages: list[PartWritten | None]) -> None:
