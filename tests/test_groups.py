@@ -28,6 +28,13 @@ def test_section_lines_equal_the_list_form(spark, tmp_out):
         f"q#x\tq{SEP}x{SEP}0{SEP}", f"r#y\tr{SEP}y{SEP}1{SEP}č{SEP}žluť 𝒳"])
 
 
+def test_given_counts_spare_the_joins(spark, tmp_out):
+    heads = spark.createDataFrame([("p#s", "p", "s", 2, "body"), ("q#x", "q", "x", 0, "t")], "key string, page string, section string, n int, text string")
+    redirects = spark.createDataFrame([("p#s", "B"), ("p#s", "A")], "key string, redirect string")
+    groups.write_sections(heads, redirects, tmp_out + "/given")
+    assert _lines(spark, tmp_out + "/given") == [f"p#s\tp{SEP}s{SEP}2{SEP}A{SEP}B{SEP}body", f"q#x\tq{SEP}x{SEP}0{SEP}t"]
+
+
 def test_redirect_groups_equal_the_list_form(spark, tmp_out):
     sections = spark.createDataFrame([("D#A", "D#A", "body"), ("R1", "R1", "#REDIRECT [[D#A]]"), ("R2", "R2", "#REDIRECT [[D#A]]"), ("Lone", "Lone", "x")],
                                      "key string, title string, text string")

@@ -95,7 +95,9 @@ def write_group_lines(heads: DataFrame, members: DataFrame, path: str, key: str
     files (``num_parts``: how many, K8), each sorted by key (L5); no line breaks are allowed inside.
     An existing ``path`` raises before anything is written (K9).
 
-    A key's members are counted with a partial count for each map task. One line lies in one file,
+    If ``heads`` has a column ``n``, that is each key's number of members and ``members`` has no other
+    keys: then every piece is shuffled once and nothing is joined. Else members are counted, with a
+    partial count for each map task. One line lies in one file,
     so one task writes a hot key's line; it streams through in Arrow batches and is never held.
     """
     spark = heads.sparkSession
@@ -109,16 +111,18 @@ def write_group_lines(heads: DataFrame, members: DataFrame, path: str, key: str
 
     def text(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
-    counts = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    counted = heads.select(key, text("head").alias("_head"), text("end").alias("_end")).join(counts, key, "left")
-    order = members.schema["order"].dataType
-    ends = counted.select(F.col(key).alias("_key"), F.inline(F.array(
-        F.struct(F.lit(0).alias("_kind"), F.concat("_head", F.coalesce("_n", F.lit(0)).cast("string")).alias("_piece")),
-        F.struct(F.lit(2).alias("_kind"), F.concat("_end", F.lit("\n")).alias("_piece"))))) \
-        .select("_key", "_kind", F.lit(None).cast(order).alias("_order"), "_piece")
-    between = members.join(heads.select(key), key, "left_semi") \
-        .select(F.col(key).alias("_key"), F.lit(1).alias("_kind"), F.col("order").alias("_order"), text("piece").alias("_piece"))
-    pieces = ends.unionByName(between)
+    numbered = heads
+    if "n" not in heads.columns:
+        counts = members.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        numbered = heads.select(key, "head").join(counts, key, "left")          # the ends, which may be long, stay out of the join
+        members = members.join(heads.select(key), key, "left_semi")
+    order = F.lit(None).cast(members.schema["order"].dataType)
+
+    def pieces_of(df: DataFrame, kind: int, order: Column, piece: Column) -> DataFrame:
+        return df.select(F.col(key).alias("_key"), F.lit(kind).alias("_kind"), order.alias("_order"), piece.alias("_piece"))
+    pieces = (pieces_of(numbered, 0, order, F.concat(text("head"), F.coalesce("n", F.lit(0)).cast("string")))
+              .unionByName(pieces_of(members, 1, F.col("order"), text("piece")))
+              .unionByName(pieces_of(heads, 2, order, F.concat(text("end"), F.lit("\n")))))
     pieces = pieces.repartition(num_parts, "_key") if num_parts else pieces.repartition("_key")
     spark.dataSource.register(PieceFiles)
     pieces.sortWithinPartitions("_key", "_kind", "_order", "_piece").select("_piece") \
@@ -127,16 +131,19 @@ def write_group_lines(heads: DataFrame, members: DataFrame, path: str, key: str
 
 def write_redirect_groups(moved: DataFrame, path: str, num_parts: int | None = None) -> None:
     """K2 (L2): ``key, title, text`` rows, one line for each key: ``key⇥n███title███text…``, sorted by title and text."""
-    heads = moved.select("key").distinct().select("key", F.concat("key", F.lit("\t")).alias("head"), F.lit("").alias("end"))
+    heads = moved.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.concat("key", F.lit("\t")).alias("head"), "n", F.lit("").alias("end"))
     members = moved.select("key", F.struct("title", "text").alias("order"),
                            F.concat(F.lit(FIELD_SEP), F.coalesce("title", F.lit("")), F.lit(FIELD_SEP), F.coalesce("text", F.lit(""))).alias("piece"))
     write_group_lines(heads, members, path, num_parts=num_parts)
 
 
 def write_sections(redirected: DataFrame, redirects: DataFrame, path: str, num_parts: int | None = None) -> None:
-    """K3 (L3): ``key⇥page███section███n███redirect…███text``; ``redirected`` has one row for each key, titles are sorted."""
+    """K3 (L3): ``key⇥page███section███n███redirect…███text``; ``redirected`` has one row for each key, titles are sorted.
+
+    A column ``n`` of ``redirected`` is taken as in :func:`write_group_lines`.
+    """
     sep = F.lit(FIELD_SEP)
     heads = redirected.select("key", F.concat("key", F.lit("\t"), "page", sep, "section", sep).alias("head"),
-                              F.concat(sep, F.coalesce("text", F.lit(""))).alias("end"))
+                              F.concat(sep, F.coalesce("text", F.lit(""))).alias("end"), *(["n"] if "n" in redirected.columns else []))
     members = redirects.select("key", F.col("redirect").alias("order"), F.concat(sep, F.coalesce("redirect", F.lit(""))).alias("piece"))
     write_group_lines(heads, members, path, num_parts=num_parts)
