@@ -2,8 +2,8 @@
 
 A grouped query is a tree: a table of nodes, whose leaves are clauses of any
 kind and whose inner nodes are groups. The leaves' matches are dealt by
-document once; after that every level of the trees is one aggregation inside
-the same tasks, from the leaves up, whatever the number of queries.
+document; every level of the trees is one aggregation inside the same tasks,
+from the leaves up, whatever the number of queries.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import let
 from ..session import ensure_checkpoint_dir
 from .index import SearchIndex
-from .search import MUST, MUST_NOT, SHOULD, clause_matches
+from .search import MUST, MUST_NOT, SHOULD, asked_positions, clause_matches, rarest_terms
 
 GROUP = "group"
 
@@ -75,23 +75,26 @@ def grouped_scores(index: SearchIndex, nodes: DataFrame, max_edits: int = 2) ->
     sumsq = leaves.join(parts, ids, "left").where(~F.exists("path", lambda p: p["occur"] == MUST_NOT)) \
         .groupBy("query_id").agg(F.sum(weight * weight).alias("sumsq"))
 
-    here = F.col("path")[F.col("depth")]
-    rows = matches.join(leaves.select(*ids, "path"), ids) \
-        .select("doc_id", "query_id", F.col("clause_id").alias("node_id"), "path", (F.size("path") - 1).alias("depth"), "m") \
-        .withColumn("m", F.col("m") * here["boost"]).repartition("doc_id")
+    # what the tree says of each node that leads to a leaf; rows hold numbers only
+    above = F.transform("path", lambda p, i: F.struct(i.alias("depth"), F.get("path", i - 1)["node_id"].alias("parent_id"), p.alias("own")))
+    known = leaves.select("query_id", F.inline(above)).select("query_id", "depth", "parent_id", "own.*").distinct().checkpoint()
+
+    def at(d: int, *cols) -> DataFrame:
+        return F.broadcast(known.where(F.col("depth") == d).select("query_id", "node_id", *cols))
+
+    boosts = leaves.select(*ids, F.element_at("path", -1)["boost"].alias("boost"))
+    rows = matches.join(F.broadcast(boosts), ids).select("doc_id", "query_id", F.col("clause_id").alias("node_id"), (F.col("m") * F.col("boost")).alias("m"))
     for d in range(depth, 0, -1):
         # rows of level d are folded into their parents; those nearer to the root stay groups of their own
-        deep = F.col("depth") == d
-        scoring = here["occur"] != MUST_NOT
-        folded = rows.groupBy("doc_id", "query_id", F.when(deep, F.col("path")[d - 1]["node_id"]).otherwise(F.col("node_id")).alias("node_id")).agg(
-            F.first("path").alias("path"), F.bool_or(deep).alias("folded"), F.min(F.when(deep, d - 1).otherwise(F.col("depth"))).alias("depth"),
-            F.sum(F.when(~deep | scoring, F.col("m"))).alias("m"), F.count_if(deep & scoring).alias("hits"),
-            F.count_if(deep & (here["occur"] == MUST)).alias("must_hits"), F.count_if(deep & ~scoring).alias("forbidden"))
-        holds = (F.col("forbidden") == 0) & (F.col("must_hits") == here["musts"]) & (F.col("hits") > 0)
-        rows = folded.where(~F.col("folded") | holds).select(
-            "doc_id", "query_id", "node_id", "path", "depth",
-            F.when(F.col("folded"), F.col("m") * here["boost"] * F.col("hits") / here["clauses"]).otherwise(F.col("m")).alias("m"))
-    return rows.join(sumsq, "query_id").select("query_id", "doc_id", (F.col("m") / F.sqrt("sumsq")).alias("score"))
+        deep, scoring = F.col("parent_id").isNotNull(), F.col("occur") != MUST_NOT
+        folded = rows.join(at(d, "parent_id", "occur"), ["query_id", "node_id"], "left") \
+            .groupBy("doc_id", "query_id", F.coalesce("parent_id", "node_id").alias("node_id")).agg(
+                F.bool_or(deep).alias("folded"), F.sum(F.when(~deep | scoring, F.col("m"))).alias("m"), F.count_if(deep & scoring).alias("hits"),
+                F.count_if(deep & (F.col("occur") == MUST)).alias("must_hits"), F.count_if(deep & ~scoring).alias("forbidden"))
+        holds = (F.col("forbidden") == 0) & (F.col("must_hits") == F.col("musts")) & (F.col("hits") > 0)
+        rows = folded.join(at(d - 1, "boost", "clauses", "musts"), ["query_id", "node_id"], "left").where(~F.col("folded") | holds).select(
+            "doc_id", "query_id", "node_id", F.when(F.col("folded"), F.col("m") * F.col("boost") * F.col("hits") / F.col("clauses")).otherwise(F.col("m")).alias("m"))
+    return rows.join(F.broadcast(sumsq), "query_id").select("query_id", "doc_id", (F.col("m") / F.sqrt("sumsq")).alias("score"))
 
 
 # ---------------------------------------------------------------- terms near each other
@@ -128,21 +131,17 @@ def near_matches(index: SearchIndex, groups: DataFrame, width: int) -> DataFrame
     ``width`` behind their first one, ``span`` the least such distance. In a
     field of many values a window stands inside one value.
 
-    Equal groups are looked up once. As for phrases, candidates come from a
-    group's rarest term, and only they ask for the other terms' positions.
+    Equal groups are looked up once. As for phrases, a group is looked for
+    only in values that hold its rarest term, where their postings lie.
     """
     own = groups.groupBy("query_id", "phrase_id", "field").agg(F.array_sort(F.collect_set("term")).alias("terms")) \
         .withColumn("near", F.concat_ws(" ", "field", F.array_join("terms", " ")))
-    asked = own.select("near", "field", "terms").distinct().select("near", "field", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    rarest = asked.join(index.term_stats, ["field", "term"], "left").groupBy("near", "n") \
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "field", "term")).alias("r")) \
-        .where("r.df > 0").select("near", "n", "r.field", "r.term")
-    found = index.found_positions()
-    first = found.join(rarest, ["field", "term"]).select("near", "n", "doc_id", "value", F.col("term").alias("rare"), F.col("positions").alias("least"))
-    others = first.where("n > 1").join(asked.select("near", "field", "term"), "near").where("term <> rare")
-    met = others.join(found, ["field", "term", "doc_id", "value"]).groupBy("near", "n", "doc_id", "value") \
-        .agg(F.concat(F.array(F.first("least")), F.collect_list("positions")).alias("lists")).where(F.size("lists") == F.col("n"))
-    alone = first.where("n = 1").select("near", "n", "doc_id", "value", F.array("least").alias("lists"))
-    windows = met.union(alone).select("near", "doc_id", _least_windows(F.col("lists"), width).alias("w")).where("w.freq > 0") \
+    asked = own.select("near", "field", "terms").distinct()
+    parts = asked.select("near", "field", F.explode("terms").alias("term"))
+    rarest = rarest_terms(index, parts, "near").join(asked.select("near", "terms"), "near")
+    first = asked_positions(index, parts).select("field", "doc_id", "held", F.explode("held.term").alias("term")).join(F.broadcast(rarest), ["field", "term"])
+    lists = F.filter("held", lambda h: F.array_contains("terms", h["term"]))["positions"]
+    whole = first.select("near", "doc_id", "terms", lists.alias("lists")).where(F.size("lists") == F.size("terms"))
+    windows = whole.select("near", "doc_id", _least_windows(F.col("lists"), width).alias("w")).where("w.freq > 0") \
         .groupBy("near", "doc_id").agg(F.sum("w.freq").alias("freq"), F.min("w.span").alias("span"))
-    return own.select("query_id", "phrase_id", "near").join(windows, "near").select("query_id", "phrase_id", "doc_id", "freq", "span")
+    return windows.join(F.broadcast(own.select("query_id", "phrase_id", "near")), "near").select("query_id", "phrase_id", "doc_id", "freq", "span")

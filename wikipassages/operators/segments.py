@@ -95,7 +95,7 @@ def write_segment(index: SearchIndex, path: str) -> str:
     base = f"{path.rstrip('/')}/segments/{name}"
     index.docs.write.parquet(f"{base}/docs")
     index.postings.write.partitionBy("field").parquet(f"{base}/postings")
-    values = index.values if index.values is not None else index.found_positions().limit(0)
+    values = index.values if index.values is not None else index.found_positions().drop("len").limit(0)
     values.write.partitionBy("field").parquet(f"{base}/values")
     postings = spark.read.schema(index.postings.schema).parquet(f"{base}/postings")
     lengths = postings.select("doc_id", "field", "len").distinct()
