@@ -39,15 +39,14 @@ def merged_sections(records: DataFrame) -> DataFrame:
     """Job 2: ``key, title, text`` of unique keys; texts of equal keys joined, one space after each."""
     flat = S.flat_sections(records)
     return (flat.groupBy("key")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sec_ord", "text"))),
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sec_ord", "text"))),
                                           lambda s: F.concat(s["text"], F.lit(" "))), "").alias("text"))
             .select("key", F.col("key").alias("title"), "text"))
 
 
 def redirect_edges(sections: DataFrame) -> DataFrame:
     """Job 3's redirect side: ``target, title`` for every section target of every record."""
-    targets = T.staged_redirect_targets(T.java_trim(F.col("text")))
-    return sections.select(F.explode(targets).alias("target"), "title")
+    return sections.select(F.explode(T.trimmed_redirect_targets("text")).alias("target"), "title")
 
 
 def redirected_texts(sections: DataFrame) -> DataFrame:
@@ -56,8 +55,8 @@ def redirected_texts(sections: DataFrame) -> DataFrame:
     A record goes under its own key if it redirects nowhere, or to itself; a
     group needs a second member, so a self-redirect does not make one.
     """
-    targets = T.staged_redirect_targets(T.java_trim(F.col("text")))
-    own = sections.where((F.size(targets) == 0) | F.array_contains(targets, F.col("title"))).select("key", "text")
+    own = sections.where(T.let(T.trimmed_redirect_targets("text"), lambda targets: (F.size(targets) == 0) | F.array_contains(
+        targets, F.col("title")))).select("key", "text")
     edges = redirect_edges(sections).where(F.col("target") != F.col("title"))
     return own.join(edges.select(F.col("target").alias("key")), "key", "left_semi")
 
@@ -66,7 +65,8 @@ def redirected_groups(groups: DataFrame) -> DataFrame:
     """Job 4 on L2 rows (``key, n, pages``): ``key, text`` of the groups with more than one
     member that hold a member titled as the key."""
     own = F.filter("pages", lambda p: p["title"] == F.col("key"))
-    return groups.where((F.size("pages") > 1) & (F.size(own) > 0)).select("key", F.get(own, F.lit(0))["text"].alias("text"))
+    found = groups.where(F.col("n") > 1).select("key", F.explode(F.array(own)).alias("own"))        # filtered once
+    return found.where(F.size("own") > 0).select("key", F.get("own", F.lit(0))["text"].alias("text"))
 
 
 def redirect_groups(sections: DataFrame) -> DataFrame:

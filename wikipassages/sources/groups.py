@@ -132,7 +132,8 @@ def write_group_lines(heads: DataFrame, members: DataFrame, path: str, key: str
 def write_redirect_groups(moved: DataFrame, path: str, num_parts: int | None = None) -> None:
     """K2 (L2): ``key, title, text`` rows, one line for each key: ``key⇥n███title███text…``, sorted by title and text."""
     heads = moved.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.concat("key", F.lit("\t")).alias("head"), "n", F.lit("").alias("end"))
-    members = moved.select("key", F.struct("title", "text").alias("order"),
+    # members of equal titles are sorted by their pieces, that is by text
+    members = moved.select("key", F.col("title").alias("order"),
                            F.concat(F.lit(FIELD_SEP), F.coalesce("title", F.lit("")), F.lit(FIELD_SEP), F.coalesce("text", F.lit(""))).alias("piece"))
     write_group_lines(heads, members, path, num_parts=num_parts)
 

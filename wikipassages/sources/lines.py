@@ -24,6 +24,12 @@ def _parts(value: Column) -> Column:
     return F.split(drop_trailing(value, _SEP_RE), _SEP_RE, -1)
 
 
+def _with_parts(lines: DataFrame) -> DataFrame:
+    """``_parts`` of each line, behind a one-row generator: a line (a group of millions of members may
+    stand on one) is split once, not for each column, filter or member that looks into it."""
+    return lines.select("*", F.explode(F.array(_parts(F.col("value")))).alias("_parts"))
+
+
 def _key_fields(head: Column) -> Column:
     return F.split(drop_trailing(head, "\t"), "\t", -1)
 
@@ -39,23 +45,23 @@ def read_lines(spark: SparkSession, paths: str | list[str], with_file: bool = Fa
 # ---------------------------------------------------------------- readers
 def parse_page_lines(lines: DataFrame) -> DataFrame:
     """S5 (L1): ``key, title, text``; key and title are the title field, a missing text is ``""``."""
-    parts = _parts(F.col("value"))
+    parts = F.col("_parts")
     title = F.try_element_at(_key_fields(parts.getItem(0)), F.lit(2))
-    return lines.select(title.alias("key"), title.alias("title"),
+    return _with_parts(lines).select(title.alias("key"), title.alias("title"),
                         F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")).alias("text"),
                         *[c for c in lines.columns if c != "value"])
 
 
 def parse_redirect_group_lines(lines: DataFrame) -> DataFrame:
     """S6 (L2): ``key, n, pages array<struct<title,text>>``; a missing last text is ``""``."""
-    parts = _parts(F.col("value"))
+    parts = F.col("_parts")
     kf = _key_fields(parts.getItem(0))
     n = F.coalesce(F.try_element_at(kf, F.lit(2)).try_cast("int"), F.lit(0))
     pages = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
         F.try_element_at(parts, i * 2 + 2).alias("title"),
         F.coalesce(F.try_element_at(parts, i * 2 + 3), F.lit("")).alias("text")))).otherwise(
         F.array().cast("array<struct<title:string,text:string>>"))
-    return lines.select(kf.getItem(0).alias("key"), n.alias("n"), pages.alias("pages"))
+    return _with_parts(lines).select(kf.getItem(0).alias("key"), n.alias("n"), pages.alias("pages"))
 
 
 def parse_section_lines(lines: DataFrame, seen: Observation | None = None) -> DataFrame:
@@ -68,13 +74,13 @@ def parse_section_lines(lines: DataFrame, seen: Observation | None = None) -> Da
     before its page; shorter lines are skipped. ``seen`` gets ``lines`` and
     ``malformed``, counted by the job that reads the rows.
     """
-    parts = _parts(F.col("value"))
+    parts = F.col("_parts")
     size = F.size(parts)
     n = F.try_element_at(parts, F.lit(3)).try_cast("int")
     head = _key_fields(parts.getItem(0))
     page = F.try_element_at(head, F.lit(2))
     valid = n.isNotNull() & (size == n + 4) & page.isNotNull()
-    df = lines.where(size > 4).select(
+    df = _with_parts(lines).where(size > 4).select(
         F.try_element_at(head, F.lit(1)).alias("key"),
         page.alias("page"),
         F.try_element_at(parts, F.lit(2)).alias("section"),
@@ -148,7 +154,7 @@ def gather_titles(redirects: DataFrame, key: str = "key", title: str = "redirect
     """
     salted = redirects.withColumn("_salt", F.pmod(F.xxhash64(title), F.lit(SALT_BUCKETS)))
     partial = salted.groupBy(key, "_salt").agg(F.collect_list(title).alias("_part"))
-    return partial.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("redirs"))
+    return partial.groupBy(key).agg(F.sort_array(F.flatten(F.collect_list("_part"))).alias("redirs"))
 
 
 def sections_with_redirs(redirected: DataFrame, redirects: DataFrame) -> DataFrame:
