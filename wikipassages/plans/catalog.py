@@ -67,6 +67,24 @@ def _with_source(sections: DataFrame) -> DataFrame:
     return sections.withColumn("source", F.substring_index("page", "–", -1))
 
 
+#: Folder of the section lines of all pages without a language (no language holds the sign).
+NO_LANGUAGE = "–"
+
+
+def section_line_files(redirected: DataFrame, redirects: DataFrame, path: str) -> DataFrame:
+    """K3 + S9: section lines written apart for each language, and read back with their ``source``.
+
+    The lines of pages without a language, which are sources of their own, share one folder: a folder
+    for each would be as many as there are such pages."""
+    folder = F.when(F.instr("page", "–") > 0, F.col("source")).otherwise(NO_LANGUAGE)
+    rows = lines.sections_with_redirs(_with_source(redirected), redirects).withColumn("source", folder)
+    lines.write_lines(rows, lines.section_line(), path, partition_by="source")
+    read = lines.parse_section_lines(lines.read_lines(redirected.sparkSession, f"{path}/*", with_file=True))
+    named = F.regexp_extract("source_file", r"/source=([^/]*)/", 1)
+    return _with_source(read.where(~F.col("is_malformed"))).select(
+        "key", "page", "section", "n", "text", F.when(F.try_url_decode(named) == NO_LANGUAGE, F.col("source")).otherwise(named).alias("source"))
+
+
 def section_stats_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: the statistics of A5-A7 reported apart per source (language)."""
     return stats.section_stats(_with_source(redirected_sections(spark, sf_dir)), by=["source"])
@@ -468,12 +486,7 @@ def lines_section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 -> S7, S9 -> A5-A7, A10: section lines written apart for each language, read back, statistics for each."""
     def written() -> DataFrame:
         res = primary(spark, sf_dir)
-        path = stage_path(spark, "section-lines")
-        rows = lines.sections_with_redirs(_with_source(res.redirected), res.redirects)
-        lines.write_lines(rows, lines.section_line(), path, partition_by="source")
-        read = lines.parse_section_lines(lines.read_lines(spark, f"{path}/*", with_file=True))
-        source = F.regexp_extract("source_file", r"/source=([^/]*)/", 1)
-        return read.where(~F.col("is_malformed")).select("key", "page", "section", "n", "text", source.alias("source"))
+        return section_line_files(res.redirected, res.redirects, stage_path(spark, "section-lines"))
     sections = materialize(spark, f"section-lines:{sf_dir}", written)
     return stats.section_stats(sections, by=["source"])
 
