@@ -127,7 +127,7 @@ def corpus_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def damaged_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record for each document that is no well-formed XML: its text element is not closed."""
-    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    lined = document_lines(spread(read_table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism))
     lead = F.coalesce(F.try_element_at("lines", F.lit(1)), F.lit(""))
     return lined.select(F.concat(F.lit("<page><title>Broken_"), F.col("doc_id").cast("string"), F.lit("</title><revision><text>"),
                                  xml_escape(lead), F.lit("</revision></page>")).alias("xml"))
@@ -141,7 +141,7 @@ def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     citation, comment, link with a label, encoded bytes (two spellings),
     underscores and hyphen, struck and underlined, no markup.
     """
-    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    lined = document_lines(spread(read_table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism))
     rows = lined.select("doc_id", F.posexplode("lines").alias("i", "line"))
     base = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"), F.lit(" L"), F.col("i").cast("string"))
     word = F.concat(F.lit("w"), F.regexp_extract("line", "[a-z]+", 0))
@@ -162,7 +162,7 @@ MARKUP_TARGETS = ["A", "B", "T", "U", "V", "W", "Same", ""]
 def markup_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page for each document with all heading levels, a heading of two anchor names and a repeated
     heading, a second revision that must not count, an empty page, and a redirect to every name."""
-    lined = document_lines(read_table(spark, sf_dir, "documents"))
+    lined = document_lines(spread(read_table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism))
     d, lines = F.col("doc_id").cast("string"), F.col("lines")
 
     def line(k: int) -> Column:
