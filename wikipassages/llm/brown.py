@@ -4,15 +4,18 @@ P(word | previous) = P(class | previous class) * P(word | class), both
 smoothed. Words above a relative frequency are sorted into classes by
 exchange: a word moves to the class that raises the class bigrams'
 likelihood most, given the counts of its neighbours' classes. All other
-words, seen or not, are in a class by their ending, so every word has one.
-The exchange runs in bulk steps: counts are gathered over all training
-texts, half of the words move at once, and a step that lowers the
-likelihood is the last.
+words begin in a class by their ending, where words never seen stay. The
+exchange runs in bulk steps: counts are gathered over all training texts,
+half of the words move at once, and a step that lowers the likelihood is the
+last. Then every rarer training word is given its neighbours' classes by a
+shuffle on the word, is moved by the same rule in one step, and its class is
+joined back to each of its places in the texts. It may enter the classes that
+hold exchanged words.
 
 What every task holds is bounded by relative frequencies, not by the corpus:
-at most 1 / ``CLASSED`` words are exchanged and at most 1 / ``KEPT`` words'
-counts are looked up locally; the counts of all other words are met in a
-join.
+at most 1 / ``CLASSED`` words are exchanged in memory and at most 1 / ``KEPT``
+words' counts are looked up locally; the classes of all rarer words, and the
+counts of those that are not looked up, are met in a join.
 """
 
 from __future__ import annotations
@@ -23,20 +26,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wikipassages.llm.common import frugal, text_slices, written
 from wikipassages.llm.words import Words, mix, words_of
 
-#: Least share of the training tokens of words that are exchanged, and of words whose counts tasks hold.
+#: Least share of the training tokens of words that are exchanged in memory (rarer ones: ``rare_moves``), and of words whose counts tasks hold.
 CLASSED, KEPT = 2e-5, 5e-7
 #: Classes that words are exchanged among, and classes by ending.
 EXCHANGED, ENDINGS = 48, 48
 #: Units (words) whose neighbour counts travel together.
 BLOCK = 256
 _FLUSH = 400_000
-UNITS = "row bigint, train boolean, n_words bigint, n_local bigint, log_counts double, units binary, rest array<bigint>, rest_n array<int>"
+UNITS = "row bigint, train boolean, n_words bigint, n_local bigint, log_counts double, units binary, rest array<bigint>, rest_at array<array<int>>"
+PLACED = "row bigint, train boolean, n_words bigint, n_local bigint, log_counts double, units binary, rest_known bigint, rest_logs double"
+#: Neighbour classes (of a word, each once) that are weighed at a time.
+_WEIGHED = 20_000
 
 
 def _word_columns(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +113,7 @@ def _vocabulary(table: DataFrame, texts: int) -> Vocabulary:
 
 
 def _as_units(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[pa.RecordBatch]:
-    """Each text as unit numbers (16 bits), the sums over words with local counts, and the other words with their counts."""
+    """Each text as unit numbers (16 bits), the sums over words with local counts, and the words not exchanged with their places."""
     exchanged = int((v.units >= 0).sum())
     for part in text_slices(batches, "text"):
         w = words_of(part.column("text"))
@@ -115,6 +122,7 @@ def _as_units(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[pa.R
         at = np.minimum(np.searchsorted(v.hashes, found), max(0, len(v.hashes) - 1))
         known = (v.hashes[at] == found) if len(v.hashes) else np.zeros(len(found), bool)
         unit = np.where(known, v.units[at] if len(v.hashes) else -1, -1)
+        rare = (unit < 0)[inverse]
         unit = np.where(unit >= 0, unit, exchanged + kinds[first])[inverse]
         log_count = np.where(known, np.log10((v.counts[at] if len(v.hashes) else 0) + 1.0), 0.0)[inverse]
         local = known[inverse]
@@ -123,18 +131,19 @@ def _as_units(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[pa.R
         n_known = np.bincount(text_of, local, n).astype(np.int64)
         edges = (w.first * 2).astype(np.int32)
         units = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(edges), pa.py_buffer(unit.astype("<u2"))])
-        rest = np.flatnonzero(~local)
+        rest = np.flatnonzero(rare)
         order = rest[np.lexsort((hashes[rest], text_of[rest]))]
         new = np.ones(len(order), bool)
         new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (text_of[order[1:]] != text_of[order[:-1]])
         heads = np.flatnonzero(new)
-        tf = np.diff(np.append(heads, len(order)))
+        at = pa.array((order - w.first[text_of[order]]).astype(np.int32))
+        places = pa.ListArray.from_arrays(pa.array(np.append(heads, len(order)).astype(np.int32)), at)
         lists = pa.array(np.searchsorted(text_of[order[heads]], np.arange(n + 1)).astype(np.int32))
         yield pa.RecordBatch.from_arrays([
             part.column("row"), part.column("train"), pa.array(np.diff(w.first)), pa.array(n_known), pa.array(sums), units,
             pa.ListArray.from_arrays(lists, pa.array(hashes[order[heads]].view(np.int64))),
-            pa.ListArray.from_arrays(lists, pa.array(tf.astype(np.int32)))],
-            ["row", "train", "n_words", "n_local", "log_counts", "units", "rest", "rest_n"])
+            pa.ListArray.from_arrays(lists, places)],
+            ["row", "train", "n_words", "n_local", "log_counts", "units", "rest", "rest_at"])
 
 
 def _unit_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -196,13 +205,29 @@ def _class_matrix(table: DataFrame, classes: np.ndarray, n_classes: int) -> np.n
                 np.add.at(total, mine, counts[:len(mine)])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_classes ** 2)), pa.array(total.reshape(-1))], ["cell", "n"])
 
-    cells = table.mapInArrow(frugal(folded), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 0").collect()
+    return _from_cells(table.mapInArrow(frugal(folded), "cell bigint, n bigint"), n_classes)
+
+
+def _from_cells(parts: DataFrame, n_classes: int) -> np.ndarray:
     out = np.zeros(n_classes ** 2, np.int64)
-    for cell, n in cells:
+    for cell, n in parts.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 0").collect():      # at most n_classes squared rows
         out[cell] = n
     return out.reshape(n_classes, n_classes)
 
 
+def _class_bigrams(rows: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """The same from the texts' units."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_classes ** 2, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                unit, before, _ = _sequences(batch.column("units").slice(lo, 500), len(classes) - 1)
+                total += np.bincount(classes[before] * n_classes + classes[unit], minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["cell", "n"])
+
+    return _from_cells(rows.mapInArrow(frugal(counted), "cell bigint, n bigint"), n_classes)
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     x = np.maximum(x, 0).astype(np.float64)
     return x * np.log(np.maximum(x, 1))
@@ -264,16 +289,28 @@ def _accepted(moves: list, matrix: np.ndarray, share: float = 0.25) -> list[tupl
 
 @dataclass
 class Classes:
-    of_unit: np.ndarray       # class of each unit: exchanged words, endings, end
+    of_unit: np.ndarray       # class of each unit: exchanged words, endings, classes of moved rare words, end
     log_step: np.ndarray      # log10 P(class | previous class)
     log_inside: np.ndarray    # log10 of what a class's words share out, for each class
+    matrix: np.ndarray        # class bigrams (previous, following)
+    words: np.ndarray         # distinct training words of each class
+
+
+def _classes(of_unit: np.ndarray, matrix: np.ndarray, words: np.ndarray) -> Classes:
+    n_classes, tokens = len(matrix), matrix.sum(0)
+    unigram = (tokens + 1) / (tokens.sum() + n_classes)
+    step = (matrix + n_classes * unigram[None, :]) / (matrix.sum(1, keepdims=True) + n_classes)
+    # a class shares its tokens and one more for each word, and one for words never seen
+    inside = np.log10(tokens + words + 1.0)
+    inside[-1] = 0.0
+    return Classes(of_unit, np.log10(step), inside, matrix, words)
 
 
 def exchange(rows: DataFrame, v: Vocabulary, sweeps: int) -> Classes:
     """Classes after at most ``sweeps`` bulk exchange steps over ``rows`` (units of all training texts)."""
     n_exchanged = int((v.units >= 0).sum())
     n_classes = EXCHANGED + ENDINGS + 1
-    classes = np.concatenate([v.start, EXCHANGED + np.arange(ENDINGS + 1)]).astype(np.int64)
+    classes = np.concatenate([v.start, EXCHANGED + np.arange(ENDINGS), np.arange(EXCHANGED), [n_classes - 1]]).astype(np.int64)
     table = _neighbours(rows, classes, n_classes)
     matrix = _class_matrix(table, classes, n_classes)
     for sweep in range(sweeps):
@@ -287,15 +324,139 @@ def exchange(rows: DataFrame, v: Vocabulary, sweeps: int) -> Classes:
         if likelihood(new_matrix) <= likelihood(matrix):
             break
         classes, table, matrix = moved, new_table, new_matrix
-    tokens = matrix.sum(0)
-    unigram = (tokens + 1) / (tokens.sum() + n_classes)
-    step = (matrix + n_classes * unigram[None, :]) / (matrix.sum(1, keepdims=True) + n_classes)
     words = np.bincount(classes[:n_exchanged], minlength=n_classes)
     words[EXCHANGED:EXCHANGED + ENDINGS] += v.kinds
-    # a class shares its tokens and one more for each word, and one for words never seen
-    inside = np.log10(tokens + words + 1.0)
-    inside[-1] = 0.0
-    return Classes(classes, np.log10(step), inside)
+    return _classes(classes, matrix, words)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], c: Classes) -> Iterator[pa.RecordBatch]:
+    """(hash, own, before, after) of the words not exchanged: the classes beside their places, a byte each."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            unit, before, offsets = _sequences(part.column("units"), len(c.of_unit) - 1)
+            words = pc.list_value_length(part.column("rest")).to_numpy(zero_copy_only=False)
+            lists = part.column("rest_at").flatten()
+            times = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            if not len(lists):
+                continue
+            at = np.repeat(np.repeat(offsets[:-1], words), times) + lists.flatten().to_numpy()
+            hashes = np.repeat(part.column("rest").flatten().to_numpy(), times)
+            order = np.argsort(hashes, kind="stable")
+            at, hashes = at[order], hashes[order]
+            heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            edges = pa.py_buffer(np.append(heads, len(hashes)).astype(np.int32))
+            sides = [pa.Array.from_buffers(pa.binary(), len(heads), [None, edges, pa.py_buffer(c.of_unit[x].astype(np.uint8))])
+                     for x in (before[at], unit[at + 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[heads]), pa.array(c.of_unit[unit[at[heads]]].astype(np.int32)), *sides],
+                                             ["hash", "own", "before", "after"])
+
+
+def _weighed(word: np.ndarray, beside: np.ndarray, own: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each word's counts beside the class columns of ``matrix`` add when it enters a class (row), and when it leaves its own."""
+    n_classes = len(matrix)
+    found, n = np.unique(word * n_classes + beside, return_counts=True)
+    word, beside = found // n_classes, found % n_classes
+    kinds, kind = np.unique(n * n_classes + beside, return_inverse=True)
+    m = matrix[:EXCHANGED, kinds % n_classes]
+    enters = (_xlogx(m + kinds // n_classes) - _xlogx(m)).T
+    m = matrix[own[word], beside]
+    leave = np.bincount(word, _xlogx(m - n) - _xlogx(m), len(own))
+    enter = np.zeros((len(own), EXCHANGED))
+    heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    lo = 0
+    while lo < len(heads):
+        hi = max(lo + 1, int(np.searchsorted(heads, heads[lo] + _WEIGHED)))
+        end = heads[hi] if hi < len(heads) else len(word)
+        enter[word[heads[lo:hi]]] = np.add.reduceat(enters[kind[heads[lo]:end]], heads[lo:hi] - heads[lo])
+        lo = hi
+    return enter, leave
+
+
+def _best(rows: pa.Table, matrix: np.ndarray) -> pa.RecordBatch:
+    """(hash, n, own, to) of whole words: the class with tokens that each gains most by moving to (-1: none), by the gains of ``_moves``."""
+    hashes, first, word = np.unique(rows.column("hash").to_numpy(), return_index=True, return_inverse=True)
+    own = rows.column("own").to_numpy()[first].astype(np.int64)
+    sides = [rows.column(x).combine_chunks() for x in ("after", "before")]
+    word = np.repeat(word, pc.binary_length(sides[0]).to_numpy(zero_copy_only=False))
+    beside = [np.frombuffer(b"".join(x.to_pylist()), np.uint8).astype(np.int64) for x in sides]
+    n = np.bincount(word, minlength=len(hashes))
+    enter, leave = np.zeros((len(hashes), EXCHANGED)), np.zeros(len(hashes))
+    for m, classes in ((matrix, beside[0]), (matrix.T, beside[1])):
+        more, less = _weighed(word, classes, own, m)
+        total = m.sum(1)
+        of_class = _xlogx(total[:EXCHANGED] + n[:, None]) - _xlogx(total[:EXCHANGED])
+        enter += more - of_class
+        leave += less - (_xlogx(total[own] - n) - _xlogx(total[own]))
+    # words that enter an empty class in one step, each as if alone, need have nothing in common
+    enter[:, matrix.sum(0)[:EXCHANGED] == 0] = -np.inf
+    to = np.argmax(enter, axis=1)
+    to = np.where(enter[np.arange(len(to)), to] + leave > 1e-9, to, -1)
+    return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n), pa.array(own.astype(np.int32)), pa.array(to.astype(np.int32))], ["hash", "n", "own", "to"])
+
+
+def _bests(batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``_best`` of rows sorted by word; the last word of a batch waits for the next."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch])
+        hashes = rows.column("hash").to_numpy()
+        cut = int(np.searchsorted(hashes, hashes[-1]))
+        if cut:
+            yield _best(rows.slice(0, cut), matrix)
+        held = rows.slice(cut).to_batches()
+    if held:
+        yield _best(pa.Table.from_batches(held), matrix)
+
+
+def rare_moves(training: DataFrame, c: Classes) -> DataFrame:
+    """(hash, n, own, to) of every training word that is not exchanged in memory: its count, class by ending, and better class or -1."""
+    beside = training.select("units", "rest", "rest_at").mapInArrow(frugal(lambda b: _contexts(b, c)), "hash bigint, own int, before binary, after binary")
+    return written(beside.repartition("hash").sortWithinPartitions("hash").mapInArrow(
+        frugal(lambda b: _bests(b, c.matrix)), "hash bigint, n bigint, own int, to int"), "lm-rare")
+
+
+def _placed(batches: Iterator[pa.RecordBatch], first: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose moved words are units of their new classes, which are numbered on from ``first``."""
+    names = [x.split()[0] for x in PLACED.split(", ")]
+    for batch in batches:
+        flat, offsets = _unit_arrays(batch.column("units"))
+        moved = batch.column("moved")
+        words = pc.fill_null(pc.list_value_length(moved), 0).to_numpy(zero_copy_only=False)
+        each = moved.flatten()
+        lists = pc.struct_field(each, "at")
+        times = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        flat = flat.astype("<u2")
+        if len(each):
+            at = np.repeat(np.repeat(offsets[:-1], words), times) + lists.flatten().to_numpy()
+            flat[at] = first + np.repeat(pc.struct_field(each, "to").to_numpy(), times)
+        units = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((offsets * 2).astype(np.int32)), pa.py_buffer(flat)])
+        yield pa.RecordBatch.from_arrays([units if x == "units" else batch.column(x) for x in names], names)
+
+
+def place_rare(units: DataFrame, v: Vocabulary, c: Classes) -> tuple[DataFrame, DataFrame, Classes]:
+    """``units`` with rest_known and rest_logs (of words whose counts tasks do not hold); the rows to be scored; and their classes.
+
+    All rare words move at once; if that lowers the likelihood they stay in the classes by their ending.
+    """
+    moves = rare_moves(units.where("train"), c)
+    here, beyond = F.size("at"), F.col("n") < max(1.0, KEPT * v.tokens)
+    rest = units.select("row", F.explode(F.arrays_zip("rest", "rest_at")).alias("r")).select("row", F.col("r.rest").alias("hash"), F.col("r.rest_at").alias("at")) \
+        .join(moves, "hash").groupBy("row").agg(
+            F.sum(F.when(beyond, here).otherwise(0)).alias("rest_known"), F.sum(F.when(beyond, here * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rest_logs"),
+            F.collect_list(F.when(F.col("to") >= 0, F.struct("to", "at"))).alias("moved"))
+    first = int((v.units >= 0).sum()) + ENDINGS
+    placed = written(units.drop("rest", "rest_at").join(rest, "row", "left").mapInArrow(frugal(lambda b: _placed(b, first)), PLACED), "lm-placed")
+    matrix = _class_bigrams(placed.where("train").select("units"), c.of_unit, len(c.matrix))
+    if likelihood(matrix) <= likelihood(c.matrix):
+        return placed, units, c
+    words = c.words.copy()
+    for own, to, n in moves.where("to >= 0").groupBy("own", "to").agg(F.count("*")).collect():      # at most ENDINGS * EXCHANGED rows
+        words[own] -= n
+        words[to] += n
+    return placed, placed, _classes(c.of_unit, matrix, words)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], c: Classes) -> Iterator[pa.RecordBatch]:
@@ -329,16 +490,12 @@ def scored(df: DataFrame, train: str, text: str = "text", sweeps: int = 6) -> Da
     counts = written(counts, "word-counts")
     v = _vocabulary(counts, texts.where("train").count())
     units = written(texts.mapInArrow(frugal(lambda b: _as_units(b, v)), UNITS), "lm-units")
-    training = units.where("train").select("units")
-    classes = exchange(training, v, sweeps)
-
-    rest = units.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("r")).select("row", F.col("r.rest").alias("hash"), F.col("r.rest_n").alias("tf"))
-    rest = rest.join(counts.select("hash", "n"), "hash").groupBy("row") \
-        .agg(F.sum("tf").alias("rest_known"), F.sum(F.col("tf") * F.log10(F.col("n") + 1.0)).alias("rest_logs"))
-    by_class = units.select("row", "units").mapInArrow(frugal(lambda b: _scored(b, classes)), "row bigint, log_classes double")
+    classes = exchange(units.where("train").select("units"), v, sweeps)
+    units, placed, classes = place_rare(units, v, classes)
+    by_class = placed.select("row", "units").mapInArrow(frugal(lambda b: _scored(b, classes)), "row bigint, log_classes double")
     all_logs = F.col("log_counts") + F.coalesce("rest_logs", F.lit(0.0))
     end_known = int(v.texts > 0)
-    out = units.select("row", "n_words", "n_local", "log_counts").join(rest, "row", "left").join(by_class, "row").select(
+    out = units.drop("train", "units").join(by_class, "row").select(
         F.col("row").alias("__row"), (F.col("n_words") + 1).alias("n_tokens"),
         (F.col("n_local") + F.coalesce("rest_known", F.lit(0)) + end_known).cast("bigint").alias("n_known"),
         F.lit(v.tokens).cast("bigint").alias("train_tokens"),
