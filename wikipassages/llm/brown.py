@@ -30,8 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikipassages.llm.common import frugal, text_slices, written
+from wikipassages.llm import common
+from wikipassages.llm.common import frugal, text_slices
 from wikipassages.llm.words import Words, mix, words_of
+from wikipassages.session import leaving_no_shuffles
 
 #: Least share of the training tokens of words that are exchanged in memory (rarer ones: ``rare_moves``), and of words whose counts tasks hold.
 CLASSED, KEPT = 2e-5, 5e-7
@@ -44,6 +46,14 @@ UNITS = "row bigint, train boolean, n_words bigint, n_local bigint, log_counts d
 PLACED = "row bigint, train boolean, n_words bigint, n_local bigint, log_counts double, units binary, rest_known bigint, rest_logs double"
 #: Neighbour classes (of a word, each once) that are weighed at a time.
 _WEIGHED = 20_000
+#: Parts of the texts whose rare words are placed one after the other, so that only one part's shuffles lie on disk.
+PASSES = 4
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``common.written``; what the stage shuffled goes when it is written."""
+    with leaving_no_shuffles(df.sparkSession):
+        return common.written(df, name)
 
 
 def _word_columns(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -332,8 +342,8 @@ def exchange(rows: DataFrame, v: Vocabulary, sweeps: int) -> Classes:
 def _contexts(batches: Iterator[pa.RecordBatch], c: Classes) -> Iterator[pa.RecordBatch]:
     """(hash, own, before, after) of the words not exchanged: the classes beside their places, a byte each."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
+        for lo in range(0, batch.num_rows, 2000):
+            part = batch.slice(lo, 2000)
             unit, before, offsets = _sequences(part.column("units"), len(c.of_unit) - 1)
             words = pc.list_value_length(part.column("rest")).to_numpy(zero_copy_only=False)
             lists = part.column("rest_at").flatten()
@@ -443,12 +453,16 @@ def place_rare(units: DataFrame, v: Vocabulary, c: Classes) -> tuple[DataFrame,
     """
     moves = rare_moves(units.where("train"), c)
     here, beyond = F.size("at"), F.col("n") < max(1.0, KEPT * v.tokens)
-    rest = units.select("row", F.explode(F.arrays_zip("rest", "rest_at")).alias("r")).select("row", F.col("r.rest").alias("hash"), F.col("r.rest_at").alias("at")) \
-        .join(moves, "hash").groupBy("row").agg(
-            F.sum(F.when(beyond, here).otherwise(0)).alias("rest_known"), F.sum(F.when(beyond, here * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rest_logs"),
-            F.collect_list(F.when(F.col("to") >= 0, F.struct("to", "at"))).alias("moved"))
     first = int((v.units >= 0).sum()) + ENDINGS
-    placed = written(units.drop("rest", "rest_at").join(rest, "row", "left").mapInArrow(frugal(lambda b: _placed(b, first)), PLACED), "lm-placed")
+    placed = None
+    for part in range(PASSES):
+        mine = units.where(F.pmod("row", F.lit(PASSES)) == part)
+        rest = mine.select("row", F.explode(F.arrays_zip("rest", "rest_at")).alias("r")).select("row", F.col("r.rest").alias("hash"), F.col("r.rest_at").alias("at")) \
+            .join(moves, "hash").groupBy("row").agg(
+                F.sum(F.when(beyond, here).otherwise(0)).alias("rest_known"), F.sum(F.when(beyond, here * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("rest_logs"),
+                F.collect_list(F.when(F.col("to") >= 0, F.struct("to", "at"))).alias("moved"))
+        done = written(mine.drop("rest", "rest_at").join(rest, "row", "left").mapInArrow(frugal(lambda b: _placed(b, first)), PLACED), "lm-placed")
+        placed = done if placed is None else placed.union(done)
     matrix = _class_bigrams(placed.where("train").select("units"), c.of_unit, len(c.matrix))
     if likelihood(matrix) <= likelihood(c.matrix):
         return placed, units, c
