@@ -25,6 +25,23 @@ def test_pages_by_cursor(spark):
     assert len(seen) == 37
 
 
+def test_next_page_scores_once(spark):
+    """Both pages come from one pass over the scores; ties, short and empty second pages as by rank ranges."""
+    rows = [(q, f"d{i:02d}", round(1.0 / (1 + i // 4), 7)) for q, n in ((1, 25), (2, 10), (3, 4), (4, 20), (5, 21)) for i in range(n)]
+    passed = spark.sparkContext.accumulator(0)
+
+    def seen(score):
+        passed.add(1)
+        return score
+
+    scores = spark.createDataFrame(rows, "query_id int, doc_id string, score double").repartition(3)
+    counted = scores.withColumn("score", Q.F.udf(seen, "double").asNondeterministic()("score"))
+    got = Q.next_page(counted).collect()
+    assert passed.value == len(rows)
+    want = Q.page_after(scores, Q.cursor_after(Q.rank_hits(scores))).collect()
+    assert sorted(got) == sorted(want) and {r["query_id"]: r["more"] for r in got} == {1: True, 4: False, 5: True}
+
+
 def test_count_files(spark, tmp_path):
     rows = [("en part-0", 1, 5), ("en part-0", 3, 1), ("sk.txt", 2, 7)]
     counts = spark.createDataFrame(rows, "source_file string, redirs_count int, freq long")

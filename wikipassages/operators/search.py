@@ -501,6 +501,17 @@ def page_after(scores: DataFrame, cursor: DataFrame, hits: int = HITS_PER_PAGE)
         F.least("n", F.lit(hits)).cast("int").alias("hits_on_page"), (F.col("n") > hits).alias("more"))
 
 
+def next_page(scores: DataFrame, hits: int = HITS_PER_PAGE) -> DataFrame:
+    """L2: :func:`page_after` behind the first page of ``hits`` hits, with ``scores`` computed once for both pages.
+
+    The hits of both and the one beyond that tells whether there is ``more`` are ranked together and written; the
+    cursor and the page behind it come from those few rows for each query.
+    """
+    ensure_checkpoint_dir(scores.sparkSession)
+    ranked = rank_hits(scores, 1, 2 * hits + 1).checkpoint()
+    return page_after(ranked.drop("rank"), cursor_after(ranked.where(F.col("rank") <= hits)), hits)
+
+
 def resolve_display(fields="all") -> list[str]:
     """Q9: ``"all"`` / ``"default"`` / ``"none"`` or an explicit list of field names.
 

@@ -155,8 +155,7 @@ def search_tfidf_page2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: what follows the first page of ``search_tfidf``, from where that page ends, with the hits on it and whether there are more."""
-    scores = search.tfidf_scores(section_index(spark, sf_dir), search.query_terms(benchmark_queries(spark, sf_dir)))
-    return search.page_after(scores, search.cursor_after(search.rank_hits(scores)))
+    return search.next_page(search.tfidf_scores(section_index(spark, sf_dir), search.query_terms(benchmark_queries(spark, sf_dir))))
 
 
 def bounded_search(spark: SparkSession, sf_dir: str) -> bounded.BoundedSearch:
