@@ -8,13 +8,15 @@ from the leaves up, whatever the number of queries.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
 from ..session import ensure_checkpoint_dir
+from . import matching
 from .index import SearchIndex
-from .search import MUST, MUST_NOT, SHOULD, asked_positions, clause_matches, rarest_terms
+from .search import MUST, MUST_NOT, SHOULD, _nothing, asked_positions, clause_matches, expanded_clauses, rarest_terms, scored_clauses
 
 GROUP = "group"
 
@@ -53,7 +55,32 @@ def leaf_paths(nodes: DataFrame) -> tuple[DataFrame, int]:
     return out.select("query_id", F.col("node_id").alias("clause_id"), "kind", "field", "value", "value2", "path"), depth
 
 
-def grouped_scores(index: SearchIndex, nodes: DataFrame, max_edits: int = 2) -> DataFrame:
+def _trees(known: list, leaves: list, sumsq: dict, depth: int) -> matching.Trees | None:
+    """The trees as arrays. ``known``: ``query_id, depth, parent_id, node_id, occur, boost, clauses, musts`` of each node that leads
+    to a leaf; ``leaves``: ``query_id, node_id, cid, boost``; ``sumsq`` of each query that has one."""
+    known = sorted((r for r in known if r["query_id"] in sumsq), key=lambda r: (r["depth"], r["query_id"], r["parent_id"] or 0, r["node_id"]))
+    column = {(r["query_id"], r["node_id"]): k for k, r in enumerate(known)}
+    leaves = [r for r in leaves if (r["query_id"], r["node_id"]) in column]
+    if not leaves:
+        return None
+    levels = []
+    for d in range(depth, 0, -1):
+        rows = [r for r in known if r["depth"] == d]
+        above = [column[r["query_id"], r["parent_id"]] for r in rows]
+        starts = [k for k, p in enumerate(above) if k == 0 or p != above[k - 1]]
+        parents = [known[above[k]] for k in starts]
+        if rows:
+            levels.append(matching.Level(
+                np.array([column[r["query_id"], r["node_id"]] for r in rows]), np.array(starts), np.array([r["occur"] != MUST_NOT for r in rows]),
+                np.array([r["occur"] == MUST for r in rows]), np.array([above[k] for k in starts]),
+                *(np.array([float(p[c]) for p in parents]) for c in ("boost", "clauses", "musts"))))
+    roots = [k for k, r in enumerate(known) if r["depth"] == 0]
+    queries = [known[k]["query_id"] for k in roots]
+    return matching.Trees(queries, len(known), np.array([column[r["query_id"], r["node_id"]] for r in leaves]), np.array([r["cid"] for r in leaves]),
+                          np.array([float(r["boost"]) for r in leaves]), levels, np.array(roots), np.sqrt([sumsq[q] for q in queries]))
+
+
+def grouped_scores(index: SearchIndex, nodes: DataFrame, max_edits: int = 2, best: int | None = None) -> DataFrame:
     """Q5: queries with groups of clauses, as ``(a OR b) AND NOT (c AND d)``: ``query_id, doc_id, score``.
 
     ``nodes``: ``query_id, node_id, parent_id, kind, field, value, value2, occur,
@@ -65,11 +92,17 @@ def grouped_scores(index: SearchIndex, nodes: DataFrame, max_edits: int = 2) ->
     ``coord = matching / all`` of its scoring children, and a query's score is
     its root's over ``sqrt(sum(w^2))`` of all leaves under no must-not node, w
     multiplied by the boosts above. Repeated node ids of a query are not allowed.
+    ``best`` as for :func:`.search.clause_scores`.
     """
     leaves, depth = leaf_paths(nodes)
     leaves = leaves.checkpoint()
-    parts, matches = clause_matches(index, leaves.drop("path"), max_edits)
     ids = ["query_id", "clause_id"]
+    matches = None
+    if index.parts is None:
+        parts, matches = clause_matches(index, leaves.drop("path"), max_edits)
+    else:
+        c = expanded_clauses(index, leaves.drop("path"), max_edits)
+        parts = c.asked.join(c.parts, "cid").drop("cid")
 
     weight = F.coalesce("part", F.lit(0.0)) * F.aggregate("path", F.lit(1.0), lambda acc, p: acc * p["boost"])
     sumsq = leaves.join(parts, ids, "left").where(~F.exists("path", lambda p: p["occur"] == MUST_NOT)) \
@@ -82,6 +115,12 @@ def grouped_scores(index: SearchIndex, nodes: DataFrame, max_edits: int = 2) ->
     def at(d: int, *cols) -> DataFrame:
         return F.broadcast(known.where(F.col("depth") == d).select("query_id", "node_id", *cols))
 
+    if matches is None:
+        asked = c.asked.join(leaves.select(*ids, F.element_at("path", -1)["boost"].alias("boost")), ids) \
+            .select("query_id", F.col("clause_id").alias("node_id"), "cid", "boost").collect()
+        trees = _trees(known.collect(), asked, {r["query_id"]: float(r["sumsq"]) for r in sumsq.collect() if r["query_id"] is not None}, depth)
+        return scored_clauses(index, c, trees, nodes.schema["query_id"].dataType, best) if trees else _nothing(nodes)
+
     boosts = leaves.select(*ids, F.element_at("path", -1)["boost"].alias("boost"))
     rows = matches.join(F.broadcast(boosts), ids).select("doc_id", "query_id", F.col("clause_id").alias("node_id"), (F.col("m") * F.col("boost")).alias("m"))
     for d in range(depth, 0, -1):
@@ -139,9 +178,9 @@ def near_matches(index: SearchIndex, groups: DataFrame, width: int) -> DataFrame
     asked = own.select("near", "field", "terms").distinct()
     parts = asked.select("near", "field", F.explode("terms").alias("term"))
     rarest = rarest_terms(index, parts, "near").join(asked.select("near", "terms"), "near")
-    first = asked_positions(index, parts).select("field", "doc_id", "held", F.explode("held.term").alias("term")).join(F.broadcast(rarest), ["field", "term"])
+    first = asked_positions(index, parts).select("field", *index.document, "held", F.explode("held.term").alias("term")).join(F.broadcast(rarest), ["field", "term"])
     lists = F.filter("held", lambda h: F.array_contains("terms", h["term"]))["positions"]
-    whole = first.select("near", "doc_id", "terms", lists.alias("lists")).where(F.size("lists") == F.size("terms"))
-    windows = whole.select("near", "doc_id", _least_windows(F.col("lists"), width).alias("w")).where("w.freq > 0") \
-        .groupBy("near", "doc_id").agg(F.sum("w.freq").alias("freq"), F.min("w.span").alias("span"))
+    whole = first.select("near", *index.document, "terms", lists.alias("lists")).where(F.size("lists") == F.size("terms"))
+    windows = whole.select("near", *index.document, _least_windows(F.col("lists"), width).alias("w")).where("w.freq > 0") \
+        .groupBy("near", *index.document).agg(F.sum("w.freq").alias("freq"), F.min("w.span").alias("span"))
     return windows.join(F.broadcast(own.select("query_id", "phrase_id", "near")), "near").select("query_id", "phrase_id", "doc_id", "freq", "span")
