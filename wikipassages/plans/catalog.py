@@ -381,7 +381,7 @@ def grouped_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: queries with groups of clauses inside groups, required, optional and forbidden; top 10."""
-    return _top(trees.grouped_scores(section_index(spark, sf_dir), grouped_nodes(spark, sf_dir)))
+    return _top(trees.grouped_scores(section_index(spark, sf_dir), grouped_nodes(spark, sf_dir), best=search.HITS_PER_PAGE))
 
 
 #: Positions between the first and the last of the terms that ``search_near`` asks for.
