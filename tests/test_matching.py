@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wikipassages.operators import bounded, clauses as C, matching
+from wikipassages.operators import bounded, clauses as C, dictionary as D, matching
 from wikipassages.operators import index as I
 from wikipassages.operators import search as Q
 from wikipassages.session import buckets, materialize
@@ -115,12 +115,34 @@ def test_the_best_are_the_same(spark, indexes, expected):
         assert rows[0] == rows[1], name
 
 
-def test_no_list_of_the_vocabulary_is_broadcast_and_no_posting_shuffled(spark, indexes):
+def test_postings_stay_where_they_lie(spark, indexes):
+    """The postings reach the tasks from their table without an exchange; the lists of clauses come to them by part."""
     one = _terms(spark).select("query_id", F.col("term").alias("clause_id"), "field", F.substring("term", 1, 1).alias("prefix"))
-    plan = Q.prefix_scores(indexes[1], one, best=4)._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("FlatMapCoGroupsInArrow"):]
-    left = below[:below.index("SortMergeJoin") if "SortMergeJoin" in below else below.index("BroadcastHashJoin")]
-    assert "rebuilt" not in left and "Broadcast" not in left.split("Scan parquet")[0] and "Exchange" not in left.split("Scan parquet")[0]
+    plan = Q.prefix_scores(indexes[1], one, best=4)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "FlatMapCoGroupsInArrow" in line)
+    scan = next(i for i, line in enumerate(plan) if i > at and "Scan parquet" in line)
+    assert not [line for line in plan[at:scan] if "Exchange" in line]
+    assert [line for line in plan[scan:] if "Exchange hashpartitioning(part" in line]
+
+
+def test_kinds_that_nobody_asks_are_not_looked_up(spark, indexes, monkeypatch):
+    def refused(*args, **more):
+        raise AssertionError("looked up")
+
+    for name in ("expand_wildcard", "expand_range", "expand_fuzzy", "phrase_matches"):
+        monkeypatch.setattr(Q, name, refused)
+    clauses = spark.createDataFrame([(1, 1, Q.TERM, "sectionText", "aa", None, Q.SHOULD, 1.0), (1, 2, Q.PREFIX, "sectionText", "b", None, Q.SHOULD, 1.0)], CLAUSES)
+    assert Q.mixed_scores(indexes[1], clauses, best=3).count() >= 3
+
+
+def test_unwritten_grams_are_not_shuffled(spark):
+    """Grams made on the fly meet the asked ones where their terms are read; what travels has a pattern or is counted."""
+    stats = spark.createDataFrame([("f", "abc", 1), ("f", "xbcy", 2)], "field string, term string, df long")
+    asked = spark.createDataFrame([("f", "*bc*")], "field string, pattern string")
+    found = D.matching_terms(stats, asked)
+    assert sorted(r["term"] for r in found.collect()) == ["abc", "xbcy"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") >= 2
 
 
 def test_candidates_that_rounding_can_lift():
