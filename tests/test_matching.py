@@ -135,11 +135,12 @@ def test_kinds_that_nobody_asks_are_not_looked_up(spark, indexes, monkeypatch):
     assert Q.mixed_scores(indexes[1], clauses, best=3).count() >= 3
 
 
-def test_unwritten_grams_are_not_shuffled(spark):
-    """Grams made on the fly meet the asked ones where their terms are read; what travels has a pattern or is counted."""
+@pytest.mark.parametrize("written", [False, True])
+def test_grams_are_not_shuffled(spark, written):
+    """Grams meet the asked ones where they are read or made; what travels has a pattern or is counted."""
     stats = spark.createDataFrame([("f", "abc", 1), ("f", "xbcy", 2)], "field string, term string, df long")
     asked = spark.createDataFrame([("f", "*bc*")], "field string, pattern string")
-    found = D.matching_terms(stats, asked)
+    found = D.matching_terms(stats, asked, D.term_grams(stats) if written else None)
     assert sorted(r["term"] for r in found.collect()) == ["abc", "xbcy"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") >= 2
